@@ -40,7 +40,7 @@ dimension and category top list, which are broadcast after a size check.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, top_k
@@ -130,24 +130,31 @@ def pair_candidates(
     top_category: DataFrame,
     k: int = DEFAULT_K,
     rating_order: str = "numeric",
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Per clicked (user, category): its k best candidates with the flag."""
+    """Per clicked (user, category): its k best candidates with the flag.
+
+    ``top_category`` should already be broadcast (see ``Recommender``). A
+    product in both lists keeps only its bought row; that choice is a window
+    per (user, category, product), which rides on the (user, category)
+    partitioning, so no exchange on product is added.
+    """
     cols = ["user_id", "category", "product_id", "stock", "rating"]
     bought_rows = (
         pairs.join(top_bought, ["user_id", "category"])
         .select(*cols)
         .withColumn("purchased", F.col("user_id"))
     )
-    top = broadcast_if_bounded(top_category.drop("crank"), max_broadcast_rows)
-    unbought_rows = (
-        pairs.join(top, "category")
-        .join(top_bought.select("user_id", "category", "product_id"), ["user_id", "category", "product_id"], "left_anti")
+    top_rows = (
+        pairs.join(top_category.drop("crank"), "category")
         .select(*cols)
         .withColumn("purchased", F.lit(None).cast(top_bought.schema["user_id"].dataType))
     )
-    both = bought_rows.unionByName(unbought_rows)
-    return top_k(both, ["user_id", "category"], _candidate_order(rating_order), k, rank_col="prank").drop("prank")
+    both = bought_rows.unionByName(top_rows)
+    seen = F.max("purchased").over(Window.partitionBy("user_id", "category", "product_id"))
+    both = both.withColumn("_bought", seen).where(F.col("purchased").isNotNull() | F.col("_bought").isNull())
+    return top_k(both.drop("_bought"), ["user_id", "category"], _candidate_order(rating_order), k, "prank").drop(
+        "prank"
+    )
 
 
 class Recommender:
@@ -181,20 +188,37 @@ class Recommender:
         return self._cache[name]
 
     # --- building blocks -------------------------------------------------
+    def dimension(self) -> DataFrame:
+        """The product lookup, broadcast once its size is proven small."""
+        return self._memo(
+            "dimension",
+            lambda: broadcast_if_bounded(
+                self.inventory.select("product_id", "category", "stock", "rating"), self.max_broadcast_rows
+            ),
+        )
+
     def clicked(self) -> DataFrame:
-        return self._memo("clicked", lambda: clicked_products(self.clicks, self.inventory, self.max_broadcast_rows))
+        return self._memo("clicked", lambda: clicked_products(self.clicks, self.dimension(), None))
 
     def views(self) -> DataFrame:
         return self._memo("views", lambda: views(self.clicked()))
 
     def pairs(self) -> DataFrame:
-        return self._memo("pairs", lambda: self.views().select("user_id", "category").distinct())
+        """Distinct clicked (user, category), taken from ``first_views`` so it
+        shares that frame's (user, category) exchange instead of re-reading
+        the clicks."""
+        return self._memo("pairs", lambda: self.first_views().select("user_id", "category").distinct())
 
     def category_top(self) -> DataFrame:
-        return self._memo("category_top", lambda: category_top(self.inventory, self.k, self.rating_order))
+        return self._memo(
+            "category_top",
+            lambda: broadcast_if_bounded(
+                category_top(self.inventory, self.k, self.rating_order), self.max_broadcast_rows
+            ),
+        )
 
     def bought(self) -> DataFrame:
-        return self._memo("bought", lambda: bought_products(self.sales, self.inventory, self.max_broadcast_rows))
+        return self._memo("bought", lambda: bought_products(self.sales, self.dimension(), None))
 
     def bought_top(self) -> DataFrame:
         return self._memo("bought_top", lambda: bought_top(self.bought(), self.k, self.rating_order))
@@ -210,10 +234,7 @@ class Recommender:
     def pair_candidates(self) -> DataFrame:
         return self._memo(
             "pair_candidates",
-            lambda: pair_candidates(
-                self.pairs(), self.bought_top(), self.category_top(), self.k, self.rating_order,
-                self.max_broadcast_rows,
-            ),
+            lambda: pair_candidates(self.pairs(), self.bought_top(), self.category_top(), self.k, self.rating_order),
         )
 
     def view_candidates(self) -> DataFrame:
