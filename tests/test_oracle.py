@@ -1,0 +1,57 @@
+"""Every registered query against its DuckDB SQL oracle (smallest scale)."""
+
+import os
+
+import duckdb
+import pandas as pd
+import pytest
+
+import __spark_entry__ as entry
+
+SF = "/root/testdata/sf0.001"
+TABLES = ["part", "orders", "lineitem", "events", "customer"]
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF, t + '.parquet')}')")
+    return con
+
+
+def normalise(df: pd.DataFrame) -> list[tuple]:
+    out = []
+    cols = sorted(df.columns)
+    for rec in df[cols].itertuples(index=False):
+        row = []
+        for v in rec:
+            if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and v != v):
+                row.append("None")
+            elif isinstance(v, float) and v.is_integer():
+                row.append(str(int(v)))
+            elif isinstance(v, pd.Timestamp):
+                row.append(str(v.tz_localize(None) if v.tzinfo else v))
+            else:
+                row.append(str(v))
+        out.append(tuple(row))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_query_matches_oracle(spark, duck, name):
+    got = entry.queries()[name](spark, SF).toPandas()
+    want = duck.execute(entry.oracle_sql()[name]).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert len(got) == len(want)
+    assert normalise(got) == normalise(want)
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_entry_runs(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["user_id", "top_product_ids", "event_time"]
+    assert df.count() > 0
