@@ -66,16 +66,23 @@ def start(
     print_rows: int = 0,
     trigger: dict | None = None,
     query_name: str = "sales_by_category",
+    output_mode: str | None = None,
 ) -> StreamingQuery:
     """Run the job: JSON messages to ``output_path`` (exactly-once per
-    ``batch_id``) and, when ``print_rows`` > 0, a console print of each batch."""
+    ``batch_id``) and, when ``print_rows`` > 0, a console print of each batch.
+
+    Output mode: ``append`` (one final message per window) for event time;
+    ``update`` (a message whenever a window's sum changes) for processing
+    time, whose windows close only as the wall clock moves on."""
+    if output_mode is None:
+        output_mode = "append" if time_mode == "event" else "update"
     out = as_messages(sales_by_category_stream(messages, products, window, watermark, time_mode))
     targets = [sinks.json_messages(output_path)]
     if print_rows:
         targets.append(sinks.console(print_rows))
     writer = (
         out.writeStream.queryName(query_name)
-        .outputMode("append")
+        .outputMode(output_mode)
         .option("checkpointLocation", checkpoint_path)
         .foreachBatch(sinks.fan_out(*targets))
     )

@@ -157,3 +157,21 @@ def test_upsert_newest_window_stays(spark):
     job.on_clicks(spark.createDataFrame([("7,2", t0 + dt.timedelta(seconds=3))], msg), 1)
     out = job.latest().collect()
     assert len(out) == 1 and out[0].event_time == t0 + dt.timedelta(seconds=10)
+
+
+def test_processing_time_totals_and_fan_out(spark, capsys):
+    root = scratch()
+    src = os.path.join(root, "in")
+    msgs = sale_messages(spark)
+    msgs.coalesce(1).write.parquet(src)
+    inv = testdata.inventory(spark, SF)
+    stream = files.message_file_stream(spark, src)
+    q = sales_stream.start(stream, inv, os.path.join(root, "out"), os.path.join(root, "ckpt"),
+                           window="1 hour", time_mode="processing", print_rows=5,
+                           trigger={"availableNow": True})
+    run_available_now(q)
+    got = spark.read.json(os.path.join(root, "out")).agg(F.sum("sales")).collect()[0][0]
+    parsed = parse.parse_sales(msgs)
+    want = sal.enrich_sales(parsed, inv).agg(F.sum("sales")).collect()[0][0]
+    assert got == want
+    assert "-- batch 0" in capsys.readouterr().out
