@@ -14,18 +14,25 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` holds at most ``max_rows`` rows.
+
+    A bounded count (``limit(max_rows + 1).count()``): each task stops once it
+    has passed the bound, and as the count needs no column, Catalyst prunes
+    them all -- over a parquet dimension the scan reads row counts from file
+    metadata only (``ReadSchema: struct<>``), so the proof stays cheap at scale.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint ``df`` for broadcast only after proving it has at most ``max_rows``.
 
-    The proof is a bounded count (``limit(max_rows + 1).count()``): it stops
-    reading once the bound is passed, so checking a large side stays cheap.
     Streaming frames and ``max_rows=None`` are returned unhinted.
     """
     if max_rows is None or df.isStreaming:
         return df
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
 def top_k(

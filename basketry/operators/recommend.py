@@ -43,7 +43,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, top_k
+from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, has_at_most, top_k
 
 RATING_ORDERS = ("numeric", "string")
 SCOPES = ("user", "view")
@@ -118,42 +118,65 @@ def bought_products(
 
 
 def bought_top(bought: DataFrame, k: int = DEFAULT_K, rating_order: str = "numeric") -> DataFrame:
-    """Per (user, category), the k best products the user bought."""
-    return top_k(bought, ["user_id", "category"], _product_order(rating_order), k, rank_col="brank").drop(
-        "brank"
-    )
+    """Per (user, category), the k best products the user bought (rank in
+    ``brank``)."""
+    return top_k(bought, ["user_id", "category"], _product_order(rating_order), k, rank_col="brank")
+
+
+def category_lists(top_category: DataFrame) -> DataFrame:
+    """Per category its top products as one small array (at most k)."""
+    item = F.struct("crank", "product_id", "stock", "rating")
+    return top_category.groupBy("category").agg(F.collect_list(item).alias("top_list"))
+
+
+def bought_lists(top_bought: DataFrame) -> DataFrame:
+    """Per (user, category) the bought top products as one array (at most k).
+
+    ``top_bought`` is already clustered by (user, category), so this adds no
+    shuffle."""
+    item = F.struct("brank", "product_id", "stock", "rating")
+    return top_bought.groupBy("user_id", "category").agg(F.collect_list(item).alias("bought_list"))
 
 
 def pair_candidates(
     pairs: DataFrame,
-    top_bought: DataFrame,
-    top_category: DataFrame,
+    bought: DataFrame,
+    top: DataFrame,
     k: int = DEFAULT_K,
-    rating_order: str = "numeric",
 ) -> DataFrame:
     """Per clicked (user, category): its k best candidates with the flag.
 
-    ``top_category`` should already be broadcast (see ``Recommender``). A
-    product in both lists keeps only its bought row; that choice is a window
-    per (user, category, product), which rides on the (user, category)
-    partitioning, so no exchange on product is added.
+    ``bought`` is ``bought_lists`` (joined on user and category, co-partitioned
+    with ``pairs``); ``top`` is ``category_lists`` (small, broadcast by the
+    caller). Per pair both arrays hold at most k items; the result is the
+    bought items in their order, then the category's top items the user did
+    not buy, cut to k -- array functions on bounded arrays, no extra shuffle.
     """
-    cols = ["user_id", "category", "product_id", "stock", "rating"]
-    bought_rows = (
-        pairs.join(top_bought, ["user_id", "category"])
-        .select(*cols)
-        .withColumn("purchased", F.col("user_id"))
-    )
-    top_rows = (
-        pairs.join(top_category.drop("crank"), "category")
-        .select(*cols)
-        .withColumn("purchased", F.lit(None).cast(top_bought.schema["user_id"].dataType))
-    )
-    both = bought_rows.unionByName(top_rows)
-    seen = F.max("purchased").over(Window.partitionBy("user_id", "category", "product_id"))
-    both = both.withColumn("_bought", seen).where(F.col("purchased").isNotNull() | F.col("_bought").isNull())
-    return top_k(both.drop("_bought"), ["user_id", "category"], _candidate_order(rating_order), k, "prank").drop(
-        "prank"
+    joined = pairs.join(bought, ["user_id", "category"], "left").join(top, "category", "left")
+
+    def item(group: int, rank: str):
+        return lambda x: F.struct(
+            F.lit(group).alias("grp"),
+            x[rank].alias("r"),
+            x["product_id"].alias("product_id"),
+            x["stock"].alias("stock"),
+            x["rating"].alias("rating"),
+        )
+
+    # a pair without purchases (or a category without stock) has a NULL list
+    empty = F.array()
+    bought_ids = F.coalesce(F.transform("bought_list", lambda x: x["product_id"]), empty)
+    first = F.coalesce(F.transform("bought_list", item(0, "brank")), empty)
+    unbought = F.filter("top_list", lambda x: ~F.array_contains(bought_ids, x["product_id"]))
+    rest = F.coalesce(F.transform(unbought, item(1, "crank")), empty)
+    candidates = F.slice(F.array_sort(F.concat(first, rest)), 1, k)
+    return joined.select("user_id", "category", F.inline(candidates)).select(
+        "user_id",
+        "category",
+        "product_id",
+        "stock",
+        "rating",
+        F.when(F.col("grp") == 0, F.col("user_id")).alias("purchased"),
     )
 
 
@@ -181,6 +204,7 @@ class Recommender:
         self.sales = sales
         self.inventory = inventory
         self._cache: dict[str, DataFrame] = {}
+        self._dimension_bounded: bool | None = None
 
     def _memo(self, name: str, build) -> DataFrame:
         if name not in self._cache:
@@ -188,14 +212,17 @@ class Recommender:
         return self._cache[name]
 
     # --- building blocks -------------------------------------------------
+    def _dimension_is_small(self) -> bool:
+        if self._dimension_bounded is None:
+            self._dimension_bounded = self.max_broadcast_rows is not None and has_at_most(
+                self.inventory, self.max_broadcast_rows
+            )
+        return self._dimension_bounded
+
     def dimension(self) -> DataFrame:
         """The product lookup, broadcast once its size is proven small."""
-        return self._memo(
-            "dimension",
-            lambda: broadcast_if_bounded(
-                self.inventory.select("product_id", "category", "stock", "rating"), self.max_broadcast_rows
-            ),
-        )
+        dim = self.inventory.select("product_id", "category", "stock", "rating")
+        return self._memo("dimension", lambda: F.broadcast(dim) if self._dimension_is_small() else dim)
 
     def clicked(self) -> DataFrame:
         return self._memo("clicked", lambda: clicked_products(self.clicks, self.dimension(), None))
@@ -203,6 +230,14 @@ class Recommender:
     def views(self) -> DataFrame:
         return self._memo("views", lambda: views(self.clicked()))
 
+    def first_views(self) -> DataFrame:
+        """The k earliest views of each (user, category)."""
+        return self._memo(
+            "first_views",
+            lambda: top_k(self.views(), ["user_id", "category"], [F.col("event_time").asc()], self.k, "vrank")
+            .drop("vrank"),
+        )
+
     def pairs(self) -> DataFrame:
         """Distinct clicked (user, category), taken from ``first_views`` so it
         shares that frame's (user, category) exchange instead of re-reading
@@ -210,12 +245,19 @@ class Recommender:
         return self._memo("pairs", lambda: self.first_views().select("user_id", "category").distinct())
 
     def category_top(self) -> DataFrame:
-        return self._memo(
-            "category_top",
-            lambda: broadcast_if_bounded(
-                category_top(self.inventory, self.k, self.rating_order), self.max_broadcast_rows
-            ),
-        )
+        return self._memo("category_top", lambda: category_top(self.inventory, self.k, self.rating_order))
+
+    def category_lists(self) -> DataFrame:
+        """Broadcast: it has at most one row per category, so it is bounded
+        whenever the dimension is; otherwise it gets its own check."""
+
+        def build() -> DataFrame:
+            lists = category_lists(self.category_top())
+            if self._dimension_is_small():
+                return F.broadcast(lists)
+            return broadcast_if_bounded(lists, self.max_broadcast_rows)
+
+        return self._memo("category_lists", build)
 
     def bought(self) -> DataFrame:
         return self._memo("bought", lambda: bought_products(self.sales, self.dimension(), None))
@@ -227,14 +269,14 @@ class Recommender:
         """Bought, in-stock products of clicked categories: k best per pair."""
         return self._memo(
             "purchased_in_clicked",
-            lambda: self.pairs().join(self.bought_top(), ["user_id", "category"])
+            lambda: self.pairs().join(self.bought_top().drop("brank"), ["user_id", "category"])
             .select("user_id", "category", "product_id", "stock", "rating", F.col("user_id").alias("purchased")),
         )
 
     def pair_candidates(self) -> DataFrame:
         return self._memo(
             "pair_candidates",
-            lambda: pair_candidates(self.pairs(), self.bought_top(), self.category_top(), self.k, self.rating_order),
+            lambda: pair_candidates(self.pairs(), bought_lists(self.bought_top()), self.category_lists(), self.k),
         )
 
     def view_candidates(self) -> DataFrame:
@@ -243,15 +285,6 @@ class Recommender:
             "view_candidates",
             lambda: self.views().join(self.pair_candidates(), ["user_id", "category"]).select(*CANDIDATE_COLUMNS),
         )
-
-    def first_views(self) -> DataFrame:
-        """The k earliest views of each (user, category)."""
-        return self._memo(
-            "first_views",
-            lambda: top_k(self.views(), ["user_id", "category"], [F.col("event_time").asc()], self.k, "vrank")
-            .drop("vrank"),
-        )
-
     # --- rankings ----------------------------------------------------------
     def ranked(self, scope: str = "user") -> DataFrame:
         """The first k candidate rows per user (or per view), rank in ``rn``."""
