@@ -195,8 +195,12 @@ class Recommender:
         k: int = DEFAULT_K,
         rating_order: str = "numeric",
         max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+        top_lists: DataFrame | None = None,
     ) -> None:
+        """``top_lists``: precomputed ``category_lists`` for this inventory, k
+        and rating order (a stream computes them once, not per batch)."""
         _rating_key(rating_order)
+        self.top_lists = top_lists
         self.k = k
         self.rating_order = rating_order
         self.max_broadcast_rows = max_broadcast_rows
@@ -252,7 +256,7 @@ class Recommender:
         whenever the dimension is; otherwise it gets its own check."""
 
         def build() -> DataFrame:
-            lists = category_lists(self.category_top())
+            lists = self.top_lists if self.top_lists is not None else category_lists(self.category_top())
             if self._dimension_is_small():
                 return F.broadcast(lists)
             return broadcast_if_bounded(lists, self.max_broadcast_rows)

@@ -78,6 +78,16 @@ class RecommendationStream:
         self.rating_order = rating_order
         self.buckets = buckets
         self.max_broadcast_rows = max_broadcast_rows
+        self.top_lists = self._category_lists(os.path.join(root, "category_top"))
+
+    def _category_lists(self, path: str) -> DataFrame:
+        """The inventory is static for the life of the stream: its per-category
+        top lists are computed once, written to the shared state folder and
+        read back, so micro-batches neither rescan the inventory for them nor
+        carry their lineage."""
+        lists = rec.category_lists(rec.category_top(self.inventory, self.k, self.rating_order))
+        lists.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     # --- helpers -----------------------------------------------------------
     def _bucket(self) -> F.Column:
@@ -101,7 +111,7 @@ class RecommendationStream:
         clicks = self._history(self.clicks_path, CLICK_HISTORY, buckets).join(touched, "user_id", "left_semi")
         sales = self._history(self.sales_path, SALES_HISTORY, buckets).join(touched, "user_id", "left_semi")
         recommender = rec.Recommender(
-            clicks, sales, self.inventory, self.k, self.rating_order, self.max_broadcast_rows
+            clicks, sales, self.inventory, self.k, self.rating_order, self.max_broadcast_rows, self.top_lists
         )
         self.log.write(recommender.recommend("user", self.window), batch_id, source)
 
