@@ -65,7 +65,14 @@ def split_fields(
     """Positional split parser (quotes removed, comma split, strict numbers)."""
     _check_mode(on_error)
     keep = list(keep or [])
-    parts = F.split(F.translate(F.col(value_col), '"', ""), ",")
+    # Split once, as the output of a one-row explode. Catalyst pushes a filter
+    # below a projection by inlining the projected expression at every
+    # reference (here one per field check), and filter code does not share
+    # common subexpressions; a generator's output cannot be inlined, so every
+    # check below reads the same array attribute.
+    split = F.split(F.translate(F.col(value_col), '"', ""), ",")
+    lines = lines.select(*keep, F.col(value_col), F.explode(F.array(split)).alias("_fields"))
+    parts = F.col("_fields")
     checks = [F.size(parts) >= len(schema.fields)]
     typed = []
     for i, field in enumerate(schema.fields):
