@@ -31,6 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from basketry.functions import parse
 from basketry.operators import recommend as rec
 from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
+from basketry.session import scratch_path
 from basketry.streaming import sinks
 
 CLICK_HISTORY = T.StructType(
@@ -60,7 +61,7 @@ class RecommendationStream:
     def __init__(
         self,
         spark: SparkSession,
-        root: str,
+        root: str | None,
         inventory: DataFrame,
         k: int = rec.DEFAULT_K,
         window: str = "5 seconds",
@@ -69,6 +70,9 @@ class RecommendationStream:
         max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
     ) -> None:
         self.spark = spark
+        # state lives in the shared checkpoint folder unless a root is given
+        root = root or scratch_path(spark, "recommendations")
+        self.root = root
         self.clicks_path = os.path.join(root, "click_history")
         self.sales_path = os.path.join(root, "sales_history")
         self.log = sinks.UpsertLog(os.path.join(root, "recommendations"), ["user_id"], ["event_time"])
@@ -116,24 +120,45 @@ class RecommendationStream:
         self.log.write(recommender.recommend("user", self.window), batch_id, source)
 
     # --- micro-batch handlers ----------------------------------------------
-    def on_clicks(self, messages: DataFrame, batch_id: int) -> None:
-        clicks = (
+    def _decode_clicks(self, messages: DataFrame) -> DataFrame:
+        return (
             parse.decode_clicks(messages, keep=["timestamp"])
             .withColumnRenamed("timestamp", "event_time")
             .withColumn("ubucket", self._bucket())
         )
-        sinks.write_batch_partition(clicks, self.clicks_path, batch_id, partition_by=["ubucket"])
-        self.refresh(clicks, batch_id, "clicks")
 
-    def on_sales(self, messages: DataFrame, batch_id: int) -> None:
-        sales = (
+    def _decode_sales(self, messages: DataFrame) -> DataFrame:
+        return (
             parse.decode_sales(messages, keep=["timestamp"])
             .withColumnRenamed("timestamp", "purchase_time")
             .withColumn("ubucket", self._bucket())
         )
+
+    def on_clicks(self, messages: DataFrame, batch_id: int) -> None:
+        clicks = self._decode_clicks(messages)
+        sinks.write_batch_partition(clicks, self.clicks_path, batch_id, partition_by=["ubucket"])
+        self.refresh(clicks, batch_id, "clicks")
+
+    def on_sales(self, messages: DataFrame, batch_id: int) -> None:
+        sales = self._decode_sales(messages)
         sinks.write_batch_partition(sales, self.sales_path, batch_id, partition_by=["ubucket"])
         self.refresh(sales, batch_id, "sales")
 
+    def on_batch(self, messages: DataFrame, batch_id: int) -> None:
+        """One micro-batch of both topics (column ``topic``): both histories
+        are appended first, then every touched user is refreshed once, so a
+        refresh always sees the purchases and clicks of its own batch."""
+        messages.persist()
+        try:
+            clicks = self._decode_clicks(messages.where(F.col("topic") == "clicks"))
+            sales = self._decode_sales(messages.where(F.col("topic") == "sales"))
+            sinks.write_batch_partition(clicks, self.clicks_path, batch_id, partition_by=["ubucket"])
+            sinks.write_batch_partition(sales, self.sales_path, batch_id, partition_by=["ubucket"])
+            touched = clicks.select("user_id", "ubucket").unionByName(sales.select("user_id", "ubucket"))
+            self.refresh(touched, batch_id, "main")
+        finally:
+            messages.unpersist()
+
     def latest(self) -> DataFrame:
         """The compacted output: one current row per user."""
         return self.log.latest(self.spark)
@@ -143,21 +168,23 @@ class RecommendationStream:
         self,
         click_messages: DataFrame,
         sale_messages: DataFrame,
-        checkpoint_root: str,
+        checkpoint_path: str | None = None,
         trigger: dict | None = None,
-    ) -> tuple[StreamingQuery, StreamingQuery]:
-        """Start the purchase and the click query (``value, timestamp`` rows)."""
-
-        def run(df: DataFrame, handler, name: str) -> StreamingQuery:
-            writer = (
-                df.writeStream.queryName(name)
-                .option("checkpointLocation", os.path.join(checkpoint_root, name))
-                .foreachBatch(handler)
-            )
-            writer = writer.trigger(**trigger) if trigger else writer
-            return writer.start()
-
-        return (
-            run(sale_messages, self.on_sales, "recommend_sales"),
-            run(click_messages, self.on_clicks, "recommend_clicks"),
+        query_name: str = "recommendations",
+    ) -> StreamingQuery:
+        """Start one query over both topics (``value, timestamp`` rows each).
+
+        A single query (a union of the two sources) rather than one per topic:
+        two concurrent queries could each refresh a user before seeing the
+        other's latest write and leave a stale list as the final row.
+        """
+        both = click_messages.select("value", "timestamp", F.lit("clicks").alias("topic")).unionByName(
+            sale_messages.select("value", "timestamp", F.lit("sales").alias("topic"))
+        )
+        writer = (
+            both.writeStream.queryName(query_name)
+            .option("checkpointLocation", checkpoint_path or os.path.join(self.root, "checkpoints", query_name))
+            .foreachBatch(self.on_batch)
         )
+        writer = writer.trigger(**trigger) if trigger else writer
+        return writer.start()

@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketry.functions import encode, parse
 from basketry.operators import sales as sal
+from basketry.session import scratch_path
 from basketry.streaming import sinks
 
 TIME_MODES = ("event", "processing")
@@ -59,7 +60,7 @@ def start(
     messages: DataFrame,
     products: DataFrame,
     output_path: str,
-    checkpoint_path: str,
+    checkpoint_path: str | None = None,
     window: str = "10 seconds",
     watermark: str = "1 second",
     time_mode: str = "event",
@@ -70,12 +71,15 @@ def start(
 ) -> StreamingQuery:
     """Run the job: JSON messages to ``output_path`` (exactly-once per
     ``batch_id``) and, when ``print_rows`` > 0, a console print of each batch.
+    The checkpoint defaults to the session's shared ``spark.checkpoint.dir``.
 
     Output mode: ``append`` (one final message per window) for event time;
     ``update`` (a message whenever a window's sum changes) for processing
     time, whose windows close only as the wall clock moves on."""
     if output_mode is None:
         output_mode = "append" if time_mode == "event" else "update"
+    if checkpoint_path is None:
+        checkpoint_path = scratch_path(messages.sparkSession, f"checkpoints/{query_name}")
     out = as_messages(sales_by_category_stream(messages, products, window, watermark, time_mode))
     targets = [sinks.json_messages(output_path)]
     if print_rows:
