@@ -98,10 +98,20 @@ def inventory_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sales by category
 # --------------------------------------------------------------------------
 
-_ENRICHED_SQL = (
-    "enriched AS (SELECT s.invoice_id, s.user_id, s.product_id, s.purchase_time, p.category, "
-    "s.quantity AS sales FROM sales s JOIN inv p ON s.product_id = p.product_id)\n"
-)
+def _enriched_sql(src: str = "sales") -> str:
+    """Views ``inv``, ``src`` and ``enriched`` (sales of known products)."""
+    return W("inv", src) + (
+        ", enriched AS (SELECT s.invoice_id, s.user_id, s.product_id, s.purchase_time, p.category, "
+        f"s.quantity AS sales FROM {src} s JOIN inv p ON s.product_id = p.product_id)\n"
+    )
+
+
+def _sums_sql(width: str) -> str:
+    bucket = f"time_bucket(INTERVAL '{width}', purchase_time)"
+    return (
+        f"SELECT {bucket} AS window_start, {bucket} + INTERVAL '{width}' AS window_end, "
+        "category, CAST(sum(sales) AS BIGINT) AS sales FROM enriched GROUP BY 1, 2, 3"
+    )
 
 
 @register(
@@ -114,8 +124,7 @@ def dim_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(td.inventory(spark, sf_dir), ["product_id"], ["rating", "stock", "category"])
 
 
-@register("sales_enriched", W("inv", "sales") + ", " + _ENRICHED_SQL.replace("enriched AS (", "e AS (", 1)
-          + "SELECT * FROM e")
+@register("sales_enriched", _enriched_sql() + "SELECT * FROM enriched")
 def sales_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sal.enrich_sales(td.sales(spark, sf_dir), td.inventory(spark, sf_dir))
 
@@ -130,11 +139,7 @@ def sales_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _by_category_sql(width: str, src: str = "sales") -> str:
-    return W("inv", src) + ", " + _ENRICHED_SQL.replace("FROM sales s", f"FROM {src} s") + (
-        f"SELECT time_bucket(INTERVAL '{width}', purchase_time) AS window_start, "
-        f"time_bucket(INTERVAL '{width}', purchase_time) + INTERVAL '{width}' AS window_end, "
-        "category, CAST(sum(sales) AS BIGINT) AS sales FROM enriched GROUP BY 1, 2, 3"
-    )
+    return _enriched_sql(src) + _sums_sql(width)
 
 
 def _by_category(spark: SparkSession, sf_dir: str, width: str, bulk: bool = False) -> DataFrame:
@@ -164,7 +169,7 @@ def sales_by_category_bulk_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "sales_by_category_rolling",
-    W("inv", "sales") + ", " + _ENRICHED_SQL + (
+    _enriched_sql() + (
         ", spread AS (SELECT time_bucket(INTERVAL '10 minutes', purchase_time) - to_minutes(10 * j) AS window_start, "
         "category, sales FROM enriched, range(0, 6) r(j))\n"
         "SELECT window_start, window_start + INTERVAL '1 hour' AS window_end, category, "
@@ -178,12 +183,8 @@ def sales_by_category_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "sales_by_category_json",
-    _by_category_sql("10 seconds").replace(
-        "SELECT time_bucket(INTERVAL '10 seconds', purchase_time) AS window_start, ",
-        "SELECT * EXCLUDE (category, sales, window_start), json_object('category', category, 'sales', sales)::VARCHAR "
-        "AS value FROM (SELECT time_bucket(INTERVAL '10 seconds', purchase_time) AS window_start, ",
-        1,
-    ) + ")",
+    _enriched_sql() + f", sums AS ({_sums_sql('10 seconds')})\n"
+    "SELECT window_end, json_object('category', category, 'sales', sales)::VARCHAR AS value FROM sums",
 )
 def sales_by_category_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = sales_by_category_10s(spark, sf_dir)
@@ -195,7 +196,7 @@ def sales_by_category_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 # Literal (unpruned) form: every view joined to its whole category.
-_CANDIDATES_SQL = W("inv", "clicks", "sales") + """,
+_CANDIDATES_BODY = """,
 clicked_products AS (
   SELECT DISTINCT c.user_id, c.event_time, p.product_id, p.category
   FROM clicks c JOIN inv p ON c.product_id = p.product_id),
@@ -203,12 +204,19 @@ category_products AS (
   SELECT cp.user_id, cp.event_time, p.product_id, p.category, p.stock, p.rating, sr.user_id AS purchased
   FROM clicked_products cp
   JOIN inv p ON cp.category = p.category
-  LEFT JOIN sales sr ON cp.user_id = sr.user_id AND p.product_id = sr.product_id
+  LEFT JOIN {purchases} sr ON cp.user_id = sr.user_id AND p.product_id = sr.product_id
   WHERE p.stock > 0
   GROUP BY p.product_id, p.category, p.stock, cp.user_id, cp.event_time, sr.user_id, p.rating)
 """
 
 
+def _candidates_sql(purchases: str = "sales") -> str:
+    return W("inv", "clicks", purchases) + _CANDIDATES_BODY.format(purchases=purchases)
+
+
+_CANDIDATES_SQL = _candidates_sql()
+
+
 def _rank_sql(partition: str, rating: str, with_time: bool = True) -> str:
     order = f"purchased DESC NULLS LAST, {rating} DESC, product_id ASC"
     if with_time:
@@ -220,9 +228,9 @@ _RATING_SQL = {"numeric": "rating", "string": "CAST(rating AS VARCHAR)"}
 _CAND_COLS = "user_id, event_time, product_id, category, stock, rating, purchased"
 
 
-def _topk_user_sql(rating_order: str = "numeric", k: int = 6) -> str:
+def _topk_user_sql(rating_order: str = "numeric", k: int = 6, purchases: str = "sales") -> tuple[str, str]:
     return (
-        _CANDIDATES_SQL
+        _candidates_sql(purchases)
         + f", top_products AS (SELECT {_CAND_COLS}, {_rank_sql('user_id', _RATING_SQL[rating_order])} AS rn "
         f"FROM category_products)\n"
     ), f"SELECT {_CAND_COLS}, rn FROM top_products WHERE rn <= {k}"
@@ -236,8 +244,8 @@ def _topk_view_sql(k: int = 6) -> tuple[str, str]:
     ), f"SELECT {_CAND_COLS}, rn FROM top_products WHERE rn <= {k}"
 
 
-def _recommend_user_sql(rating_order: str = "numeric", width: str = "5 seconds") -> str:
-    prefix, _ = _topk_user_sql(rating_order)
+def _recommend_user_sql(rating_order: str = "numeric", width: str = "5 seconds", purchases: str = "sales") -> str:
+    prefix, _ = _topk_user_sql(rating_order, purchases=purchases)
     bucket = f"time_bucket(INTERVAL '{width}', event_time)"
     return prefix + (
         f"SELECT user_id, string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY rn) AS top_product_ids, "
@@ -359,11 +367,7 @@ def recommend_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register(
-    "recommend_user_rank_bulk",
-    _recommend_user_sql().replace(W("inv", "clicks", "sales"), W("inv", "clicks", "sales_bulk").replace(
-        "sales_bulk AS (", "sales AS (", 1), 1),
-)
+@register("recommend_user_rank_bulk", _recommend_user_sql(purchases="sales_bulk"))
 def recommend_user_rank_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _recommender(spark, sf_dir, bulk=True).recommend("user", "5 seconds")
 

@@ -20,6 +20,28 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Shuffle sizing from the expected size of the largest shuffle.
+
+    The shuffles here carry narrow, pre-combined rows (ids, a time, a
+    category; partial distinct / partial top-k before every exchange), so size
+    from the shuffled bytes, not the raw input. Each initial partition holds
+    about ``target_partition_bytes`` (no task spills a huge partition),
+    clamped to 2..10 partitions per core so the map x reduce block count stays
+    sane; AQE then coalesces small partitions to the advisory size and splits
+    skewed ones. Scan splits use the same target. E.g. a 5 TB shuffle on
+    8000 cores starts with 40k partitions.
+    """
+    wanted = -(-shuffle_bytes // target_partition_bytes)
+    partitions = min(max(wanted, 2 * total_cores), 10 * total_cores)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "basketry",
