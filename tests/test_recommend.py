@@ -168,3 +168,16 @@ def test_recommend_lists_per_window(spark):
     clk, sal, inv_df = frames(spark, inv, clicks, [])
     out = rec.Recommender(clk, sal, inv_df).recommend("user", "5 seconds").orderBy("event_time").collect()
     assert [(r.top_product_ids, r.event_time) for r in out] == [("2,1", t(5)), ("3", t(10))]
+
+
+def test_input_order_and_partitioning_do_not_matter(spark):
+    rnd = random.Random(11)
+    inv = [(p, f"c{p % 3}", str(p % 4), rnd.randrange(1, 6)) for p in range(30)]
+    clicks = [(rnd.randrange(6), rnd.randrange(30), t(rnd.randrange(40))) for _ in range(50)]
+    sales = [(rnd.randrange(6), rnd.randrange(30)) for _ in range(30)]
+    clk, sal, inv_df = frames(spark, inv, clicks, sales)
+    base = rec.Recommender(clk, sal, inv_df).recommend("user").collect()
+    shuffled = rec.Recommender(
+        clk.repartition(7).orderBy(F.rand(1)), sal.repartition(3), inv_df.repartition(5).orderBy(F.rand(2))
+    ).recommend("user").collect()
+    assert sorted(map(tuple, base)) == sorted(map(tuple, shuffled))

@@ -1,0 +1,16 @@
+from basketry.session import checkpoint_root, scale_conf, scratch_path
+
+
+def test_checkpoint_root_is_stable_and_used_for_scratch(spark):
+    root = checkpoint_root(spark)
+    assert checkpoint_root(spark) == root
+    assert scratch_path(spark, "x").startswith(root)
+
+
+def test_scale_conf_bounds():
+    small = scale_conf(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = scale_conf(5 << 40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 40960
+    huge = scale_conf(1 << 60, 100)
+    assert huge["spark.sql.shuffle.partitions"] == "1000"

@@ -51,11 +51,12 @@ def run_available_now(query):
     assert query.exception() is None
 
 
-def test_sales_stream_equals_batch(spark):
+@pytest.mark.parametrize("chunks", [1, 3, 10])
+def test_sales_stream_equals_batch(spark, chunks):
     root = scratch()
     src = os.path.join(root, "in")
     msgs = sale_messages(spark)
-    write_chunks(msgs, src, 3)
+    write_chunks(msgs, src, chunks)
     far = dt.datetime(2030, 1, 1)
     sentinel(spark, far).coalesce(1).write.mode("append").parquet(src)
     sentinel(spark, far + dt.timedelta(hours=1)).coalesce(1).write.mode("append").parquet(src)
