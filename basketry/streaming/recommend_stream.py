@@ -188,3 +188,48 @@ class RecommendationStream:
         )
         writer = writer.trigger(**trigger) if trigger else writer
         return writer.start()
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Start the recommendation stream from the command line and block.
+
+    Sources: ``--kafka SERVERS`` with ``--clicks-topic``/``--sales-topic``, or
+    ``--clicks DIR --sales DIR`` (files of ``value, timestamp`` rows).
+    Inventory: a CSV file (bad rows skipped). State, output log and
+    checkpoints go under ``--root`` (default: the shared checkpoint folder).
+    """
+    import argparse
+
+    from basketry import schemas
+    from basketry.session import build_session
+    from basketry.sources import files
+
+    ap = argparse.ArgumentParser(description="streaming recommendations")
+    ap.add_argument("--kafka", help="bootstrap servers")
+    ap.add_argument("--clicks-topic", default="click.streams")
+    ap.add_argument("--sales-topic", default="sales.records")
+    ap.add_argument("--clicks", help="folder of click value,timestamp parquet files")
+    ap.add_argument("--sales", help="folder of sale value,timestamp parquet files")
+    ap.add_argument("--inventory", required=True)
+    ap.add_argument("--root", default=None)
+    ap.add_argument("--k", type=int, default=rec.DEFAULT_K)
+    ap.add_argument("--window", default="5 seconds")
+    ap.add_argument("--rating-order", default="numeric", choices=rec.RATING_ORDERS)
+    ap.add_argument("--buckets", type=int, default=1024)
+    args = ap.parse_args(argv)
+    if not args.kafka and not (args.clicks and args.sales):
+        ap.error("give --kafka or both --clicks and --sales")
+    spark = build_session(app_name="recommendations")
+    if args.kafka:
+        clicks = files.kafka_stream(spark, args.kafka, args.clicks_topic)
+        sales = files.kafka_stream(spark, args.kafka, args.sales_topic)
+    else:
+        clicks = files.message_file_stream(spark, args.clicks)
+        sales = files.message_file_stream(spark, args.sales)
+    inventory = files.csv_table(spark, args.inventory, schemas.PRODUCT, on_error="drop")
+    job = RecommendationStream(spark, args.root, inventory, args.k, args.window, args.rating_order, args.buckets)
+    job.start(clicks, sales).awaitTermination()
+
+
+if __name__ == "__main__":
+    main()

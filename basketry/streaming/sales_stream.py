@@ -92,3 +92,44 @@ def start(
     )
     writer = writer.trigger(**trigger) if trigger else writer
     return writer.start()
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Start the job from the command line and block.
+
+    Sources: ``--kafka SERVERS --topic T`` or ``--messages DIR`` (files of
+    ``value, timestamp`` rows). Products: a CSV text file, one product per
+    line, read once (later lines for an id replace earlier ones).
+    """
+    import argparse
+
+    from basketry.plans.sales_job import products_from_lines
+    from basketry.session import build_session
+    from basketry.sources import files
+
+    ap = argparse.ArgumentParser(description="streaming sales by category")
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--kafka", help="bootstrap servers")
+    src.add_argument("--messages", help="folder of value,timestamp parquet files")
+    ap.add_argument("--topic", default="sales.records")
+    ap.add_argument("--products", required=True)
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--checkpoint", default=None)
+    ap.add_argument("--window", default="10 seconds")
+    ap.add_argument("--watermark", default="1 second")
+    ap.add_argument("--time-mode", default="event", choices=TIME_MODES)
+    ap.add_argument("--print-rows", type=int, default=20)
+    args = ap.parse_args(argv)
+    spark = build_session(app_name="sales-by-category")
+    if args.kafka:
+        messages = files.kafka_stream(spark, args.kafka, args.topic)
+    else:
+        messages = files.message_file_stream(spark, args.messages)
+    products = products_from_lines(files.text_lines(spark, args.products))
+    query = start(messages, products, args.out, args.checkpoint, args.window, args.watermark,
+                  args.time_mode, args.print_rows)
+    query.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()
