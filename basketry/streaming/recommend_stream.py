@@ -216,6 +216,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--window", default="5 seconds")
     ap.add_argument("--rating-order", default="numeric", choices=rec.RATING_ORDERS)
     ap.add_argument("--buckets", type=int, default=1024)
+    ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     args = ap.parse_args(argv)
     if not args.kafka and not (args.clicks and args.sales):
         ap.error("give --kafka or both --clicks and --sales")
@@ -228,7 +229,8 @@ def main(argv: list[str] | None = None) -> None:
         sales = files.message_file_stream(spark, args.sales)
     inventory = files.csv_table(spark, args.inventory, schemas.PRODUCT, on_error="drop")
     job = RecommendationStream(spark, args.root, inventory, args.k, args.window, args.rating_order, args.buckets)
-    job.start(clicks, sales).awaitTermination()
+    trigger = {"availableNow": True} if args.available_now else None
+    job.start(clicks, sales, trigger=trigger).awaitTermination()
 
 
 if __name__ == "__main__":

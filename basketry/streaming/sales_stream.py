@@ -119,15 +119,19 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--watermark", default="1 second")
     ap.add_argument("--time-mode", default="event", choices=TIME_MODES)
     ap.add_argument("--print-rows", type=int, default=20)
+    ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     args = ap.parse_args(argv)
     spark = build_session(app_name="sales-by-category")
     if args.kafka:
         messages = files.kafka_stream(spark, args.kafka, args.topic)
     else:
         messages = files.message_file_stream(spark, args.messages)
-    products = products_from_lines(files.text_lines(spark, args.products))
+    # The dimension is read once: materialised with a reliable checkpoint (in
+    # the shared spark.checkpoint.dir), which also takes the line-order id out
+    # of the streaming plan (Spark rejects it there).
+    products = products_from_lines(files.text_lines(spark, args.products)).checkpoint()
     query = start(messages, products, args.out, args.checkpoint, args.window, args.watermark,
-                  args.time_mode, args.print_rows)
+                  args.time_mode, args.print_rows, {"availableNow": True} if args.available_now else None)
     query.awaitTermination()
 
 
