@@ -10,7 +10,7 @@
 Usage::
 
     python -m basketry.plans.recommend_job --clicks c/ --sales s/ \\
-        --inventory productInventory.csv --out out/ [--scope view]
+        --inventory inventory.csv --out out/ [--scope view]
 """
 
 from __future__ import annotations
