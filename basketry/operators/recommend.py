@@ -210,6 +210,28 @@ class Recommender:
         self._cache: dict[str, DataFrame] = {}
         self._dimension_bounded: bool | None = None
 
+    @classmethod
+    def from_reduced(
+        cls,
+        first_views: DataFrame,
+        top_bought: DataFrame,
+        inventory: DataFrame,
+        k: int = DEFAULT_K,
+        rating_order: str = "numeric",
+        max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+        top_lists: DataFrame | None = None,
+    ) -> "Recommender":
+        """A recommender over already reduced inputs: the k earliest views per
+        (user, category) (``user_id, event_time, category``) and the k best
+        bought products per (user, category) (``bought_top`` rows, with
+        ``brank``). This is all the per-user ranking reads, so a stream can
+        keep just these instead of the raw history. Only ``ranked("user")``
+        and ``recommend("user")`` are available."""
+        recommender = cls(None, None, inventory, k, rating_order, max_broadcast_rows, top_lists)
+        recommender._cache["first_views"] = first_views.select("user_id", "event_time", "category")
+        recommender._cache["bought_top"] = top_bought
+        return recommender
+
     def _memo(self, name: str, build) -> DataFrame:
         if name not in self._cache:
             self._cache[name] = build()

@@ -2,20 +2,30 @@
 
 Structured Streaming cannot run ``row_number`` on a stream, and the job's
 "ever bought" lookup is an unbounded stream-stream join, so the ranking runs
-per micro-batch in ``foreachBatch``:
-
-1. a click (or purchase) batch is decoded and appended to a history table
-   partitioned by a hash bucket of the user id (``ubucket``), idempotently
-   per ``batch_id``;
-2. the users touched by the batch are recomputed from history: only their
-   buckets are read (partition pruning), then the same ``Recommender`` as
-   the batch job ranks their candidates;
-3. the rows are appended to an ``UpsertLog`` keyed by ``user_id``; readers
-   compact it to the latest row per user (newest window wins, Q11).
-
-Purchases refresh their users at once, so a purchase changes a user's list
-without waiting for the next click. Stream result = batch result on the
-same rows (checked in the tests).
+per micro-batch in ``foreachBatch`` over a *reduced state* kept in tables:
+
+* ``views_state``: per (user, category) the k earliest views;
+* ``bought_state``: per (user, category) the k best in-stock products the
+  user bought.
+
+That is all the per-user ranking reads (see ``operators.recommend``), and
+``top-k(old + new) = top-k(top-k(old) + new)``, so merging a batch into the
+state is exact. The state is bounded by pairs x 2k rows, however long the
+stream runs; the raw clicks and purchases are not kept.
+
+Per micro-batch (one query over the union of both topics):
+
+1. decode the batch, look up categories, reduce it to views and bought rows;
+2. for the touched user buckets (``pmod(xxhash64(user_id), buckets)``, the
+   state tables' partition column) merge state + batch, write the result to
+   a staging table (cutting the lineage) and overwrite those bucket
+   partitions from it;
+3. recompute the lists of the touched users from the merged state and append
+   them to an ``UpsertLog`` keyed by ``user_id`` (latest write wins).
+
+A replayed batch merges rows already in the state (a no-op) and rewrites its
+own log partition, so replays leave the output unchanged. Stream result =
+batch result on the same rows (checked in the tests).
 """
 
 from __future__ import annotations
@@ -30,33 +40,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketry.functions import parse
 from basketry.operators import recommend as rec
-from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
+from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, top_k
 from basketry.session import scratch_path
 from basketry.streaming import sinks
 
-CLICK_HISTORY = T.StructType(
-    [
-        T.StructField("user_id", T.LongType()),
-        T.StructField("product_id", T.LongType()),
-        T.StructField("event_time", T.TimestampType()),
-        T.StructField("ubucket", T.IntegerType()),
-    ]
-)
-SALES_HISTORY = T.StructType(
-    [
-        T.StructField("invoice_id", T.LongType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("product_id", T.LongType()),
-        T.StructField("quantity", T.LongType()),
-        T.StructField("unit_cost", T.IntegerType()),
-        T.StructField("purchase_time", T.TimestampType()),
-        T.StructField("ubucket", T.IntegerType()),
-    ]
-)
-
 
 class RecommendationStream:
-    """State (history tables, output log) and micro-batch handlers."""
+    """Reduced state, output log and the micro-batch handler."""
 
     def __init__(
         self,
@@ -73,8 +63,8 @@ class RecommendationStream:
         # state lives in the shared checkpoint folder unless a root is given
         root = root or scratch_path(spark, "recommendations")
         self.root = root
-        self.clicks_path = os.path.join(root, "click_history")
-        self.sales_path = os.path.join(root, "sales_history")
+        self.views_path = os.path.join(root, "views_state")
+        self.bought_path = os.path.join(root, "bought_state")
         self.log = sinks.UpsertLog(os.path.join(root, "recommendations"), ["user_id"], ["event_time"])
         self.inventory = inventory
         self.k = k
@@ -82,13 +72,16 @@ class RecommendationStream:
         self.rating_order = rating_order
         self.buckets = buckets
         self.max_broadcast_rows = max_broadcast_rows
+        self.dimension = broadcast_if_bounded(
+            inventory.select("product_id", "category", "stock", "rating"), max_broadcast_rows
+        )
         self.top_lists = self._category_lists(os.path.join(root, "category_top"))
 
     def _category_lists(self, path: str) -> DataFrame:
         """The inventory is static for the life of the stream: its per-category
-        top lists are computed once, written to the shared state folder and
-        read back, so micro-batches neither rescan the inventory for them nor
-        carry their lineage."""
+        top lists are computed once, written to the state folder and read
+        back, so micro-batches neither rescan the inventory for them nor carry
+        their lineage."""
         lists = rec.category_lists(rec.category_top(self.inventory, self.k, self.rating_order))
         lists.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
@@ -97,68 +90,102 @@ class RecommendationStream:
     def _bucket(self) -> F.Column:
         return F.pmod(F.xxhash64("user_id"), F.lit(self.buckets)).cast("int")
 
-    def _history(self, path: str, schema: T.StructType, buckets: list[int]) -> DataFrame:
+    def _state(self, path: str, schema: T.StructType, buckets: list[int]) -> DataFrame:
         try:
             df = self.spark.read.schema(schema).parquet(path)
         except AnalysisException:  # nothing written yet
             return self.spark.createDataFrame([], schema)
         return df.where(F.col("ubucket").isin(buckets))
 
-    def refresh(self, users: DataFrame, batch_id: int, source: str) -> None:
-        """Recompute and upsert the lists of ``users`` (``user_id``, ``ubucket``)."""
-        users = users.select("user_id", "ubucket").distinct()
+    def _merge(self, path: str, batch: DataFrame, buckets: list[int], reduce) -> DataFrame:
+        """New state of the touched buckets: reduce(state + batch), written
+        back over those bucket partitions; returns the merged rows.
+
+        The merged rows are first written to a staging table (one per state
+        table, overwritten every batch, so nothing accumulates) and read back:
+        that cuts the lineage to the partitions about to be replaced. A crash
+        anywhere here is safe: the merge is idempotent, so the replayed batch
+        rebuilds the same state from whatever mix of old and new partitions
+        it finds."""
+        staging = path + "_staging"
+        reduce(self._state(path, batch.schema, buckets).unionByName(batch)).write.mode("overwrite").parquet(staging)
+        merged = self.spark.read.schema(batch.schema).parquet(staging)
+        (
+            merged.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("ubucket")
+            .parquet(path)
+        )
+        return self.spark.read.schema(batch.schema).parquet(staging)
+
+    def _reduce_views(self, views: DataFrame) -> DataFrame:
+        return top_k(views.distinct(), ["user_id", "category"], [F.col("event_time").asc()], self.k, "vrank").drop(
+            "vrank"
+        )
+
+    def _reduce_bought(self, bought: DataFrame) -> DataFrame:
+        return rec.bought_top(bought.distinct(), self.k, self.rating_order).drop("brank")
+
+    # --- the micro-batch ---------------------------------------------------
+    def apply(self, clicks: DataFrame, sales: DataFrame, batch_id: int, source: str = "main") -> None:
+        """Merge decoded clicks (``user_id, product_id, event_time``) and sales
+        (``user_id, product_id``) into the state; refresh the touched users."""
+        views = rec.views(rec.clicked_products(clicks, self.dimension, None)).withColumn("ubucket", self._bucket())
+        bought = rec.bought_products(sales, self.dimension, None).withColumn("ubucket", self._bucket())
+        # reduce the batch itself first: a batch row outside its own top k
+        # can never enter the state's top k
+        views = self._reduce_views(views)
+        bought = self._reduce_bought(bought)
+        touched = views.select("user_id", "ubucket").unionByName(bought.select("user_id", "ubucket")).distinct()
+        touched.persist()
+        try:
+            self._refresh(views, bought, touched, batch_id, source)
+        finally:
+            touched.unpersist()
+
+    def _refresh(self, views: DataFrame, bought: DataFrame, touched: DataFrame, batch_id: int, source: str) -> None:
         # the touched bucket ids: at most ``self.buckets`` small ints
-        buckets = [r.ubucket for r in users.select("ubucket").distinct().collect()]
+        buckets = [r.ubucket for r in touched.select("ubucket").distinct().collect()]
         if not buckets:
             return
-        touched = broadcast_if_bounded(users.select("user_id"), self.max_broadcast_rows)
-        clicks = self._history(self.clicks_path, CLICK_HISTORY, buckets).join(touched, "user_id", "left_semi")
-        sales = self._history(self.sales_path, SALES_HISTORY, buckets).join(touched, "user_id", "left_semi")
-        recommender = rec.Recommender(
-            clicks, sales, self.inventory, self.k, self.rating_order, self.max_broadcast_rows, self.top_lists
-        )
-        self.log.write(recommender.recommend("user", self.window), batch_id, source)
+        merged_views = self._merge(self.views_path, views, buckets, self._reduce_views)
+        merged_bought = self._merge(self.bought_path, bought, buckets, self._reduce_bought)
 
-    # --- micro-batch handlers ----------------------------------------------
-    def _decode_clicks(self, messages: DataFrame) -> DataFrame:
-        return (
-            parse.decode_clicks(messages, keep=["timestamp"])
-            .withColumnRenamed("timestamp", "event_time")
-            .withColumn("ubucket", self._bucket())
+        users = broadcast_if_bounded(touched.select("user_id"), self.max_broadcast_rows)
+        first_views = merged_views.join(users, "user_id", "left_semi")
+        top_bought = rec.bought_top(
+            merged_bought.join(users, "user_id", "left_semi").drop("ubucket"), self.k, self.rating_order
         )
-
-    def _decode_sales(self, messages: DataFrame) -> DataFrame:
-        return (
-            parse.decode_sales(messages, keep=["timestamp"])
-            .withColumnRenamed("timestamp", "purchase_time")
-            .withColumn("ubucket", self._bucket())
+        recommender = rec.Recommender.from_reduced(
+            first_views, top_bought, self.inventory, self.k, self.rating_order, self.max_broadcast_rows,
+            self.top_lists,
         )
+        self.log.write(recommender.recommend("user", self.window), batch_id, source)
 
     def on_clicks(self, messages: DataFrame, batch_id: int) -> None:
-        clicks = self._decode_clicks(messages)
-        sinks.write_batch_partition(clicks, self.clicks_path, batch_id, partition_by=["ubucket"])
-        self.refresh(clicks, batch_id, "clicks")
+        clicks = parse.decode_clicks(messages, keep=["timestamp"]).withColumnRenamed("timestamp", "event_time")
+        self.apply(clicks, self._no_sales(), batch_id, "clicks")
 
     def on_sales(self, messages: DataFrame, batch_id: int) -> None:
-        sales = self._decode_sales(messages)
-        sinks.write_batch_partition(sales, self.sales_path, batch_id, partition_by=["ubucket"])
-        self.refresh(sales, batch_id, "sales")
+        sales = parse.decode_sales(messages, keep=["timestamp"])
+        self.apply(self._no_clicks(), sales, batch_id, "sales")
 
     def on_batch(self, messages: DataFrame, batch_id: int) -> None:
-        """One micro-batch of both topics (column ``topic``): both histories
-        are appended first, then every touched user is refreshed once, so a
-        refresh always sees the purchases and clicks of its own batch."""
+        """One micro-batch of both topics (column ``topic``)."""
         messages.persist()
         try:
-            clicks = self._decode_clicks(messages.where(F.col("topic") == "clicks"))
-            sales = self._decode_sales(messages.where(F.col("topic") == "sales"))
-            sinks.write_batch_partition(clicks, self.clicks_path, batch_id, partition_by=["ubucket"])
-            sinks.write_batch_partition(sales, self.sales_path, batch_id, partition_by=["ubucket"])
-            touched = clicks.select("user_id", "ubucket").unionByName(sales.select("user_id", "ubucket"))
-            self.refresh(touched, batch_id, "main")
+            clicks = parse.decode_clicks(messages.where(F.col("topic") == "clicks"), keep=["timestamp"])
+            sales = parse.decode_sales(messages.where(F.col("topic") == "sales"))
+            self.apply(clicks.withColumnRenamed("timestamp", "event_time"), sales, batch_id)
         finally:
             messages.unpersist()
 
+    def _no_clicks(self) -> DataFrame:
+        return self.spark.createDataFrame([], "user_id bigint, product_id bigint, event_time timestamp")
+
+    def _no_sales(self) -> DataFrame:
+        return self.spark.createDataFrame([], "user_id bigint, product_id bigint")
+
     def latest(self) -> DataFrame:
         """The compacted output: one current row per user."""
         return self.log.latest(self.spark)
@@ -175,8 +202,7 @@ class RecommendationStream:
         """Start one query over both topics (``value, timestamp`` rows each).
 
         A single query (a union of the two sources) rather than one per topic:
-        two concurrent queries could each refresh a user before seeing the
-        other's latest write and leave a stale list as the final row.
+        two concurrent queries would merge into the same state tables.
         """
         both = click_messages.select("value", "timestamp", F.lit("clicks").alias("topic")).unionByName(
             sale_messages.select("value", "timestamp", F.lit("sales").alias("topic"))
