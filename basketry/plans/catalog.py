@@ -226,6 +226,14 @@ def _rank_sql(partition: str, rating: str, with_time: bool = True) -> str:
 
 _RATING_SQL = {"numeric": "rating", "string": "CAST(rating AS VARCHAR)"}
 _CAND_COLS = "user_id, event_time, product_id, category, stock, rating, purchased"
+# Output form: ``purchased`` (the buyer's id or NULL) as text, as the original
+# tables declared their ids, so a nullable integer never goes through a float
+# conversion when results are compared.
+_CAND_OUT = "user_id, event_time, product_id, category, stock, rating, CAST(purchased AS VARCHAR) AS purchased"
+
+
+def _purchased_as_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("purchased", df["purchased"].cast("string"))
 
 
 def _topk_user_sql(rating_order: str = "numeric", k: int = 6, purchases: str = "sales") -> tuple[str, str]:
@@ -233,7 +241,7 @@ def _topk_user_sql(rating_order: str = "numeric", k: int = 6, purchases: str = "
         _candidates_sql(purchases)
         + f", top_products AS (SELECT {_CAND_COLS}, {_rank_sql('user_id', _RATING_SQL[rating_order])} AS rn "
         f"FROM category_products)\n"
-    ), f"SELECT {_CAND_COLS}, rn FROM top_products WHERE rn <= {k}"
+    ), f"SELECT {_CAND_OUT}, rn FROM top_products WHERE rn <= {k}"
 
 
 def _topk_view_sql(k: int = 6) -> tuple[str, str]:
@@ -241,7 +249,7 @@ def _topk_view_sql(k: int = 6) -> tuple[str, str]:
         _CANDIDATES_SQL
         + f", top_products AS (SELECT {_CAND_COLS}, {_rank_sql('user_id, event_time', 'rating', False)} AS rn "
         f"FROM category_products)\n"
-    ), f"SELECT {_CAND_COLS}, rn FROM top_products WHERE rn <= {k}"
+    ), f"SELECT {_CAND_OUT}, rn FROM top_products WHERE rn <= {k}"
 
 
 def _recommend_user_sql(rating_order: str = "numeric", width: str = "5 seconds", purchases: str = "sales") -> str:
@@ -298,27 +306,27 @@ def candidates_purchased(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "category_candidates",
-    _CANDIDATES_SQL + f"SELECT {_CAND_COLS} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_time, "
+    _CANDIDATES_SQL + f"SELECT {_CAND_OUT} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_time, "
     "category ORDER BY purchased DESC NULLS LAST, rating DESC, product_id ASC) AS r FROM category_products) "
     "WHERE r <= 6",
 )
 def category_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _recommender(spark, sf_dir).view_candidates()
+    return _purchased_as_text(_recommender(spark, sf_dir).view_candidates())
 
 
 @register("topk_per_user", "".join(_topk_user_sql("numeric")))
 def topk_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _recommender(spark, sf_dir).ranked("user")
+    return _purchased_as_text(_recommender(spark, sf_dir).ranked("user"))
 
 
 @register("topk_per_user_string_rating", "".join(_topk_user_sql("string")))
 def topk_per_user_string_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _recommender(spark, sf_dir, "string").ranked("user")
+    return _purchased_as_text(_recommender(spark, sf_dir, "string").ranked("user"))
 
 
 @register("topk_per_view", "".join(_topk_view_sql()))
 def topk_per_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _recommender(spark, sf_dir).ranked("view")
+    return _purchased_as_text(_recommender(spark, sf_dir).ranked("view"))
 
 
 @register("recommend_user_rank", _recommend_user_sql())
