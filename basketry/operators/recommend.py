@@ -29,18 +29,24 @@ set, so it is never built:
    so it is in ``bought_top``: the subtraction only needs ``bought_top``.
    Every better product has a row wherever a worse one does, so the k best
    rows of any ranking only use the k best products of each (user, category).
+   Both inputs are arrays of at most k items per key (``bought_lists``,
+   ``category_lists``), combined with array functions: no join fan-out and
+   no shuffle beyond the (user, category) clustering they already have.
 4. per view: views x ``pair_candidates`` (at most k rows per view and
    category); per user: only the k earliest views of each (user, category)
    can place a row in the user's first k, so at most k x k rows per pair.
 
-Every per-key step is a top-k (map-side WindowGroupLimit) or a join between
-sides holding at most k rows per key, except the two lookups of the product
-dimension and category top list, which are broadcast after a size check.
+Every per-key step is a partial aggregate (distinct), a top-k (map-side
+WindowGroupLimit: at most k rows per group leave a task), a join whose
+build side holds at most k rows per key, or a lookup of the product
+dimension / category lists, broadcast after a size proof. The one join with
+an unbounded side per key, views x pair candidates (per-view scope), is left
+to AQE's skew-join split when a (user, category) pair is hot.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, has_at_most, top_k
