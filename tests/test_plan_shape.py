@@ -53,3 +53,42 @@ def test_skewed_fixture_matches_brute_force(spark):
     for scope in ("user", "view"):
         got = rec.Recommender(clk, sal, inv_df).ranked(scope)
         assert rows(got) == rows(brute(spark, clk, sal, inv_df, scope))
+
+
+def test_hot_pair_is_split_by_aqe(spark, capsys):
+    """One (user, category) with most of the views: with broadcasts off, the
+    per-view join is a sort-merge join whose hot partition AQE splits."""
+    import datetime as dt
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        inv = [(p, f"c{p % 4}", "5", p % 9) for p in range(40)]
+        t0 = dt.datetime(2024, 1, 1)
+        clicks = [(0, 0, t0 + dt.timedelta(seconds=i)) for i in range(3000)]  # hot pair (0, c0)
+        clicks += [(u, p, t0 + dt.timedelta(seconds=u * 7 + p)) for u in range(1, 30) for p in range(1, 40, 9)]
+        sales = [(0, 4), (0, 8), (3, 1)]
+        clk, sal, inv_df = frames(spark, inv, clicks, sales)
+        r = rec.Recommender(clk, sal, inv_df, max_broadcast_rows=None)
+        got = r.ranked("view")
+        cols = ["user_id", "event_time", "product_id", "purchased", "rn"]
+        result = sorted(tuple(row[c] for c in cols) for row in got.collect())
+        plan = plan_text(got, capsys)  # the final adaptive plan of that run
+        assert "isFinalPlan=true" in plan and "skew=true" in plan
+        assert result == rows(brute(spark, clk, sal, inv_df, "view"))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
