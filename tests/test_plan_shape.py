@@ -92,3 +92,47 @@ def test_hot_pair_is_split_by_aqe(spark, capsys):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_product_in_unbroadcast_enrichment_is_split(spark, capsys):
+    """A product with most of the sales, dimension not broadcast: the
+    enrichment join's hot partition is split by AQE, sums unchanged."""
+    import datetime as dt
+
+    from basketry.operators import sales as sal
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        t0 = dt.datetime(2024, 1, 1)
+        rows_ = [(i, 1, 1 if i % 3 else i % 50, 1 + i % 3, 10, t0 + dt.timedelta(seconds=i)) for i in range(6000)]
+        sales_df = spark.createDataFrame(
+            rows_, "invoice_id long, user_id long, product_id long, quantity long, unit_cost int, "
+            "purchase_time timestamp_ntz")
+        products = spark.createDataFrame([(p, f"c{p % 5}", 1, 1) for p in range(50)],
+                                         "product_id long, category string, stock int, rating int")
+        enriched = sal.enrich_sales(sales_df, products, max_broadcast_rows=None)
+        total = enriched.groupBy("category").agg({"sales": "sum"})
+        got = {r[0]: r[1] for r in total.collect()}
+        plan = plan_text(total, capsys)
+        assert "skew=true" in plan
+        want = {}
+        for _, _, p, q, _, _ in rows_:
+            want[f"c{p % 5}"] = want.get(f"c{p % 5}", 0) + q
+        assert got == want
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
