@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from basketry.functions import parse
+from basketry.functions import encode, parse
 from basketry.operators import recommend as rec
 from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, top_k
 from basketry.session import scratch_path
@@ -58,8 +58,14 @@ class RecommendationStream:
         rating_order: str = "numeric",
         buckets: int = 64,
         max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+        outputs: tuple[sinks.BatchSink, ...] = (),
     ) -> None:
+        """``outputs``: further sinks for each refresh's keyed records
+        (``key`` = user id, ``value`` = ``user_id,"p1,...",event_time``),
+        e.g. ``sinks.kafka`` for a compacted topic; the upsert log is always
+        written."""
         self.spark = spark
+        self.outputs = tuple(outputs)
         # state lives in the shared checkpoint folder unless a root is given
         root = root or scratch_path(spark, "recommendations")
         self.root = root
@@ -160,7 +166,20 @@ class RecommendationStream:
             first_views, top_bought, self.inventory, self.k, self.rating_order, self.max_broadcast_rows,
             self.top_lists,
         )
-        self.log.write(recommender.recommend("user", self.window), batch_id, source)
+        recs = recommender.recommend("user", self.window)
+        if not self.outputs:
+            self.log.write(recs, batch_id, source)
+            return
+        recs.persist()
+        try:
+            self.log.write(recs, batch_id, source)
+            records = recs.select(
+                encode.recommendation_key().alias("key"), encode.recommendation_value().alias("value")
+            )
+            for sink in self.outputs:
+                sink(records, batch_id)
+        finally:
+            recs.unpersist()
 
     def on_clicks(self, messages: DataFrame, batch_id: int) -> None:
         clicks = parse.decode_clicks(messages, keep=["timestamp"]).withColumnRenamed("timestamp", "event_time")
@@ -243,6 +262,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--rating-order", default="numeric", choices=rec.RATING_ORDERS)
     ap.add_argument("--buckets", type=int, default=1024)
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    ap.add_argument("--kafka-out-topic", default=None, help="also send keyed CSV records to this (compacted) topic")
     args = ap.parse_args(argv)
     if not args.kafka and not (args.clicks and args.sales):
         ap.error("give --kafka or both --clicks and --sales")
@@ -254,7 +274,9 @@ def main(argv: list[str] | None = None) -> None:
         clicks = files.message_file_stream(spark, args.clicks)
         sales = files.message_file_stream(spark, args.sales)
     inventory = files.csv_table(spark, args.inventory, schemas.PRODUCT, on_error="drop")
-    job = RecommendationStream(spark, args.root, inventory, args.k, args.window, args.rating_order, args.buckets)
+    outputs = (sinks.kafka(args.kafka, args.kafka_out_topic),) if args.kafka_out_topic else ()
+    job = RecommendationStream(spark, args.root, inventory, args.k, args.window, args.rating_order, args.buckets,
+                               outputs=outputs)
     trigger = {"availableNow": True} if args.available_now else None
     job.start(clicks, sales, trigger=trigger).awaitTermination()
 

@@ -68,6 +68,7 @@ def start(
     trigger: dict | None = None,
     query_name: str = "sales_by_category",
     output_mode: str | None = None,
+    extra_sinks: tuple[sinks.BatchSink, ...] = (),
 ) -> StreamingQuery:
     """Run the job: JSON messages to ``output_path`` (exactly-once per
     ``batch_id``) and, when ``print_rows`` > 0, a console print of each batch.
@@ -84,6 +85,7 @@ def start(
     targets = [sinks.json_messages(output_path)]
     if print_rows:
         targets.append(sinks.console(print_rows))
+    targets.extend(extra_sinks)
     writer = (
         out.writeStream.queryName(query_name)
         .outputMode(output_mode)
@@ -120,6 +122,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--time-mode", default="event", choices=TIME_MODES)
     ap.add_argument("--print-rows", type=int, default=20)
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    ap.add_argument("--kafka-out-topic", default=None, help="also send the JSON messages to this topic")
     args = ap.parse_args(argv)
     spark = build_session(app_name="sales-by-category")
     if args.kafka:
@@ -130,8 +133,13 @@ def main(argv: list[str] | None = None) -> None:
     # the shared spark.checkpoint.dir), which also takes the line-order id out
     # of the streaming plan (Spark rejects it there).
     products = products_from_lines(files.text_lines(spark, args.products)).checkpoint()
+    extra = ()
+    if args.kafka_out_topic:
+        to_topic = sinks.kafka(args.kafka, args.kafka_out_topic)
+        extra = (lambda df, batch_id: to_topic(df.select("value"), batch_id),)
     query = start(messages, products, args.out, args.checkpoint, args.window, args.watermark,
-                  args.time_mode, args.print_rows, {"availableNow": True} if args.available_now else None)
+                  args.time_mode, args.print_rows, {"availableNow": True} if args.available_now else None,
+                  extra_sinks=extra)
     query.awaitTermination()
 
 

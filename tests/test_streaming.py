@@ -197,3 +197,16 @@ def test_processing_time_totals_and_fan_out(spark, capsys):
     want = sal.enrich_sales(parsed, inv).agg(F.sum("sales")).collect()[0][0]
     assert got == want
     assert "-- batch 0" in capsys.readouterr().out
+
+
+def test_recommend_extra_output_gets_keyed_records(spark):
+    inv = spark.createDataFrame([(1, "a", 5, 3), (2, "a", 5, 9)], "product_id long, category string, stock int, rating int")
+    root = scratch()
+    from basketry.streaming import sinks
+    out = os.path.join(root, "records")
+    job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, buckets=4,
+                                                outputs=(sinks.table(out),))
+    t0 = dt.datetime(2024, 1, 1)
+    job.on_clicks(spark.createDataFrame([("7,1", t0 + dt.timedelta(seconds=2))], "value string, timestamp timestamp"), 0)
+    got = [(r.key, r.value) for r in spark.read.parquet(out).collect()]
+    assert got == [("7", '7,"2,1",2024-01-01 00:00:05.000')]
