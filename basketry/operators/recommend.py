@@ -12,7 +12,11 @@ Semantics (the recommendation job, made deterministic):
   product_id and event_time ascending (the last two make the order total);
 * ``scope="user"`` ranks all candidate rows of a user together (the literal
   job: one ranking per user, then grouped into event-time windows);
-  ``scope="view"`` ranks per view (six products for the page being viewed).
+  ``scope="view"`` ranks per view (six products for the page being viewed);
+* ``repeat=False`` (user scope; the job's "do not repeat suggestions from
+  earlier page views" intent): a product is suggested once, at the user's
+  first view of its category, and the slots its later repeats held go to the
+  next best products.
 
 Exact pruning instead of the all-pairs candidate join
 ----------------------------------------------------
@@ -270,6 +274,15 @@ class Recommender:
             .drop("vrank"),
         )
 
+    def first_seen(self) -> DataFrame:
+        """Per clicked (user, category), the user's first view of it. Derived
+        from ``first_views``, whose rows are already clustered by (user,
+        category), so the minimum adds no shuffle."""
+        return self._memo(
+            "first_seen",
+            lambda: self.first_views().groupBy("user_id", "category").agg(F.min("event_time").alias("event_time")),
+        )
+
     def pairs(self) -> DataFrame:
         """Distinct clicked (user, category), taken from ``first_views`` so it
         shares that frame's (user, category) exchange instead of re-reading
@@ -318,24 +331,35 @@ class Recommender:
             lambda: self.views().join(self.pair_candidates(), ["user_id", "category"]).select(*CANDIDATE_COLUMNS),
         )
     # --- rankings ----------------------------------------------------------
-    def ranked(self, scope: str = "user") -> DataFrame:
-        """The first k candidate rows per user (or per view), rank in ``rn``."""
+    def ranked(self, scope: str = "user", repeat: bool = True) -> DataFrame:
+        """The first k candidate rows per user (or per view), rank in ``rn``.
+
+        ``repeat=False`` (user scope only): one row per (user, product), at
+        the first view of the product's category. A product's rows differ
+        only in ``event_time`` and its earliest row ranks best, so this drops
+        exactly the repeats from later views. Per view it would need each
+        view's list before the next one's (a sequential dependency): refused.
+        """
         order = [*_candidate_order(self.rating_order), F.col("event_time").asc()]
         if scope == "user":
-            rows = self.first_views().join(self.pair_candidates(), ["user_id", "category"]).select(*CANDIDATE_COLUMNS)
+            seen = self.first_views() if repeat else self.first_seen()
+            rows = seen.join(self.pair_candidates(), ["user_id", "category"]).select(*CANDIDATE_COLUMNS)
             return top_k(rows, ["user_id"], order, self.k)
         if scope == "view":
+            if not repeat:
+                raise ValueError('repeat=False is defined for scope="user" only')
             return top_k(self.view_candidates(), ["user_id", "event_time"], order, self.k)
         raise ValueError(f"scope must be one of {SCOPES}, not {scope!r}")
 
-    def recommend(self, scope: str = "user", window: str = "5 seconds") -> DataFrame:
+    def recommend(self, scope: str = "user", window: str = "5 seconds", repeat: bool = True) -> DataFrame:
         """Comma list of product ids in rank order.
 
         ``scope="user"``: per user and tumbling event-time window, stamped
         with the window end (the job's keyed output rows).
         ``scope="view"``: one list per view, stamped with the view's time.
+        ``repeat``: see ``ranked``.
         """
-        ranked = self.ranked(scope)
+        ranked = self.ranked(scope, repeat)
         if scope == "user":
             grouped = ranked.groupBy("user_id", F.window("event_time", window).alias("w"))
             stamp = F.col("w.end").alias("event_time")

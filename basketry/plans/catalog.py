@@ -262,6 +262,18 @@ def _recommend_user_sql(rating_order: str = "numeric", width: str = "5 seconds",
     )
 
 
+def _unseen_sql(k: int = 6) -> tuple[str, str]:
+    """Literal candidates, each (user, product) kept once at its first view
+    (the "do not repeat suggestions from earlier page views" intent)."""
+    return (
+        _CANDIDATES_SQL
+        + ", seen AS (SELECT user_id, product_id, category, stock, rating, purchased, "
+        "min(event_time) AS event_time FROM category_products "
+        "GROUP BY user_id, product_id, category, stock, rating, purchased)\n"
+        f", top_products AS (SELECT {_CAND_COLS}, {_rank_sql('user_id', 'rating')} AS rn FROM seen)\n"
+    ), f"SELECT {_CAND_OUT}, rn FROM top_products WHERE rn <= {k}"
+
+
 def _recommender(spark: SparkSession, sf_dir: str, rating_order: str = "numeric", bulk: bool = False) -> rec.Recommender:
     purchases = td.sales_bulk(spark, sf_dir) if bulk else td.sales(spark, sf_dir)
     return rec.Recommender(
@@ -380,6 +392,21 @@ def recommend_user_rank_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _recommender(spark, sf_dir, bulk=True).recommend("user", "5 seconds")
 
 
+@register("topk_per_user_unseen", "".join(_unseen_sql()))
+def topk_per_user_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _purchased_as_text(_recommender(spark, sf_dir).ranked("user", repeat=False))
+
+
+@register(
+    "recommend_unseen",
+    _unseen_sql()[0] + "SELECT user_id, string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY rn) AS top_product_ids, "
+    "time_bucket(INTERVAL '5 seconds', event_time) + INTERVAL '5 seconds' AS event_time FROM top_products "
+    "WHERE rn <= 6 GROUP BY user_id, time_bucket(INTERVAL '5 seconds', event_time)",
+)
+def recommend_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recommender(spark, sf_dir).recommend("user", "5 seconds", repeat=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.build for name, q in REGISTRY.items()}
 

@@ -17,7 +17,7 @@ def plan_text(df, capsys):
     return capsys.readouterr().out
 
 
-@pytest.mark.parametrize("name", ["recommend_user_rank", "recommend_per_view", "topk_per_user"])
+@pytest.mark.parametrize("name", ["recommend_user_rank", "recommend_per_view", "topk_per_user", "recommend_unseen"])
 def test_recommend_plan(spark, capsys, name):
     plan = plan_text(entry.queries()[name](spark, SF), capsys)
     # every top-k is cut per map task before its shuffle

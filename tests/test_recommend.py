@@ -54,6 +54,22 @@ def brute(spark, clk, sal, inv, scope="user", rating_order="numeric", k=6):
     return spark.sql(BRUTE.format(part=part, rating=rating)).where(F.col("rn") <= k)
 
 
+BRUTE_UNSEEN = BRUTE.replace(
+    "SELECT user_id, event_time, product_id, category, stock, rating, purchased,\n  ROW_NUMBER()",
+    ", seen AS (SELECT user_id, product_id, category, stock, rating, purchased, min(event_time) AS event_time\n"
+    "  FROM category_products GROUP BY user_id, product_id, category, stock, rating, purchased)\n"
+    "SELECT user_id, event_time, product_id, category, stock, rating, purchased,\n  ROW_NUMBER()",
+).replace("FROM category_products\n", "FROM seen\n")
+
+
+def brute_unseen(spark, clk, sal, inv, rating_order="numeric", k=6):
+    clk.createOrReplaceTempView("clk")
+    sal.createOrReplaceTempView("sal")
+    inv.createOrReplaceTempView("inv")
+    rating = "rating" if rating_order == "numeric" else "CAST(rating AS STRING)"
+    return spark.sql(BRUTE_UNSEEN.format(part="user_id", rating=rating)).where(F.col("rn") <= k)
+
+
 def rows(df):
     cols = ["user_id", "event_time", "product_id", "purchased", "rn"]
     return sorted(tuple(r) for r in df.select(*cols).collect())
@@ -181,3 +197,35 @@ def test_input_order_and_partitioning_do_not_matter(spark):
         clk.repartition(7).orderBy(F.rand(1)), sal.repartition(3), inv_df.repartition(5).orderBy(F.rand(2))
     ).recommend("user").collect()
     assert sorted(map(tuple, base)) == sorted(map(tuple, shuffled))
+
+
+def test_unseen_suggests_each_product_once_at_first_view(spark):
+    inv = [(1, "a", "5", 3), (2, "a", "5", 4), (3, "a", "5", 1)]
+    clicks = [(1, 1, t(0)), (1, 2, t(0.5)), (1, 3, t(9))]
+    clk, sal, inv_df = frames(spark, inv, clicks, [])
+    r = rec.Recommender(clk, sal, inv_df, k=2)
+    assert top_ids(r.ranked("user")) == [2, 2]
+    out = r.ranked("user", repeat=False).orderBy("rn").collect()
+    # the repeat of 2 from the later view gives its slot to the next best
+    assert [(x.product_id, x.event_time) for x in out] == [(2, t(0)), (1, t(0))]
+    lists = r.recommend("user", "5 seconds", repeat=False).collect()
+    assert [(x.top_product_ids, x.event_time) for x in lists] == [("2,1", t(5))]
+
+
+def test_unseen_is_refused_per_view(spark):
+    clk, sal, inv_df = frames(spark, [(1, "a", "5", 3)], [(1, 1, t(0))], [])
+    with pytest.raises(ValueError):
+        rec.Recommender(clk, sal, inv_df).ranked("view", repeat=False)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+@pytest.mark.parametrize("rating_order", ["numeric", "string"])
+def test_unseen_random_fixtures_match_brute_force(spark, seed, rating_order):
+    rnd = random.Random(seed)
+    inv = [(p, f"c{rnd.randrange(3)}", str(rnd.randrange(3)), rnd.randrange(1, 12)) for p in range(40)]
+    clicks = [(rnd.randrange(5), rnd.randrange(45), t(rnd.randrange(60))) for _ in range(60)]
+    sales = [(rnd.randrange(5), rnd.randrange(40)) for _ in range(50)]
+    clk, sal, inv_df = frames(spark, inv, clicks, sales)
+    out = rec.Recommender(clk, sal, inv_df, rating_order=rating_order).ranked("user", repeat=False)
+    assert rows(out) == rows(brute_unseen(spark, clk, sal, inv_df, rating_order))
+    assert out.groupBy("user_id", "product_id").count().where("count > 1").count() == 0
