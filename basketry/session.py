@@ -91,3 +91,28 @@ _LOCAL_ROOTS: dict[int, str] = {}
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint root for a named table."""
     return os.path.join(checkpoint_root(spark), name)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its file system (local, HDFS, object store)."""
+    fs, jpath = _hadoop_path(spark, path)
+    return bool(fs.exists(jpath))
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under ``path`` (empty if it is absent)."""
+    fs, jpath = _hadoop_path(spark, path)
+    if not fs.exists(jpath):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(jpath)]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove ``path`` and everything under it, if present."""
+    fs, jpath = _hadoop_path(spark, path)
+    fs.delete(jpath, True)

@@ -18,13 +18,16 @@ Per micro-batch (one query over the union of both topics):
 1. decode the batch, look up categories, reduce it to views and bought rows;
 2. for the touched user buckets (``pmod(xxhash64(user_id), buckets)``, the
    state tables' partition column) merge state + batch, write the result to
-   a staging table (cutting the lineage) and overwrite those bucket
-   partitions from it;
+   a staging table named after the batch id (cutting the lineage) and
+   overwrite those bucket partitions from it;
 3. recompute the lists of the touched users from the merged state and append
    them to an ``UpsertLog`` keyed by ``user_id`` (latest write wins).
 
-A replayed batch merges rows already in the state (a no-op) and rewrites its
-own log partition, so replays leave the output unchanged. Stream result =
+A replayed batch whose staging table was completed re-applies that table
+instead of merging again, so a crash in the middle of replacing the state
+partitions (some gone, some not yet back) loses nothing; otherwise it merges
+rows already in the state (a no-op). It rewrites its own log partition, so
+replays leave the output unchanged. Stream result =
 batch result on the same rows (checked in the tests).
 """
 
@@ -41,7 +44,7 @@ from pyspark.sql.streaming import StreamingQuery
 from basketry.functions import encode, parse
 from basketry.operators import recommend as rec
 from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, top_k
-from basketry.session import scratch_path
+from basketry.session import delete_path, list_names, path_exists, scratch_path
 from basketry.streaming import sinks
 
 
@@ -103,25 +106,35 @@ class RecommendationStream:
             return self.spark.createDataFrame([], schema)
         return df.where(F.col("ubucket").isin(buckets))
 
-    def _merge(self, path: str, batch: DataFrame, buckets: list[int], reduce) -> DataFrame:
+    def _merge(self, path: str, batch: DataFrame, buckets: list[int], reduce, batch_id: int, source: str) -> DataFrame:
         """New state of the touched buckets: reduce(state + batch), written
         back over those bucket partitions; returns the merged rows.
 
-        The merged rows are first written to a staging table (one per state
-        table, overwritten every batch, so nothing accumulates) and read back:
-        that cuts the lineage to the partitions about to be replaced. A crash
-        anywhere here is safe: the merge is idempotent, so the replayed batch
-        rebuilds the same state from whatever mix of old and new partitions
-        it finds."""
-        staging = path + "_staging"
-        reduce(self._state(path, batch.schema, buckets).unionByName(batch)).write.mode("overwrite").parquet(staging)
-        merged = self.spark.read.schema(batch.schema).parquet(staging)
+        The merged rows are first written to a staging table named after the
+        batch (``<path>_staging/<source>-<batch_id>``) and read back: that
+        cuts the lineage to the partitions about to be replaced. The staging
+        table is the recovery point: a replay of the batch that finds it
+        complete (``_SUCCESS``) re-applies it without merging again, because
+        the state it was merged from may already be partly replaced. If the
+        crash came before it was complete, the state is still untouched and
+        the merge simply runs again. Staging tables of earlier batches are
+        removed once a later batch has replaced its partitions."""
+        staging_root = path + "_staging"
+        staging = os.path.join(staging_root, f"{source}-{batch_id}")
+        if not path_exists(self.spark, os.path.join(staging, "_SUCCESS")):
+            merged = reduce(self._state(path, batch.schema, buckets).unionByName(batch))
+            merged.write.mode("overwrite").parquet(staging)
         (
-            merged.write.mode("overwrite")
+            self.spark.read.schema(batch.schema).parquet(staging)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("ubucket")
             .parquet(path)
         )
+        for name in list_names(self.spark, staging_root):
+            done_source, _, done_id = name.rpartition("-")
+            if done_source == source and done_id.isdigit() and int(done_id) < batch_id:
+                delete_path(self.spark, os.path.join(staging_root, name))
         return self.spark.read.schema(batch.schema).parquet(staging)
 
     def _reduce_views(self, views: DataFrame) -> DataFrame:
@@ -154,8 +167,8 @@ class RecommendationStream:
         buckets = [r.ubucket for r in touched.select("ubucket").distinct().collect()]
         if not buckets:
             return
-        merged_views = self._merge(self.views_path, views, buckets, self._reduce_views)
-        merged_bought = self._merge(self.bought_path, bought, buckets, self._reduce_bought)
+        merged_views = self._merge(self.views_path, views, buckets, self._reduce_views, batch_id, source)
+        merged_bought = self._merge(self.bought_path, bought, buckets, self._reduce_bought, batch_id, source)
 
         users = broadcast_if_bounded(touched.select("user_id"), self.max_broadcast_rows)
         first_views = merged_views.join(users, "user_id", "left_semi")

@@ -210,3 +210,28 @@ def test_recommend_extra_output_gets_keyed_records(spark):
     job.on_clicks(spark.createDataFrame([("7,1", t0 + dt.timedelta(seconds=2))], "value string, timestamp timestamp"), 0)
     got = [(r.key, r.value) for r in spark.read.parquet(out).collect()]
     assert got == [("7", '7,"2,1",2024-01-01 00:00:05.000')]
+
+
+def test_replay_after_partial_state_commit_restores_state(spark):
+    from basketry.session import delete_path, list_names
+
+    inv = spark.createDataFrame([(1, "a", 5, 3), (2, "b", 5, 9)], "product_id long, category string, stock int, rating int")
+    root = scratch()
+    job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, buckets=4)
+    t0 = dt.datetime(2024, 1, 1)
+    msg = "value string, timestamp timestamp"
+    batches = [[("7,1", t0)], [("7,2", t0 + dt.timedelta(seconds=1))], [("7,1", t0 + dt.timedelta(seconds=20))]]
+    for i, rows_ in enumerate(batches):
+        job.on_clicks(spark.createDataFrame(rows_, msg), i)
+    state = sorted(map(tuple, spark.read.parquet(job.views_path).collect()))
+    latest = sorted(map(tuple, job.latest().collect()))
+    assert {r[2] for r in state} == {"a", "b"}
+    # a crash while batch 2 replaced its state partitions: the old partition
+    # of the touched bucket was removed and the new one not yet moved in
+    bucket = spark.read.parquet(job.views_path).select("ubucket").first()[0]
+    delete_path(spark, os.path.join(job.views_path, f"ubucket={bucket}"))
+    job.on_clicks(spark.createDataFrame(batches[2], msg), 2)
+    assert sorted(map(tuple, spark.read.parquet(job.views_path).collect())) == state
+    assert sorted(map(tuple, job.latest().collect())) == latest
+    # staging tables of earlier batches are removed, the latest is kept
+    assert list_names(spark, job.views_path + "_staging") == ["clicks-2"]
