@@ -10,7 +10,7 @@
 Usage::
 
     python -m basketry.plans.recommend_job --clicks c/ --sales s/ \\
-        --inventory inventory.csv --out out/ [--scope view]
+        --inventory inventory.csv --out out/ [--scope view | --no-repeat]
 """
 
 from __future__ import annotations
@@ -35,10 +35,11 @@ def recommendations(
     window: str = "5 seconds",
     k: int = rec.DEFAULT_K,
     rating_order: str = "numeric",
+    repeat: bool = True,
 ) -> DataFrame:
     clicks = parse.decode_clicks(click_messages, keep=["timestamp"]).withColumnRenamed("timestamp", "event_time")
     sales = parse.decode_sales(sale_messages, keep=["timestamp"]).withColumnRenamed("timestamp", "purchase_time")
-    return rec.Recommender(clicks, sales, inventory, k, rating_order).recommend(scope, window)
+    return rec.Recommender(clicks, sales, inventory, k, rating_order).recommend(scope, window, repeat)
 
 
 def keyed_records(recs: DataFrame) -> DataFrame:
@@ -47,12 +48,12 @@ def keyed_records(recs: DataFrame) -> DataFrame:
 
 def run(spark: SparkSession, clicks_path: str, sales_path: str, inventory_path: str, out: str,
         scope: str = "user", window: str = "5 seconds", k: int = rec.DEFAULT_K,
-        rating_order: str = "numeric") -> None:
+        rating_order: str = "numeric", repeat: bool = True) -> None:
     msg = "value string, timestamp timestamp"
     inventory = files.csv_table(spark, inventory_path, schemas.PRODUCT, on_error="drop")
     recs = recommendations(
         spark.read.schema(msg).parquet(clicks_path), spark.read.schema(msg).parquet(sales_path),
-        inventory, scope, window, k, rating_order,
+        inventory, scope, window, k, rating_order, repeat,
     )
     recs.write.mode("overwrite").parquet(f"{out}/recommendations")
     written = spark.read.parquet(f"{out}/recommendations")
@@ -73,10 +74,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--window", default="5 seconds")
     ap.add_argument("--k", type=int, default=rec.DEFAULT_K)
     ap.add_argument("--rating-order", default="numeric", choices=rec.RATING_ORDERS)
+    ap.add_argument("--no-repeat", action="store_true",
+                    help="suggest each product once per user, at the first view of its category (user scope)")
     args = ap.parse_args(argv)
+    if args.no_repeat and args.scope != "user":
+        ap.error("--no-repeat needs --scope user")
     spark = build_session()
     run(spark, args.clicks, args.sales, args.inventory, args.out, args.scope, args.window, args.k,
-        args.rating_order)
+        args.rating_order, not args.no_repeat)
 
 
 if __name__ == "__main__":

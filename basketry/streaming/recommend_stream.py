@@ -62,8 +62,11 @@ class RecommendationStream:
         buckets: int = 64,
         max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
         outputs: tuple[sinks.BatchSink, ...] = (),
+        repeat: bool = True,
     ) -> None:
-        """``outputs``: further sinks for each refresh's keyed records
+        """``repeat=False``: each product once per user, at the first view of
+        its category (the reduced state keeps the earliest views, so this is
+        exact here too). ``outputs``: further sinks for each refresh's keyed records
         (``key`` = user id, ``value`` = ``user_id,"p1,...",event_time``),
         e.g. ``sinks.kafka`` for a compacted topic; the upsert log is always
         written."""
@@ -79,6 +82,7 @@ class RecommendationStream:
         self.k = k
         self.window = window
         self.rating_order = rating_order
+        self.repeat = repeat
         self.buckets = buckets
         self.max_broadcast_rows = max_broadcast_rows
         self.dimension = broadcast_if_bounded(
@@ -179,7 +183,7 @@ class RecommendationStream:
             first_views, top_bought, self.inventory, self.k, self.rating_order, self.max_broadcast_rows,
             self.top_lists,
         )
-        recs = recommender.recommend("user", self.window)
+        recs = recommender.recommend("user", self.window, self.repeat)
         if not self.outputs:
             self.log.write(recs, batch_id, source)
             return
@@ -276,6 +280,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--buckets", type=int, default=1024)
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--kafka-out-topic", default=None, help="also send keyed CSV records to this (compacted) topic")
+    ap.add_argument("--no-repeat", action="store_true",
+                    help="suggest each product once per user, at the first view of its category")
     args = ap.parse_args(argv)
     if not args.kafka and not (args.clicks and args.sales):
         ap.error("give --kafka or both --clicks and --sales")
@@ -289,7 +295,7 @@ def main(argv: list[str] | None = None) -> None:
     inventory = files.csv_table(spark, args.inventory, schemas.PRODUCT, on_error="drop")
     outputs = (sinks.kafka(args.kafka, args.kafka_out_topic),) if args.kafka_out_topic else ()
     job = RecommendationStream(spark, args.root, inventory, args.k, args.window, args.rating_order, args.buckets,
-                               outputs=outputs)
+                               outputs=outputs, repeat=not args.no_repeat)
     trigger = {"availableNow": True} if args.available_now else None
     job.start(clicks, sales, trigger=trigger).awaitTermination()
 

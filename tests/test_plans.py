@@ -44,3 +44,24 @@ def test_recommend_job_files(spark):
     ]
     latest = [(r.key, r.value) for r in spark.read.parquet(os.path.join(out, "latest")).collect()]
     assert latest == [("7", "7,4,2024-01-01 00:00:10.000")]
+
+
+def test_recommend_job_no_repeat_cli(spark):
+    root = scratch()
+    inventory = os.path.join(root, "inventory.csv")
+    with open(inventory, "w") as fh:
+        fh.write("1,a,5,3\n3,a,4,7\n")
+    clicks = [("7,1", T0 + dt.timedelta(seconds=1)), ("7,3", T0 + dt.timedelta(seconds=8))]
+    spark.createDataFrame(clicks, MSG).write.parquet(os.path.join(root, "clicks"))
+    spark.createDataFrame([("1,8,1,1,1", T0)], MSG).write.parquet(os.path.join(root, "sales"))
+    args = ["--clicks", os.path.join(root, "clicks"), "--sales", os.path.join(root, "sales"),
+            "--inventory", inventory]
+    recommend_job.main(args + ["--out", os.path.join(root, "literal")])
+    recommend_job.main(args + ["--out", os.path.join(root, "once"), "--no-repeat"])
+
+    def records(name):
+        return sorted(r.value for r in spark.read.parquet(os.path.join(root, name, "records")).collect())
+
+    # literal: both products again for the second view; no repeat: once, at the first view
+    assert records("literal") == ['7,"3,1",2024-01-01 00:00:05.000', '7,"3,1",2024-01-01 00:00:10.000']
+    assert records("once") == ['7,"3,1",2024-01-01 00:00:05.000']

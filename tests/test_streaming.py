@@ -98,8 +98,8 @@ def test_late_sale_dropped(spark):
     assert got == [("toys", 6)]
 
 
-def batch_latest(spark, clicks, sales_df, inv):
-    recs = rec.Recommender(clicks, sales_df, inv).recommend("user", "5 seconds")
+def batch_latest(spark, clicks, sales_df, inv, repeat=True):
+    recs = rec.Recommender(clicks, sales_df, inv).recommend("user", "5 seconds", repeat)
     return latest_per_key(recs, ["user_id"], ["event_time"])
 
 
@@ -155,6 +155,28 @@ def test_recommend_single_query_over_both_topics(spark):
     assert rows(job.latest()) == rows(batch_latest(spark, clicks, sales_df, inv))
 
 
+def test_recommend_stream_without_repeats_equals_batch(spark):
+    root = scratch()
+    clicks_src, sales_src = os.path.join(root, "clicks"), os.path.join(root, "sales")
+    write_chunks(click_messages(spark), clicks_src, 3)
+    write_chunks(sale_messages(spark), sales_src, 2)
+    inv = testdata.inventory(spark, SF)
+    job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, buckets=8, repeat=False)
+    q = job.start(
+        files.message_file_stream(spark, clicks_src, max_files_per_trigger=1),
+        files.message_file_stream(spark, sales_src, max_files_per_trigger=1),
+        trigger={"availableNow": True},
+    )
+    run_available_now(q)
+    clicks = parse.decode_clicks(spark.read.parquet(clicks_src), keep=["timestamp"]).withColumnRenamed(
+        "timestamp", "event_time")
+    sales_df = parse.decode_sales(spark.read.parquet(sales_src), keep=["timestamp"]).withColumnRenamed(
+        "timestamp", "purchase_time")
+    want = rows(batch_latest(spark, clicks, sales_df, inv, repeat=False))
+    assert rows(job.latest()) == want
+    assert want != rows(batch_latest(spark, clicks, sales_df, inv))
+
+
 def test_replayed_batch_leaves_sink_unchanged(spark):
     root = scratch()
     inv = testdata.inventory(spark, SF)
