@@ -52,6 +52,25 @@ def top_k(
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
+def first_distinct(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    order_col: str,
+    k: int,
+) -> DataFrame:
+    """The rows holding the ``k`` smallest distinct values of ``order_col``
+    in each group, de-duplicated.
+
+    ``dense_rank() <= k`` is cut per map task before the shuffle (partial
+    WindowGroupLimit), so only rows with a task's k smallest values per group
+    cross the network, not every row, as a ``distinct()`` first would need.
+    The ``distinct()`` after the window needs no exchange: the rows are
+    already clustered by ``partition_by``, a subset of its keys.
+    """
+    w = Window.partitionBy(*partition_by).orderBy(F.col(order_col).asc())
+    return df.withColumn("_dr", F.dense_rank().over(w)).where(F.col("_dr") <= k).drop("_dr").distinct()
+
+
 def latest_per_key(
     df: DataFrame,
     key: Sequence[str],

@@ -39,6 +39,8 @@ set, so it is never built:
 4. per view: views x ``pair_candidates`` (at most k rows per view and
    category); per user: only the k earliest views of each (user, category)
    can place a row in the user's first k, so at most k x k rows per pair.
+   These are cut from the raw click rows per map task (``first_distinct``),
+   so the per-user plans never shuffle every view.
 
 Every per-key step is a partial aggregate (distinct), a top-k (map-side
 WindowGroupLimit: at most k rows per group leave a task), a join whose
@@ -53,7 +55,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, has_at_most, top_k
+from basketry.operators.common import (
+    DEFAULT_MAX_BROADCAST_ROWS,
+    broadcast_if_bounded,
+    first_distinct,
+    has_at_most,
+    top_k,
+)
 
 RATING_ORDERS = ("numeric", "string")
 SCOPES = ("user", "view")
@@ -266,12 +274,23 @@ class Recommender:
     def views(self) -> DataFrame:
         return self._memo("views", lambda: views(self.clicked()))
 
+    def click_rows(self) -> DataFrame:
+        """(user, event_time, category) of every click of a known product,
+        not de-duplicated."""
+        return self._memo(
+            "click_rows",
+            lambda: self.clicks.select("user_id", "event_time", "product_id")
+            .join(self.dimension().select("product_id", "category"), "product_id")
+            .select("user_id", "event_time", "category"),
+        )
+
     def first_views(self) -> DataFrame:
-        """The k earliest views of each (user, category)."""
+        """The k earliest views of each (user, category), straight from the
+        click rows: each map task sends only the rows of its k earliest times
+        per (user, category), never every view (``first_distinct``)."""
         return self._memo(
             "first_views",
-            lambda: top_k(self.views(), ["user_id", "category"], [F.col("event_time").asc()], self.k, "vrank")
-            .drop("vrank"),
+            lambda: first_distinct(self.click_rows(), ["user_id", "category"], "event_time", self.k),
         )
 
     def first_seen(self) -> DataFrame:
@@ -283,11 +302,19 @@ class Recommender:
             lambda: self.first_views().groupBy("user_id", "category").agg(F.min("event_time").alias("event_time")),
         )
 
-    def pairs(self) -> DataFrame:
-        """Distinct clicked (user, category), taken from ``first_views`` so it
-        shares that frame's (user, category) exchange instead of re-reading
-        the clicks."""
-        return self._memo("pairs", lambda: self.first_views().select("user_id", "category").distinct())
+    def pairs(self, scope: str = "user") -> DataFrame:
+        """Distinct clicked (user, category), taken from the views the ranking
+        of ``scope`` reads, so each plan reads the clicks once: from
+        ``first_views`` (user scope), or per view from ``views`` through a
+        top-1 per pair. A plain distinct over ``views`` would be folded into
+        the views' own aggregate by the optimizer and read the clicks again."""
+        if scope == "view":
+            build = lambda: top_k(
+                self.views(), ["user_id", "category"], [F.col("event_time").asc()], 1, "prank"
+            ).select("user_id", "category")
+        else:
+            build = lambda: self.first_views().select("user_id", "category").distinct()
+        return self._memo(f"pairs:{scope}", build)
 
     def category_top(self) -> DataFrame:
         return self._memo("category_top", lambda: category_top(self.inventory, self.k, self.rating_order))
@@ -318,17 +345,20 @@ class Recommender:
             .select("user_id", "category", "product_id", "stock", "rating", F.col("user_id").alias("purchased")),
         )
 
-    def pair_candidates(self) -> DataFrame:
+    def pair_candidates(self, scope: str = "user") -> DataFrame:
         return self._memo(
-            "pair_candidates",
-            lambda: pair_candidates(self.pairs(), bought_lists(self.bought_top()), self.category_lists(), self.k),
+            f"pair_candidates:{scope}",
+            lambda: pair_candidates(
+                self.pairs(scope), bought_lists(self.bought_top()), self.category_lists(), self.k
+            ),
         )
 
     def view_candidates(self) -> DataFrame:
         """Per view, the k best candidates of the view's category."""
         return self._memo(
             "view_candidates",
-            lambda: self.views().join(self.pair_candidates(), ["user_id", "category"]).select(*CANDIDATE_COLUMNS),
+            lambda: self.views().join(self.pair_candidates("view"), ["user_id", "category"])
+            .select(*CANDIDATE_COLUMNS),
         )
     # --- rankings ----------------------------------------------------------
     def ranked(self, scope: str = "user", repeat: bool = True) -> DataFrame:

@@ -43,7 +43,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketry.functions import encode, parse
 from basketry.operators import recommend as rec
-from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, top_k
+from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, first_distinct
 from basketry.session import delete_path, list_names, path_exists, scratch_path
 from basketry.streaming import sinks
 
@@ -142,9 +142,7 @@ class RecommendationStream:
         return self.spark.read.schema(batch.schema).parquet(staging)
 
     def _reduce_views(self, views: DataFrame) -> DataFrame:
-        return top_k(views.distinct(), ["user_id", "category"], [F.col("event_time").asc()], self.k, "vrank").drop(
-            "vrank"
-        )
+        return first_distinct(views, ["user_id", "category"], "event_time", self.k)
 
     def _reduce_bought(self, bought: DataFrame) -> DataFrame:
         return rec.bought_top(bought.distinct(), self.k, self.rating_order).drop("brank")
@@ -153,7 +151,12 @@ class RecommendationStream:
     def apply(self, clicks: DataFrame, sales: DataFrame, batch_id: int, source: str = "main") -> None:
         """Merge decoded clicks (``user_id, product_id, event_time``) and sales
         (``user_id, product_id``) into the state; refresh the touched users."""
-        views = rec.views(rec.clicked_products(clicks, self.dimension, None)).withColumn("ubucket", self._bucket())
+        views = (
+            clicks.select("user_id", "event_time", "product_id")
+            .join(self.dimension.select("product_id", "category"), "product_id")
+            .select("user_id", "event_time", "category")
+            .withColumn("ubucket", self._bucket())
+        )
         bought = rec.bought_products(sales, self.dimension, None).withColumn("ubucket", self._bucket())
         # reduce the batch itself first: a batch row outside its own top k
         # can never enter the state's top k

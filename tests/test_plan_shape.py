@@ -1,5 +1,6 @@
 """The physical plans keep the properties the design relies on at scale."""
 
+import re
 import random
 
 import pytest
@@ -32,6 +33,15 @@ def test_recommend_plan(spark, capsys, name):
     assert "BroadcastHashJoin" in plan
 
 
+@pytest.mark.parametrize("name", ["recommend_user_rank", "recommend_unseen"])
+def test_user_scope_never_shuffles_all_views(spark, capsys, name):
+    plan = plan_text(entry.queries()[name](spark, SF), capsys)
+    # the k earliest views are cut per map task (dense_rank) before the only
+    # shuffle of the clicks; no exchange carries every view
+    assert "dense_rank(event_time" in plan
+    assert not re.search(r"hashpartitioning\(user_id#\w+, event_time#\w+, category#\w+", plan)
+
+
 def test_sales_plan_aggregates_before_shuffle(spark, capsys):
     plan = plan_text(entry.queries()["sales_by_category_10s"](spark, SF), capsys)
     assert "partial_sum" in plan and "BroadcastHashJoin" in plan

@@ -229,3 +229,19 @@ def test_unseen_random_fixtures_match_brute_force(spark, seed, rating_order):
     out = rec.Recommender(clk, sal, inv_df, rating_order=rating_order).ranked("user", repeat=False)
     assert rows(out) == rows(brute_unseen(spark, clk, sal, inv_df, rating_order))
     assert out.groupBy("user_id", "product_id").count().where("count > 1").count() == 0
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_first_distinct_matches_distinct_then_rank(spark, seed):
+    from basketry.operators.common import first_distinct
+
+    rnd = random.Random(seed)
+    # few users and times: many tied times and identical duplicate rows
+    data = [(rnd.randrange(3), f"c{rnd.randrange(2)}", t(rnd.randrange(12))) for _ in range(300)]
+    df = spark.createDataFrame(data, "user_id long, category string, event_time timestamp_ntz").repartition(5)
+    got = sorted(map(tuple, first_distinct(df, ["user_id", "category"], "event_time", 4).collect()))
+    want = {}
+    for u, c, e in set(data):
+        want.setdefault((u, c), []).append(e)
+    expect = sorted((u, c, e) for (u, c), es in want.items() for e in sorted(es)[:4])
+    assert got == expect
