@@ -63,8 +63,11 @@ class RecommendationStream:
         max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
         outputs: tuple[sinks.BatchSink, ...] = (),
         repeat: bool = True,
+        compact_every: int | None = None,
     ) -> None:
-        """``repeat=False``: each product once per user, at the first view of
+        """``compact_every``: compact the output log (one row per user) after
+        every that many batches, so a long-running stream's log stays
+        proportional to its users, not its history. ``repeat=False``: each product once per user, at the first view of
         its category (the reduced state keeps the earliest views, so this is
         exact here too). ``outputs``: further sinks for each refresh's keyed records
         (``key`` = user id, ``value`` = ``user_id,"p1,...",event_time``),
@@ -83,6 +86,7 @@ class RecommendationStream:
         self.window = window
         self.rating_order = rating_order
         self.repeat = repeat
+        self.compact_every = compact_every
         self.buckets = buckets
         self.max_broadcast_rows = max_broadcast_rows
         self.dimension = broadcast_if_bounded(
@@ -189,17 +193,19 @@ class RecommendationStream:
         recs = recommender.recommend("user", self.window, self.repeat)
         if not self.outputs:
             self.log.write(recs, batch_id, source)
-            return
-        recs.persist()
-        try:
-            self.log.write(recs, batch_id, source)
-            records = recs.select(
-                encode.recommendation_key().alias("key"), encode.recommendation_value().alias("value")
-            )
-            for sink in self.outputs:
-                sink(records, batch_id)
-        finally:
-            recs.unpersist()
+        else:
+            recs.persist()
+            try:
+                self.log.write(recs, batch_id, source)
+                records = recs.select(
+                    encode.recommendation_key().alias("key"), encode.recommendation_value().alias("value")
+                )
+                for sink in self.outputs:
+                    sink(records, batch_id)
+            finally:
+                recs.unpersist()
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            self.log.compact(self.spark, batch_id)
 
     def on_clicks(self, messages: DataFrame, batch_id: int) -> None:
         clicks = parse.decode_clicks(messages, keep=["timestamp"]).withColumnRenamed("timestamp", "event_time")
@@ -285,6 +291,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--kafka-out-topic", default=None, help="also send keyed CSV records to this (compacted) topic")
     ap.add_argument("--no-repeat", action="store_true",
                     help="suggest each product once per user, at the first view of its category")
+    ap.add_argument("--compact-every", type=int, default=100,
+                    help="compact the output log every N batches (0: never)")
     args = ap.parse_args(argv)
     if not args.kafka and not (args.clicks and args.sales):
         ap.error("give --kafka or both --clicks and --sales")
@@ -298,7 +306,7 @@ def main(argv: list[str] | None = None) -> None:
     inventory = files.csv_table(spark, args.inventory, schemas.PRODUCT, on_error="drop")
     outputs = (sinks.kafka(args.kafka, args.kafka_out_topic),) if args.kafka_out_topic else ()
     job = RecommendationStream(spark, args.root, inventory, args.k, args.window, args.rating_order, args.buckets,
-                               outputs=outputs, repeat=not args.no_repeat)
+                               outputs=outputs, repeat=not args.no_repeat, compact_every=args.compact_every or None)
     trigger = {"availableNow": True} if args.available_now else None
     job.start(clicks, sales, trigger=trigger).awaitTermination()
 

@@ -9,6 +9,7 @@ even though the batch may be computed twice.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
@@ -16,9 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators.common import latest_per_key
+from basketry.session import delete_path, list_names
 
 BatchSink = Callable[[DataFrame, int], None]
 
+# source name of the partitions written by ``UpsertLog.compact``
+COMPACTED = "compacted"
+
 
 def write_batch_partition(
     df: DataFrame,
@@ -133,6 +138,40 @@ class UpsertLog:
     def read_all(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
 
+    def _partitions(self, spark: SparkSession) -> list[tuple[str, int]]:
+        """(source, batch id) of every written partition."""
+        found = []
+        for src in list_names(spark, self.path):
+            if not src.startswith("source="):
+                continue
+            for part in list_names(spark, os.path.join(self.path, src)):
+                if part.startswith("batch_id=") and part[len("batch_id="):].isdigit():
+                    found.append((src[len("source="):], int(part[len("batch_id="):])))
+        return found
+
+    def compact(self, spark: SparkSession, through_batch: int) -> None:
+        """Log compaction: one row per key, the one ``latest`` returns.
+
+        Written as the partition ``source=compacted/batch_id=<through_batch>``
+        (keeping each row's original ``written_at``, so later writes still
+        win), after which the partitions it covers are removed. Only
+        partitions listed before the read are removed, so a write that lands
+        meanwhile is kept. A crash between the write and the removals leaves
+        identical copies, which ``latest`` resolves to the same row; a rerun
+        overwrites the compacted partition with the same rows."""
+        covered = self._partitions(spark)
+        if not covered:
+            return
+        log = spark.read.option("basePath", self.path).parquet(
+            *[os.path.join(self.path, f"source={src}", f"batch_id={b}") for src, b in covered]
+        )
+        rows = latest_per_key(log, self.key, ["written_at", "batch_id", *self.order]).drop("batch_id", "source")
+        write_batch_partition(rows.withColumn("source", F.lit(COMPACTED)), self.path, through_batch,
+                              partition_by=["source"])
+        for src, b in covered:
+            if (src, b) != (COMPACTED, through_batch):
+                delete_path(spark, os.path.join(self.path, f"source={src}", f"batch_id={b}"))
+
     def latest(self, spark: SparkSession) -> DataFrame:
         log = self.read_all(spark)
         latest = latest_per_key(log, self.key, ["written_at", "batch_id", *self.order])

@@ -257,3 +257,52 @@ def test_replay_after_partial_state_commit_restores_state(spark):
     assert sorted(map(tuple, job.latest().collect())) == latest
     # staging tables of earlier batches are removed, the latest is kept
     assert list_names(spark, job.views_path + "_staging") == ["clicks-2"]
+
+
+
+def test_upsert_log_compaction_keeps_latest(spark):
+    from basketry.streaming.sinks import UpsertLog
+
+    log = UpsertLog(os.path.join(scratch(), "log"), ["user_id"], ["event_time"])
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "user_id long, top_product_ids string, event_time timestamp"
+    writes = [
+        [(1, "1,2", t0), (2, "3", t0)],
+        [(1, "1,2", t0), (1, "4", t0 + dt.timedelta(seconds=5))],
+        [(3, "5", t0)],
+        [(2, "6,7", t0 + dt.timedelta(seconds=10))],
+    ]
+    for b, rows_ in enumerate(writes[:3]):
+        log.write(spark.createDataFrame(rows_, schema), b)
+    before = sorted(map(tuple, log.latest(spark).collect()))
+    log.compact(spark, 2)
+    assert sorted(map(tuple, log.latest(spark).collect())) == before
+    assert log._partitions(spark) == [("compacted", 2)]
+    assert log.read_all(spark).count() == 3
+    # a later write still wins over the compacted rows
+    log.write(spark.createDataFrame(writes[3], schema), 3)
+    log.compact(spark, 3)
+    got = sorted((r.user_id, r.top_product_ids) for r in log.latest(spark).collect())
+    assert got == [(1, "4"), (2, "6,7"), (3, "5")]
+    assert log._partitions(spark) == [("compacted", 3)]
+
+
+def test_recommend_stream_with_compaction_equals_batch(spark):
+    root = scratch()
+    clicks_src, sales_src = os.path.join(root, "clicks"), os.path.join(root, "sales")
+    write_chunks(click_messages(spark), clicks_src, 3)
+    write_chunks(sale_messages(spark), sales_src, 2)
+    inv = testdata.inventory(spark, SF)
+    job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, buckets=8, compact_every=2)
+    q = job.start(
+        files.message_file_stream(spark, clicks_src, max_files_per_trigger=1),
+        files.message_file_stream(spark, sales_src, max_files_per_trigger=1),
+        trigger={"availableNow": True},
+    )
+    run_available_now(q)
+    clicks = parse.decode_clicks(spark.read.parquet(clicks_src), keep=["timestamp"]).withColumnRenamed(
+        "timestamp", "event_time")
+    sales_df = parse.decode_sales(spark.read.parquet(sales_src), keep=["timestamp"]).withColumnRenamed(
+        "timestamp", "purchase_time")
+    assert rows(job.latest()) == rows(batch_latest(spark, clicks, sales_df, inv))
+    assert ("compacted", 1) in job.log._partitions(spark)
