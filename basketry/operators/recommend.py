@@ -127,12 +127,23 @@ def bought_products(
     sales: DataFrame,
     inventory: DataFrame,
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    prefilter: bool = False,
 ) -> DataFrame:
-    """Distinct in-stock products each user bought, with category and rating."""
-    dim = broadcast_if_bounded(
-        in_stock(inventory).select("product_id", "category", "stock", "rating"), max_broadcast_rows
-    )
-    return sales.select("user_id", "product_id").distinct().join(dim, "product_id")
+    """Distinct in-stock products each user bought, with category and rating.
+
+    With a broadcast dimension (proven small here, or ``prefilter=True``
+    from a caller that broadcast it), purchases of unknown or out-of-stock
+    products are dropped by a map-side semi-join before the (user, product)
+    de-duplication shuffles them. Without a broadcast that semi-join would
+    itself shuffle every purchase by product, so it is left out."""
+    dim = in_stock(inventory).select("product_id", "category", "stock", "rating")
+    if max_broadcast_rows is not None and not dim.isStreaming and has_at_most(dim, max_broadcast_rows):
+        dim = F.broadcast(dim)
+        prefilter = True
+    bought = sales.select("user_id", "product_id")
+    if prefilter:
+        bought = bought.join(dim.select("product_id"), "product_id", "left_semi")
+    return bought.distinct().join(dim, "product_id")
 
 
 def bought_top(bought: DataFrame, k: int = DEFAULT_K, rating_order: str = "numeric") -> DataFrame:
@@ -332,7 +343,10 @@ class Recommender:
         return self._memo("category_lists", build)
 
     def bought(self) -> DataFrame:
-        return self._memo("bought", lambda: bought_products(self.sales, self.dimension(), None))
+        return self._memo(
+            "bought",
+            lambda: bought_products(self.sales, self.dimension(), None, prefilter=self._dimension_is_small()),
+        )
 
     def bought_top(self) -> DataFrame:
         return self._memo("bought_top", lambda: bought_top(self.bought(), self.k, self.rating_order))

@@ -43,7 +43,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketry.functions import encode, parse
 from basketry.operators import recommend as rec
-from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, first_distinct
+from basketry.operators.common import (
+    DEFAULT_MAX_BROADCAST_ROWS,
+    broadcast_if_bounded,
+    first_distinct,
+    has_at_most,
+)
 from basketry.session import delete_path, list_names, path_exists, scratch_path
 from basketry.streaming import sinks
 
@@ -89,9 +94,9 @@ class RecommendationStream:
         self.compact_every = compact_every
         self.buckets = buckets
         self.max_broadcast_rows = max_broadcast_rows
-        self.dimension = broadcast_if_bounded(
-            inventory.select("product_id", "category", "stock", "rating"), max_broadcast_rows
-        )
+        dimension = inventory.select("product_id", "category", "stock", "rating")
+        self.dimension_is_small = max_broadcast_rows is not None and has_at_most(dimension, max_broadcast_rows)
+        self.dimension = F.broadcast(dimension) if self.dimension_is_small else dimension
         self.top_lists = self._category_lists(os.path.join(root, "category_top"))
 
     def _category_lists(self, path: str) -> DataFrame:
@@ -161,7 +166,7 @@ class RecommendationStream:
             .select("user_id", "event_time", "category")
             .withColumn("ubucket", self._bucket())
         )
-        bought = rec.bought_products(sales, self.dimension, None).withColumn("ubucket", self._bucket())
+        bought = rec.bought_products(sales, self.dimension, None, prefilter=self.dimension_is_small).withColumn("ubucket", self._bucket())
         # reduce the batch itself first: a batch row outside its own top k
         # can never enter the state's top k
         views = self._reduce_views(views)

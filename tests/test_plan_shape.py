@@ -42,6 +42,14 @@ def test_user_scope_never_shuffles_all_views(spark, capsys, name):
     assert not re.search(r"hashpartitioning\(user_id#\w+, event_time#\w+, category#\w+", plan)
 
 
+def test_purchases_filtered_by_broadcast_semi_join(spark, capsys):
+    plan = plan_text(entry.queries()["recommend_user_rank_bulk"](spark, SF), capsys)
+    # unknown and out-of-stock products leave before the purchases shuffle;
+    # the semi-join is broadcast, never a shuffle of every purchase
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert not re.search(r"SortMergeJoin (\[[^\]]*\], ){2}LeftSemi", plan)
+
+
 def test_sales_plan_aggregates_before_shuffle(spark, capsys):
     plan = plan_text(entry.queries()["sales_by_category_10s"](spark, SF), capsys)
     assert "partial_sum" in plan and "BroadcastHashJoin" in plan
