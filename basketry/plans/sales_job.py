@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,11 +30,24 @@ from basketry.sources import files
 def products_from_lines(lines: DataFrame, on_error: str = "fail") -> DataFrame:
     """Product rows; a later line for the same id replaces an earlier one.
 
-    The load order is the line order of the text source
-    (``monotonically_increasing_id`` grows with partition index and position)."""
-    ordered = lines.withColumn("_seq", F.monotonically_increasing_id())
-    parsed = parse.parse_products(ordered, on_error=on_error, keep=["_seq"])
-    return sal.latest_products(parsed, ["_seq"]).drop("_seq")
+    Line order of a file source: file path, then the byte offset of the split
+    (``_metadata.file_block_start``), then the position in the split
+    (``monotonically_increasing_id``). That id alone is no line order across
+    files or splits: Spark packs splits into partitions largest first, so a
+    small earlier file can land after a large later one. Lines that do not
+    come from a file scan fall back to the id alone."""
+    try:
+        ordered = lines.select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+        )
+        order = ["_file", "_block", "_seq"]
+    except AnalysisException:  # not a file scan
+        ordered, order = lines, ["_seq"]
+    ordered = ordered.withColumn("_seq", F.monotonically_increasing_id())
+    parsed = parse.parse_products(ordered, on_error=on_error, keep=order)
+    return sal.latest_products(parsed, order).drop(*order)
 
 
 def sales_by_category_job(

@@ -65,3 +65,29 @@ def test_recommend_job_no_repeat_cli(spark):
     # literal: both products again for the second view; no repeat: once, at the first view
     assert records("literal") == ['7,"3,1",2024-01-01 00:00:05.000', '7,"3,1",2024-01-01 00:00:10.000']
     assert records("once") == ['7,"3,1",2024-01-01 00:00:05.000']
+
+
+def test_products_later_line_wins_across_files_and_splits(spark):
+    from basketry.plans import sales_job
+    from basketry.sources import files
+
+    d = os.path.join(scratch(), "products")
+    os.makedirs(d)
+    with open(os.path.join(d, "a.txt"), "w") as fh:
+        fh.write("1,early,5,3\n")
+    with open(os.path.join(d, "b.txt"), "w") as fh:
+        fh.write("2,first,5,1\n" + "".join(f"{i},c,5,1\n" for i in range(3, 40)) + "1,late,5,3\n2,second,5,1\n")
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    saved = {k: spark.conf.get(k) for k in keys}
+    # tiny splits: Spark packs them largest first, so the small earlier file
+    # lands in a later partition than the lines of the large later file
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        lines = files.text_lines(spark, d)
+        assert lines.rdd.getNumPartitions() > 2
+        got = {r.product_id: r.category for r in sales_job.products_from_lines(lines).collect()}
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert got[1] == "late" and got[2] == "second" and len(got) == 39
