@@ -50,6 +50,13 @@ def test_purchases_filtered_by_broadcast_semi_join(spark, capsys):
     assert not re.search(r"SortMergeJoin (\[[^\]]*\], ){2}LeftSemi", plan)
 
 
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_all_pairs_operator_in_any_registered_query(spark, capsys, name):
+    plan = plan_text(entry.queries()[name](spark, SF), capsys)
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in plan
+
+
 def test_sales_plan_aggregates_before_shuffle(spark, capsys):
     plan = plan_text(entry.queries()["sales_by_category_10s"](spark, SF), capsys)
     assert "partial_sum" in plan and "BroadcastHashJoin" in plan
