@@ -68,11 +68,11 @@ class RecommendationStream:
         max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
         outputs: tuple[sinks.BatchSink, ...] = (),
         repeat: bool = True,
-        compact_every: int | None = None,
+        compact_every: int | None = 100,
     ) -> None:
         """``compact_every``: compact the output log (one row per user) after
-        every that many batches, so a long-running stream's log stays
-        proportional to its users, not its history. ``repeat=False``: each product once per user, at the first view of
+        every that many batches (``None``: never), so a long-running stream's
+        log stays proportional to its users, not its history. ``repeat=False``: each product once per user, at the first view of
         its category (the reduced state keeps the earliest views, so this is
         exact here too). ``outputs``: further sinks for each refresh's keyed records
         (``key`` = user id, ``value`` = ``user_id,"p1,...",event_time``),
