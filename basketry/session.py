@@ -113,6 +113,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(jpath)]
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file at ``path`` (replacing one left there)."""
+    fs, jpath = _hadoop_path(spark, path)
+    fs.create(jpath, True).close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove ``path`` and everything under it, if present."""
     fs, jpath = _hadoop_path(spark, path)

@@ -49,7 +49,7 @@ from basketry.operators.common import (
     first_distinct,
     has_at_most,
 )
-from basketry.session import delete_path, list_names, path_exists, scratch_path
+from basketry.session import delete_path, list_names, path_exists, scratch_path, touch
 from basketry.streaming import sinks
 
 
@@ -127,16 +127,20 @@ class RecommendationStream:
         batch (``<path>_staging/<source>-<batch_id>``) and read back: that
         cuts the lineage to the partitions about to be replaced. The staging
         table is the recovery point: a replay of the batch that finds it
-        complete (``_SUCCESS``) re-applies it without merging again, because
+        complete (its own ``_MERGED`` marker, written after the table, so it
+        does not depend on the committer's ``_SUCCESS`` file) re-applies it
+        without merging again, because
         the state it was merged from may already be partly replaced. If the
         crash came before it was complete, the state is still untouched and
         the merge simply runs again. Staging tables of earlier batches are
         removed once a later batch has replaced its partitions."""
         staging_root = path + "_staging"
         staging = os.path.join(staging_root, f"{source}-{batch_id}")
-        if not path_exists(self.spark, os.path.join(staging, "_SUCCESS")):
+        marker = os.path.join(staging, "_MERGED")
+        if not path_exists(self.spark, marker):
             merged = reduce(self._state(path, batch.schema, buckets).unionByName(batch))
             merged.write.mode("overwrite").parquet(staging)
+            touch(self.spark, marker)
         (
             self.spark.read.schema(batch.schema).parquet(staging)
             .write.mode("overwrite")
