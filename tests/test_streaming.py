@@ -310,3 +310,14 @@ def test_recommend_stream_with_compaction_equals_batch(spark):
         "timestamp", "purchase_time")
     assert rows(job.latest()) == rows(batch_latest(spark, clicks, sales_df, inv))
     assert ("compacted", 1) in job.log._partitions(spark)
+
+
+def test_kafka_factories_fail_fast_without_the_connector(spark):
+    """Offline the connector package is absent: both factories build their
+    reader and fail at ``load()`` with Spark's data-source error, before any
+    query starts."""
+    from pyspark.errors import AnalysisException
+
+    for factory in (files.kafka_stream, files.kafka_batch):
+        with pytest.raises(AnalysisException, match="kafka"):
+            factory(spark, "localhost:9", "sales.records")
