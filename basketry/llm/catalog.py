@@ -4,22 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import exact_dedup, licenses, mixing, url_filter
+from basketry.llm import ann, exact_dedup, licenses, mixing, ngram_join, packing, quality, token_counts, url_filter, warc
 from basketry.llm.common import table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -27,9 +51,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_token_counts,
         op2_licenses,
+        op3_packing,
+        op4_ngram_join,
         op5_url_filter,
+        op6_nearest,
         op7_mixing,
+        op8_quality,
+        op9_warc,
         op10_exact_dedup,
     )
 }
@@ -44,7 +74,21 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d
 FROM d JOIN g ON d.norm = g.norm
 """
 
-ORACLE_SQL = {"op10_exact_dedup": OP10_SQL}
+OP9_SQL = r"""
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+), d AS (
+    SELECT page_id, octet_length(body) AS n, sha256(body) AS digest FROM p
+), f AS (
+    SELECT digest, min(page_id) AS first_id FROM d WHERE n >= 100 GROUP BY digest
+)
+SELECT d.page_id, d.n AS payload_bytes, d.digest AS payload_digest,
+       CASE WHEN f.first_id <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id <> d.page_id THEN f.first_id END AS refers_to
+FROM d LEFT JOIN f ON f.digest = d.digest AND d.n >= 100
+"""
+
+ORACLE_SQL = {"op9_warc": OP9_SQL, "op10_exact_dedup": OP10_SQL}
 
 
 def queries() -> dict:

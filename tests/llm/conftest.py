@@ -1,0 +1,22 @@
+import pytest
+
+DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, uid long, fp string, size string, row string"
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """Documents from (doc_id, text[, source]) with extra columns whose names clash with internal ones."""
+
+    def make(rows, partitions=3):
+        full = []
+        for r in rows:
+            doc_id, text, source = (*r, "s0")[:3]
+            full.append((doc_id, text, "en", source, None if text is None else len(text), 7, "fp", "size", "row"))
+        return spark.createDataFrame(full, DOC_SCHEMA).repartition(partitions)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def sf():
+    return "/root/testdata/sf0.001"

@@ -1,0 +1,84 @@
+"""Mixing: targets against literal resharing, copies against a plain systematic sample."""
+
+import math
+import re
+from collections import defaultdict
+
+import pytest
+
+from basketry.llm import mixing
+
+
+def literal_targets(sizes, weights=(5, 2, 1), most=3.0):
+    """Share by weight; stop those above the cap; share the excess again until none is above."""
+    names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, fixed = sum(sizes.values()), {}
+    while True:
+        free = [s for s in names if s not in fixed]
+        left = total - sum(fixed.values())
+        share = {s: left * w[s] / sum(w[f] for f in free) for s in free}
+        above = [s for s in free if share[s] > most * sizes[s]]
+        if not above:
+            return fixed | share
+        fixed |= {s: most * sizes[s] for s in above}
+
+
+ROWS = (
+    [(i, "w " * (i % 17), "big") for i in range(300)]
+    + [(1000 + i, "w x\ty " * (1 + i % 5), "small") for i in range(12)]
+    + [(2000 + i, "a b", None) for i in range(20)]
+    + [(3000, None, "none"), (3001, "", "none"), (None, "q r s", "big"), (5, "w " * 5, "big"), (4000, "z " * 50_000, "long")]
+)
+
+
+@pytest.fixture(scope="module")
+def got(make_docs):
+    return mixing.mix(make_docs(ROWS, 5)).collect()
+
+
+def test_targets_and_copies(got):
+    assert len(got) == len(ROWS)
+    sizes = defaultdict(int)
+    for _, text, source in ROWS:
+        sizes[source] += len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    want = literal_targets(sizes)
+    taken = defaultdict(int)
+    for r in got:
+        assert r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(want[r.source])
+        assert 0 <= r.taken <= 3 * r.size and r.taken == r.copies * r.size
+        taken[r.source] += r.taken
+    for s, t in want.items():
+        largest = max(r.size for r in got if r.source == s)
+        assert abs(taken[s] - t) <= 2 * largest, (s, taken[s], t)
+
+
+def test_copies_follow_the_running_sum(got):
+    by = defaultdict(list)
+    for r in got:
+        by[r.source].append(r)
+    for rows in by.values():
+        each = rows[0].target / rows[0].source_size if rows[0].source_size else 0
+        assert all(math.floor(each) <= r.copies <= math.ceil(each) for r in rows)
+        assert abs(sum(r.copies for r in rows) - each * len(rows)) < 1
+
+
+def test_reruns_agree_over_partitions(make_docs, got):
+    again = mixing.mix(make_docs(ROWS, 2)).collect()
+    key = lambda r: (str(r.doc_id), r.copies, r.size)
+    assert sorted(map(key, again)) == sorted(map(key, got))
+
+
+def test_documents_and_empty(make_docs):
+    rows = [(i, "w " * (1 + i % 4), f"s{i % 2}") for i in range(40)]
+    docs = make_docs(rows)
+    copies = {r.doc_id: r.copies for r in mixing.mix(docs).collect()}
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    seen = defaultdict(int)
+    for r in out.collect():
+        seen[r.doc_id] += 1
+    assert seen == {k: v for k, v in copies.items() if v}
+    assert mixing.mix(make_docs([])).collect() == []
+    assert [r.taken for r in mixing.mix(make_docs([(1, None), (2, " ")])).collect()] == [0, 0]

@@ -1,0 +1,78 @@
+"""Packing: every id once, sequences gapless and full, ids and checksums by the tokenizer."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from basketry.llm import packing, tokens
+
+ROWS = [(i, "lorem ipsum dolor " * (i % 90)) for i in range(200)] + [(300, None), (301, ""), (302, "Zürich 😀 <|endoftext|>\n\n x" * 3000), (5, "again"), (None, "no id")]
+
+
+@pytest.fixture(scope="module")
+def slow():
+    t = Tokenizer.from_file(tokens.vocabulary_path(tokens.VOCABULARY))
+    return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
+
+
+def test_pieces(make_docs, slow):
+    got = packing.pack(make_docs(ROWS, 2)).collect()
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in got:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append(r)
+    texts = defaultdict(list)
+    for i, t in ROWS:
+        texts[i].append(slow(t))
+    assert set(by_doc) == set(texts)
+    for i, pieces in by_doc.items():
+        for ids in texts[i]:
+            own = sorted((p for p in pieces if p.doc_tokens == len(ids)), key=lambda p: p.start)
+            at = 0
+            for p in own:
+                assert p.start == at
+                at += p.length
+                assert p.ids_crc32 == zlib.crc32(np.array(ids[p.start : at], "<u4").tobytes())
+            assert at == len(ids)
+    for pieces in by_sequence.values():
+        at = 0
+        for p in sorted(pieces, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= 2048 and at & (at - 1) == 0
+
+
+def test_level_choice_is_the_least_sum_of_squares():
+    rng = np.random.default_rng(0)
+    p = packing.SumOfSquares(16)
+    for _ in range(400):
+        size = int(rng.integers(1, 16))
+        n = p.levels.copy()
+        scores = {}
+        for h in [0, *np.flatnonzero(n)]:
+            if h + size <= 16:
+                m = n.copy()
+                m[h] -= h > 0
+                m[h + size] += h + size < 16
+                scores[int(h)] = int((m**2).sum())
+        chosen = p.level_for(size)
+        assert scores[chosen] == min(scores.values())
+        p.take((0, 0, np.zeros(size, np.uint32), size))
+        assert p.levels[16] == 0 and (p.levels >= 0).all()
+
+
+def test_empty_and_retries_agree(make_docs):
+    assert packing.pack(make_docs([])).collect() == []
+    docs = make_docs(ROWS, 2)
+    assert sorted(map(str, packing.pack(docs).collect())) == sorted(map(str, packing.pack(docs).collect()))
+
+
+def test_both_encoders_agree():
+    e = tokens.encoder()
+    for text in ("hello world <|endoftext|> x", "", "a" * 5000, " " * 5000 + "x", "naïve café 😀 \n\n  x", "don't  I'll 12 345\t"):
+        for special in (True, False):
+            e._slow.encode_special_tokens = not special
+            assert e.ids(text, special).tolist() == e._slow.encode(text, add_special_tokens=False).ids

@@ -1,0 +1,55 @@
+"""The pipeline stage by stage: what each keeps, and that its decisions take effect."""
+
+from collections import defaultdict
+
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from basketry.llm import mixing, quality
+from basketry.llm.common import table
+from tests.llm import test_exact_dedup, test_ngram_join
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents")
+    out = [docs]
+    root = tmp_path_factory.mktemp("pipeline")
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, out[-1], sf).write.parquet(f"{root}/{i}")
+        out.append(spark.read.parquet(f"{root}/{i}"))
+    return sf, out
+
+
+def test_columns_and_names(stages):
+    _, out = stages
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "exact dedup", "n-gram Jaccard join", "mixing sources", "packing"]
+    for df in out[1:-1]:
+        assert df.columns == out[0].columns
+    assert "pipeline" in entry.queries()
+
+
+def test_decisions_take_effect(spark, stages):
+    sf, (docs, good, exact, near, mixed, packed) = stages
+    rows = lambda df: sorted((r.doc_id, r.text) for r in df.collect())
+    scored = quality.quality(docs, table(spark, sf, "labels"))
+    assert rows(good) == rows(docs.join(scored.where("keep"), "doc_id", "left_semi"))
+    assert [i for i, _ in rows(exact)] == sorted(i for i, _, _, kept, _ in test_exact_dedup.brute(rows(good)) if kept)
+    assert [i for i, _ in rows(near)] == sorted(i for i, _, c in test_ngram_join.brute(rows(exact)) if i == c)
+    copies = {r.doc_id: r.copies for r in mixing.mix(near).collect() if r.copies}
+    seen = defaultdict(int)
+    for i, _ in rows(mixed):
+        seen[i] += 1
+    assert seen == copies
+    tokens = defaultdict(int)
+    for r in packed.collect():
+        tokens[r.doc_id] += r.length
+    assert set(tokens) == set(copies)
+
+
+def test_run(spark, stages):
+    sf, out = stages
+    got = corpus_pipeline.run(spark, sf)
+    assert got.columns == out[-1].columns and got.count() == out[-1].count()

@@ -1,0 +1,26 @@
+"""Separator scan against direct tokenisation, with blocks far smaller than a document."""
+
+import pytest
+
+from basketry.llm import token_counts, tokens
+
+ROWS = [(i, "word and word " * (i % 40)) for i in range(60)] + [(100, None), (101, ""), (102, "x <|endoftext|> y"), (103, "é " * 20_000), (7, "again"), (None, "no id")]
+
+
+@pytest.mark.parametrize("block_ids", [1, 7, 64, 1 << 21])
+def test_counts(make_docs, block_ids, monkeypatch):
+    monkeypatch.setattr(token_counts, "GROUP_BLOCKS", 4)
+    rows = ROWS if block_ids > 7 else [r for r in ROWS if len(r[1] or "") < 300]
+    encode = tokens.encoder().ids
+    want = sorted(((i, len(encode(t or "", special=False))) for i, t in rows), key=str)
+    got = token_counts.token_counts(make_docs(rows), block_ids=block_ids).collect()
+    assert sorted(((r.doc_id, r.n_tokens) for r in got), key=str) == want
+    for part in {r.part for r in got}:  # documents stand one after the other
+        at = 0
+        for r in sorted((r for r in got if r.part == part), key=lambda r: r.start):
+            assert r.start == at
+            at += r.n_tokens + 1
+
+
+def test_empty(make_docs):
+    assert token_counts.token_counts(make_docs([])).collect() == []
