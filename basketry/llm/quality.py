@@ -141,7 +141,7 @@ class CoTrained:
 
     def __init__(self, train: dict, calibration: dict, pool: dict, rounds: int = ROUNDS):
         views = ("text", "meta")
-        decay = {"text": 1e-3, "meta": 1e-2}
+        decay = {"text": 1e-3, "meta": 1e-3}
         x = {v: train[v] for v in views}
         y = {v: train["y"] for v in views}
         self.exchanged = 0
