@@ -16,7 +16,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,9 +24,9 @@ from basketry.llm.common import materialise
 from basketry.llm.shingles import word_hashes
 
 #: bounds of the samples: labelled rows per class, labelled rows for calibration, unlabelled rows
-CLASS_ROWS = 1200
-CALIBRATION_ROWS = 1200
-POOL_ROWS = 1500
+CLASS_ROWS = 1000
+CALIBRATION_ROWS = 1000
+POOL_ROWS = 1000
 ROUNDS = 4
 #: pseudo-labels: at least this sure, at most so many per class and round
 SURE = 0.95
@@ -35,7 +34,7 @@ EXCHANGE = 100
 #: documents with a smaller probability of good quality are rejected
 THRESHOLD = 0.5
 
-TEXT_BUCKETS = 4096
+TEXT_BUCKETS = 2048
 REPETITIONS = 3
 META_BUCKETS = 128
 _CHUNK = 1 << 20
@@ -113,7 +112,7 @@ def logistic(x: np.ndarray, y: np.ndarray, decay: float, steps: int = 300) -> np
     weighted alike, by accelerated gradient steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
     weight = np.where(y > 0.5, 0.5 / max((y > 0.5).sum(), 1), 0.5 / max((y <= 0.5).sum(), 1))
-    rate = 1 / (0.25 * float((weight * (x * x).sum(axis=1)).sum()) + decay)
+    rate = 1 / (0.25 * float(weight @ np.einsum("ij,ij->i", x, x)) + decay)
     w = ahead = np.zeros(x.shape[1])
     for t in range(steps):
         step = ahead - rate * (x.T @ (weight * (_sigmoid(x @ ahead) - y)) + decay * np.r_[ahead[:-1], 0])
@@ -198,7 +197,9 @@ def _sampled(docs: DataFrame, labels: DataFrame) -> dict[str, dict]:
     rows = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("double")).join(F.broadcast(picked), "doc_id")
     schema = "y int, use string, source string, lang string, n_chars double, view binary"
     got = rows.select("y", "use", "source", "lang", "n_chars", "text").mapInArrow(_views, schema)
-    got = got.orderBy("use", "y", F.xxhash64("view"), "source", "lang", "n_chars").limit(4 * (2 * CLASS_ROWS + CALIBRATION_ROWS + POOL_ROWS)).collect()
+    # repeated ids could give more rows than were picked
+    bound = 2 * (2 * CLASS_ROWS + CALIBRATION_ROWS + POOL_ROWS)
+    got = got.orderBy("use", "y", F.xxhash64("view"), "source", "lang", "n_chars").limit(bound).collect()
     out = {}
     for use in ("train", "calibration", "pool"):
         own = [r for r in got if r.use == use]
@@ -218,25 +219,20 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> CoTrained
     return CoTrained(**sample, rounds=rounds)
 
 
-def quality_score(model: CoTrained) -> Column:
-    """A struct ``p_text, p_meta, score`` over the columns text, source, lang, n_chars."""
+_INPUTS = ("text", "source", "lang", "n_chars")
 
-    @F.pandas_udf("p_text double, p_meta double, score double")
-    def scored(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        w_text, w_meta = model.weights["text"][:-1], model.weights["meta"][:-1]
-        for text, source, lang, n_chars in batches:
-            t = model.log_odds("text", np.array([text_margin(x, w_text) for x in text]))
-            m = model.log_odds("meta", np.array([w_meta[meta_buckets(*row)].sum() for row in zip(source, lang, n_chars)]))
-            yield pd.DataFrame({"p_text": _sigmoid(t), "p_meta": _sigmoid(m), "score": model.score(t, m)})
 
-    return scored(F.col("text"), F.col("source").cast("string"), F.col("lang").cast("string"), F.col("n_chars").cast("double"))
+def _scores(model: CoTrained, batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    w_text, w_meta = model.weights["text"][:-1], model.weights["meta"][:-1]
+    text = np.array([text_margin(x.as_py(), w_text) for x in batch.column("q_text")])
+    meta = [w_meta[meta_buckets(*row)].sum() for row in zip(*(batch.column(f"q_{c}").to_pylist() for c in _INPUTS[1:]))]
+    t, m = model.log_odds("text", text), model.log_odds("meta", np.array(meta))
+    return {"p_text": _sigmoid(t), "p_meta": _sigmoid(m), "score": model.score(t, m)}
 
 
-def with_quality(docs: DataFrame, labels: DataFrame, column: str = "quality_score") -> DataFrame:
-    """``docs`` with a struct column; all ones where there is nothing to learn from."""
-    model = train(docs, labels)
-    one = F.struct(*[F.lit(1.0).alias(n) for n in ("p_text", "p_meta", "score")])
-    return docs.withColumn(column, one if model is None else quality_score(model))
+def _inputs() -> list[Column]:
+    kinds = {"n_chars": "double"}
+    return [F.col(c).cast(kinds.get(c, "string")).alias(f"q_{c}") for c in _INPUTS]
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -248,11 +244,34 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     training. Without labels of both classes every document is kept with score 1.
     Repeated rows are scored alike. An empty table gives an empty result.
     """
-    rows = with_quality(docs, labels).select("doc_id", "quality_score.*")
+    model = train(docs, labels)
+    if model is None:
+        rows = docs.select("doc_id", *[F.lit(1.0).alias(n) for n in ("p_text", "p_meta", "score")])
+    else:
+        names = ["doc_id", "p_text", "p_meta", "score"]
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    found = _scores(model, b)
+                    yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(found[n]) for n in names[1:])], names=names)
+
+        schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, p_text double, p_meta double, score double"
+        rows = docs.select("doc_id", *_inputs()).mapInArrow(score, schema)
     return rows.withColumn("keep", F.col("score") >= threshold)
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that are kept, columns unchanged."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return with_quality(docs, labels, "_quality").where(F.col("_quality.score") >= threshold).select(*columns)
+    model = train(docs, labels)
+    if model is None:
+        return docs
+    columns = docs.columns
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                good = b.filter(pa.array(_scores(model, b)["score"] >= threshold))
+                yield good.select(columns)
+
+    return docs.select("*", *_inputs()).mapInArrow(keep, docs.schema)
