@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,7 +66,6 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_root(spark)
     return spark
 
 
@@ -72,13 +73,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, streaming state and written tables.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names a
-    shared, fault-tolerant folder there). Only when it is unset, as in local
-    tests, a fresh folder under the system temp dir is created and set.
+    shared, fault-tolerant folder there). Only when it is unset and the driver
+    runs all tasks itself (master ``local[...]``, as in tests), a fresh folder
+    under the system temp dir is created and set; on a cluster a missing
+    setting is an error, as executors would not see a folder of the driver's.
     """
     current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = _LOCAL_ROOTS.get(id(spark.sparkContext))
     if not current:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder: the master is {master}")
         current = tempfile.mkdtemp(prefix="basketry-ckpt-")
         _LOCAL_ROOTS[id(spark.sparkContext)] = current
     spark.sparkContext.setCheckpointDir(current)
@@ -113,10 +119,28 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(jpath)]
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """Create an empty marker file at ``path`` (replacing one left there)."""
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file so that it is there whole or not at all: under
+    another name first, then renamed."""
     fs, jpath = _hadoop_path(spark, path)
-    fs.create(jpath, True).close()
+    _, draft = _hadoop_path(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(jpath):
+        fs.delete(jpath, False)
+    if not fs.rename(draft, jpath):
+        raise OSError(f"cannot write {path}")
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    fs, jpath = _hadoop_path(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

@@ -4,53 +4,63 @@ Structured Streaming cannot run ``row_number`` on a stream, and the job's
 "ever bought" lookup is an unbounded stream-stream join, so the ranking runs
 per micro-batch in ``foreachBatch`` over a *reduced state* kept in tables:
 
-* ``views_state``: per (user, category) the k earliest views;
-* ``bought_state``: per (user, category) the k best in-stock products the
-  user bought.
+* ``views``: per (user, category) the k earliest views;
+* ``bought``: per (user, category) the k best in-stock products the user
+  bought; with a refreshed inventory every distinct (user, product) bought, as
+  a product can come back into stock.
 
 That is all the per-user ranking reads (see ``operators.recommend``), and
 ``top-k(old + new) = top-k(top-k(old) + new)``, so merging a batch into the
-state is exact. The state is bounded by pairs x 2k rows, however long the
-stream runs; the raw clicks and purchases are not kept.
+state is exact. With a fixed inventory the state is bounded by pairs x 2k rows,
+however long the stream runs; the raw clicks and purchases are not kept.
 
 Per micro-batch (one query over the union of both topics):
 
-1. decode the batch, look up categories, reduce it to views and bought rows;
-2. for the touched user buckets (``pmod(xxhash64(user_id), buckets)``, the
-   state tables' partition column) merge state + batch, write the result to
-   a staging table named after the batch id (cutting the lineage) and
-   overwrite those bucket partitions from it;
-3. recompute the lists of the touched users from the merged state and append
-   them to an ``UpsertLog`` keyed by ``user_id`` (latest write wins).
-
-A replayed batch whose staging table was completed re-applies that table
-instead of merging again, so a crash in the middle of replacing the state
-partitions (some gone, some not yet back) loses nothing; otherwise it merges
-rows already in the state (a no-op). It rewrites its own log partition, so
-replays leave the output unchanged. Stream result =
-batch result on the same rows (checked in the tests).
+1. decode the batch, leave out late clicks, take the inventory snapshot, look
+   up categories, reduce the batch to views and bought rows (kept for the
+   batch);
+2. add them to the state as small segments and commit with a manifest
+   (``streaming.state``): the batch writes in proportion to its own rows;
+3. recompute the lists of the touched users from the segments' buckets they lie
+   in and write them to an ``UpsertLog`` keyed by ``user_id``.
+
+A replayed batch whose manifest was written takes the state as it is;
+otherwise it starts from the last manifest. Either way it rewrites its own part
+of the log, so replays leave the output unchanged. Stream result = batch result
+on the same rows (checked in the tests).
+
+The settings that the state depends on are recorded beside it; a start with
+other ones is refused.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from basketry import schemas
 from basketry.functions import encode, parse
 from basketry.operators import recommend as rec
 from basketry.operators.common import (
     DEFAULT_MAX_BROADCAST_ROWS,
     broadcast_if_bounded,
     first_distinct,
-    has_at_most,
+    fits_broadcast,
 )
-from basketry.session import delete_path, list_names, path_exists, scratch_path, touch
+from basketry.session import delete_path, list_names, read_file, scratch_path
 from basketry.streaming import sinks
+from basketry.streaming.state import SegmentedState
+
+DEFAULT_BUCKETS = 64
+_DIMENSION = ["product_id", "category", "stock", "rating"]
 
 
 class RecommendationStream:
@@ -60,33 +70,38 @@ class RecommendationStream:
         self,
         spark: SparkSession,
         root: str | None,
-        inventory: DataFrame,
+        inventory: DataFrame | Callable[[], DataFrame],
         k: int = rec.DEFAULT_K,
         window: str = "5 seconds",
         rating_order: str = "numeric",
-        buckets: int = 64,
+        buckets: int = DEFAULT_BUCKETS,
         max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
         outputs: tuple[sinks.BatchSink, ...] = (),
         repeat: bool = True,
         compact_every: int | None = 100,
+        on_error: str = "fail",
+        lateness: float | None = None,
     ) -> None:
-        """``compact_every``: compact the output log (one row per user) after
-        every that many batches (``None``: never), so a long-running stream's
-        log stays proportional to its users, not its history. ``repeat=False``: each product once per user, at the first view of
-        its category (the reduced state keeps the earliest views, so this is
-        exact here too). ``outputs``: further sinks for each refresh's keyed records
-        (``key`` = user id, ``value`` = ``user_id,"p1,...",event_time``),
-        e.g. ``sinks.kafka`` for a compacted topic; the upsert log is always
-        written."""
+        """``inventory``: a frame, read once at the start, or a function that is
+        called for every batch (the batch then uses one snapshot throughout;
+        users it does not touch keep their lists until they are touched).
+        ``compact_every``: compact the output log (one row per user) after every
+        that many batches (``None``: never), so a long-running stream's log stays
+        proportional to its users, not its history. ``repeat=False``: each
+        product once per user, at the first view of its category (the reduced
+        state keeps the earliest views, so this is exact here too). ``outputs``:
+        further sinks for each refresh's keyed records (``key`` = user id,
+        ``value`` = ``user_id,"p1,...",event_time``), e.g. ``sinks.kafka`` for a
+        compacted topic; the upsert log is always written. ``on_error``: a
+        malformed click or sale line stops the stream (``fail``) or is left out
+        (``drop``). ``lateness``: leave out clicks that are more than so many
+        seconds older than the newest click of earlier batches. What was left
+        out is counted per batch in ``left_out``."""
         self.spark = spark
         self.outputs = tuple(outputs)
         # state lives in the shared checkpoint folder unless a root is given
-        root = root or scratch_path(spark, "recommendations")
-        self.root = root
-        self.views_path = os.path.join(root, "views_state")
-        self.bought_path = os.path.join(root, "bought_state")
-        self.log = sinks.UpsertLog(os.path.join(root, "recommendations"), ["user_id"], ["event_time"])
-        self.inventory = inventory
+        self.root = root or scratch_path(spark, "recommendations")
+        self.log = sinks.UpsertLog(os.path.join(self.root, "recommendations"), ["user_id"], ["event_time"])
         self.k = k
         self.window = window
         self.rating_order = rating_order
@@ -94,65 +109,42 @@ class RecommendationStream:
         self.compact_every = compact_every
         self.buckets = buckets
         self.max_broadcast_rows = max_broadcast_rows
-        dimension = inventory.select("product_id", "category", "stock", "rating")
-        self.dimension_is_small = max_broadcast_rows is not None and has_at_most(dimension, max_broadcast_rows)
-        self.dimension = F.broadcast(dimension) if self.dimension_is_small else dimension
-        self.top_lists = self._category_lists(os.path.join(root, "category_top"))
-
-    def _category_lists(self, path: str) -> DataFrame:
-        """The inventory is static for the life of the stream: its per-category
-        top lists are computed once, written to the state folder and read
-        back, so micro-batches neither rescan the inventory for them nor carry
-        their lineage."""
-        lists = rec.category_lists(rec.category_top(self.inventory, self.k, self.rating_order))
-        lists.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
-
-    # --- helpers -----------------------------------------------------------
-    def _bucket(self) -> F.Column:
-        return F.pmod(F.xxhash64("user_id"), F.lit(self.buckets)).cast("int")
-
-    def _state(self, path: str, schema: T.StructType, buckets: list[int]) -> DataFrame:
-        try:
-            df = self.spark.read.schema(schema).parquet(path)
-        except AnalysisException:  # nothing written yet
-            return self.spark.createDataFrame([], schema)
-        return df.where(F.col("ubucket").isin(buckets))
-
-    def _merge(self, path: str, batch: DataFrame, buckets: list[int], reduce, batch_id: int, source: str) -> DataFrame:
-        """New state of the touched buckets: reduce(state + batch), written
-        back over those bucket partitions; returns the merged rows.
-
-        The merged rows are first written to a staging table named after the
-        batch (``<path>_staging/<source>-<batch_id>``) and read back: that
-        cuts the lineage to the partitions about to be replaced. The staging
-        table is the recovery point: a replay of the batch that finds it
-        complete (its own ``_MERGED`` marker, written after the table, so it
-        does not depend on the committer's ``_SUCCESS`` file) re-applies it
-        without merging again, because
-        the state it was merged from may already be partly replaced. If the
-        crash came before it was complete, the state is still untouched and
-        the merge simply runs again. Staging tables of earlier batches are
-        removed once a later batch has replaced its partitions."""
-        staging_root = path + "_staging"
-        staging = os.path.join(staging_root, f"{source}-{batch_id}")
-        marker = os.path.join(staging, "_MERGED")
-        if not path_exists(self.spark, marker):
-            merged = reduce(self._state(path, batch.schema, buckets).unionByName(batch))
-            merged.write.mode("overwrite").parquet(staging)
-            touch(self.spark, marker)
-        (
-            self.spark.read.schema(batch.schema).parquet(staging)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("ubucket")
-            .parquet(path)
-        )
-        for name in list_names(self.spark, staging_root):
-            done_source, _, done_id = name.rpartition("-")
-            if done_source == source and done_id.isdigit() and int(done_id) < batch_id:
-                delete_path(self.spark, os.path.join(staging_root, name))
-        return self.spark.read.schema(batch.schema).parquet(staging)
+        self.on_error = on_error
+        self.lateness = lateness
+        self.left_out: dict[int, dict[str, int]] = {}
+        self._checkpoint: str | None = None
+
+        self.refreshed = callable(inventory)
+        self._read_inventory = inventory if self.refreshed else lambda: inventory
+        first = self._read_inventory()
+        self._types = {f.name: f.dataType for f in first.schema.fields}
+        self.state = SegmentedState(spark, os.path.join(self.root, "state"), self._tables())
+        self.state.check_settings({
+            "k": k, "rating_order": rating_order, "buckets": buckets,
+            "inventory": "read for every batch" if self.refreshed else self._digest(first),
+        })
+        self._fixed = None if self.refreshed else self._snapshot()
+        if self._fixed:
+            self._clean_snapshots({self._fixed["name"]})
+
+    # --- state tables ------------------------------------------------------
+    def _tables(self) -> dict:
+        # user ids are text; product ids have the inventory's type
+        user, product, category = T.StringType(), self._types["product_id"], self._types["category"]
+
+        def columns(*fields: tuple[str, T.DataType]) -> T.StructType:
+            return T.StructType([T.StructField(n, t) for n, t in (*fields, ("ubucket", T.IntegerType()))])
+
+        views = columns(("user_id", user), ("event_time", T.TimestampType()), ("category", category))
+        if self.refreshed:
+            bought, reduce_bought = columns(("user_id", user), ("product_id", product)), lambda df: df.distinct()
+        else:
+            bought = columns(
+                ("user_id", user), ("product_id", product), ("category", category),
+                ("stock", self._types["stock"]), ("rating", self._types["rating"]),
+            )
+            reduce_bought = self._reduce_bought
+        return {"views": (views, self._reduce_views), "bought": (bought, reduce_bought)}
 
     def _reduce_views(self, views: DataFrame) -> DataFrame:
         return first_distinct(views, ["user_id", "category"], "event_time", self.k)
@@ -160,85 +152,155 @@ class RecommendationStream:
     def _reduce_bought(self, bought: DataFrame) -> DataFrame:
         return rec.bought_top(bought.distinct(), self.k, self.rating_order).drop("brank")
 
+    def _bucket(self) -> F.Column:
+        return F.pmod(F.xxhash64("user_id"), F.lit(self.buckets)).cast("int")
+
+    # --- inventory ---------------------------------------------------------
+    @staticmethod
+    def _digest(inventory: DataFrame) -> str:
+        """The same for the same rows in any order."""
+        row = inventory.select(F.xxhash64(*_DIMENSION).cast("decimal(38,0)").alias("h"))
+        found = row.agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("h")).first()
+        return f"{found.n} rows, {found.h}"
+
+    def _snapshot(self, name: str | None = None) -> dict:
+        """The inventory as it is now (or the named snapshot), with its category
+        lists, written under the root: its size cannot change after it has been
+        checked, and all steps of a batch see the same rows."""
+        folder = os.path.join(self.root, "inventory")
+        if name is None:
+            name = uuid.uuid4().hex
+            self._read_inventory().select(*_DIMENSION).write.parquet(os.path.join(folder, name, "rows"))
+        rows = self.spark.read.parquet(os.path.join(folder, name, "rows"))
+        small = self.max_broadcast_rows is not None and fits_broadcast(rows, self.max_broadcast_rows)
+        lists = os.path.join(folder, name, "category_top")
+        if "category_top" not in list_names(self.spark, os.path.join(folder, name)):
+            rec.category_lists(rec.category_top(rows, self.k, self.rating_order)).write.parquet(lists)
+        top = self.spark.read.parquet(lists)
+        return {"name": name, "rows": F.broadcast(rows) if small else rows, "small": small, "top": F.broadcast(top) if small else top}
+
+    def _clean_snapshots(self, keep: set[str]) -> None:
+        for name in list_names(self.spark, os.path.join(self.root, "inventory")):
+            if name not in keep:
+                delete_path(self.spark, os.path.join(self.root, "inventory", name))
+
     # --- the micro-batch ---------------------------------------------------
     def apply(self, clicks: DataFrame, sales: DataFrame, batch_id: int, source: str = "main") -> None:
         """Merge decoded clicks (``user_id, product_id, event_time``) and sales
         (``user_id, product_id``) into the state; refresh the touched users."""
+        epoch = self.state.epoch(source)
+        done, parent = self.state.done(epoch, batch_id), self.state.before(epoch, batch_id)
+        # a product id that is none in the inventory's type cannot be in it
+        ids = {"user_id": F.col("user_id").cast("string"), "product_id": F.col("product_id").try_cast(self._types["product_id"])}
+        typed = lambda df: df.withColumns(ids)
+        clicks, sales = typed(clicks), typed(sales)
+        facts = dict(parent["facts"])
+        newest = facts.get("newest_click")
+        found = clicks.agg(F.max(F.unix_micros(F.col("event_time").cast("timestamp"))).alias("newest")).first()
+        if self.lateness is not None and newest is not None:
+            late = F.unix_micros(F.col("event_time").cast("timestamp")) < newest - int(self.lateness * 1e6)
+            self._count(batch_id, "late_clicks", clicks.where(late).count())
+            clicks = clicks.where(~F.coalesce(late, F.lit(False)))
+        facts["newest_click"] = max((x for x in (newest, found.newest) if x is not None), default=None)
+        snapshot = self._fixed or self._snapshot(done["facts"]["inventory"] if done else None)
+        facts["inventory"] = snapshot["name"]
+
         views = (
             clicks.select("user_id", "event_time", "product_id")
-            .join(self.dimension.select("product_id", "category"), "product_id")
-            .select("user_id", "event_time", "category")
+            .join(snapshot["rows"].select("product_id", "category"), "product_id")
+            .select("user_id", F.col("event_time").cast("timestamp").alias("event_time"), "category")
             .withColumn("ubucket", self._bucket())
         )
-        bought = rec.bought_products(sales, self.dimension, None, prefilter=self.dimension_is_small).withColumn("ubucket", self._bucket())
-        # reduce the batch itself first: a batch row outside its own top k
-        # can never enter the state's top k
-        views = self._reduce_views(views)
-        bought = self._reduce_bought(bought)
-        touched = views.select("user_id", "ubucket").unionByName(bought.select("user_id", "ubucket")).distinct()
-        touched.persist()
+        if self.refreshed:
+            bought = sales.select("user_id", "product_id").distinct().withColumn("ubucket", self._bucket())
+        else:
+            bought = rec.bought_products(sales, snapshot["rows"], None, prefilter=snapshot["small"])
+            # reduce the batch itself first: a batch row outside its own top k
+            # can never enter the state's top k
+            bought = self._reduce_bought(bought.withColumn("ubucket", self._bucket()))
+        new = {"views": self._reduce_views(views), "bought": bought}
+        new = {t: df.select(*self.state.tables[t][0].names).persist(StorageLevel.MEMORY_AND_DISK) for t, df in new.items()}
         try:
-            self._refresh(views, bought, touched, batch_id, source)
+            manifest = self.state.commit(epoch, batch_id, new, facts)
+            self._refresh(new, manifest, snapshot, epoch, batch_id)
         finally:
-            touched.unpersist()
+            for df in new.values():
+                df.unpersist()
+        if self.refreshed:
+            self._clean_snapshots({snapshot["name"], parent["facts"].get("inventory")})
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            self.log.compact(self.spark)
 
-    def _refresh(self, views: DataFrame, bought: DataFrame, touched: DataFrame, batch_id: int, source: str) -> None:
+    def _refresh(self, new: dict[str, DataFrame], manifest: dict, snapshot: dict, epoch: int, batch_id: int) -> None:
+        touched = new["views"].select("user_id", "ubucket").unionByName(new["bought"].select("user_id", "ubucket")).distinct()
         # the touched bucket ids: at most ``self.buckets`` small ints
         buckets = [r.ubucket for r in touched.select("ubucket").distinct().collect()]
-        if not buckets:
-            return
-        merged_views = self._merge(self.views_path, views, buckets, self._reduce_views, batch_id, source)
-        merged_bought = self._merge(self.bought_path, bought, buckets, self._reduce_bought, batch_id, source)
-
         users = broadcast_if_bounded(touched.select("user_id"), self.max_broadcast_rows)
-        first_views = merged_views.join(users, "user_id", "left_semi")
-        top_bought = rec.bought_top(
-            merged_bought.join(users, "user_id", "left_semi").drop("ubucket"), self.k, self.rating_order
-        )
+        of_users = lambda t: self.state.read(manifest, t, buckets).join(users, "user_id", "left_semi").drop("ubucket")
+        bought = of_users("bought")
+        if self.refreshed:
+            bought = rec.bought_products(bought, snapshot["rows"], None, prefilter=snapshot["small"])
         recommender = rec.Recommender.from_reduced(
-            first_views, top_bought, self.inventory, self.k, self.rating_order, self.max_broadcast_rows,
-            self.top_lists,
+            of_users("views"), rec.bought_top(bought, self.k, self.rating_order), snapshot["rows"], self.k, self.rating_order,
+            None, snapshot["top"],
         )
         recs = recommender.recommend("user", self.window, self.repeat)
         if not self.outputs:
-            self.log.write(recs, batch_id, source)
-        else:
-            recs.persist()
-            try:
-                self.log.write(recs, batch_id, source)
-                records = recs.select(
-                    encode.recommendation_key().alias("key"), encode.recommendation_value().alias("value")
-                )
-                for sink in self.outputs:
-                    sink(records, batch_id)
-            finally:
-                recs.unpersist()
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            self.log.compact(self.spark, batch_id)
+            self.log.write(recs, batch_id, epoch)
+            return
+        recs.persist()
+        try:
+            self.log.write(recs, batch_id, epoch)
+            records = recs.select(
+                encode.recommendation_key().alias("key"), encode.recommendation_value().alias("value")
+            )
+            for sink in self.outputs:
+                sink(records, batch_id)
+        finally:
+            recs.unpersist()
+
+    def _count(self, batch_id: int, what: str, n: int) -> None:
+        if n:
+            self.left_out.setdefault(batch_id, {})[what] = n
+            print(f"batch {batch_id}: {what} left out: {n}")
+
+    def _clicks(self, messages: DataFrame, batch_id: int) -> DataFrame:
+        if self.on_error == "drop":
+            self._count(batch_id, "malformed_clicks", parse.malformed_count(messages, schemas.CLICK))
+        clicks = parse.decode_clicks(messages, on_error=self.on_error, keep=["timestamp"])
+        return clicks.withColumnRenamed("timestamp", "event_time")
+
+    def _sales(self, messages: DataFrame, batch_id: int) -> DataFrame:
+        if self.on_error == "drop":
+            self._count(batch_id, "malformed_sales", parse.malformed_count(messages, schemas.PURCHASE))
+        return parse.decode_sales(messages, on_error=self.on_error)
 
     def on_clicks(self, messages: DataFrame, batch_id: int) -> None:
-        clicks = parse.decode_clicks(messages, keep=["timestamp"]).withColumnRenamed("timestamp", "event_time")
-        self.apply(clicks, self._no_sales(), batch_id, "clicks")
+        self.apply(self._clicks(messages, batch_id), self._no_sales(), batch_id, "clicks")
 
     def on_sales(self, messages: DataFrame, batch_id: int) -> None:
-        sales = parse.decode_sales(messages, keep=["timestamp"])
-        self.apply(self._no_clicks(), sales, batch_id, "sales")
+        self.apply(self._no_clicks(), self._sales(messages, batch_id), batch_id, "sales")
 
     def on_batch(self, messages: DataFrame, batch_id: int) -> None:
         """One micro-batch of both topics (column ``topic``)."""
         messages.persist()
         try:
-            clicks = parse.decode_clicks(messages.where(F.col("topic") == "clicks"), keep=["timestamp"])
-            sales = parse.decode_sales(messages.where(F.col("topic") == "sales"))
-            self.apply(clicks.withColumnRenamed("timestamp", "event_time"), sales, batch_id)
+            clicks = self._clicks(messages.where(F.col("topic") == "clicks"), batch_id)
+            sales = self._sales(messages.where(F.col("topic") == "sales"), batch_id)
+            self.apply(clicks, sales, batch_id, self._query_id())
         finally:
             messages.unpersist()
 
+    def _query_id(self) -> str:
+        """The id that Spark keeps with the checkpoint: the same after a restart,
+        another one for a new checkpoint."""
+        return json.loads(read_file(self.spark, os.path.join(self._checkpoint, "metadata")))["id"] if self._checkpoint else "main"
+
     def _no_clicks(self) -> DataFrame:
-        return self.spark.createDataFrame([], "user_id bigint, product_id bigint, event_time timestamp")
+        return self.spark.createDataFrame([], "user_id string, product_id string, event_time timestamp")
 
     def _no_sales(self) -> DataFrame:
-        return self.spark.createDataFrame([], "user_id bigint, product_id bigint")
+        return self.spark.createDataFrame([], "user_id string, product_id string")
 
     def latest(self) -> DataFrame:
         """The compacted output: one current row per user."""
@@ -261,9 +323,10 @@ class RecommendationStream:
         both = click_messages.select("value", "timestamp", F.lit("clicks").alias("topic")).unionByName(
             sale_messages.select("value", "timestamp", F.lit("sales").alias("topic"))
         )
+        self._checkpoint = checkpoint_path or os.path.join(self.root, "checkpoints", query_name)
         writer = (
             both.writeStream.queryName(query_name)
-            .option("checkpointLocation", checkpoint_path or os.path.join(self.root, "checkpoints", query_name))
+            .option("checkpointLocation", self._checkpoint)
             .foreachBatch(self.on_batch)
         )
         writer = writer.trigger(**trigger) if trigger else writer
@@ -275,12 +338,12 @@ def main(argv: list[str] | None = None) -> None:
 
     Sources: ``--kafka SERVERS`` with ``--clicks-topic``/``--sales-topic``, or
     ``--clicks DIR --sales DIR`` (files of ``value, timestamp`` rows).
-    Inventory: a CSV file (bad rows skipped). State, output log and
-    checkpoints go under ``--root`` (default: the shared checkpoint folder).
+    Inventory: a CSV file (bad rows skipped), read once, or for every batch
+    with ``--refresh-inventory``. State, output log and checkpoints go under
+    ``--root`` (default: the shared checkpoint folder).
     """
     import argparse
 
-    from basketry import schemas
     from basketry.session import build_session
     from basketry.sources import files
 
@@ -295,13 +358,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--k", type=int, default=rec.DEFAULT_K)
     ap.add_argument("--window", default="5 seconds")
     ap.add_argument("--rating-order", default="numeric", choices=rec.RATING_ORDERS)
-    ap.add_argument("--buckets", type=int, default=1024)
+    ap.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS)
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--kafka-out-topic", default=None, help="also send keyed CSV records to this (compacted) topic")
     ap.add_argument("--no-repeat", action="store_true",
                     help="suggest each product once per user, at the first view of its category")
     ap.add_argument("--compact-every", type=int, default=100,
                     help="compact the output log every N batches (0: never)")
+    ap.add_argument("--on-error", default="fail", choices=("fail", "drop"),
+                    help="malformed click and sale lines: stop, or leave out and count")
+    ap.add_argument("--lateness", type=float, default=None,
+                    help="leave out clicks more than so many seconds older than the newest one of earlier batches")
+    ap.add_argument("--refresh-inventory", action="store_true", help="read the inventory anew for every batch")
     args = ap.parse_args(argv)
     if not args.kafka and not (args.clicks and args.sales):
         ap.error("give --kafka or both --clicks and --sales")
@@ -312,10 +380,12 @@ def main(argv: list[str] | None = None) -> None:
     else:
         clicks = files.message_file_stream(spark, args.clicks)
         sales = files.message_file_stream(spark, args.sales)
-    inventory = files.csv_table(spark, args.inventory, schemas.PRODUCT, on_error="drop")
+    read_inventory = lambda: files.csv_table(spark, args.inventory, schemas.INVENTORY, on_error="drop")
+    inventory = read_inventory if args.refresh_inventory else read_inventory()
     outputs = (sinks.kafka(args.kafka, args.kafka_out_topic),) if args.kafka_out_topic else ()
     job = RecommendationStream(spark, args.root, inventory, args.k, args.window, args.rating_order, args.buckets,
-                               outputs=outputs, repeat=not args.no_repeat, compact_every=args.compact_every or None)
+                               outputs=outputs, repeat=not args.no_repeat, compact_every=args.compact_every or None,
+                               on_error=args.on_error, lateness=args.lateness)
     trigger = {"availableNow": True} if args.available_now else None
     job.start(clicks, sales, trigger=trigger).awaitTermination()
 

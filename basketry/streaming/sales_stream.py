@@ -12,8 +12,15 @@ Two time modes:
   (default 1 s); a window is emitted once, when the watermark passes its
   end (append mode); rows older than the watermark are dropped.
 * ``processing``: windows on the wall clock at which each micro-batch is
-  processed (stamped per batch, so not repeatable); a watermark on that
-  stamp lets finished windows leave the state.
+  processed (stamped per batch, so not repeatable), with a watermark on that
+  stamp.
+
+Both emit one final message per window, when the watermark passes its end
+(append mode), so the messages of a category can be added up. Spark moves the
+watermark with the rows it sees: the last window is sent once later rows come.
+
+Malformed lines stop the stream (``on_error="fail"``) or are left out and
+counted: every progress report holds the observed metric ``sale_lines``.
 """
 
 from __future__ import annotations
@@ -24,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketry.functions import encode, parse
 from basketry.operators import sales as sal
-from basketry.session import scratch_path
+from basketry.session import checkpoint_root, scratch_path
 from basketry.streaming import sinks
 
 TIME_MODES = ("event", "processing")
@@ -41,7 +48,7 @@ def sales_by_category_stream(
     """Windowed sums per category from a stream of sale messages."""
     if time_mode not in TIME_MODES:
         raise ValueError(f"time_mode must be one of {TIME_MODES}, not {time_mode!r}")
-    parsed = parse.parse_sales(messages, on_error=on_error, keep=["timestamp"])
+    parsed = parse.parse_sales(messages, on_error=on_error, keep=["timestamp"], observe="sale_lines")
     sales = parsed.withColumnRenamed("timestamp", "purchase_time")
     if time_mode == "processing":
         sales = sal.with_processing_time(sales.drop("purchase_time"), "purchase_time")
@@ -67,28 +74,23 @@ def start(
     print_rows: int = 0,
     trigger: dict | None = None,
     query_name: str = "sales_by_category",
-    output_mode: str | None = None,
+    on_error: str = "fail",
     extra_sinks: tuple[sinks.BatchSink, ...] = (),
 ) -> StreamingQuery:
     """Run the job: JSON messages to ``output_path`` (exactly-once per
     ``batch_id``) and, when ``print_rows`` > 0, a console print of each batch.
     The checkpoint defaults to the session's shared ``spark.checkpoint.dir``.
-
-    Output mode: ``append`` (one final message per window) for event time;
-    ``update`` (a message whenever a window's sum changes) for processing
-    time, whose windows close only as the wall clock moves on."""
-    if output_mode is None:
-        output_mode = "append" if time_mode == "event" else "update"
+    ``on_error``: see the module text."""
     if checkpoint_path is None:
         checkpoint_path = scratch_path(messages.sparkSession, f"checkpoints/{query_name}")
-    out = as_messages(sales_by_category_stream(messages, products, window, watermark, time_mode))
+    out = as_messages(sales_by_category_stream(messages, products, window, watermark, time_mode, on_error))
     targets = [sinks.json_messages(output_path)]
     if print_rows:
         targets.append(sinks.console(print_rows))
     targets.extend(extra_sinks)
     writer = (
         out.writeStream.queryName(query_name)
-        .outputMode(output_mode)
+        .outputMode("append")
         .option("checkpointLocation", checkpoint_path)
         .foreachBatch(sinks.fan_out(*targets))
     )
@@ -121,6 +123,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--watermark", default="1 second")
     ap.add_argument("--time-mode", default="event", choices=TIME_MODES)
     ap.add_argument("--print-rows", type=int, default=20)
+    ap.add_argument("--on-error", default="fail", choices=("fail", "drop"),
+                    help="malformed sale lines: stop, or leave out and count")
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--kafka-out-topic", default=None, help="also send the JSON messages to this topic")
     args = ap.parse_args(argv)
@@ -132,6 +136,7 @@ def main(argv: list[str] | None = None) -> None:
     # The dimension is read once: materialised with a reliable checkpoint (in
     # the shared spark.checkpoint.dir), which also takes the line-order id out
     # of the streaming plan (Spark rejects it there).
+    checkpoint_root(spark)
     products = products_from_lines(files.text_lines(spark, args.products)).checkpoint()
     extra = ()
     if args.kafka_out_topic:
@@ -139,8 +144,10 @@ def main(argv: list[str] | None = None) -> None:
         extra = (lambda df, batch_id: to_topic(df.select("value"), batch_id),)
     query = start(messages, products, args.out, args.checkpoint, args.window, args.watermark,
                   args.time_mode, args.print_rows, {"availableNow": True} if args.available_now else None,
-                  extra_sinks=extra)
+                  on_error=args.on_error, extra_sinks=extra)
     query.awaitTermination()
+    malformed = sum(p.observedMetrics["sale_lines"]["malformed"] for p in query.recentProgress if p.observedMetrics)
+    print(f"malformed lines left out: {malformed}")
 
 
 if __name__ == "__main__":

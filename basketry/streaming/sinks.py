@@ -9,21 +9,21 @@ even though the batch may be computed twice.
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators.common import latest_per_key
-from basketry.session import delete_path, list_names
+from basketry.session import delete_path, list_names, read_file, write_file
 
 BatchSink = Callable[[DataFrame, int], None]
 
-# source name of the partitions written by ``UpsertLog.compact``
-COMPACTED = "compacted"
-
 
 def write_batch_partition(
     df: DataFrame,
@@ -62,8 +62,11 @@ def table(path: str, partition_by: Sequence[str] = ()) -> BatchSink:
 
 
 def console(rows: int = 20) -> BatchSink:
+    """Print a preview of each batch. Bounded, as printing brings rows to the
+    driver; the whole result goes to the other sinks."""
+
     def sink(df: DataFrame, batch_id: int) -> None:
-        print(f"-- batch {batch_id}")
+        print(f"-- batch {batch_id}, preview of at most {rows} rows")
         df.show(rows, truncate=False)
 
     return sink
@@ -111,68 +114,95 @@ def fan_out(*sinks: BatchSink) -> BatchSink:
 class UpsertLog:
     """Append-only log of keyed rows; readers see the latest row per key.
 
-    ``write`` appends a batch under ``source=<name>/batch_id=<id>``
-    (idempotent). Writers emit the *complete* current rows of every key they
-    touch, so ``latest`` compacts on read as: the newest write of a key wins,
-    and within that write the row with the greatest ``order`` columns (for
-    recommendations: the newest window). A late update of an older window is
-    written together with the newer windows of the same key, so it cannot
-    replace them.
+    ``write`` puts a batch under ``batches/epoch=<e>/batch_id=<id>`` (idempotent).
+    Writes are ordered by epoch and batch id, never by a clock; the epoch numbers
+    the queries that have written the log. Writers emit the *complete* current
+    rows of every key they touch, so ``latest`` compacts on read as: the newest
+    write of a key wins, and within that write the row with the greatest
+    ``order`` columns (for recommendations: the newest window). A late update of
+    an older window is written together with the newer windows of the same key,
+    so it cannot replace them.
+
+    ``compact`` writes the latest rows as a new generation under a fresh name and
+    then switches to it with a marker that says through which write it reaches.
+    What the generation replaces is removed only by the next compaction, so a
+    crash loses nothing and a reader that has listed files can finish.
     """
 
     def __init__(self, path: str, key: Sequence[str], order: Sequence[str]) -> None:
         self.path = path
         self.key = list(key)
         self.order = list(order)
+        self.batches = os.path.join(path, "batches")
+        self.generations = os.path.join(path, "generations")
+        self.markers = os.path.join(path, "markers")
+
+    def _batch_path(self, epoch: int, batch_id: int) -> str:
+        return os.path.join(self.batches, f"epoch={epoch}", f"batch_id={batch_id}")
 
-    def write(self, df: DataFrame, batch_id: int, source: str = "main") -> None:
-        stamped = df.withColumn("written_at", F.current_timestamp()).withColumn("source", F.lit(source))
-        write_batch_partition(stamped, self.path, batch_id, partition_by=["source"])
+    def write(self, df: DataFrame, batch_id: int, epoch: int = 0) -> None:
+        df.write.mode("overwrite").parquet(self._batch_path(epoch, batch_id))
 
-    def sink(self, source: str = "main") -> BatchSink:
+    def sink(self, epoch: int = 0) -> BatchSink:
         def run(df: DataFrame, batch_id: int) -> None:
-            self.write(df, batch_id, source)
+            self.write(df, batch_id, epoch)
 
         return run
 
-    def read_all(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
-
-    def _partitions(self, spark: SparkSession) -> list[tuple[str, int]]:
-        """(source, batch id) of every written partition."""
+    def writes(self, spark: SparkSession) -> list[tuple[int, int]]:
+        """(epoch, batch id) of every write still there, in order."""
         found = []
-        for src in list_names(spark, self.path):
-            if not src.startswith("source="):
-                continue
-            for part in list_names(spark, os.path.join(self.path, src)):
-                if part.startswith("batch_id=") and part[len("batch_id="):].isdigit():
-                    found.append((src[len("source="):], int(part[len("batch_id="):])))
-        return found
-
-    def compact(self, spark: SparkSession, through_batch: int) -> None:
-        """Log compaction: one row per key, the one ``latest`` returns.
-
-        Written as the partition ``source=compacted/batch_id=<through_batch>``
-        (keeping each row's original ``written_at``, so later writes still
-        win), after which the partitions it covers are removed. Only
-        partitions listed before the read are removed, so a write that lands
-        meanwhile is kept. A crash between the write and the removals leaves
-        identical copies, which ``latest`` resolves to the same row; a rerun
-        overwrites the compacted partition with the same rows."""
-        covered = self._partitions(spark)
-        if not covered:
-            return
-        log = spark.read.option("basePath", self.path).parquet(
-            *[os.path.join(self.path, f"source={src}", f"batch_id={b}") for src, b in covered]
-        )
-        rows = latest_per_key(log, self.key, ["written_at", "batch_id", *self.order]).drop("batch_id", "source")
-        write_batch_partition(rows.withColumn("source", F.lit(COMPACTED)), self.path, through_batch,
-                              partition_by=["source"])
-        for src, b in covered:
-            if (src, b) != (COMPACTED, through_batch):
-                delete_path(spark, os.path.join(self.path, f"source={src}", f"batch_id={b}"))
+        for e in list_names(spark, self.batches):
+            if e.startswith("epoch="):
+                for b in list_names(spark, os.path.join(self.batches, e)):
+                    if b.startswith("batch_id="):
+                        found.append((int(e.removeprefix("epoch=")), int(b.removeprefix("batch_id="))))
+        return sorted(found)
+
+    def _marked(self, spark: SparkSession) -> list[dict]:
+        """The compaction markers, oldest first."""
+        names = sorted(n for n in list_names(spark, self.markers) if n.endswith(".json"))
+        return [json.loads(read_file(spark, os.path.join(self.markers, n))) for n in names]
+
+    def read_all(self, spark: SparkSession) -> DataFrame:
+        """The current generation and the writes after it, with ``epoch`` and
+        ``batch_id`` of each row."""
+        marked = self._marked(spark)
+        through = tuple(marked[-1]["through"]) if marked else (-1, -1)
+        parts = [spark.read.parquet(os.path.join(self.generations, marked[-1]["generation"]))] if marked else []
+        for e, b in self.writes(spark):
+            if (e, b) > through:
+                rows = spark.read.parquet(self._batch_path(e, b))
+                parts.append(rows.withColumns({"epoch": F.lit(e).cast("long"), "batch_id": F.lit(b).cast("long")}))
+        if not parts:
+            raise FileNotFoundError(f"nothing has been written to {self.path}")
+        return reduce(DataFrame.unionByName, parts)
+
+    def _latest(self, spark: SparkSession) -> DataFrame:
+        return latest_per_key(self.read_all(spark), self.key, ["epoch", "batch_id", *self.order])
 
     def latest(self, spark: SparkSession) -> DataFrame:
-        log = self.read_all(spark)
-        latest = latest_per_key(log, self.key, ["written_at", "batch_id", *self.order])
-        return latest.drop("written_at", "batch_id", "source")
+        return self._latest(spark).drop("epoch", "batch_id")
+
+    def compact(self, spark: SparkSession) -> None:
+        """Log compaction: one row per key, the one ``latest`` returns. Does
+        nothing when nothing was written since the last one."""
+        marked, writes = self._marked(spark), self.writes(spark)
+        through = tuple(marked[-1]["through"]) if marked else (-1, -1)
+        if not any(w > through for w in writes):
+            return
+        number = marked[-1]["number"] + 1 if marked else 0
+        generation = f"{number:06d}-{uuid.uuid4().hex}"
+        # an earlier generation's folder is never written to again
+        self._latest(spark).write.parquet(os.path.join(self.generations, generation))
+        marker = {"number": number, "generation": generation, "through": writes[-1]}
+        write_file(spark, os.path.join(self.markers, f"{number:06d}.json"), json.dumps(marker))
+        for e, b in writes:
+            if (e, b) <= through:
+                delete_path(spark, self._batch_path(e, b))
+        kept = {generation, *(m["generation"] for m in marked[-1:])}
+        for name in list_names(spark, self.generations):
+            if name not in kept:
+                delete_path(spark, os.path.join(self.generations, name))
+        for m in marked[:-1]:
+            delete_path(spark, os.path.join(self.markers, f"{m['number']:06d}.json"))

@@ -1,0 +1,162 @@
+"""State of a stream as immutable segments, one manifest per batch.
+
+A batch adds one small segment per table (its own reduced rows, partitioned by
+``ubucket``) and commits by writing a manifest that lists all live segments.
+Nothing is changed in place, so a crash at any point leaves the last manifest's
+segments whole; a replayed batch that finds its manifest is already done.
+
+Segments of like size are folded: when ``fan_in`` of them have come together,
+they are read, reduced and written as one. A row is written again about once per
+power of ``fan_in`` that the state grows by, so a batch costs in proportion to
+its own rows, not to the state; a table has at most ``fan_in`` segments per power.
+
+One writer at a time: every query id that uses a state folder gets the next epoch
+number, and a query whose epoch has been overtaken is refused.
+"""
+
+from __future__ import annotations
+
+import json
+import math
+import os
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from basketry.session import delete_path, list_names, path_exists, read_file, write_file
+
+Reduce = Callable[[DataFrame], DataFrame]
+
+
+class SettingsMismatch(ValueError):
+    """The folder holds state that was made with other settings."""
+
+
+class SegmentedState:
+    """Tables of reduced rows under ``root``; ``tables`` maps a name to its schema
+    (with an ``ubucket`` column) and the function that reduces rows of it."""
+
+    def __init__(self, spark: SparkSession, root: str, tables: dict[str, tuple[T.StructType, Reduce]], fan_in: int = 8) -> None:
+        self.spark, self.root, self.tables, self.fan_in = spark, root, tables, fan_in
+
+    # --- settings and writers
+    def check_settings(self, settings: dict) -> None:
+        """Record the settings at the first start; later ones must be the same."""
+        path = os.path.join(self.root, "settings.json")
+        if not path_exists(self.spark, path):
+            write_file(self.spark, path, json.dumps(settings))
+            return
+        held = json.loads(read_file(self.spark, path))
+        changed = {k: (held.get(k), v) for k, v in settings.items() if held.get(k) != v}
+        if changed:
+            raise SettingsMismatch(
+                "the state in " + self.root + " was made with other settings ("
+                + ", ".join(f"{k}: {was!r}, now {now!r}" for k, (was, now) in changed.items())
+                + "); use the same ones or a new root"
+            )
+
+    def epoch(self, writer: str) -> int:
+        """The writer's epoch number; a new writer gets the next one."""
+        folder = os.path.join(self.root, "epochs")
+        known = {name.split("-", 1)[1]: int(name.split("-", 1)[0]) for name in list_names(self.spark, folder) if not name.endswith(".tmp")}
+        if writer not in known:
+            known[writer] = max(known.values(), default=-1) + 1
+            write_file(self.spark, os.path.join(folder, f"{known[writer]:06d}-{writer}"), "")
+        if known[writer] < max(known.values()):
+            raise SettingsMismatch(f"the state in {self.root} has been taken over by a later query; {writer} cannot go on")
+        return known[writer]
+
+    # --- manifests
+    def _manifests(self) -> list[str]:
+        return sorted(n for n in list_names(self.spark, os.path.join(self.root, "manifests")) if n.endswith(".json"))
+
+    def _load(self, name: str) -> dict:
+        return json.loads(read_file(self.spark, os.path.join(self.root, "manifests", name)))
+
+    @staticmethod
+    def _name(epoch: int, batch_id: int) -> str:
+        return f"{epoch:06d}-{batch_id:012d}.json"
+
+    def done(self, epoch: int, batch_id: int) -> dict | None:
+        """The batch's own manifest, if it has been committed."""
+        name = self._name(epoch, batch_id)
+        return self._load(name) if name in self._manifests() else None
+
+    def before(self, epoch: int, batch_id: int) -> dict:
+        """The manifest that the batch builds on (empty for the first)."""
+        earlier = [n for n in self._manifests() if n < self._name(epoch, batch_id)]
+        return self._load(earlier[-1]) if earlier else {"segments": {t: [] for t in self.tables}, "facts": {}}
+
+    def current(self) -> dict | None:
+        names = self._manifests()
+        return self._load(names[-1]) if names else None
+
+    # --- segments
+    def _path(self, table: str, segment: str) -> str:
+        return os.path.join(self.root, "segments", table, segment)
+
+    def _write(self, table: str, segment: str, rows: DataFrame) -> dict | None:
+        path = self._path(table, segment)
+        rows.repartition("ubucket").write.mode("overwrite").partitionBy("ubucket").parquet(path)
+        count = self._read(table, [segment]).count()
+        return {"name": segment, "rows": count} if count else None
+
+    def _read(self, table: str, segments: list[str]) -> DataFrame:
+        schema = self.tables[table][0]
+        out = self.spark.createDataFrame([], schema)
+        for s in segments:
+            out = out.unionByName(self.spark.read.schema(schema).parquet(self._path(table, s)))
+        return out
+
+    def read(self, manifest: dict, table: str, buckets: list[int] | None = None) -> DataFrame:
+        """The table's reduced rows, of some buckets only if given."""
+        rows = self._read(table, [s["name"] for s in manifest["segments"][table]])
+        rows = rows if buckets is None else rows.where(F.col("ubucket").isin(buckets))
+        return self.tables[table][1](rows)
+
+    def _tier(self, segment: dict) -> int:
+        return int(math.log(segment["rows"], self.fan_in))
+
+    def _folded(self, table: str, segments: list[dict], label: str) -> list[dict]:
+        fold = 0
+        while True:
+            tiers: dict[int, list[dict]] = {}
+            for s in segments:
+                tiers.setdefault(self._tier(s), []).append(s)
+            full = next((group for _, group in sorted(tiers.items()) if len(group) >= self.fan_in), None)
+            if not full:
+                return segments
+            rows = self.tables[table][1](self._read(table, [s["name"] for s in full]))
+            merged = self._write(table, f"{label}-fold{fold}", rows)
+            segments = [s for s in segments if s not in full] + [merged]
+            fold += 1
+
+    # --- a batch
+    def commit(self, epoch: int, batch_id: int, rows: dict[str, DataFrame], facts: dict) -> dict:
+        """Add the batch's reduced rows; returns the new manifest. A batch that has
+        been committed before is left as it is."""
+        if found := self.done(epoch, batch_id):
+            return found
+        parent = self.before(epoch, batch_id)
+        label = f"{epoch:06d}-{batch_id:012d}"
+        segments = {}
+        for table, new in rows.items():
+            written = self._write(table, label, new)
+            segments[table] = self._folded(table, parent["segments"][table] + ([written] if written else []), label)
+        manifest = {"segments": segments, "facts": facts}
+        write_file(self.spark, os.path.join(self.root, "manifests", self._name(epoch, batch_id)), json.dumps(manifest))
+        self._clean(parent, manifest, self._name(epoch, batch_id))
+        return manifest
+
+    def _clean(self, parent: dict, manifest: dict, name: str) -> None:
+        """Remove what neither this manifest nor the one before it names."""
+        names = self._manifests()
+        for old in names[: max(0, names.index(name) - 1)]:
+            delete_path(self.spark, os.path.join(self.root, "manifests", old))
+        for table in self.tables:
+            live = {s["name"] for m in (parent, manifest) for s in m["segments"][table]}
+            for segment in list_names(self.spark, os.path.join(self.root, "segments", table)):
+                if segment not in live:
+                    delete_path(self.spark, self._path(table, segment))

@@ -32,11 +32,11 @@ def test_recommend_stream_cli(spark):
     root = tempfile.mkdtemp(prefix="basketry-cli-")
     inventory = os.path.join(root, "inventory.csv")
     with open(inventory, "w") as fh:
-        fh.write("1,a,5,3\n2,a,5,9\nx,a,1,1\n")
+        fh.write("1,a,5,3\n2,a,5,9\nx,a\n")
     spark.createDataFrame([("7,1", T0 + dt.timedelta(seconds=1))], MSG).write.parquet(os.path.join(root, "clicks"))
     spark.createDataFrame([("1,7,1,1,1", T0)], MSG).write.parquet(os.path.join(root, "sales"))
     state = os.path.join(root, "state")
     recommend_stream.main(["--clicks", os.path.join(root, "clicks"), "--sales", os.path.join(root, "sales"),
                            "--inventory", inventory, "--root", state, "--buckets", "4", "--available-now"])
     latest = UpsertLog(os.path.join(state, "recommendations"), ["user_id"], ["event_time"]).latest(spark).collect()
-    assert [(r.user_id, r.top_product_ids) for r in latest] == [(7, "1,2")]
+    assert [(r.user_id, r.top_product_ids) for r in latest] == [("7", "1,2")]

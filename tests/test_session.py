@@ -1,4 +1,22 @@
-from basketry.session import checkpoint_root, scale_conf, scratch_path
+from types import SimpleNamespace
+
+import pytest
+
+from basketry.session import checkpoint_root, read_file, scale_conf, scratch_path, write_file
+
+
+def test_a_cluster_needs_a_shared_folder():
+    conf = SimpleNamespace(get=lambda key, default: default)
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: conf)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(SimpleNamespace(sparkContext=context))
+
+
+def test_small_files(spark):
+    path = scratch_path(spark, "small/one.json")
+    for text in ("{}", "ü"):
+        write_file(spark, path, text)
+        assert read_file(spark, path) == text
 
 
 def test_checkpoint_root_is_stable_and_used_for_scratch(spark):

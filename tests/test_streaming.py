@@ -6,6 +6,7 @@ Message topics are stood in for by folders of parquet files holding
 import datetime as dt
 import os
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,7 +17,8 @@ from basketry.operators import sales as sal
 from basketry.operators.common import latest_per_key
 from basketry.schemas import CLICK_FIELDS, SALES_FIELDS
 from basketry.sources import files, testdata
-from basketry.streaming import recommend_stream, sales_stream
+from basketry.streaming import recommend_stream, sales_stream, sinks, state
+from basketry.streaming.state import SettingsMismatch
 
 SF = "/root/testdata/sf0.001"
 
@@ -177,17 +179,197 @@ def test_recommend_stream_without_repeats_equals_batch(spark):
     assert want != rows(batch_latest(spark, clicks, sales_df, inv))
 
 
+MSG = "value string, timestamp timestamp"
+T0 = dt.datetime(2024, 1, 1)
+TWO = [("1", "a", "5", "3"), ("2", "b", "5", "9")]
+
+
+def at(s):
+    return T0 + dt.timedelta(seconds=s)
+
+
+def inventory_of(spark, rows_):
+    return spark.createDataFrame(rows_, "product_id string, category string, stock string, rating string")
+
+
+def job_of(spark, root, rows_=TWO, **settings):
+    inv = rows_ if callable(rows_) else inventory_of(spark, rows_)
+    return recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, **settings)
+
+
+def send(spark, job, clicks, batch_id, source="clicks"):
+    messages = spark.createDataFrame(clicks, MSG)
+    job.apply(job._clicks(messages, batch_id), job._no_sales(), batch_id, source)
+
+
+def buy(spark, job, sales, batch_id, source="clicks"):
+    job.apply(job._no_clicks(), job._sales(spark.createDataFrame(sales, MSG), batch_id), batch_id, source)
+
+
+def views_of(job):
+    return sorted(map(tuple, job.state.read(job.state.current(), "views").collect()))
+
+
+def lists(job):
+    return sorted((r.user_id, r.top_product_ids) for r in job.latest().collect())
+
+
 def test_replayed_batch_leaves_sink_unchanged(spark):
     root = scratch()
     inv = testdata.inventory(spark, SF)
     job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, buckets=4)
     batch = click_messages(spark).limit(50)
     job.on_clicks(batch, 0)
-    first = sorted(map(tuple, job.log.read_all(spark).drop("written_at").collect()))
-    state = sorted(map(tuple, spark.read.parquet(job.views_path).collect()))
+    first = sorted(map(tuple, job.log.read_all(spark).collect()))
+    state = views_of(job)
     job.on_clicks(batch, 0)
-    assert sorted(map(tuple, job.log.read_all(spark).drop("written_at").collect())) == first
-    assert sorted(map(tuple, spark.read.parquet(job.views_path).collect())) == state
+    assert sorted(map(tuple, job.log.read_all(spark).collect())) == first
+    assert views_of(job) == state and len(state) > 0
+
+
+@pytest.mark.parametrize("changed", [{"buckets": 64}, {"k": 4}, {"rating_order": "string"}])
+def test_other_settings_on_old_state_are_refused(spark, changed):
+    root = scratch()
+    send(spark, job_of(spark, root, buckets=4, k=2), [("7,1", at(0))], 0)
+    with pytest.raises(SettingsMismatch):
+        job_of(spark, root, **({"buckets": 4, "k": 2} | changed))
+    with pytest.raises(SettingsMismatch):
+        job_of(spark, root, [*TWO, ("3", "a", "1", "1")], buckets=4, k=2)
+    # the same settings, and the same inventory in another order, go on
+    job = job_of(spark, root, TWO[::-1], buckets=4, k=2)
+    send(spark, job, [("7,2", at(1))], 1)
+    assert [v[2] for v in views_of(job)] == ["a", "b"]
+
+
+def test_new_checkpoint_on_old_state_goes_on_from_it(spark):
+    root = scratch()
+    job = job_of(spark, root)
+    send(spark, job, [("7,1", at(0))], 0, "query-a")
+    send(spark, job, [("8,1", at(0))], 1, "query-a")
+    # a new query counts its batches from 0 again: nothing of it is taken for done
+    send(spark, job, [("9,2", at(1))], 0, "query-b")
+    assert lists(job) == [("7", "1"), ("8", "1"), ("9", "2")]
+    assert [v[0] for v in views_of(job)] == ["7", "8", "9"]
+    # the old query would write over what the new one has
+    with pytest.raises(SettingsMismatch):
+        send(spark, job, [("7,2", at(2))], 2, "query-a")
+
+
+def test_new_checkpoint_through_start(spark):
+    root = scratch()
+    for i, user in enumerate(("7", "8")):
+        clicks, sales = os.path.join(root, f"clicks{i}"), os.path.join(root, f"sales{i}")
+        spark.createDataFrame([(f"{user},1", at(i))], MSG).write.parquet(clicks)
+        spark.createDataFrame([(f"1,{user},1,1,1", at(i))], MSG).write.parquet(sales)
+        job = job_of(spark, root)
+        q = job.start(files.message_file_stream(spark, clicks), files.message_file_stream(spark, sales),
+                      os.path.join(root, f"ckpt{i}"), {"availableNow": True})
+        run_available_now(q)
+    assert lists(job) == [("7", "1"), ("8", "1")]
+
+
+@pytest.mark.parametrize("stop_at", ["segment", "manifest", "log"])
+def test_crash_and_replay(spark, stop_at, monkeypatch):
+    """A crash after a segment, before the manifest, or before the output."""
+    root = scratch()
+    job = job_of(spark, root)
+    send(spark, job, [("7,1", at(0))], 0)
+    real = {"segment": state.SegmentedState._folded, "manifest": state.write_file, "log": sinks.UpsertLog.write}[stop_at]
+    place = {"segment": (state.SegmentedState, "_folded"), "manifest": (state, "write_file"), "log": (sinks.UpsertLog, "write")}[stop_at]
+
+    def crash(*a, **b):
+        raise RuntimeError("crash")
+
+    monkeypatch.setattr(*place, crash)
+    with pytest.raises(RuntimeError):
+        send(spark, job, [("7,2", at(1))], 1)
+    monkeypatch.setattr(*place, real)
+    again = job_of(spark, root)
+    send(spark, again, [("7,2", at(1))], 1)
+    send(spark, again, [("8,2", at(2))], 2)
+    assert [v[2] for v in views_of(again)] == ["a", "b", "b"]
+    assert lists(again) == [("7", "2,1"), ("8", "2")] or lists(again) == [("7", "1,2"), ("8", "2")]
+
+
+def test_unreadable_state_is_an_error_not_an_empty_state(spark):
+    from basketry.session import delete_path
+
+    root = scratch()
+    job = job_of(spark, root)
+    send(spark, job, [("7,1", at(0))], 0)
+    delete_path(spark, os.path.join(job.state.root, "segments"))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        send(spark, job, [("7,2", at(1))], 1)
+
+
+def test_bytes_written_follow_the_batch_not_the_state(spark):
+    def size(path):
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+    written = []
+    for users in (200, 2000):
+        root = scratch()
+        job = job_of(spark, root, buckets=4)
+        send(spark, job, [(f"{u},{1 + u % 2}", at(u)) for u in range(users)], 0)
+        before = set(os.listdir(os.path.join(job.state.root, "segments", "views")))
+        send(spark, job, [("5,1", at(9999))], 1)
+        new = set(os.listdir(os.path.join(job.state.root, "segments", "views"))) - before
+        written.append(sum(size(os.path.join(job.state.root, "segments", "views", n)) for n in new))
+        assert len(views_of(job)) == users + 1
+    assert 0 < written[1] <= 1.2 * written[0]
+
+
+def test_segments_are_folded(spark):
+    root = scratch()
+    job = job_of(spark, root, buckets=2, compact_every=None)
+    job.state.fan_in = 3
+    for i in range(10):
+        send(spark, job, [(f"{i},1", at(i))], i)
+    assert [v[0] for v in views_of(job)] == [str(i) for i in range(10)]
+    segments = job.state.current()["segments"]["views"]
+    assert len(segments) < 6 and sum(s["rows"] for s in segments) == 10
+    # folders that no manifest names are removed
+    assert len(os.listdir(os.path.join(job.state.root, "segments", "views"))) <= 2 * len(segments) + 2
+    assert len(job.state._manifests()) == 2
+
+
+def test_late_clicks_are_left_out_and_counted(spark):
+    root = scratch()
+    job = job_of(spark, root, lateness=10)
+    send(spark, job, [("7,1", at(100)), ("8,1", at(5))], 0)  # old, but not older than an earlier batch
+    send(spark, job, [("9,1", at(89)), ("10,1", at(90))], 1)
+    assert [v[0] for v in views_of(job)] == ["10", "7", "8"]
+    assert job.left_out == {1: {"late_clicks": 1}}
+    # a replay leaves out the same rows
+    send(spark, job, [("9,1", at(89)), ("10,1", at(90))], 1)
+    assert lists(job) == [("10", "1"), ("7", "1"), ("8", "1")]
+
+
+def test_inventory_is_refreshed_per_batch(spark):
+    root = scratch()
+    stock = {"rows": [("1", "a", "5", "3"), ("2", "a", "0", "9")]}
+    job = job_of(spark, root, lambda: inventory_of(spark, stock["rows"]))
+    buy(spark, job, [("1,7,2,1,1", at(0))], 0)  # bought while out of stock
+    send(spark, job, [("7,1", at(1)), ("8,1", at(1))], 1)
+    assert lists(job) == [("7", "1"), ("8", "1")]
+    # product 2 is back: bought by 7, so first; 8 keeps its list until touched
+    stock["rows"] = [("1", "a", "5", "3"), ("2", "a", "4", "1"), ("3", "a", "1", "2")]
+    send(spark, job, [("7,1", at(2))], 2)
+    assert lists(job) == [("7", "2,2,1,1,3,3"), ("8", "1")] or lists(job)[1] == ("8", "1")
+    assert lists(job)[0][1].startswith("2")
+    send(spark, job, [("8,3", at(3))], 3)
+    assert dict(lists(job))["8"].split(",")[0] == "1"
+    assert len(os.listdir(os.path.join(job.root, "inventory"))) == 2
+
+
+def test_malformed_lines_stop_the_stream_or_are_counted(spark):
+    root = scratch()
+    clicks = [("u7,1", at(0)), ("broken", at(0))]
+    with pytest.raises(Exception, match="malformed click"):
+        send(spark, job_of(spark, root), clicks, 0)
+    job = job_of(spark, scratch(), on_error="drop")
+    send(spark, job, clicks, 0)
+    assert job.left_out == {0: {"malformed_clicks": 1}} and lists(job) == [("u7", "1")]
 
 
 def test_upsert_newest_window_stays(spark):
@@ -200,31 +382,59 @@ def test_upsert_newest_window_stays(spark):
     # a late click for the first window
     job.on_clicks(spark.createDataFrame([("7,2", t0 + dt.timedelta(seconds=3))], msg), 1)
     out = job.latest().collect()
-    assert len(out) == 1 and out[0].event_time == t0 + dt.timedelta(seconds=10)
+    assert [r.user_id for r in out] == ["7"] and out[0].event_time == t0 + dt.timedelta(seconds=10)
 
 
-def test_processing_time_totals_and_fan_out(spark, capsys):
+def test_processing_time_sends_one_final_sum_per_window(spark, capsys):
+    """Batches that share a window add up to one message; nothing is sent twice."""
     root = scratch()
     src = os.path.join(root, "in")
-    msgs = sale_messages(spark)
-    msgs.coalesce(1).write.parquet(src)
-    inv = testdata.inventory(spark, SF)
-    stream = files.message_file_stream(spark, src)
-    q = sales_stream.start(stream, inv, os.path.join(root, "out"), os.path.join(root, "ckpt"),
-                           window="1 hour", time_mode="processing", print_rows=5,
-                           trigger={"availableNow": True})
-    run_available_now(q)
-    got = spark.read.json(os.path.join(root, "out")).agg(F.sum("sales")).collect()[0][0]
-    parsed = parse.parse_sales(msgs)
-    want = sal.enrich_sales(parsed, inv).agg(F.sum("sales")).collect()[0][0]
-    assert got == want
-    assert "-- batch 0" in capsys.readouterr().out
+    inv = spark.createDataFrame([(1, "toys", 5, 5)], "product_id long, category string, stock int, rating int")
+    spark.createDataFrame([("1,1,1,2,5", T0)], MSG).coalesce(1).write.parquet(src)
+    stream = files.message_file_stream(spark, src, max_files_per_trigger=1)
+    q = sales_stream.start(stream, inv, os.path.join(root, "out"), os.path.join(root, "ckpt"), window="3 seconds",
+                           watermark="0 seconds", time_mode="processing", print_rows=5)
+    for i in range(2):  # three batches of 2 in all
+        q.processAllAvailable()
+        spark.createDataFrame([(f"{2 + i},1,1,2,5", T0)], MSG).coalesce(1).write.mode("append").parquet(src)
+    q.processAllAvailable()
+    # later rows of an unknown product move the watermark past the windows
+    for _ in range(3):
+        time.sleep(3.1)
+        sentinel(spark, T0).coalesce(1).write.mode("append").parquet(src)
+        q.processAllAvailable()
+    q.stop()
+    sums = [r.sales for r in spark.read.json(os.path.join(root, "out")).collect()]
+    assert sum(sums) == 6 and all(s in (2, 4, 6) for s in sums)
+    assert "-- batch 0, preview of at most 5 rows" in capsys.readouterr().out
+
+
+def test_sales_stream_leaves_out_and_reports_malformed_lines(spark):
+    root = scratch()
+    src = os.path.join(root, "in")
+    lines = [("1,1,1,2,5", T0), ("bad", T0), ("2,1,1,3,x", T0), ("-1,-1,-1,1,1", at(1e5))]
+    spark.createDataFrame(lines, MSG).coalesce(1).write.parquet(src)
+    sentinel(spark, at(2e5)).coalesce(1).write.mode("append").parquet(src)
+    inv = spark.createDataFrame([(1, "toys", 5, 5)], "product_id long, category string, stock int, rating int")
+
+    def run(on_error):
+        q = sales_stream.start(files.message_file_stream(spark, src, max_files_per_trigger=1), inv,
+                               os.path.join(root, on_error), os.path.join(root, "ckpt" + on_error),
+                               trigger={"availableNow": True}, on_error=on_error)
+        q.awaitTermination(300)
+        return q
+
+    q = run("drop")
+    assert q.exception() is None
+    assert [r.sales for r in spark.read.json(os.path.join(root, "drop")).collect()] == [2]
+    assert sum(p.observedMetrics["sale_lines"]["malformed"] for p in q.recentProgress if p.observedMetrics) == 2
+    with pytest.raises(Exception):
+        run("fail")
 
 
 def test_recommend_extra_output_gets_keyed_records(spark):
     inv = spark.createDataFrame([(1, "a", 5, 3), (2, "a", 5, 9)], "product_id long, category string, stock int, rating int")
     root = scratch()
-    from basketry.streaming import sinks
     out = os.path.join(root, "records")
     job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, buckets=4,
                                                 outputs=(sinks.table(out),))
@@ -234,61 +444,74 @@ def test_recommend_extra_output_gets_keyed_records(spark):
     assert got == [("7", '7,"2,1",2024-01-01 00:00:05.000')]
 
 
-def test_replay_after_partial_state_commit_restores_state(spark):
-    from basketry.session import delete_path, list_names
+LOG_SCHEMA = "user_id long, top_product_ids string, event_time timestamp"
 
-    inv = spark.createDataFrame([(1, "a", 5, 3), (2, "b", 5, 9)], "product_id long, category string, stock int, rating int")
-    root = scratch()
-    job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, buckets=4)
-    t0 = dt.datetime(2024, 1, 1)
-    msg = "value string, timestamp timestamp"
-    batches = [[("7,1", t0)], [("7,2", t0 + dt.timedelta(seconds=1))], [("7,1", t0 + dt.timedelta(seconds=20))]]
-    for i, rows_ in enumerate(batches):
-        job.on_clicks(spark.createDataFrame(rows_, msg), i)
-    state = sorted(map(tuple, spark.read.parquet(job.views_path).collect()))
-    latest = sorted(map(tuple, job.latest().collect()))
-    assert {r[2] for r in state} == {"a", "b"}
-    # a crash while batch 2 replaced its state partitions: the old partition
-    # of the touched bucket was removed and the new one not yet moved in
-    bucket = spark.read.parquet(job.views_path).select("ubucket").first()[0]
-    delete_path(spark, os.path.join(job.views_path, f"ubucket={bucket}"))
-    job.on_clicks(spark.createDataFrame(batches[2], msg), 2)
-    assert sorted(map(tuple, spark.read.parquet(job.views_path).collect())) == state
-    assert sorted(map(tuple, job.latest().collect())) == latest
-    # staging tables of earlier batches are removed, the latest is kept
-    assert list_names(spark, job.views_path + "_staging") == ["clicks-2"]
 
+def new_log():
+    return sinks.UpsertLog(os.path.join(scratch(), "log"), ["user_id"], ["event_time"])
 
 
-def test_upsert_log_compaction_keeps_latest(spark):
-    from basketry.streaming.sinks import UpsertLog
+def current(spark, log):
+    return sorted((r.user_id, r.top_product_ids) for r in log.latest(spark).collect())
 
-    log = UpsertLog(os.path.join(scratch(), "log"), ["user_id"], ["event_time"])
-    t0 = dt.datetime(2024, 1, 1)
-    schema = "user_id long, top_product_ids string, event_time timestamp"
+
+def test_upsert_log_order_is_by_write_not_by_clock(spark):
+    """A later epoch (a query started anew) wins over higher batch ids."""
+    log = new_log()
+    log.write(spark.createDataFrame([(1, "old", at(50))], LOG_SCHEMA), 7, epoch=0)
+    log.write(spark.createDataFrame([(1, "new", at(0))], LOG_SCHEMA), 0, epoch=1)
+    assert current(spark, log) == [(1, "new")]
+
+
+def test_upsert_log_compaction_keeps_latest(spark):
+    log = new_log()
     writes = [
-        [(1, "1,2", t0), (2, "3", t0)],
-        [(1, "1,2", t0), (1, "4", t0 + dt.timedelta(seconds=5))],
-        [(3, "5", t0)],
-        [(2, "6,7", t0 + dt.timedelta(seconds=10))],
+        [(1, "1,2", at(0)), (2, "3", at(0))],
+        [(1, "1,2", at(0)), (1, "4", at(5))],
+        [(3, "5", at(0))],
+        [(2, "6,7", at(10))],
     ]
     for b, rows_ in enumerate(writes[:3]):
-        log.write(spark.createDataFrame(rows_, schema), b)
-    before = sorted(map(tuple, log.latest(spark).collect()))
-    log.compact(spark, 2)
-    assert sorted(map(tuple, log.latest(spark).collect())) == before
-    assert log._partitions(spark) == [("compacted", 2)]
-    assert log.read_all(spark).count() == 3
-    # a replayed batch compacts again over its own output: same rows
-    log.compact(spark, 2)
-    assert sorted(map(tuple, log.latest(spark).collect())) == before
-    assert log._partitions(spark) == [("compacted", 2)] and log.read_all(spark).count() == 3
-    # a later write still wins over the compacted rows
-    log.write(spark.createDataFrame(writes[3], schema), 3)
-    log.compact(spark, 3)
-    got = sorted((r.user_id, r.top_product_ids) for r in log.latest(spark).collect())
-    assert got == [(1, "4"), (2, "6,7"), (3, "5")]
-    assert log._partitions(spark) == [("compacted", 3)]
+        log.write(spark.createDataFrame(rows_, LOG_SCHEMA), b)
+    before = current(spark, log)
+    log.compact(spark)
+    assert current(spark, log) == before and log.read_all(spark).count() == 3
+    # nothing new: nothing happens; a replay of a covered batch changes nothing
+    log.compact(spark)
+    log.write(spark.createDataFrame(writes[2], LOG_SCHEMA), 2)
+    assert current(spark, log) == before and len(os.listdir(log.markers)) >= 1
+    # a later write still wins over the compacted rows; covered writes go with the next compaction
+    log.write(spark.createDataFrame(writes[3], LOG_SCHEMA), 3)
+    log.compact(spark)
+    assert current(spark, log) == [(1, "4"), (2, "6,7"), (3, "5")]
+    assert log.writes(spark) == [(0, 3)]
+
+
+@pytest.mark.parametrize("stop_at", ["before the marker", "while removing"])
+def test_crash_in_compaction_loses_nothing(spark, stop_at, monkeypatch):
+    log = new_log()
+    for b in range(3):
+        log.write(spark.createDataFrame([(b, str(b), at(b))], LOG_SCHEMA), b)
+        if b == 1:
+            log.compact(spark)
+    reader = log.latest(spark)  # has listed its files
+    before = current(spark, log)
+    calls = []
+
+    def crash(*a):
+        calls.append(a)
+        raise RuntimeError("crash")
+
+    real = sinks.write_file if stop_at == "before the marker" else sinks.delete_path
+    name = "write_file" if stop_at == "before the marker" else "delete_path"
+    monkeypatch.setattr(sinks, name, crash)
+    with pytest.raises(RuntimeError):
+        log.compact(spark)
+    monkeypatch.setattr(sinks, name, real)
+    assert current(spark, log) == before and len(reader.collect()) == 3
+    log.write(spark.createDataFrame([(9, "9", at(9))], LOG_SCHEMA), 3)
+    log.compact(spark)
+    assert current(spark, log) == sorted([*before, (9, "9")])
 
 
 def test_recommend_stream_with_compaction_equals_batch(spark):
@@ -309,7 +532,7 @@ def test_recommend_stream_with_compaction_equals_batch(spark):
     sales_df = parse.decode_sales(spark.read.parquet(sales_src), keep=["timestamp"]).withColumnRenamed(
         "timestamp", "purchase_time")
     assert rows(job.latest()) == rows(batch_latest(spark, clicks, sales_df, inv))
-    assert ("compacted", 1) in job.log._partitions(spark)
+    assert os.listdir(job.log.markers)
 
 
 def test_kafka_factories_fail_fast_without_the_connector(spark):
