@@ -8,7 +8,7 @@ Two decoders:
   numbers are read strictly: an optional sign and digits, no blanks, in
   range for the type.
 * ``csv_fields``: a CSV-format table/topic (quoted fields honoured), the
-  recommendation job's sources, via ``from_csv``.
+  recommendation job's sources, via ``from_csv``. Its topics' fields are text.
 
 Both take ``on_error``: ``fail`` raises on the first bad line, ``drop`` leaves
 bad lines out, ``quarantine`` keeps them with null fields and the raw text in
@@ -61,8 +61,13 @@ def split_fields(
     on_error: str = "fail",
     keep: list[str] | None = None,
     what: str = "",
+    observe: str | None = None,
 ) -> DataFrame:
-    """Positional split parser (quotes removed, comma split, strict numbers)."""
+    """Positional split parser (quotes removed, comma split, strict numbers).
+
+    ``observe`` names a Spark observed metric with the counts ``lines`` and
+    ``malformed`` (a stream reports it with every batch's progress).
+    """
     _check_mode(on_error)
     keep = list(keep or [])
     # Split once, as the output of a one-row explode. Catalyst pushes a filter
@@ -85,6 +90,8 @@ def split_fields(
             checks.append(raw.isNotNull())
         typed.append((field.name, value))
     ok = F.coalesce(reduce(lambda a, b: a & b, checks), F.lit(False))
+    if observe:
+        lines = lines.observe(observe, F.count(F.lit(1)).alias("lines"), F.count_if(~ok).alias("malformed"))
     return _apply_errors(lines, ok, typed, value_col, keep, on_error, what)
 
 
@@ -94,46 +101,40 @@ def csv_fields(
     value_col: str = "value",
     on_error: str = "drop",
     keep: list[str] | None = None,
+    what: str = "",
 ) -> DataFrame:
     """CSV-format decoder: ``from_csv`` with the declared schema.
 
     A line is malformed when a field does not convert, a field is missing or
-    there are extra fields. Empty lines carry no record and are skipped.
+    there are extra fields. Empty lines carry no record and are skipped. The
+    whole line is always decoded and judged, whatever fields are used later.
     """
     _check_mode(on_error)
     keep = list(keep or [])
+    decoded = _decoded(lines, schema, value_col, keep)
+    typed = [(f.name, F.col(f"_rec.{f.name}")) for f in schema.fields]
+    return _apply_errors(decoded, F.col("_rec._corrupt_record").isNull(), typed, value_col, keep, on_error, what)
+
+
+def _decoded(lines: DataFrame, schema: T.StructType, value_col: str, keep: list[str]) -> DataFrame:
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     ddl += ", `_corrupt_record` string"
-    decoded = lines.where(F.col(value_col) != "").select(
-        *keep,
-        F.col(value_col),
-        F.from_csv(
-            F.col(value_col),
-            ddl,
-            {
-                "mode": "FAILFAST" if on_error == "fail" else "PERMISSIVE",
-                "columnNameOfCorruptRecord": "_corrupt_record",
-            },
-        ).alias("_rec"),
-    )
-    fields = [F.col(f"_rec.{f.name}").alias(f.name) for f in schema.fields]
-    if on_error == "drop":
-        return decoded.where(F.col("_rec._corrupt_record").isNull()).select(*keep, *fields)
-    if on_error == "quarantine":
-        bad = F.col("_rec._corrupt_record").isNotNull()
-        return decoded.select(
-            *keep,
-            *[F.when(~bad, c).alias(f.name) for c, f in zip(fields, schema.fields)],
-            F.col("_rec._corrupt_record").alias("_corrupt_record"),
-        )
-    return decoded.select(*keep, *fields)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    # decoded once, as the output of a one-row explode (see ``split_fields``)
+    record = F.explode(F.array(F.from_csv(F.col(value_col), ddl, options))).alias("_rec")
+    return lines.where(F.col(value_col) != "").select(*keep, F.col(value_col), record)
+
+
+def malformed_count(lines: DataFrame, schema: T.StructType, value_col: str = "value") -> int:
+    """How many lines ``csv_fields`` would call malformed."""
+    return _decoded(lines, schema, value_col, []).where(F.col("_rec._corrupt_record").isNotNull()).count()
 
 
 # Record-specific shorthands.
 
 def parse_sales(lines: DataFrame, value_col: str = "value", on_error: str = "fail",
-                keep: list[str] | None = None) -> DataFrame:
-    return split_fields(lines, schemas.SALES, value_col, on_error, keep, what="sales")
+                keep: list[str] | None = None, observe: str | None = None) -> DataFrame:
+    return split_fields(lines, schemas.SALES, value_col, on_error, keep, what="sales", observe=observe)
 
 
 def parse_products(lines: DataFrame, value_col: str = "value", on_error: str = "fail",
@@ -141,19 +142,19 @@ def parse_products(lines: DataFrame, value_col: str = "value", on_error: str = "
     return split_fields(lines, schemas.PRODUCT, value_col, on_error, keep, what="product")
 
 
-def decode_clicks(lines: DataFrame, value_col: str = "value", on_error: str = "drop",
+def decode_clicks(lines: DataFrame, value_col: str = "value", on_error: str = "fail",
                   keep: list[str] | None = None) -> DataFrame:
-    return csv_fields(lines, schemas.CLICK, value_col, on_error, keep)
+    return csv_fields(lines, schemas.CLICK, value_col, on_error, keep, what="click")
 
 
-def decode_sales(lines: DataFrame, value_col: str = "value", on_error: str = "drop",
+def decode_sales(lines: DataFrame, value_col: str = "value", on_error: str = "fail",
                  keep: list[str] | None = None) -> DataFrame:
-    return csv_fields(lines, schemas.SALES, value_col, on_error, keep)
+    return csv_fields(lines, schemas.PURCHASE, value_col, on_error, keep, what="sale")
 
 
 def decode_inventory(lines: DataFrame, value_col: str = "value", on_error: str = "drop",
                      keep: list[str] | None = None) -> DataFrame:
-    return csv_fields(lines, schemas.PRODUCT, value_col, on_error, keep)
+    return csv_fields(lines, schemas.INVENTORY, value_col, on_error, keep, what="inventory")
 
 
 def to_line(fields: list[str], alias: str = "value") -> Column:

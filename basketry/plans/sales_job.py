@@ -16,11 +16,13 @@ given as ``time_col`` in a parquet/CSV table. Usage::
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry import schemas
 from basketry.functions import encode, parse
 from basketry.operators import sales as sal
 from basketry.session import build_session
@@ -66,13 +68,21 @@ def sales_by_category_job(
 
 
 def run(spark: SparkSession, sales_path: str, products_path: str, out: str, window: str = "10 seconds",
-        slide: str | None = None, on_error: str = "fail") -> None:
-    messages = spark.read.schema("value string, timestamp timestamp").parquet(sales_path)
-    sums = sales_by_category_job(messages, files.text_lines(spark, products_path), window, slide, on_error)
+        slide: str | None = None, on_error: str = "fail") -> dict[str, int]:
+    """Run the job; returns how many malformed lines of each input were left out."""
+    messages = spark.read.schema(schemas.MESSAGE).parquet(sales_path)
+    lines = files.text_lines(spark, products_path)
+    dropped = {}
+    if on_error != "fail":
+        bad = lambda parsed: parsed.where("_corrupt_record is not null").count()
+        dropped = {"sales": bad(parse.parse_sales(messages, on_error="quarantine")),
+                   "products": bad(parse.parse_products(lines, on_error="quarantine"))}
+    sums = sales_by_category_job(messages, lines, window, slide, on_error)
     sums.write.mode("overwrite").parquet(f"{out}/sums")
     spark.read.parquet(f"{out}/sums").select(encode.sales_by_category_json().alias("value")).write.mode(
         "overwrite"
     ).text(f"{out}/messages")
+    return dropped
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -82,10 +92,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--window", default="10 seconds")
     ap.add_argument("--slide", default=None)
-    ap.add_argument("--on-error", default="fail", choices=parse.ON_ERROR)
+    ap.add_argument("--on-error", default="fail", choices=("fail", "drop"),
+                    help="malformed lines: stop, or leave out and count")
     args = ap.parse_args(argv)
     spark = build_session()
-    run(spark, args.sales, args.products, args.out, args.window, args.slide, args.on_error)
+    dropped = run(spark, args.sales, args.products, args.out, args.window, args.slide, args.on_error)
+    print(json.dumps({"malformed_lines_left_out": dropped}))
 
 
 if __name__ == "__main__":

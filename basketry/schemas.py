@@ -1,7 +1,9 @@
 """Declared schemas of the retail records (never inferred).
 
-Ids are widened to 64-bit: at cluster scale product and user ids exceed the
-32-bit range the original records used.
+The sales job reads typed records; its ids are widened to 64 bit, as at cluster
+scale product and user ids exceed the 32-bit range the original records used.
+The recommendation job declares every field as text: ids may be any text, and a
+measure it does not use is never parsed.
 """
 
 from pyspark.sql import types as T
@@ -29,14 +31,18 @@ PRODUCT = T.StructType(
     ]
 )
 
-# click line: user_id,product_id (event_time comes from record metadata)
+
+
+def _texts(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+# the recommendation job's records, all text: click line (event_time comes from
+# record metadata), sale line, inventory line
 CLICK_FIELDS = ["user_id", "product_id"]
-CLICK = T.StructType(
-    [
-        T.StructField("user_id", T.LongType()),
-        T.StructField("product_id", T.LongType()),
-    ]
-)
+CLICK = _texts(CLICK_FIELDS)
+PURCHASE = _texts(SALES_FIELDS)
+INVENTORY = _texts(PRODUCT_FIELDS)
 
 # sales by category result (the encoded message holds category and sales)
 SALES_BY_CATEGORY = T.StructType(
@@ -49,7 +55,7 @@ SALES_BY_CATEGORY = T.StructType(
 # keyed recommendation record; user_id is the primary key
 RECOMMENDATION = T.StructType(
     [
-        T.StructField("user_id", T.LongType(), nullable=False),
+        T.StructField("user_id", T.StringType(), nullable=False),
         T.StructField("top_product_ids", T.StringType()),
         T.StructField("event_time", T.TimestampType()),
     ]

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry import schemas
+from basketry.functions import parse
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -39,26 +40,15 @@ def csv_table(
     schema: T.StructType,
     on_error: str = "drop",
 ) -> DataFrame:
-    """CSV file as a typed table with a declared schema.
+    """CSV file as a typed table with a declared schema, one record per line.
 
     ``on_error``: ``fail`` raises on a malformed line, ``drop`` leaves it out
     (the tolerant table source), ``quarantine`` keeps it with null fields and
-    the raw line in ``_corrupt_record``.
+    the raw line in ``_corrupt_record``. Lines are judged as a whole, so which
+    rows there are does not depend on the columns a query uses (the CSV reader's
+    own modes only look at those).
     """
-    reader = spark.read.option("header", "false").option("quote", '"')
-    if on_error == "fail":
-        return reader.schema(schema).option("mode", "FAILFAST").csv(path)
-    if on_error == "drop":
-        return reader.schema(schema).option("mode", "DROPMALFORMED").csv(path)
-    if on_error == "quarantine":
-        with_raw = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
-        return (
-            reader.schema(with_raw)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .csv(path)
-        )
-    raise ValueError(f"on_error must be fail, drop or quarantine, not {on_error!r}")
+    return parse.csv_fields(text_lines(spark, path), schema, on_error=on_error, what="csv")
 
 
 def kafka_stream(

@@ -3,7 +3,9 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from basketry import schemas
 from basketry.functions import encode, parse
+from basketry.sources import files
 
 GOOD = '"7",3,12,2,450'
 BAD = ["x,3,12,2,450", "7,3,12", "7,3,12,,", " 7,3,12,2,450", "7,3,99999999999,2,450x"]
@@ -58,11 +60,37 @@ def test_products_parse(spark):
 
 def test_csv_decoder_modes(spark):
     df = lines(spark, ["7,3", "x,3", "7", "7,3,9", ""])
-    assert [tuple(r) for r in parse.decode_clicks(df, on_error="drop").collect()] == [(7, 3)]
+    assert [tuple(r) for r in parse.decode_clicks(df, on_error="drop").collect()] == [("7", "3"), ("x", "3")]
+    assert parse.malformed_count(df, schemas.CLICK) == 2
     q = parse.decode_clicks(df, on_error="quarantine").collect()
-    assert len(q) == 4 and sum(r._corrupt_record is not None for r in q) == 3
+    assert len(q) == 4 and sum(r._corrupt_record is not None for r in q) == 2
     with pytest.raises((PySparkException, Py4JJavaError)):
-        parse.decode_clicks(df, on_error="fail").collect()
+        parse.decode_clicks(df).collect()
+    # the line is judged even if no field of it is used
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        parse.decode_clicks(df).count()
+
+
+def test_text_ids_and_unparsed_measures(spark):
+    clicks = parse.decode_clicks(lines(spark, ["u7,p1"])).collect()
+    assert [tuple(r) for r in clicks] == [("u7", "p1")]
+    sales = parse.decode_sales(lines(spark, ["i1,u7,p1,many,9.99"])).collect()
+    assert [(r.user_id, r.product_id, r.unit_cost) for r in sales] == [("u7", "p1", "9.99")]
+
+
+def test_csv_table_has_the_same_rows_for_any_projection(spark, tmp_path):
+    path = tmp_path / "inventory.csv"
+    path.write_text('1,a,5,3\n2,"b, c",x,9\n3,a,4\n4,a,1,1,1\n\n5,"d, e",2,2\n')
+    for projection in (["*"], ["product_id", "category"], ["category"]):
+        got = files.csv_table(spark, str(path), schemas.PRODUCT, on_error="drop").select(*projection)
+        assert got.count() == 2 and len(got.collect()) == 2
+    table = files.csv_table(spark, str(path), schemas.PRODUCT, on_error="drop")
+    assert [tuple(r) for r in table.collect()] == [(1, "a", 5, 3), (5, "d, e", 2, 2)]
+    quarantined = files.csv_table(spark, str(path), schemas.PRODUCT, on_error="quarantine")
+    assert quarantined.count() == 5 and quarantined.where("_corrupt_record is not null").count() == 3
+    for projection in (["*"], ["product_id"]):
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            files.csv_table(spark, str(path), schemas.PRODUCT, on_error="fail").select(*projection).collect()
 
 
 def test_unknown_mode_rejected(spark):

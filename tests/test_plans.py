@@ -1,9 +1,12 @@
 """End-to-end batch jobs over raw files (text / CSV / message parquet)."""
 
 import datetime as dt
+import json
 import os
 import tempfile
 
+import pytest
+
 from basketry.plans import recommend_job, sales_job
 
 T0 = dt.datetime(2024, 1, 1)
@@ -46,6 +49,34 @@ def test_recommend_job_files(spark):
     assert latest == [("7", "7,4,2024-01-01 00:00:10.000")]
 
 
+def test_recommend_job_takes_text_ids_and_unparsed_costs(spark, capsys):
+    root = scratch()
+    inventory = os.path.join(root, "inventory.csv")
+    with open(inventory, "w") as fh:
+        fh.write("p1,a,5,3\np2,a,9,9\nshort,a\n")
+    spark.createDataFrame([("u7,p1", T0 + dt.timedelta(seconds=1)), ("no comma", T0)], MSG).write.parquet(os.path.join(root, "clicks"))
+    spark.createDataFrame([("i1,u7,p1,1,9.99", T0), ("a,b", T0)], MSG).write.parquet(os.path.join(root, "sales"))
+    args = ["--clicks", os.path.join(root, "clicks"), "--sales", os.path.join(root, "sales"), "--inventory", inventory]
+    with pytest.raises(Exception, match="malformed"):
+        recommend_job.main([*args, "--out", os.path.join(root, "fail")])
+    capsys.readouterr()
+    recommend_job.main([*args, "--out", os.path.join(root, "out"), "--on-error", "drop"])
+    assert json.loads(capsys.readouterr().out) == {"malformed_lines_left_out": {"inventory": 1, "clicks": 1, "sales": 1}}
+    records = [(r.key, r.value) for r in spark.read.parquet(os.path.join(root, "out", "records")).collect()]
+    assert records == [("u7", 'u7,"p1,p2",2024-01-01 00:00:05.000')]
+
+
+def test_sales_job_counts_what_it_leaves_out(spark, capsys):
+    root = scratch()
+    products = os.path.join(root, "products.csv")
+    with open(products, "w") as fh:
+        fh.write("1,toys,5,3\nbad\n")
+    spark.createDataFrame([("1,7,1,2,10", T0), ("1,7,1,2,x", T0)], MSG).write.parquet(os.path.join(root, "sales"))
+    sales_job.main(["--sales", os.path.join(root, "sales"), "--products", products, "--out", os.path.join(root, "out"), "--on-error", "drop"])
+    assert json.loads(capsys.readouterr().out) == {"malformed_lines_left_out": {"sales": 1, "products": 1}}
+    assert [r.sales for r in spark.read.parquet(os.path.join(root, "out", "sums")).collect()] == [2]
+
+
 def test_recommend_job_no_repeat_cli(spark):
     root = scratch()
     inventory = os.path.join(root, "inventory.csv")
