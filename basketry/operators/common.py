@@ -4,35 +4,49 @@ latest row per key."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest side (rows) that is hinted for broadcast. Above it the join is left
-# to the planner: sort-merge, with AQE splitting skewed partitions and still
-# switching to broadcast if the runtime size turns out small.
+# Largest side (rows, and bytes of its values) that is hinted for broadcast.
+# Above it the join is left to the planner: sort-merge, with AQE splitting
+# skewed partitions and still switching to broadcast if the runtime size turns
+# out small.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
 
+# First-stage groups per key in ``first_distinct``.
+FIRST_DISTINCT_SALTS = 16
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` holds at most ``max_rows`` rows.
 
-    A bounded count (``limit(max_rows + 1).count()``): each task stops once it
-    has passed the bound, and as the count needs no column, Catalyst prunes
-    them all -- over a parquet dimension the scan reads row counts from file
-    metadata only (``ReadSchema: struct<>``), so the proof stays cheap at scale.
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` holds at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    A plain count: one number per task crosses the network, and as it needs no
+    column, the scan of a parquet dimension reads row counts from file metadata
+    only (``ReadSchema: struct<>``). Only a side that passes it is measured:
+    the bytes of its text and binary values plus eight for any other column.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    rows = df.count()
+    if rows > max_rows:
+        return False
+    wide = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    size = 8 * rows * (len(df.columns) - len(wide))
+    if wide and size <= max_bytes:
+        each = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("long") for c in wide])
+        size += df.agg(F.sum(each)).first()[0] or 0
+    return size <= max_bytes
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast only after proving it has at most ``max_rows``.
+    """Hint ``df`` for broadcast only after ``fits_broadcast``.
 
     Streaming frames and ``max_rows=None`` are returned unhinted.
     """
     if max_rows is None or df.isStreaming:
         return df
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def top_k(
@@ -48,10 +62,21 @@ def top_k(
     at most ``k`` rows per group in each map task *before* the shuffle, so a
     hot group sends at most ``k`` rows per task, never the whole group.
     """
+    _check_k(df, k)
     w = Window.partitionBy(*partition_by).orderBy(*order_by)
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
+def _check_k(df: DataFrame, k: int) -> None:
+    """``k`` must be one that Spark cuts per map task."""
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if not 1 <= k <= limit:
+        raise ValueError(
+            f"k must be from 1 to spark.sql.optimizer.windowGroupLimitThreshold ({limit}), not {k}: "
+            "beyond it whole groups would be shuffled"
+        )
+
+
 def first_distinct(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -61,14 +86,24 @@ def first_distinct(
     """The rows holding the ``k`` smallest distinct values of ``order_col``
     in each group, de-duplicated.
 
-    ``dense_rank() <= k`` is cut per map task before the shuffle (partial
-    WindowGroupLimit), so only rows with a task's k smallest values per group
-    cross the network, not every row, as a ``distinct()`` first would need.
-    The ``distinct()`` after the window needs no exchange: the rows are
-    already clustered by ``partition_by``, a subset of its keys.
+    Two stages, both ``dense_rank() <= k``, which Spark cuts per map task before
+    the shuffle (partial WindowGroupLimit): first per (group, salt), where the
+    salt is the map partition, then per group. Rows tied at one of the values all
+    pass a rank, so without the first stage every copy of a hot group's tied rows
+    would meet in one task; with it, copies are removed in up to
+    ``FIRST_DISTINCT_SALTS`` tasks per group, and at most ``k`` values from each
+    of them reach the second stage. Neither ``distinct()`` needs an exchange: the
+    rows are already clustered by a subset of its keys.
     """
-    w = Window.partitionBy(*partition_by).orderBy(F.col(order_col).asc())
-    return df.withColumn("_dr", F.dense_rank().over(w)).where(F.col("_dr") <= k).drop("_dr").distinct()
+    _check_k(df, k)
+    group = list(partition_by)
+
+    def cut(rows: DataFrame, keys: list[str]) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc())
+        return rows.withColumn("_dr", F.dense_rank().over(w)).where(F.col("_dr") <= k).drop("_dr").distinct()
+
+    salted = df.withColumn("_salt", F.spark_partition_id() % FIRST_DISTINCT_SALTS)
+    return cut(cut(salted, [*group, "_salt"]).drop("_salt"), group)
 
 
 def latest_per_key(

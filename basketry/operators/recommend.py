@@ -8,8 +8,11 @@ Semantics (the recommendation job, made deterministic):
 * the candidates of a view are the in-stock products (stock > 0) of its
   category, each flagged ``purchased`` (= user_id) when the user ever bought
   it, else NULL (repeat purchases count once);
+* identical inventory rows count once; rows of one product that differ are
+  separate candidates;
 * candidates are ordered: purchased first, then rating descending, then
-  product_id and event_time ascending (the last two make the order total);
+  product_id, event_time and stock ascending (the last three make the order
+  total);
 * ``scope="user"`` ranks all candidate rows of a user together (the literal
   job: one ranking per user, then grouped into event-time windows);
   ``scope="view"`` ranks per view (six products for the page being viewed);
@@ -36,11 +39,12 @@ set, so it is never built:
    Both inputs are arrays of at most k items per key (``bought_lists``,
    ``category_lists``), combined with array functions: no join fan-out and
    no shuffle beyond the (user, category) clustering they already have.
-4. per view: views x ``pair_candidates`` (at most k rows per view and
-   category); per user: only the k earliest views of each (user, category)
-   can place a row in the user's first k, so at most k x k rows per pair.
-   These are cut from the raw click rows per map task (``first_distinct``),
-   so the per-user plans never shuffle every view.
+4. per view: each (view, category) carries its pair's list of at most k items
+   as one array; the lists of a view are merged and cut to k, so one row per
+   (view, category) moves, not one per candidate. Per user: only the k earliest
+   views of each (user, category) can place a row in the user's first k, so at
+   most k x k rows per pair. These are cut from the raw click rows per map task
+   (``first_distinct``), so the per-user plans never shuffle every view.
 
 Every per-key step is a partial aggregate (distinct), a top-k (map-side
 WindowGroupLimit: at most k rows per group leave a task), a join whose
@@ -59,7 +63,7 @@ from basketry.operators.common import (
     DEFAULT_MAX_BROADCAST_ROWS,
     broadcast_if_bounded,
     first_distinct,
-    has_at_most,
+    fits_broadcast,
     top_k,
 )
 
@@ -72,7 +76,7 @@ CANDIDATE_COLUMNS = ["user_id", "event_time", "product_id", "category", "stock",
 
 def _rating_key(rating_order: str) -> Column:
     if rating_order == "numeric":
-        return F.col("rating")
+        return F.col("rating").try_cast("double")
     if rating_order == "string":
         # text order: "9" > "2" > "10" > "1"
         return F.col("rating").cast("string")
@@ -80,11 +84,12 @@ def _rating_key(rating_order: str) -> Column:
 
 
 def _product_order(rating_order: str) -> list[Column]:
-    return [_rating_key(rating_order).desc_nulls_last(), F.col("product_id").asc()]
+    return [_rating_key(rating_order).desc_nulls_last(), F.col("product_id").asc(), F.col("stock").asc()]
 
 
 def _candidate_order(rating_order: str) -> list[Column]:
-    return [F.col("purchased").desc_nulls_last(), *_product_order(rating_order)]
+    rating, product, stock = _product_order(rating_order)
+    return [F.col("purchased").desc_nulls_last(), rating, product, F.col("event_time").asc(), stock]
 
 
 def in_stock(inventory: DataFrame) -> DataFrame:
@@ -92,6 +97,12 @@ def in_stock(inventory: DataFrame) -> DataFrame:
     return inventory.where(F.col("stock").try_cast("int") > 0)
 
 
+def stocked(inventory: DataFrame) -> DataFrame:
+    """In-stock products, identical rows once (before any ranking, so that a
+    product listed twice does not take two places)."""
+    return in_stock(inventory).select("product_id", "category", "stock", "rating").distinct()
+
+
 def clicked_products(
     clicks: DataFrame,
     inventory: DataFrame,
@@ -115,7 +126,7 @@ def views(clicked: DataFrame) -> DataFrame:
 def category_top(inventory: DataFrame, k: int = DEFAULT_K, rating_order: str = "numeric") -> DataFrame:
     """The k best in-stock products of each category (rank in ``crank``)."""
     return top_k(
-        in_stock(inventory).select("product_id", "category", "stock", "rating"),
+        stocked(inventory),
         ["category"],
         _product_order(rating_order),
         k,
@@ -136,8 +147,8 @@ def bought_products(
     products are dropped by a map-side semi-join before the (user, product)
     de-duplication shuffles them. Without a broadcast that semi-join would
     itself shuffle every purchase by product, so it is left out."""
-    dim = in_stock(inventory).select("product_id", "category", "stock", "rating")
-    if max_broadcast_rows is not None and not dim.isStreaming and has_at_most(dim, max_broadcast_rows):
+    dim = stocked(inventory)
+    if max_broadcast_rows is not None and not dim.isStreaming and fits_broadcast(dim, max_broadcast_rows):
         dim = F.broadcast(dim)
         prefilter = True
     bought = sales.select("user_id", "product_id")
@@ -167,13 +178,14 @@ def bought_lists(top_bought: DataFrame) -> DataFrame:
     return top_bought.groupBy("user_id", "category").agg(F.collect_list(item).alias("bought_list"))
 
 
-def pair_candidates(
+def pair_lists(
     pairs: DataFrame,
     bought: DataFrame,
     top: DataFrame,
     k: int = DEFAULT_K,
 ) -> DataFrame:
-    """Per clicked (user, category): its k best candidates with the flag.
+    """Per clicked (user, category): its k best candidates as one array, best
+    first (``candidates``: grp, r, product_id, stock, rating; grp 0 is bought).
 
     ``bought`` is ``bought_lists`` (joined on user and category, co-partitioned
     with ``pairs``); ``top`` is ``category_lists`` (small, broadcast by the
@@ -199,7 +211,12 @@ def pair_candidates(
     unbought = F.filter("top_list", lambda x: ~F.array_contains(bought_ids, x["product_id"]))
     rest = F.coalesce(F.transform(unbought, item(1, "crank")), empty)
     candidates = F.slice(F.array_sort(F.concat(first, rest)), 1, k)
-    return joined.select("user_id", "category", F.inline(candidates)).select(
+    return joined.select("user_id", "category", candidates.alias("candidates"))
+
+
+def pair_candidates(lists: DataFrame) -> DataFrame:
+    """``pair_lists`` with one row per candidate, ``purchased`` as a flag."""
+    return lists.select("user_id", "category", F.inline("candidates")).select(
         "user_id",
         "category",
         "product_id",
@@ -209,6 +226,29 @@ def pair_candidates(
     )
 
 
+def _better(rating_order: str):
+    """Comparator of two candidates of one view: bought first, rating
+    descending (nulls last), product id, stock."""
+
+    def rating(x: Column) -> Column:
+        return x["rating"].try_cast("double") if rating_order == "numeric" else x["rating"].cast("string")
+
+    def compare(a: Column, b: Column) -> Column:
+        ra, rb = rating(a), rating(b)
+        steps = [
+            (a["grp"] < b["grp"], -1), (a["grp"] > b["grp"], 1),
+            (ra.isNotNull() & rb.isNull(), -1), (ra.isNull() & rb.isNotNull(), 1), (ra > rb, -1), (ra < rb, 1),
+            (a["product_id"] < b["product_id"], -1), (a["product_id"] > b["product_id"], 1),
+            (a["stock"] < b["stock"], -1), (a["stock"] > b["stock"], 1),
+        ]
+        out = F.when(steps[0][0], steps[0][1])
+        for test, sign in steps[1:]:
+            out = out.when(test, sign)
+        return out.otherwise(0)
+
+    return compare
+
+
 class Recommender:
     """Builds the recommendation frames from clicks, sales and inventory.
 
@@ -233,8 +273,13 @@ class Recommender:
         self.k = k
         self.rating_order = rating_order
         self.max_broadcast_rows = max_broadcast_rows
-        self.clicks = clicks
-        self.sales = sales
+        # a product id that is none in the inventory's type cannot be in it
+        product = inventory.schema["product_id"].dataType
+        typed = lambda df: df if df is None or df.schema["product_id"].dataType == product else df.withColumn(
+            "product_id", F.col("product_id").try_cast(product)
+        )
+        self.clicks = typed(clicks)
+        self.sales = typed(sales)
         self.inventory = inventory
         self._cache: dict[str, DataFrame] = {}
         self._dimension_bounded: bool | None = None
@@ -269,8 +314,9 @@ class Recommender:
     # --- building blocks -------------------------------------------------
     def _dimension_is_small(self) -> bool:
         if self._dimension_bounded is None:
-            self._dimension_bounded = self.max_broadcast_rows is not None and has_at_most(
-                self.inventory, self.max_broadcast_rows
+            dim = self.inventory.select("product_id", "category", "stock", "rating")
+            self._dimension_bounded = self.max_broadcast_rows is not None and fits_broadcast(
+                dim, self.max_broadcast_rows
             )
         return self._dimension_bounded
 
@@ -332,13 +378,12 @@ class Recommender:
 
     def category_lists(self) -> DataFrame:
         """Broadcast: it has at most one row per category, so it is bounded
-        whenever the dimension is; otherwise it gets its own check."""
+        whenever the dimension is; otherwise the planner decides, from the size
+        it has at run time (a check here would compute the lists twice)."""
 
         def build() -> DataFrame:
             lists = self.top_lists if self.top_lists is not None else category_lists(self.category_top())
-            if self._dimension_is_small():
-                return F.broadcast(lists)
-            return broadcast_if_bounded(lists, self.max_broadcast_rows)
+            return F.broadcast(lists) if self._dimension_is_small() else lists
 
         return self._memo("category_lists", build)
 
@@ -352,28 +397,50 @@ class Recommender:
         return self._memo("bought_top", lambda: bought_top(self.bought(), self.k, self.rating_order))
 
     def purchased_in_clicked(self) -> DataFrame:
-        """Bought, in-stock products of clicked categories: k best per pair."""
+        """Every in-stock product of a clicked category that the user bought:
+        at most one row per distinct purchase, so it is not cut."""
         return self._memo(
             "purchased_in_clicked",
-            lambda: self.pairs().join(self.bought_top().drop("brank"), ["user_id", "category"])
+            lambda: self.pairs().join(self.bought(), ["user_id", "category"])
             .select("user_id", "category", "product_id", "stock", "rating", F.col("user_id").alias("purchased")),
         )
 
-    def pair_candidates(self, scope: str = "user") -> DataFrame:
+    def pair_lists(self, scope: str = "user") -> DataFrame:
         return self._memo(
-            f"pair_candidates:{scope}",
-            lambda: pair_candidates(
-                self.pairs(scope), bought_lists(self.bought_top()), self.category_lists(), self.k
-            ),
+            f"pair_lists:{scope}",
+            lambda: pair_lists(self.pairs(scope), bought_lists(self.bought_top()), self.category_lists(), self.k),
         )
 
+    def pair_candidates(self, scope: str = "user") -> DataFrame:
+        return self._memo(f"pair_candidates:{scope}", lambda: pair_candidates(self.pair_lists(scope)))
+
     def view_candidates(self) -> DataFrame:
-        """Per view, the k best candidates of the view's category."""
+        """Per view, the k best candidates of the view's category (a ranking's
+        first rows only use these; all candidates would be views x category)."""
         return self._memo(
             "view_candidates",
             lambda: self.views().join(self.pair_candidates("view"), ["user_id", "category"])
             .select(*CANDIDATE_COLUMNS),
         )
+
+    def view_lists(self) -> DataFrame:
+        """Per view (user, time), its k best candidates over all its categories
+        as one array, best first. A view's categories are merged as arrays of at
+        most k items: one row per (view, category) is shuffled."""
+
+        def build() -> DataFrame:
+            each = F.transform("candidates", lambda x: x.withField("category", F.col("category")))
+            merged = (
+                self.views().join(self.pair_lists("view"), ["user_id", "category"])
+                .select("user_id", "event_time", each.alias("each"))
+                .groupBy("user_id", "event_time")
+                .agg(F.flatten(F.collect_list("each")).alias("candidates"))
+            )
+            best = F.slice(F.array_sort("candidates", _better(self.rating_order)), 1, self.k)
+            return merged.select("user_id", "event_time", best.alias("candidates")).where(F.size("candidates") > 0)
+
+        return self._memo("view_lists", build)
+
     # --- rankings ----------------------------------------------------------
     def ranked(self, scope: str = "user", repeat: bool = True) -> DataFrame:
         """The first k candidate rows per user (or per view), rank in ``rn``.
@@ -384,15 +451,17 @@ class Recommender:
         exactly the repeats from later views. Per view it would need each
         view's list before the next one's (a sequential dependency): refused.
         """
-        order = [*_candidate_order(self.rating_order), F.col("event_time").asc()]
         if scope == "user":
             seen = self.first_views() if repeat else self.first_seen()
             rows = seen.join(self.pair_candidates(), ["user_id", "category"]).select(*CANDIDATE_COLUMNS)
-            return top_k(rows, ["user_id"], order, self.k)
+            return top_k(rows, ["user_id"], _candidate_order(self.rating_order), self.k)
         if scope == "view":
             if not repeat:
                 raise ValueError('repeat=False is defined for scope="user" only')
-            return top_k(self.view_candidates(), ["user_id", "event_time"], order, self.k)
+            rows = self.view_lists().select("user_id", "event_time", F.posexplode("candidates").alias("i", "c"))
+            purchased = F.when(F.col("c.grp") == 0, F.col("user_id")).alias("purchased")
+            product = [F.col(f"c.{c}") for c in ("product_id", "category", "stock", "rating")]
+            return rows.select("user_id", "event_time", *product, purchased, (F.col("i") + 1).alias("rn"))
         raise ValueError(f"scope must be one of {SCOPES}, not {scope!r}")
 
     def recommend(self, scope: str = "user", window: str = "5 seconds", repeat: bool = True) -> DataFrame:
@@ -403,15 +472,12 @@ class Recommender:
         ``scope="view"``: one list per view, stamped with the view's time.
         ``repeat``: see ``ranked``.
         """
-        ranked = self.ranked(scope, repeat)
-        if scope == "user":
-            grouped = ranked.groupBy("user_id", F.window("event_time", window).alias("w"))
-            stamp = F.col("w.end").alias("event_time")
-        else:
-            grouped = ranked.groupBy("user_id", "event_time")
-            stamp = F.col("event_time")
+        if scope == "view" and repeat:
+            ids = F.transform("candidates", lambda x: x["product_id"].cast("string"))
+            return self.view_lists().select("user_id", F.array_join(ids, ",").alias("top_product_ids"), "event_time")
+        grouped = self.ranked(scope, repeat).groupBy("user_id", F.window("event_time", window).alias("w"))
         return grouped.agg(ordered_list("rn", "product_id").alias("top_product_ids")).select(
-            "user_id", "top_product_ids", stamp
+            "user_id", "top_product_ids", F.col("w.end").alias("event_time")
         )
 
 

@@ -7,7 +7,7 @@ as ``sales`` and summed per category per tumbling window.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, latest_per_key
@@ -15,10 +15,11 @@ from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_b
 SALE_COLUMNS = ["invoice_id", "user_id", "product_id", "quantity", "unit_cost"]
 
 
-def latest_products(products: DataFrame, order_by: list[str] | None = None) -> DataFrame:
-    """Dimension upsert: per product id, the last row (by ``order_by``) wins."""
+def latest_products(products: DataFrame, order_by: list[str]) -> DataFrame:
+    """Dimension upsert: per product id, the last row by ``order_by`` (the load
+    order, which must be total per product) wins."""
     if not order_by:
-        return products.dropDuplicates(["product_id"])
+        raise ValueError("order_by must name the load order of the rows")
     return latest_per_key(products, ["product_id"], order_by)
 
 
@@ -67,21 +68,43 @@ def sales_by_category(
     ``slide`` is given).
 
     Partial sums are taken in every task before the shuffle on
-    (window, category), so a dominant category costs one row per task.
+    (window, category), so a dominant category costs one row per task. A sliding
+    window that is a whole number of slides is summed from panes: the sales are
+    summed once per slide-sized pane, and only the few pane sums are spread over
+    the windows they lie in. (Otherwise, and on a stream, which takes one
+    aggregation, every sale is spread over its windows.)
     """
-    win = F.window(time_col, window, slide) if slide else F.window(time_col, window)
-    return (
-        enriched.groupBy(win.alias("window"), F.col("category"))
-        .agg(F.sum("sales").cast("bigint").alias("sales"))
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "category",
-            "sales",
-        )
+    panes = _panes(window, slide) if slide and not enriched.isStreaming else None
+    if panes:
+        pane = _window_sums(enriched, F.window(time_col, slide)).withColumn("_pane", F.col("window.start"))
+        sums = _window_sums(pane, F.window("_pane", window, slide))
+    else:
+        sums = _window_sums(enriched, F.window(time_col, window, slide) if slide else F.window(time_col, window))
+    return sums.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "category", "sales"
     )
 
 
+def _window_sums(df: DataFrame, window: Column) -> DataFrame:
+    return df.groupBy(window.alias("window"), F.col("category")).agg(F.sum("sales").cast("bigint").alias("sales"))
+
+
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def _seconds(interval: str) -> int | None:
+    """Seconds of an interval like ``10 minutes``; None for other forms."""
+    parts = interval.split()
+    unit = parts[1].lower().rstrip("s") if len(parts) == 2 else ""
+    return int(parts[0]) * _UNIT_SECONDS[unit] if unit in _UNIT_SECONDS and parts[0].isdigit() else None
+
+
+def _panes(window: str, slide: str) -> int | None:
+    """How many slides a window has, if it is a whole number of at least one."""
+    width, step = _seconds(window), _seconds(slide)
+    return width // step if width and step and width % step == 0 else None
+
+
 def with_processing_time(df: DataFrame, col: str = "processing_time") -> DataFrame:
     """Stamp rows with the wall clock (per micro-batch in a stream)."""
     return df.withColumn(col, F.current_timestamp())

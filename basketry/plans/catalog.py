@@ -16,11 +16,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from basketry import schemas
 from basketry.functions import encode, parse
 from basketry.operators import recommend as rec
 from basketry.operators import sales as sal
 from basketry.operators.common import latest_per_key
-from basketry.schemas import CLICK_FIELDS, PRODUCT_FIELDS, SALES_FIELDS
+from basketry.schemas import SALES_FIELDS
+from basketry.sources import files
 from basketry.sources import testdata as td
 
 
@@ -58,40 +60,58 @@ def _split_sql(src: str, fields: list[tuple[str, str]], carry: str) -> str:
     )
 
 
+_TEXT_SALES = [(n, "VARCHAR") for n in SALES_FIELDS]
 _SALES_TYPES = [("invoice_id", "BIGINT"), ("user_id", "BIGINT"), ("product_id", "BIGINT"),
                 ("quantity", "BIGINT"), ("unit_cost", "INTEGER")]
 _PRODUCT_TYPES = [("product_id", "BIGINT"), ("category", "VARCHAR"), ("stock", "INTEGER"), ("rating", "INTEGER")]
-_CLICK_TYPES = [("user_id", "BIGINT"), ("product_id", "BIGINT")]
+_CLICK_TYPES = [("user_id", "VARCHAR"), ("product_id", "VARCHAR")]
 
 
-@register("parse_sales_csv", W("sales") + _split_sql("sales", _SALES_TYPES, "purchase_time"))
+# Every event as a line of the sales topic: a purchase is a full sale line, any
+# other event has no quantity and cost and is a malformed one.
+_EVENT_LINES = (
+    "event_lines AS (SELECT event_id, ts, event_type = 'purchase' AS whole, concat_ws(',', event_id, user_id, "
+    "json_extract_string(props, '$.k'), CASE WHEN event_type = 'purchase' THEN 1 + event_id % 3 END, "
+    "CASE WHEN event_type = 'purchase' THEN CAST(floor(value) AS INTEGER) END) AS line FROM events)\n"
+)
+
+
+@register(
+    "parse_sales_csv",
+    W("sales") + ", " + _EVENT_LINES + "SELECT s.invoice_id, s.user_id, s.product_id, s.quantity, s.unit_cost, "
+    "CASE WHEN e.whole THEN NULL ELSE e.line END AS _corrupt_record, e.ts AS purchase_time "
+    "FROM event_lines e LEFT JOIN sales s ON e.whole AND s.invoice_id = e.event_id",
+)
 def parse_sales_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = td.sales(spark, sf_dir).select(parse.to_line(SALES_FIELDS), "purchase_time")
-    return parse.parse_sales(lines, on_error="fail", keep=["purchase_time"])
+    return parse.parse_sales(td.event_lines(spark, sf_dir), on_error="quarantine", keep=["purchase_time"])
 
 
-@register("parse_products_csv", W("inv") + _split_sql("inv", _PRODUCT_TYPES, ""))
+@register("parse_products_csv", W("inv") + _split_sql("inv WHERE stock > 0", _PRODUCT_TYPES, ""))
 def parse_products_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = td.inventory(spark, sf_dir).select(parse.to_line(PRODUCT_FIELDS))
-    return parse.parse_products(lines, on_error="fail")
+    lines = files.text_lines(spark, td.inventory_file(spark, sf_dir))
+    return parse.parse_products(lines, on_error="drop")
 
 
-@register("clicks_scan", W("clicks") + _split_sql("clicks", _CLICK_TYPES, "event_time"))
+@register(
+    "clicks_scan",
+    "SELECT CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS product_id, ts AS event_time "
+    "FROM events WHERE event_type <> 'purchase'",
+)
 def clicks_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = td.clicks(spark, sf_dir).select(parse.to_line(CLICK_FIELDS), "event_time")
-    return parse.decode_clicks(lines, on_error="drop", keep=["event_time"])
+    """The click topic's decoder over all events: sale lines have too many fields."""
+    lines = td.event_lines(spark, sf_dir, drop_invoice=True)
+    return parse.decode_clicks(lines, on_error="drop", keep=["purchase_time"]).withColumnRenamed("purchase_time", "event_time")
 
 
-@register("sales_scan", W("sales") + _split_sql("sales", _SALES_TYPES, "purchase_time"))
+@register("sales_scan", W("sales") + _split_sql("sales", _TEXT_SALES, "purchase_time"))
 def sales_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = td.sales(spark, sf_dir).select(parse.to_line(SALES_FIELDS), "purchase_time")
-    return parse.decode_sales(lines, on_error="drop", keep=["purchase_time"])
+    return parse.decode_sales(td.event_lines(spark, sf_dir), on_error="drop", keep=["purchase_time"])
 
 
-@register("inventory_scan", W("inv") + _split_sql("inv", _PRODUCT_TYPES, ""))
+@register("inventory_scan", W("inv") + _split_sql("inv WHERE stock > 0", _PRODUCT_TYPES, ""))
 def inventory_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = td.inventory(spark, sf_dir).select(parse.to_line(PRODUCT_FIELDS))
-    return parse.decode_inventory(lines, on_error="drop")
+    """A CSV file with bad lines: products without stock hold a word for it."""
+    return files.csv_table(spark, td.inventory_file(spark, sf_dir), schemas.PRODUCT, on_error="drop")
 
 
 # --------------------------------------------------------------------------
@@ -116,12 +136,13 @@ def _sums_sql(width: str) -> str:
 
 @register(
     "dim_latest",
-    W("inv") + "SELECT product_id, arg_max(category, (rating, stock, category)) AS category, "
-    "arg_max(stock, (rating, stock, category)) AS stock, arg_max(rating, (rating, stock, category)) AS rating "
-    "FROM inv GROUP BY product_id",
+    "SELECT l_partkey AS product_id, arg_max(l_returnflag, load) AS category, arg_max(stock, load) AS stock, "
+    "arg_max(l_linenumber, load) AS rating FROM (SELECT *, CAST(l_quantity AS INTEGER) AS stock, "
+    "(l_shipdate, l_orderkey, l_linenumber) AS load FROM lineitem) GROUP BY l_partkey",
 )
 def dim_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_per_key(td.inventory(spark, sf_dir), ["product_id"], ["rating", "stock", "category"])
+    """A dimension with many rows per product, in load order: its order lines."""
+    return sal.latest_products(td.product_updates(spark, sf_dir), td.LOAD_ORDER).drop(*td.LOAD_ORDER)
 
 
 @register("sales_enriched", _enriched_sql() + "SELECT * FROM enriched")
@@ -131,11 +152,22 @@ def sales_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "sales_unmatched",
-    W("inv", "sales") + "SELECT * FROM sales s WHERE NOT EXISTS "
-    "(SELECT 1 FROM inv p WHERE p.product_id = s.product_id)",
+    W("inv", "sales") + "SELECT * FROM sales WHERE product_id NOT IN (SELECT product_id FROM inv WHERE stock > 0)",
 )
 def sales_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sal.unmatched_sales(td.sales(spark, sf_dir), td.inventory(spark, sf_dir))
+    """Sales of products that a dimension of the products in stock does not hold."""
+    return sal.unmatched_sales(td.sales(spark, sf_dir), rec.in_stock(td.inventory(spark, sf_dir)))
+
+
+@register(
+    "sales_matched",
+    W("inv", "sales") + "SELECT invoice_id, user_id, product_id, purchase_time, (SELECT max(category) FROM inv "
+    "WHERE inv.product_id = sales.product_id) AS category, quantity AS sales FROM sales "
+    "WHERE product_id IN (SELECT product_id FROM inv WHERE stock > 0)",
+)
+def sales_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other side: an unknown product's sale is dropped by the enrichment."""
+    return sal.enrich_sales(td.sales(spark, sf_dir), rec.in_stock(td.inventory(spark, sf_dir)))
 
 
 def _by_category_sql(width: str, src: str = "sales") -> str:
@@ -195,25 +227,24 @@ def sales_by_category_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Recommendations
 # --------------------------------------------------------------------------
 
-# Literal (unpruned) form: every view joined to its whole category.
-_CANDIDATES_BODY = """,
-clicked_products AS (
-  SELECT DISTINCT c.user_id, c.event_time, p.product_id, p.category
-  FROM clicks c JOIN inv p ON c.product_id = p.product_id),
-category_products AS (
-  SELECT cp.user_id, cp.event_time, p.product_id, p.category, p.stock, p.rating, sr.user_id AS purchased
-  FROM clicked_products cp
-  JOIN inv p ON cp.category = p.category
-  LEFT JOIN {purchases} sr ON cp.user_id = sr.user_id AND p.product_id = sr.product_id
-  WHERE p.stock > 0
-  GROUP BY p.product_id, p.category, p.stock, cp.user_id, cp.event_time, sr.user_id, p.rating)
+# Unpruned form, step by step: what is in stock, who saw which category when,
+# who owns what; then every stocked product of a seen category is a candidate.
+def _candidates_sql(purchases: str = "sales", inventory: str = "inv") -> str:
+    return W("inv", "clicks", purchases) + f""", stocked AS (
+  SELECT DISTINCT product_id, category, stock, rating FROM {inventory} WHERE stock > 0
+), viewed AS (
+  SELECT user_id, event_time, category FROM clicks NATURAL JOIN (SELECT product_id, category FROM inv) GROUP BY ALL
+), owned AS (
+  SELECT DISTINCT user_id, product_id FROM {purchases}
+), candidates AS (
+  SELECT viewed.user_id, viewed.event_time, stocked.*,
+         CASE WHEN EXISTS (FROM owned WHERE owned.user_id = viewed.user_id AND owned.product_id = stocked.product_id)
+              THEN viewed.user_id END AS purchased
+  FROM stocked, viewed WHERE stocked.category = viewed.category
+)
 """
 
 
-def _candidates_sql(purchases: str = "sales") -> str:
-    return W("inv", "clicks", purchases) + _CANDIDATES_BODY.format(purchases=purchases)
-
-
 _CANDIDATES_SQL = _candidates_sql()
 
 
@@ -221,6 +252,7 @@ def _rank_sql(partition: str, rating: str, with_time: bool = True) -> str:
     order = f"purchased DESC NULLS LAST, {rating} DESC, product_id ASC"
     if with_time:
         order += ", event_time ASC"
+    order += ", stock ASC"
     return f"CAST(ROW_NUMBER() OVER (PARTITION BY {partition} ORDER BY {order}) AS INTEGER)"
 
 
@@ -240,7 +272,7 @@ def _topk_user_sql(rating_order: str = "numeric", k: int = 6, purchases: str = "
     return (
         _candidates_sql(purchases)
         + f", top_products AS (SELECT {_CAND_COLS}, {_rank_sql('user_id', _RATING_SQL[rating_order])} AS rn "
-        f"FROM category_products)\n"
+        f"FROM candidates)\n"
     ), f"SELECT {_CAND_OUT}, rn FROM top_products WHERE rn <= {k}"
 
 
@@ -248,7 +280,7 @@ def _topk_view_sql(k: int = 6) -> tuple[str, str]:
     return (
         _CANDIDATES_SQL
         + f", top_products AS (SELECT {_CAND_COLS}, {_rank_sql('user_id, event_time', 'rating', False)} AS rn "
-        f"FROM category_products)\n"
+        f"FROM candidates)\n"
     ), f"SELECT {_CAND_OUT}, rn FROM top_products WHERE rn <= {k}"
 
 
@@ -268,7 +300,7 @@ def _unseen_sql(k: int = 6) -> tuple[str, str]:
     return (
         _CANDIDATES_SQL
         + ", seen AS (SELECT user_id, product_id, category, stock, rating, purchased, "
-        "min(event_time) AS event_time FROM category_products "
+        "min(event_time) AS event_time FROM candidates "
         "GROUP BY user_id, product_id, category, stock, rating, purchased)\n"
         f", top_products AS (SELECT {_CAND_COLS}, {_rank_sql('user_id', 'rating')} AS rn FROM seen)\n"
     ), f"SELECT {_CAND_OUT}, rn FROM top_products WHERE rn <= {k}"
@@ -307,22 +339,43 @@ def category_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "candidates_purchased",
-    _CANDIDATES_SQL + ", bought AS (SELECT DISTINCT user_id, category, product_id, stock, rating, purchased "
-    "FROM category_products WHERE purchased IS NOT NULL)\n"
-    "SELECT user_id, category, product_id, stock, rating, purchased FROM (SELECT *, ROW_NUMBER() OVER "
-    "(PARTITION BY user_id, category ORDER BY rating DESC, product_id ASC) AS r FROM bought) WHERE r <= 6",
+    _CANDIDATES_SQL + "SELECT DISTINCT user_id, category, product_id, stock, rating, purchased FROM candidates "
+    "WHERE purchased IS NOT NULL",
 )
 def candidates_purchased(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _recommender(spark, sf_dir).purchased_in_clicked()
 
 
+# An inventory with many identical rows and several differing rows per product:
+# each order line lists its part, with the part's stock and size as rating (the
+# same on every line), or on returned lines one more than the size.
+_LISTED = (
+    "(SELECT p_partkey AS product_id, p_type AS category, p_size % 10 AS stock, "
+    "p_size + (l_returnflag = 'R')::INTEGER AS rating FROM lineitem JOIN part ON p_partkey = l_partkey)"
+)
+
+
+@register(
+    "topk_per_user_listed_twice",
+    _candidates_sql(inventory=_LISTED)
+    + f", top_products AS (SELECT {_CAND_COLS}, {_rank_sql('user_id', 'rating')} AS rn FROM candidates)\n"
+    f"SELECT {_CAND_OUT}, rn FROM top_products WHERE rn <= 6",
+)
+def topk_per_user_listed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recommender = rec.Recommender(td.clicks(spark, sf_dir), td.sales(spark, sf_dir), td.listed_inventory(spark, sf_dir))
+    return _purchased_as_text(recommender.ranked("user"))
+
+
 @register(
     "category_candidates",
     _CANDIDATES_SQL + f"SELECT {_CAND_OUT} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_time, "
-    "category ORDER BY purchased DESC NULLS LAST, rating DESC, product_id ASC) AS r FROM category_products) "
+    "category ORDER BY purchased DESC NULLS LAST, rating DESC, product_id ASC) AS r FROM candidates) "
     "WHERE r <= 6",
 )
 def category_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six best candidates of each view and category. The listing without
+    the cut is every view times its whole category, an all-pairs set that no
+    later step reads; it is not built."""
     return _purchased_as_text(_recommender(spark, sf_dir).view_candidates())
 
 

@@ -21,10 +21,12 @@ first, so parquet column pruning and predicate pushdown reach the scan.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.session import scratch_path
 
 # The declared schemas of the generated tables this library
 # reads (declared, so no schema-inference job runs per read).
@@ -106,6 +108,48 @@ def sales_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_lines(spark: SparkSession, sf_dir: str, drop_invoice: bool = False) -> DataFrame:
+    """Every event as a message line (``value, purchase_time``): a purchase as a
+    whole sale line, any other event without quantity and cost. With
+    ``drop_invoice`` the line starts at the user id, as a click line does."""
+    purchase = F.col("event_type") == "purchase"
+    fields = [F.col("event_id"), F.col("user_id"), _props_key(), F.when(purchase, 1 + F.col("event_id") % 3),
+              F.when(purchase, F.floor("value").cast("int"))]
+    line = F.concat_ws(",", *[f.cast("string") for f in fields[1 if drop_invoice else 0 :]])
+    return table(spark, sf_dir, "events").select(line.alias("value"), F.col("ts").alias("purchase_time"))
+
+
+def inventory_file(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the inventory written as a CSV text file in the shared folder;
+    a product without stock holds a word in place of the number."""
+    inv = inventory(spark, sf_dir)
+    stock = F.when(F.col("stock") > 0, F.col("stock").cast("string")).otherwise("none")
+    path = scratch_path(spark, f"inventory-{uuid.uuid4().hex}")
+    inv.select(F.concat_ws(",", F.col("product_id"), F.col("category"), stock, F.col("rating"))).write.text(path)
+    return path
+
+
+#: the order in which ``product_updates`` were loaded
+LOAD_ORDER = ["shipped", "order_key", "line"]
+
+
+def product_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A product dimension as it was loaded over time: one row per order line."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("product_id"), F.col("l_returnflag").alias("category"),
+        F.col("l_quantity").cast("int").alias("stock"), F.col("l_linenumber").alias("rating"),
+        F.col("l_shipdate").alias("shipped"), F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line"),
+    )
+
+
+def listed_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inventory listed once per order line: identical rows, and for parts
+    with returned lines also rows that differ in the rating."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("product_id"), "l_returnflag")
+    rows = lines.join(inventory(spark, sf_dir), "product_id")
+    return rows.select("product_id", "category", "stock", (F.col("rating") + (F.col("l_returnflag") == "R").cast("int")).alias("rating"))
+
+
 # The same mapping as SQL text, for the DuckDB oracle (views over the tables).
 ORACLE_VIEWS = {
     "inv": "SELECT p_partkey AS product_id, p_type AS category, "

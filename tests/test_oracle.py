@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from basketry.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["part", "orders", "lineitem", "events", "customer"]
@@ -38,17 +39,21 @@ def normalise(df: pd.DataFrame) -> list[tuple]:
     return sorted(out)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+CORE = sorted(catalog.queries())
+
+
+@pytest.mark.parametrize("name", CORE)
 def test_query_matches_oracle(spark, duck, name):
     got = entry.queries()[name](spark, SF).toPandas()
     want = duck.execute(entry.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert normalise(got) == normalise(want)
+    assert len(want) > 0
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_core_query_has_an_oracle():
+    assert set(CORE) == set(catalog.oracle_sql()) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):

@@ -28,46 +28,47 @@ def frames(spark, inventory, clicks, sales):
     return clk, sal, inv
 
 
-BRUTE = """
-WITH clicked_products AS (
-  SELECT DISTINCT c.user_id, c.event_time, p.product_id, p.category
-  FROM clk c JOIN inv p ON c.product_id = p.product_id),
-category_products AS (
-  SELECT cp.user_id, cp.event_time, p.product_id, p.category, p.stock, p.rating, sr.user_id AS purchased
-  FROM clicked_products cp JOIN inv p ON cp.category = p.category
-  LEFT JOIN sal sr ON cp.user_id = sr.user_id AND p.product_id = sr.product_id
-  WHERE try_cast(p.stock AS INT) > 0
-  GROUP BY p.product_id, p.category, p.stock, cp.user_id, cp.event_time, sr.user_id, p.rating)
-SELECT user_id, event_time, product_id, category, stock, rating, purchased,
-  ROW_NUMBER() OVER (PARTITION BY {part} ORDER BY purchased DESC NULLS LAST, {rating} DESC,
-                     product_id ASC, event_time ASC) AS rn
-FROM category_products
-"""
+def all_candidates(clk, sal, inv):
+    """Every stocked product of every category a user saw, by plain loops:
+    (user, time, product, category, stock, rating, purchased)."""
+    category, stocked = {}, set()
+    for p in inv.collect():
+        category.setdefault(p.product_id, set()).add(p.category)
+        if (p.stock or "").lstrip("-").isdigit() and int(p.stock) > 0:
+            stocked.add((p.product_id, p.category, p.stock, p.rating))
+    owned = {(s.user_id, s.product_id) for s in sal.collect()}
+    seen = {(c.user_id, c.event_time, cat) for c in clk.collect() for cat in category.get(c.product_id, ())}
+    return [
+        (user, time, *product, user if (user, product[0]) in owned else None)
+        for user, time, cat in seen for product in stocked if product[1] == cat
+    ]
+
+
+def rank_all(spark, candidates, group, rating_order, k):
+    """The first k of each group: bought first, then rating down, product id up, time, stock."""
+    groups = {}
+    for c in candidates:
+        groups.setdefault(group(c), []).append(c)
+    out = []
+    for members in groups.values():
+        members.sort(key=lambda c: (c[2], c[1], c[4]))
+        members.sort(key=lambda c: c[5] if rating_order == "numeric" else str(c[5]), reverse=True)
+        members.sort(key=lambda c: c[6] is None)
+        out += [(*c, i + 1) for i, c in enumerate(members[:k])]
+    schema = "user_id long, event_time timestamp_ntz, product_id long, category string, stock string, rating int, purchased long, rn int"
+    return spark.createDataFrame(out, schema)
 
 
 def brute(spark, clk, sal, inv, scope="user", rating_order="numeric", k=6):
-    clk.createOrReplaceTempView("clk")
-    sal.createOrReplaceTempView("sal")
-    inv.createOrReplaceTempView("inv")
-    part = "user_id" if scope == "user" else "user_id, event_time"
-    rating = "rating" if rating_order == "numeric" else "CAST(rating AS STRING)"
-    return spark.sql(BRUTE.format(part=part, rating=rating)).where(F.col("rn") <= k)
-
-
-BRUTE_UNSEEN = BRUTE.replace(
-    "SELECT user_id, event_time, product_id, category, stock, rating, purchased,\n  ROW_NUMBER()",
-    ", seen AS (SELECT user_id, product_id, category, stock, rating, purchased, min(event_time) AS event_time\n"
-    "  FROM category_products GROUP BY user_id, product_id, category, stock, rating, purchased)\n"
-    "SELECT user_id, event_time, product_id, category, stock, rating, purchased,\n  ROW_NUMBER()",
-).replace("FROM category_products\n", "FROM seen\n")
+    group = (lambda c: c[0]) if scope == "user" else (lambda c: c[:2])
+    return rank_all(spark, all_candidates(clk, sal, inv), group, rating_order, k)
 
 
 def brute_unseen(spark, clk, sal, inv, rating_order="numeric", k=6):
-    clk.createOrReplaceTempView("clk")
-    sal.createOrReplaceTempView("sal")
-    inv.createOrReplaceTempView("inv")
-    rating = "rating" if rating_order == "numeric" else "CAST(rating AS STRING)"
-    return spark.sql(BRUTE_UNSEEN.format(part="user_id", rating=rating)).where(F.col("rn") <= k)
+    first = {}
+    for c in sorted(all_candidates(clk, sal, inv), key=lambda c: c[1]):
+        first.setdefault((c[0], *c[2:]), c)
+    return rank_all(spark, first.values(), lambda c: c[0], rating_order, k)
 
 
 def rows(df):
@@ -245,3 +246,62 @@ def test_first_distinct_matches_distinct_then_rank(spark, seed):
         want.setdefault((u, c), []).append(e)
     expect = sorted((u, c, e) for (u, c), es in want.items() for e in sorted(es)[:4])
     assert got == expect
+
+
+def test_identical_inventory_rows_take_one_place(spark):
+    inv = [(1, "a", "5", 9), (1, "a", "5", 9), (2, "a", "5", 8), (1, "a", "5", 7)]
+    out, _ = ranked(spark, inv, [(7, 1, t(0))], [], k=2)
+    assert top_ids(out) == [1, 2]
+
+
+@pytest.mark.parametrize("seed", [8, 9])
+@pytest.mark.parametrize("scope", ["user", "view"])
+def test_repeated_inventory_rows_match_brute_force(spark, seed, scope):
+    rnd = random.Random(seed)
+    inv = [(rnd.randrange(12), f"c{rnd.randrange(2)}", str(rnd.randrange(3)), rnd.randrange(1, 4)) for _ in range(60)]
+    clicks = [(rnd.randrange(4), rnd.randrange(14), t(rnd.randrange(30))) for _ in range(30)]
+    sales = [(rnd.randrange(4), rnd.randrange(14)) for _ in range(15)]
+    out, (clk, sal, inv_df) = ranked(spark, inv, clicks, sales, scope=scope)
+    assert rows(out) == rows(brute(spark, clk, sal, inv_df, scope))
+
+
+def test_every_purchase_in_a_clicked_category_is_listed(spark):
+    inv = [(p, "a", "5", 20 - p) for p in range(1, 15)]
+    clk, sal, inv_df = frames(spark, inv, [(1, 1, t(0))], [(1, p) for p in range(1, 12)] + [(1, 1)])
+    got = rec.Recommender(clk, sal, inv_df).purchased_in_clicked()
+    assert sorted(r.product_id for r in got.collect()) == list(range(1, 12))
+
+
+def test_view_lists_equal_the_ranking(spark):
+    rnd = random.Random(12)
+    inv = [(p, f"c{p % 3}", str(p % 4), rnd.randrange(1, 12)) for p in range(30)]
+    clicks = [(rnd.randrange(4), rnd.randrange(30), t(rnd.randrange(8))) for _ in range(40)]
+    sales = [(rnd.randrange(4), rnd.randrange(30)) for _ in range(20)]
+    for order in ("numeric", "string"):
+        out, (clk, sal, inv_df) = ranked(spark, inv, clicks, sales, scope="view", rating_order=order)
+        want = {}
+        for r in sorted(out.collect(), key=lambda r: r.rn):
+            want.setdefault((r.user_id, r.event_time), []).append(str(r.product_id))
+        lists = rec.Recommender(clk, sal, inv_df, rating_order=order).recommend("view").collect()
+        assert {(r.user_id, r.event_time): r.top_product_ids for r in lists} == {key: ",".join(ids) for key, ids in want.items()}
+
+
+def test_k_must_be_cut_per_map_task(spark):
+    clk, sal, inv_df = frames(spark, [(1, "a", "5", 3)], [(1, 1, t(0))], [])
+    for k in (0, -1, 5000):
+        with pytest.raises(ValueError):
+            rec.Recommender(clk, sal, inv_df, k=k).ranked("user")
+
+
+def test_hot_tied_pair_is_reduced_in_many_tasks(spark, capsys):
+    """A pair with thousands of clicks of one instant: copies go before the
+    stage that gathers the pair."""
+    from basketry.operators.common import first_distinct
+
+    df = spark.createDataFrame([(1, "a", t(0))] * 4000 + [(1, "a", t(i)) for i in range(9)] + [(2, "b", t(5))], "user_id long, category string, event_time timestamp_ntz").repartition(8)
+    out = first_distinct(df, ["user_id", "category"], "event_time", 3)
+    capsys.readouterr()
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "_salt" in plan and plan.count("Exchange hashpartitioning") == 2
+    assert sorted(map(tuple, out.collect())) == [(1, "a", t(0)), (1, "a", t(1)), (1, "a", t(2)), (2, "b", t(5))]

@@ -74,6 +74,40 @@ def test_latest_per_key_tie_breaks_on_later_columns(spark):
     assert out == {1: "y", 2: "z"}
 
 
+def test_latest_products_needs_an_order(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        sal.latest_products(products_df(spark, [(5, "a", 1, 1)]), [])
+
+
+def test_panes_equal_plain_sliding_windows(spark, capsys):
+    from pyspark.sql import functions as F
+
+    s = sales_df(spark, [(i % 5, 1 + i % 3, ts(i * 37)) for i in range(300)])
+    enriched = sal.enrich_sales(s, products_df(spark, [(i, f"c{i % 2}", 1, 1) for i in range(4)]))
+    got = sal.sales_by_category(enriched, window="10 minutes", slide="2 minutes")
+    plain = enriched.groupBy(F.window("purchase_time", "10 minutes", "2 minutes").alias("w"), "category").agg(F.sum("sales").alias("s"))
+    assert sorted(map(tuple, got.collect())) == sorted((r.w.start, r.w.end, r.category, r.s) for r in plain.collect())
+    # no row is spread over windows before the first sum
+    capsys.readouterr()
+    got.explain()
+    plan = capsys.readouterr().out
+    assert "Expand" in plan and "Expand" not in plan[plan.rindex("partial_sum") :]
+    # a window that is no whole number of slides is spread directly
+    odd = sal.sales_by_category(enriched, window="5 minutes", slide="2 minutes").agg(F.sum("sales")).first()[0]
+    want = enriched.groupBy(F.window("purchase_time", "5 minutes", "2 minutes")).agg(F.sum("sales").alias("s")).agg(F.sum("s")).first()[0]
+    assert odd == want
+
+
+def test_broadcast_bound_counts_bytes_too(spark, capsys):
+    from basketry.operators.common import fits_broadcast
+
+    df = spark.createDataFrame([("x" * 1000,)] * 50, "s string")
+    assert fits_broadcast(df, 50) and not fits_broadcast(df, 49)
+    assert fits_broadcast(df, 50, 50_000) and not fits_broadcast(df, 50, 49_999)
+
+
 def test_broadcast_only_below_bound(spark):
     df = spark.range(100)
     small = broadcast_if_bounded(df, 1000)
