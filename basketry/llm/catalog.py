@@ -64,6 +64,116 @@ QUERIES = {
     )
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _license_sql() -> str:
+    """The scan over the whole table: k-grams joined by their words."""
+    k = licenses.K
+    grams = []
+    for exact, entries in ((True, licenses.PHRASES), (False, licenses.TEMPLATES)):
+        for label, text in entries:
+            w = text.split()
+            n = len(w) - k + 1
+            grams += [f"('{label}', {exact}, {n}, {i}, '{' '.join(w[i : i + k])}')" for i in range(n)]
+    return rf"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), templates(label, whole, n, tpos, gram) AS (
+    VALUES {", ".join(grams)}
+), texts AS (
+    SELECT doc_id, pos, array_to_string(w[pos + 1:pos + {k}], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(len(w) - {k - 1})) AS pos FROM words)
+), diagonals AS (
+    SELECT doc_id, label, whole, n, pos - tpos AS d, list(DISTINCT tpos) AS hits FROM texts JOIN templates USING (gram) GROUP BY ALL
+), steps AS (
+    SELECT *, CASE WHEN d - lag(d) OVER (PARTITION BY doc_id, label ORDER BY d) <= {licenses.MAX_SHIFT} THEN 0 ELSE 1 END AS fresh
+    FROM diagonals WHERE NOT whole
+), merged AS (
+    SELECT *, sum(fresh) OVER (PARTITION BY doc_id, label ORDER BY d) AS span FROM steps
+), similar_spans AS (
+    SELECT doc_id, label, len(list_distinct(flatten(list(hits)))) / n AS score FROM merged GROUP BY doc_id, label, n, span
+), found AS (
+    SELECT doc_id, label, 1.0 AS score, d AS first FROM diagonals WHERE whole AND len(hits) = n
+    UNION ALL SELECT doc_id, label, score, NULL FROM similar_spans WHERE score >= {licenses.MIN_SCORE}
+), summed AS (
+    SELECT doc_id, count(first) AS n_base, min(first) AS first_word, max(first) AS last_word, max(score) AS score,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (first IS NOT NULL) AS base_labels,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM found GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM words LEFT JOIN summed USING (doc_id)
+"""
+
+
+OP4_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(LOWERED,
+                                      '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s
+    FROM words WHERE len(w) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)
+), ends AS (
+    SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM words UNION SELECT reach.a, ends.b FROM reach JOIN ends ON ends.a = reach.b
+)
+SELECT words.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = words.doc_id) AS component_id
+FROM words LEFT JOIN sizes USING (doc_id)
+""".replace("LOWERED", _LOWER)
+
+
+def _url_sql() -> str:
+    """Rules, host graph and both rankings; one step of a ranking is one subquery."""
+    host = r"translate(regexp_extract(coalesce({0}, ''), '^[\s\S]*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    path = r"regexp_extract(coalesce(url, ''), '^[\s\S]*?://[^/?#]*([^?#]*)', 1)"
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
+    parts = [
+        f"rules(kind, h, p) AS (VALUES {rules})",
+        f"named AS (SELECT row_number() OVER () AS id, page_id, html, {host.format('url')} AS host, {path} AS path FROM pages)",
+        "fitting AS (SELECT id, arg_max(kind, length(h || p)) AS by_rule, arg_max(h || p, length(h || p)) AS rule FROM named, rules "
+        "WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY id)",
+        "seen AS (SELECT * FROM named LEFT JOIN fitting USING (id))",
+        "hosts AS (SELECT host, count(*) FILTER (by_rule = 'allow') AS allow, count(*) FILTER (by_rule = 'block') AS block, count(*) AS pages "
+        "FROM seen WHERE host <> '' GROUP BY host)",
+        "links AS (SELECT host AS src, " + host.format("link") + " AS dst FROM (SELECT DISTINCT id, host, unnest(regexp_extract_all(html, "
+        + "'" + url_filter._LINK.replace("'", "''") + "', 1)) AS link FROM seen WHERE host <> ''))",
+        r"up AS (SELECT host AS src, regexp_extract(host, '^[^.]+\.(.+\..+)$', 1) AS dst, pages AS weight FROM hosts)",
+        "edges AS (SELECT src, dst, sum(weight)::DOUBLE AS weight FROM (SELECT src, dst, 1 AS weight FROM links WHERE dst <> src UNION ALL "
+        "SELECT src, dst, weight FROM up UNION ALL SELECT dst, src, weight FROM up) WHERE src <> '' AND dst <> '' GROUP BY src, dst)",
+    ]
+    for name, a, b, seeds in (("trust", "src", "dst", "allow > 0 AND block = 0"), ("distrust", "dst", "src", "block > 0 AND allow = 0")):
+        kind = "allow" if name == "trust" else "block"
+        parts += [
+            f"{name}_start AS (SELECT host, {kind} / (sum({kind}) OVER ()) AS restart FROM hosts WHERE {seeds})",
+            f"{name}_moves AS (SELECT {a} AS src, {b} AS dst, weight / sum(weight) OVER (PARTITION BY {a}) * {url_filter.DAMPING} AS share FROM edges)",
+            f"{name}_0 AS MATERIALIZED (SELECT host, restart AS score FROM {name}_start)",
+        ]
+        parts += [
+            f"{name}_{i + 1} AS MATERIALIZED (SELECT host, sum(score) AS score FROM (SELECT dst AS host, share * score AS score FROM {name}_moves JOIN {name}_{i} "
+            f"ON src = host UNION ALL SELECT host, restart * {1 - url_filter.DAMPING} FROM {name}_start) GROUP BY host)"
+            for i in range(url_filter.ROUNDS)
+        ]
+    last = url_filter.ROUNDS
+    parts.append(
+        "judged AS (SELECT hosts.host, coalesce(t.score, 0) AS trust, coalesce(d.score, 0) AS distrust FROM hosts "
+        f"LEFT JOIN trust_{last} t ON t.host = hosts.host LEFT JOIN distrust_{last} d ON d.host = hosts.host)"
+    )
+    excess = f"round(distrust - {url_filter.BLOCK_SHARE} * (distrust + trust), {url_filter.DIGITS})"
+    return (
+        "WITH " + ",\n".join(parts) + "\nSELECT page_id, seen.host, path, rule, coalesce(by_rule, CASE WHEN distrust > 0 AND "
+        f"{excess} >= 0 THEN 'block' ELSE 'allow' END) AS verdict FROM seen LEFT JOIN judged ON judged.host = seen.host"
+    )
+
+
 OP10_SQL = r"""
 WITH d AS (
     SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
@@ -88,7 +198,13 @@ SELECT d.page_id, d.n AS payload_bytes, d.digest AS payload_digest,
 FROM d LEFT JOIN f ON f.digest = d.digest AND d.n >= 100
 """
 
-ORACLE_SQL = {"op9_warc": OP9_SQL, "op10_exact_dedup": OP10_SQL}
+ORACLE_SQL = {
+    "op2_licenses": _license_sql(),
+    "op4_ngram_join": OP4_SQL,
+    "op5_url_filter": _url_sql(),
+    "op9_warc": OP9_SQL,
+    "op10_exact_dedup": OP10_SQL,
+}
 
 
 def queries() -> dict:

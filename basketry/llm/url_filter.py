@@ -35,6 +35,8 @@ DAMPING = 0.85
 ROUNDS = 12
 #: a host is blocked if distrust holds at least this share of distrust + trust
 BLOCK_SHARE = 0.5
+# scores are sums of products in any order: smaller differences are none
+DIGITS = 12
 _LINK = r"""(?i)\shref\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""
 
 
@@ -124,7 +126,8 @@ def host_verdicts(pages: DataFrame, block_share: float = BLOCK_SHARE) -> DataFra
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     both = hosts.select("host").join(trust, "host", "left").join(distrust, "host", "left")
     both = both.select("host", zero("trust").alias("trust"), zero("distrust").alias("distrust"))
-    bad = (F.col("distrust") > 0) & (F.col("distrust") >= block_share * (F.col("distrust") + F.col("trust")))
+    excess = F.col("distrust") - block_share * (F.col("distrust") + F.col("trust"))
+    bad = (F.col("distrust") > 0) & (F.round(excess, DIGITS) >= 0)
     return both.withColumn("verdict", F.when(bad, "block").otherwise("allow"))
 
 
