@@ -7,8 +7,10 @@ shingle sets of documents without a partner ever meet:
 1. *Document frequencies.* Each text becomes its set of shingle hashes. They are
    dealt out by hash as sorted, delta-coded blocks; each task counts in how many
    documents each shingle stands and answers every block with the shingles that
-   stand in at least two. Documents with the same set in one partition are dealt
-   once.
+   stand in at least two. Texts are handled in groups of about 16 MB: a shingle
+   of several documents of a group is dealt once, with its count, so a shingle
+   that stands in every document is one entry a group. Documents with the same
+   set in one partition are dealt once.
 2. *Rare first.* Ordered by frequency, shingles of one document only come first.
    They cannot be shared, so a document with more than a quarter of them can link
    with nothing and is done. Of the others, equal sets become one node.
@@ -18,11 +20,14 @@ shingle sets of documents without a partner ever meet:
 4. *Star round.* In each list, every node is paired with the most typical node of
    like size (fewest shingles of its own), and each node is verified against the
    one it met most often. This joins a group of many near copies with one pair a
-   member instead of all its pairs.
+   member instead of all its pairs. Lists are first cut down within each batch of
+   nodes: members vote there, and only the typical node goes on.
 5. *Complete round.* All pairs of nodes in *different* components that share a
    list, pass the length and positional filters, are verified once per pair, with
    a suffix filter (counts per hash range) before the sets are intersected. Links
-   within a component would change nothing.
+   within a component would change nothing. A list that may be longer than
+   ``2 ** LIST_ROWS_LOG2`` is split: its members are dealt to parts, and every two parts meet
+   in a cell of their own, so no task holds the whole list.
 
 Shingles are compared by 64-bit hashes inside a document and 48-bit hashes
 between documents; the chance of a false match between two documents of a
@@ -51,7 +56,10 @@ GROUP_BYTES = 16 << 20
 # bytes of text per block of hashes; the number of blocks follows the input
 BLOCK_BYTES = 8 << 20
 MIN_BLOCKS = 64
+#: lists of shingles that stand in more documents are split (log2)
+LIST_ROWS_LOG2 = 15
 _HASH_BITS = 48
+_MANY = 0xFFFFFFFF
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -99,7 +107,7 @@ def _bounds(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # -- 1. document frequencies
 
-_BLOCK = "block int, base long, hashes binary, refs binary, docs binary"
+_BLOCK = "block int, base long, hashes binary, refs binary, counts binary, docs binary"
 
 
 def _deal(bits: int):
@@ -138,71 +146,91 @@ def _group(texts: list[bytes], ids: np.ndarray, base: int, bits: int, seen: dict
         sums[k, owner[starts]] = np.add.reduceat(values, starts)
     first = np.array([seen.setdefault((a, c, m), base + i) for i, (a, c, m) in enumerate(zip(*sums.tolist(), n.tolist()))], np.int64)
     dealt = new & (first == base + np.arange(len(texts)))[o] if len(h) else new
-    h, o = h[dealt] >> np.uint64(64 - _HASH_BITS), o[dealt]
-    block = (h >> np.uint64(_HASH_BITS - bits)).astype(np.int64)
-    rows = [(int(block[a]), base, _pack_sorted(h[a:e]), _pack(o[a:e], 4), None) for a, e in zip(*_bounds(block))]
+    h, o = h[dealt] >> np.uint64(64 - _HASH_BITS), o[dealt].astype(np.uint64)
+    new = np.r_[True, (h[1:] != h[:-1]) | (o[1:] != o[:-1])] if len(h) else np.empty(0, bool)
+    h, o = h[new], o[new]
+    # one entry a shingle: with its document, or with the count of several
+    starts, ends = _bounds(h)
+    counts = (ends - starts).astype(np.uint64)
+    many = np.repeat(counts > 1, ends - starts)
+    once, refs = h[starts], np.where(counts > 1, np.uint64(_MANY), o[starts] if len(starts) else o)
+    block = (once >> np.uint64(_HASH_BITS - bits)).astype(np.int64)
+    rows = [
+        (int(block[a]), base, _pack_sorted(once[a:e]), _pack(refs[a:e], 4), _pack(counts[a:e], 4), None)
+        for a, e in zip(*_bounds(block))
+    ]
+    # the documents of shared shingles wait for the answers, with the group's facts
     facts = np.stack([ids.astype(np.int64), n.astype(np.int64), *sums.view(np.int64), first])
-    rows.append((-1 - (base >> 32) % 997, base, None, None, facts.tobytes()))
-    cols = list(zip(*rows))
-    types = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["block", "base", "hashes", "refs", "docs"])
+    rows.append((-1 - (base >> 32) % 997, base, _pack_sorted(h[many]), _pack(o[many], 4), None, facts.tobytes()))
+    types = {"block": pa.int32(), "base": pa.int64(), "hashes": pa.binary(), "refs": pa.binary(), "counts": pa.binary(), "docs": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types.values())], names=list(types))
 
 
 _SHARED = "base long, hashes binary, refs binary, counts binary, docs binary"
 
 
 def _shared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """One block of hashes from all documents -> per sender, those in two documents or more."""
-    if key[0] < 0:  # document facts pass through
-        return rows.assign(counts=None)[["base", "hashes", "refs", "counts", "docs"]]
+    """One block of hashes from all groups -> per group, those in two documents or more."""
+    if key[0] < 0:  # facts pass through
+        return rows[["base", "hashes", "refs", "counts", "docs"]]
     hashes = [_unpack_sorted(x) for x in rows["hashes"]]
     refs = np.concatenate([_unpack(x, 4) for x in rows["refs"]])
-    sender = np.repeat(np.arange(len(rows)), [len(x) for x in hashes])
+    counts = np.concatenate([_unpack(x, 4) for x in rows["counts"]])
+    ends_of = np.cumsum([len(x) for x in hashes])
     hashes = np.concatenate(hashes)
     order = np.argsort(hashes, kind="stable")
     starts, ends = _bounds(hashes[order])
-    counts = np.zeros(len(hashes), np.uint64)
-    counts[order] = np.repeat(ends - starts, ends - starts).astype(np.uint64)
+    total = np.empty(len(hashes), np.uint64)
+    total[order] = np.repeat(np.add.reduceat(counts[order], starts), ends - starts)
     out = []
-    for i, base in enumerate(rows["base"]):
-        a, e = np.searchsorted(sender, [i, i + 1])
-        take = np.flatnonzero(counts[a:e] > 1) + a
+    for base, a, e in zip(rows["base"], np.r_[0, ends_of[:-1]], ends_of):
+        take = np.flatnonzero(total[a:e] > 1) + a
         if len(take):
-            out.append((base, _pack_sorted(hashes[take]), _pack(refs[take], 4), _pack(counts[take], 5), None))
+            out.append((base, _pack_sorted(hashes[take]), _pack(refs[take], 4), _pack(total[take], 5), None))
     return pd.DataFrame(out, columns=["base", "hashes", "refs", "counts", "docs"])
 
 
 # -- 2. rare first
 
 _DOCS = "uid long, doc_id long, n int, fp1 long, fp2 long, m int, tokens binary"
+# a token: six bytes of hash, one of the frequency's order (log2, rounded up)
+_TOKEN = 7
 
 
 def _rare_first(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """A group's answers -> its documents; ``tokens`` (only of documents that can
-    link) are the shared shingles, rarest first, six bytes each."""
-    facts = np.frombuffer(rows["docs"].dropna().iloc[0], np.int64).reshape(5, -1)
-    ids, n, fp1, fp2, first = facts
-    answers = rows[rows["hashes"].notna()]
+    link) are the shared shingles, rarest first."""
+    own = rows[rows["docs"].notna()].iloc[0]
+    ids, n, fp1, fp2, first = np.frombuffer(own["docs"], np.int64).reshape(5, -1)
+    answers = rows[rows["docs"].isna()]
     m = np.zeros(len(ids), np.int64)
     tokens: list = [None] * len(ids)
     if len(answers):
         hashes = np.concatenate([_unpack_sorted(x) for x in answers["hashes"]])
         refs = np.concatenate([_unpack(x, 4) for x in answers["refs"]])
         counts = np.concatenate([_unpack(x, 5) for x in answers["counts"]])
-        m = np.bincount(refs.astype(np.int64), minlength=len(ids))
-        able = 4 * m >= 3 * n
-        take = able[refs.astype(np.int64)]
+        # shingles of several documents of the group: the answer goes to each
+        several = refs == _MANY
+        order = np.argsort(hashes[several], kind="stable")
+        answer, total = hashes[several][order], counts[several][order]
+        waiting = _unpack_sorted(own["hashes"])
+        hashes = np.concatenate([hashes[~several], waiting])
+        refs = np.concatenate([refs[~several], _unpack(own["refs"], 4)]).astype(np.int64)
+        counts = np.concatenate([counts[~several], total[np.searchsorted(answer, waiting)]])
+        m = np.bincount(refs, minlength=len(ids))
+        take = (4 * m >= 3 * n)[refs]
         hashes, refs, counts = hashes[take], refs[take], counts[take]
         order = np.lexsort((hashes, counts, refs))
-        hashes, refs = hashes[order], refs[order]
-        six = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+        hashes, refs, counts = hashes[order], refs[order], counts[order]
+        raw = np.empty((len(hashes), _TOKEN), np.uint8)
+        raw[:, :6] = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+        raw[:, 6] = np.ceil(np.log2(counts))
         for a, e in zip(*_bounds(refs)):
-            tokens[int(refs[a])] = six[a:e].tobytes()
+            tokens[int(refs[a])] = raw[a:e].tobytes()
     uid = key[0] + np.arange(len(ids))
-    own = first == uid
     return pd.DataFrame({
         "uid": uid, "doc_id": pd.array([None if x == _NO_ID else x for x in ids.tolist()], "Int64"), "n": n.astype(np.int32), "fp1": fp1, "fp2": fp2,
-        "m": m.astype(np.int32), "tokens": [t if o and c else None for t, o, c in zip(tokens, own, n)],
+        "m": m.astype(np.int32), "tokens": [t if f == u and c else None for t, f, u, c in zip(tokens, first, uid, n)],
     })
 
 
@@ -219,77 +247,113 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 # -- 3. prefixes
 
 
-def _tokens(raw: bytes) -> np.ndarray:
-    six = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    out = np.zeros((len(six), 8), np.uint8)
-    out[:, :6] = six
-    return out.view("<u8").ravel()
+def _tokens(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and orders of frequency."""
+    rows = np.frombuffer(raw, np.uint8).reshape(-1, _TOKEN)
+    out = np.zeros((len(rows), 8), np.uint8)
+    out[:, :6] = rows[:, :6]
+    return out.view("<u8").ravel(), rows[:, 6]
+
+
+# ``at`` is the shingle's place in the whole set, rarest first; ``own`` counts
+# shingles no one shares; ``scale`` is the order of the shingle's frequency
+_ENTRY = np.dtype([("hash", "<u8"), ("uid", "<i8"), ("component", "<i8"), ("n", "<i4"), ("at", "<i4"), ("own", "<i4"), ("scale", "<i4")])
+_LISTS = "block int, cell int, entries binary"
+
 
+def _prefix_entries(batch: pa.RecordBatch) -> np.ndarray:
+    parts = [np.empty(0, _ENTRY)]
+    for uid, component, n, m, raw in zip(*(batch.column(i).to_pylist() for i in range(5))):
+        hashes, scales = _tokens(raw)
+        part = np.empty(len(hashes), _ENTRY)
+        part["hash"], part["uid"], part["component"], part["n"], part["own"] = hashes, uid, component, n, n - m
+        part["at"], part["scale"] = n - m + np.arange(len(hashes)), scales
+        parts.append(part)
+    return np.concatenate(parts)
 
-_ENTRY = np.dtype([("hash", "<u8"), ("uid", "<i8"), ("component", "<i8"), ("n", "<i4"), ("at", "<i4"), ("own", "<i4")])
 
+def _dealt(entries: np.ndarray, cell: np.ndarray, bits: int) -> list[tuple]:
+    """(block, cell, entries) rows of entries dealt by hash range."""
+    order = np.lexsort((entries["hash"], cell))
+    entries, cell = entries[order], cell[order]
+    block = (entries["hash"] >> np.uint64(_HASH_BITS - bits)).astype(np.int64)
+    return [(int(block[a]), int(cell[a]), entries[a:e].tobytes()) for a, e in zip(*_bounds(cell << np.int64(32) | block))]
 
-def _lists(bits: int):
-    """Nodes -> blocks of prefix entries by hash range. ``at`` is the shingle's
-    place in the whole set, rarest first; ``own`` counts shingles no one shares."""
+
+def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
+    block, cell, raw = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(cell, pa.int32()), pa.array(raw, pa.binary())], names=["block", "cell", "entries"])
+
+
+def _lists_for_stars(bits: int, homes: int):
+    """Nodes -> votes within the batch (block -1 - home), and the typical nodes' entries."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts = []
-            for uid, component, n, m, raw in zip(*(b.column(i).to_pylist() for i in range(5))):
-                hashes = _tokens(raw)
-                part = np.empty(len(hashes), _ENTRY)
-                part["hash"], part["uid"], part["component"], part["n"], part["own"] = hashes, uid, component, n, n - m
-                part["at"] = n - m + np.arange(len(hashes))
-                parts.append(part)
-            if parts:
-                found = np.concatenate(parts)
-                found = found[np.argsort(found["hash"], kind="stable")]
-                block = (found["hash"] >> np.uint64(_HASH_BITS - bits)).astype(np.int64)
-                bounds = list(zip(*_bounds(block)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(block[a]) for a, _ in bounds], pa.int32()), pa.array([found[a:e].tobytes() for a, e in bounds], pa.binary())],
-                    names=["block", "entries"],
-                )
+            typical, votes = _stars(_prefix_entries(b), homes)
+            rows = [(-1 - home, 0, raw) for home, raw in votes]
+            yield _as_batch(rows + _dealt(typical, np.zeros(len(typical), np.int64), bits))
 
     return deal
 
 
-def prefix_lists(nodes: DataFrame, bits: int) -> DataFrame:
-    """``block, entries`` from ``uid, component, n, m, tokens``."""
+def _lists_for_pairs(bits: int):
+    """Nodes -> entries; those of long lists to every cell their part meets others in."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            e = _prefix_entries(b)
+            # a list of up to 2 ** scale members has that many parts over the bound
+            parts = np.int64(1) << np.maximum(e["scale"].astype(np.int64) - LIST_ROWS_LOG2, 0)
+            mine = (mix(e["uid"].astype(np.uint64)) >> np.uint64(8)).astype(np.int64) & (parts - 1)
+            which = np.repeat(np.arange(len(e)), parts)
+            other = np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)
+            low, high = np.minimum(mine[which], other), np.maximum(mine[which], other)
+            yield _as_batch(_dealt(e[which], high * (high + 1) // 2 + low, bits))
+
+    return deal
+
+
+def _prefixes(nodes: DataFrame) -> DataFrame:
+    """``uid, component, n, m, tokens`` with the tokens cut to the prefix."""
     n = F.col("n")
     keep = n - F.floor((3 * n + 3) / 4) + 1 - (n - F.col("m"))
-    cut = nodes.withColumn("keep", keep.cast("int")).where("keep > 0").select("uid", "component", "n", "m", F.substring("tokens", F.lit(1), F.col("keep") * 6).alias("tokens"))
-    return cut.mapInArrow(_lists(bits), "block int, entries binary")
+    cut = nodes.withColumn("keep", keep.cast("int")).where("keep > 0")
+    return cut.select("uid", "component", "n", "m", F.substring("tokens", F.lit(1), F.col("keep") * _TOKEN).alias("tokens"))
 
 
 def _entries(rows: pd.DataFrame) -> np.ndarray:
-    found = np.concatenate([np.frombuffer(x, _ENTRY) for x in rows["entries"]])
-    return found[np.argsort(found["hash"], kind="stable")]
+    return np.concatenate([np.frombuffer(x, _ENTRY) for x in rows["entries"]])
 
 
 # -- 4. star round
 
 
+def _stars(e: np.ndarray, homes: int) -> tuple[np.ndarray, list[tuple[int, bytes]]]:
+    """In each list and class of sizes, every node votes for the most typical one:
+    the typical nodes' entries, and (home, votes) with each vote's count."""
+    # sizes within a class differ by less than a third
+    size = np.floor(np.log(e["n"]) / np.log(4 / 3)).astype(np.int64)
+    order = np.lexsort((e["uid"], e["own"] / e["n"], size, e["hash"]))
+    e, size = e[order], size[order]
+    starts = np.flatnonzero(np.r_[True, (e["hash"][1:] != e["hash"][:-1]) | (size[1:] != size[:-1])]) if len(e) else np.empty(0, np.int64)
+    lead = np.repeat(e["uid"][starts], np.diff(np.r_[starts, len(e)]))
+    pairs = np.stack([e["uid"], lead])[:, e["uid"] != lead]
+    if not pairs.size:
+        return e[starts], []
+    pairs, n = np.unique(pairs, axis=1, return_counts=True)
+    home = (mix(pairs[0].astype(np.uint64)) % np.uint64(homes)).astype(np.int64)
+    order = np.argsort(home, kind="stable")
+    table, home = np.vstack([pairs, n])[:, order], home[order]
+    return e[starts], [(int(home[a]), np.ascontiguousarray(table[:, a:z]).tobytes()) for a, z in zip(*_bounds(home))]
+
+
 def _votes(homes: int):
     def votes(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        """In each list and class of sizes, every node votes for the most typical one."""
-        e = _entries(rows)
-        # sizes within a class differ by less than a third
-        size = np.floor(np.log(e["n"]) / np.log(4 / 3)).astype(np.int64)
-        own = e["own"] / e["n"]
-        order = np.lexsort((e["uid"], own, size, e["hash"]))
-        e, size = e[order], size[order]
-        starts = np.flatnonzero(np.r_[True, (e["hash"][1:] != e["hash"][:-1]) | (size[1:] != size[:-1])])
-        lead = np.repeat(e["uid"][starts], np.diff(np.r_[starts, len(e)]))
-        pairs = np.stack([e["uid"], lead])[:, e["uid"] != lead]
-        if not pairs.size:
-            return pd.DataFrame({"home": [], "votes": []}).astype({"home": "int32", "votes": object})
-        pairs, n = np.unique(pairs, axis=1, return_counts=True)
-        home = (mix(pairs[0].astype(np.uint64)) % np.uint64(homes)).astype(np.int64)
-        order = np.argsort(home, kind="stable")
-        table, home = np.vstack([pairs, n])[:, order], home[order]
-        out = [(int(home[a]), np.ascontiguousarray(table[:, a:z]).tobytes()) for a, z in zip(*_bounds(home))]
+        if key[0] < 0:  # votes of a batch pass through
+            out = [(-1 - key[0], raw) for raw in rows["entries"]]
+        else:
+            out = _stars(_entries(rows), homes)[1]
         return pd.DataFrame(out, columns=["home", "votes"]).astype({"home": "int32"})
 
     return votes
@@ -315,6 +379,7 @@ def _across(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """Pairs of different components in one list that pass the length and
     positional filters, once per block."""
     e = _entries(rows)
+    e = e[np.argsort(e["hash"], kind="stable")]
     found = []
     for a, z in zip(*_bounds(e["hash"])):
         run = e[a:z]
@@ -351,7 +416,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = []
         for n_a, n_b, raw_a, raw_b in zip(*(batch.column(i) for i in range(2, 6))):
             need = least_overlap(n_a.as_py(), n_b.as_py())
-            a, b = _tokens(raw_a.as_buffer()), _tokens(raw_b.as_buffer())
+            a, b = _tokens(raw_a.as_buffer())[0], _tokens(raw_b.as_buffer())[0]
             # suffix filter: per hash range, no more can be shared than the smaller count
             shift = np.uint64(_HASH_BITS - 6)
             counts = [np.bincount((x >> shift).astype(np.int64), minlength=_RANGES) for x in (a, b)]
@@ -394,14 +459,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bits = max(MIN_BLOCKS - 1, count // 4000).bit_length()
     homes = max(MIN_BLOCKS, count // 50_000)
 
-    alone = prefix_lists(nodes.withColumn("component", F.col("uid")), bits)
+    alone = _prefixes(nodes.withColumn("component", F.col("uid"))).mapInArrow(_lists_for_stars(bits, homes), _LISTS)
     met = alone.groupBy("block").applyInPandas(_votes(homes), "home int, votes binary").groupBy("home").applyInPandas(_most_met, "a long, b long")
     stars = verified(met, nodes)
 
     joined = materialise(components(stars))
     labels = small(joined.select(F.col("node").alias("uid"), "component"))
     named = nodes.join(labels, "uid", "left").withColumn("component", F.coalesce("component", "uid"))
-    across = prefix_lists(named, bits).groupBy("block").applyInPandas(_across, "a long, b long").distinct()
+    lists = _prefixes(named).mapInArrow(_lists_for_pairs(bits), _LISTS)
+    across = lists.groupBy("block", "cell").applyInPandas(_across, "a long, b long").distinct()
     links = verified(across, nodes)
     if not links.isEmpty():
         joined = materialise(components(stars.unionByName(links)))

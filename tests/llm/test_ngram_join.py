@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from basketry.llm import ngram_join as op
@@ -97,10 +98,41 @@ def test_one_large_group(make_docs):
 
 def test_complete_round_finds_what_the_stars_miss(make_docs, monkeypatch):
     rows = corpus(3)
-    monkeypatch.setattr(op, "_most_met", lambda key, rows: __import__("pandas").DataFrame({"a": np.array([], "int64"), "b": np.array([], "int64")}))
+    monkeypatch.setattr(op, "_most_met", lambda key, rows: pd.DataFrame({"a": np.array([], "int64"), "b": np.array([], "int64")}))
     assert result(make_docs(rows, 4)) == brute(rows)
 
 
+@pytest.mark.parametrize("long_lists", [0, 2])
+def test_split_lists_and_small_groups(make_docs, monkeypatch, long_lists):
+    """Lists split from the first doubling on, texts in groups of a few: in the driver's own run of the steps."""
+    import pyarrow as pa
+
+    rows = corpus(4)
+    monkeypatch.setattr(op, "LIST_ROWS_LOG2", long_lists)
+    monkeypatch.setattr(op, "GROUP_BYTES", 2000)
+    monkeypatch.setattr(op.TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": staticmethod(lambda: 3)})))
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows])], names=["doc_id", "text"])
+    blocks = pd.concat([b.to_pandas() for b in op._deal(3)(iter([batch]))])
+    answers = pd.concat([op._shared((k,), g) for k, g in blocks.groupby("block")])
+    docs = pd.concat([op._rare_first((k,), g) for k, g in answers.groupby("base")])
+    assert dict(zip(docs["doc_id"], docs["n"])) == {i: len(shingle_set(t)) for i, t in rows}
+
+    able = docs[docs["tokens"].notna()]
+    sets = {u: set(op._tokens(t)[0].tolist()) for u, t in zip(able["uid"], able["tokens"])}
+    keep = [(n - (3 * n + 3) // 4 + 1 - (n - m)) * op._TOKEN for n, m in zip(able["n"], able["m"])]
+    cut = pa.RecordBatch.from_arrays(
+        [pa.array(able["uid"]), pa.array(able["uid"]), pa.array(able["n"]), pa.array(able["m"]), pa.array([t[: max(0, c)] for t, c in zip(able["tokens"], keep)], pa.binary())],
+        names=["uid", "component", "n", "m", "tokens"],
+    )
+    dealt = pd.concat([b.to_pandas() for b in op._lists_for_pairs(3)(iter([cut]))])
+    assert dealt["cell"].max() > 0
+    pairs = pd.concat([op._across(k, g) for k, g in dealt.groupby(["block", "cell"])]).drop_duplicates()
+    got = {(a, b) for a, b in zip(pairs["a"], pairs["b"])}
+    size = dict(zip(able["uid"], able["n"]))
+    links = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= op.least_overlap(size[a], size[b])}
+    assert links and links <= got
+
+
 def test_empty(make_docs):
     assert result(make_docs([])) == []
     assert result(make_docs([(2, None), (1, "")])) == [(1, 0, 1), (2, 0, 2)]
