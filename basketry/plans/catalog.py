@@ -78,12 +78,14 @@ _EVENT_LINES = (
 
 @register(
     "parse_sales_csv",
-    W("sales") + ", " + _EVENT_LINES + "SELECT s.invoice_id, s.user_id, s.product_id, s.quantity, s.unit_cost, "
-    "CASE WHEN e.whole THEN NULL ELSE e.line END AS _corrupt_record, e.ts AS purchase_time "
+    W("sales") + ", " + _EVENT_LINES + "SELECT " + ", ".join(f"CAST(s.{n} AS VARCHAR) AS {n}" for n in SALES_FIELDS)
+    + ", CASE WHEN e.whole THEN NULL ELSE e.line END AS _corrupt_record, e.ts AS purchase_time "
     "FROM event_lines e LEFT JOIN sales s ON e.whole AND s.invoice_id = e.event_id",
 )
 def parse_sales_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse.parse_sales(td.event_lines(spark, sf_dir), on_error="quarantine", keep=["purchase_time"])
+    parsed = parse.parse_sales(td.event_lines(spark, sf_dir), on_error="quarantine", keep=["purchase_time"])
+    # as text: a number that can be null may be compared through a float
+    return parsed.withColumns({n: parsed[n].cast("string") for n in SALES_FIELDS})
 
 
 @register("parse_products_csv", W("inv") + _split_sql("inv WHERE stock > 0", _PRODUCT_TYPES, ""))
@@ -271,17 +273,17 @@ def _purchased_as_text(df: DataFrame) -> DataFrame:
 def _topk_user_sql(rating_order: str = "numeric", k: int = 6, purchases: str = "sales") -> tuple[str, str]:
     return (
         _candidates_sql(purchases)
-        + f", top_products AS (SELECT {_CAND_COLS}, {_rank_sql('user_id', _RATING_SQL[rating_order])} AS rn "
+        + f", ranked AS (SELECT {_CAND_COLS}, {_rank_sql('user_id', _RATING_SQL[rating_order])} AS rn "
         f"FROM candidates)\n"
-    ), f"SELECT {_CAND_OUT}, rn FROM top_products WHERE rn <= {k}"
+    ), f"SELECT {_CAND_OUT}, rn FROM ranked WHERE rn <= {k}"
 
 
 def _topk_view_sql(k: int = 6) -> tuple[str, str]:
     return (
         _CANDIDATES_SQL
-        + f", top_products AS (SELECT {_CAND_COLS}, {_rank_sql('user_id, event_time', 'rating', False)} AS rn "
+        + f", ranked AS (SELECT {_CAND_COLS}, {_rank_sql('user_id, event_time', 'rating', False)} AS rn "
         f"FROM candidates)\n"
-    ), f"SELECT {_CAND_OUT}, rn FROM top_products WHERE rn <= {k}"
+    ), f"SELECT {_CAND_OUT}, rn FROM ranked WHERE rn <= {k}"
 
 
 def _recommend_user_sql(rating_order: str = "numeric", width: str = "5 seconds", purchases: str = "sales") -> str:
@@ -289,7 +291,7 @@ def _recommend_user_sql(rating_order: str = "numeric", width: str = "5 seconds",
     bucket = f"time_bucket(INTERVAL '{width}', event_time)"
     return prefix + (
         f"SELECT user_id, string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY rn) AS top_product_ids, "
-        f"{bucket} + INTERVAL '{width}' AS event_time FROM top_products WHERE rn <= 6 "
+        f"{bucket} + INTERVAL '{width}' AS event_time FROM ranked WHERE rn <= 6 "
         f"GROUP BY user_id, {bucket}"
     )
 
@@ -302,8 +304,8 @@ def _unseen_sql(k: int = 6) -> tuple[str, str]:
         + ", seen AS (SELECT user_id, product_id, category, stock, rating, purchased, "
         "min(event_time) AS event_time FROM candidates "
         "GROUP BY user_id, product_id, category, stock, rating, purchased)\n"
-        f", top_products AS (SELECT {_CAND_COLS}, {_rank_sql('user_id', 'rating')} AS rn FROM seen)\n"
-    ), f"SELECT {_CAND_OUT}, rn FROM top_products WHERE rn <= {k}"
+        f", ranked AS (SELECT {_CAND_COLS}, {_rank_sql('user_id', 'rating')} AS rn FROM seen)\n"
+    ), f"SELECT {_CAND_OUT}, rn FROM ranked WHERE rn <= {k}"
 
 
 def _recommender(spark: SparkSession, sf_dir: str, rating_order: str = "numeric", bulk: bool = False) -> rec.Recommender:
@@ -315,8 +317,7 @@ def _recommender(spark: SparkSession, sf_dir: str, rating_order: str = "numeric"
 
 @register(
     "clicked_products",
-    W("inv", "clicks") + "SELECT DISTINCT c.user_id, c.event_time, p.product_id, p.category "
-    "FROM clicks c JOIN inv p ON c.product_id = p.product_id",
+    W("inv", "clicks") + "SELECT user_id, event_time, product_id, category FROM clicks NATURAL JOIN inv GROUP BY ALL",
 )
 def clicked_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _recommender(spark, sf_dir).clicked()
@@ -358,8 +359,8 @@ _LISTED = (
 @register(
     "topk_per_user_listed_twice",
     _candidates_sql(inventory=_LISTED)
-    + f", top_products AS (SELECT {_CAND_COLS}, {_rank_sql('user_id', 'rating')} AS rn FROM candidates)\n"
-    f"SELECT {_CAND_OUT}, rn FROM top_products WHERE rn <= 6",
+    + f", ranked AS (SELECT {_CAND_COLS}, {_rank_sql('user_id', 'rating')} AS rn FROM candidates)\n"
+    f"SELECT {_CAND_OUT}, rn FROM ranked WHERE rn <= 6",
 )
 def topk_per_user_listed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     recommender = rec.Recommender(td.clicks(spark, sf_dir), td.sales(spark, sf_dir), td.listed_inventory(spark, sf_dir))
@@ -412,7 +413,7 @@ def recommend_user_rank_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "recommend_per_view",
     _topk_view_sql()[0] + "SELECT user_id, string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY rn) "
-    "AS top_product_ids, event_time FROM top_products WHERE rn <= 6 GROUP BY user_id, event_time",
+    "AS top_product_ids, event_time FROM ranked WHERE rn <= 6 GROUP BY user_id, event_time",
 )
 def recommend_per_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _recommender(spark, sf_dir).recommend("view")
@@ -453,7 +454,7 @@ def topk_per_user_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "recommend_unseen",
     _unseen_sql()[0] + "SELECT user_id, string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY rn) AS top_product_ids, "
-    "time_bucket(INTERVAL '5 seconds', event_time) + INTERVAL '5 seconds' AS event_time FROM top_products "
+    "time_bucket(INTERVAL '5 seconds', event_time) + INTERVAL '5 seconds' AS event_time FROM ranked "
     "WHERE rn <= 6 GROUP BY user_id, time_bucket(INTERVAL '5 seconds', event_time)",
 )
 def recommend_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
