@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialise
+from basketry.llm.common import materialise, ship_package
 
 K = 20
 QUERY_EVERY = 20
@@ -270,6 +270,7 @@ def nearest(
     no queries or no candidates give no rows.
     """
     spark = df.sparkSession
+    ship_package(spark)
     rows = materialise(vectors(df, id_col, vec_col))
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toArrow()["v"].combine_chunks()
     if not len(sample):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import SPACE, materialise, small, text_or_empty
+from basketry.llm.common import SPACE, materialise, ship_package, small, text_or_empty
 
 # a merged run of a quotient holds about so many fingerprints
 RUN_ROWS = 1 << 16
@@ -79,6 +79,7 @@ def _merge_runs(bits: int):
 
 def repeated_fingerprints(keys: DataFrame) -> DataFrame:
     """``fp, n`` of the 64-bit ``fp`` values that occur more than once in ``keys``."""
+    ship_package(keys.sparkSession)
     rows = keys.count()
     bits = max(_MIN_QUOTIENT_BITS, int(rows / RUN_ROWS).bit_length())
     runs = keys.select("fp").mapInArrow(

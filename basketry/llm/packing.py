@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.common import ship_package
 from basketry.llm.tokens import VOCABULARY, encoder
 
 WINDOW = 2048
@@ -141,4 +142,5 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, window: int = WINDOW) ->
     documents of their own; null ids stay null. No rows give no pieces. Nothing
     is shuffled; a lost task packs its partition again to the same result.
     """
+    ship_package(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_pack(vocabulary, window), SCHEMA)

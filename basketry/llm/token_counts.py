@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialise, shared_folder
+from basketry.llm.common import materialise, shared_folder, ship_package
 from basketry.llm.tokens import VOCABULARY, encoder
 from basketry.session import delete_path
 
@@ -153,6 +153,7 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, block_ids: int =
     an empty table gives an empty result. The token files are temporary.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     folder = shared_folder(spark, "token-files")
     files, order = write_token_files(docs, folder, vocabulary)
     counted = materialise(separator_scan(files, folder, vocabulary, block_ids))

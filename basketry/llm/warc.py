@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialise, shared_folder, small
+from basketry.llm.common import materialise, shared_folder, ship_package, small
 from basketry.llm.token_counts import filesystem
 
 #: payloads from this size on are written once
@@ -202,5 +202,6 @@ def warc_round_trip(pages: DataFrame) -> DataFrame:
     repeats this id is a response too. An empty table gives an empty result.
     """
     spark: SparkSession = pages.sparkSession
+    ship_package(spark)
     folder = shared_folder(spark, "warc")
     return read_archives(write_archives(pages, folder), folder).drop("url")
