@@ -21,7 +21,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("version")
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("version")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

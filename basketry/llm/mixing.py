@@ -63,10 +63,11 @@ def mix(
     max_repeat: float = MAX_REPEAT,
     seed: int = SEED,
 ) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, copies, taken``.
+    """One row per document: ``doc_id, source, size, source_size, target, copies, taken, version``.
 
     ``size`` counts words (null text: 0), ``copies`` says how often the document
-    is taken (0 to ceil(max_repeat)), ``taken`` = size * copies. Null is a source
+    is taken (0 to ceil(max_repeat)), ``taken`` = size * copies, ``version`` is a
+    hash of the text (with id and source it names a row). Null is a source
     of its own, placed last. A source without words has target 0 and no copies.
     Repeated rows are documents of their own. The result depends on the rows and
     the seed only, not on partitions. An empty table gives an empty result.
@@ -74,7 +75,8 @@ def mix(
     size = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
     # the hash spreads documents of one size; the id settles what remains
     tie = F.xxhash64(F.lit(seed), "doc_id")
-    rows = materialise(docs.select("doc_id", "source", size.alias("size"), tie.alias("tie")))
+    version = F.xxhash64(text_or_empty())
+    rows = materialise(docs.select("doc_id", "source", size.alias("size"), tie.alias("tie"), version.alias("version")))
     targets = materialise(source_targets(rows, weights, max_repeat))
 
     keys = ["source", "size", "tie", "doc_id"]
@@ -99,18 +101,25 @@ def mix(
     crossed = F.floor(F.col("rank") * F.col("each") + F.col("start")) - F.floor((F.col("rank") - 1) * F.col("each") + F.col("start"))
     copies = F.least(crossed, F.ceil("each")).cast("long")
     return joined.select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), "version"
     )
 
 
 def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The documents of the mix, each as often as it is taken, columns unchanged.
 
-    Rows are found by id; where an id is repeated, its rows stand in for each
-    other only if the ids' copies agree, so callers pass unique ids.
+    Rows are found again by id, source and text. Identical rows stand in for each
+    other: one of them is taken as often as all of them together.
     """
-    taken = materialise(mix(docs, seed=seed).where("copies > 0").select(F.col("doc_id").alias("m_id"), "copies"))
+    key = ["doc_id", "source", "version"]
+    taken = mix(docs, seed=seed).groupBy(*key).agg(F.sum("copies").alias("m_copies"), F.count(F.lit(1)).alias("m_rows"))
+    taken = materialise(taken.where("m_copies > 0").withColumnsRenamed({k: f"m_{k}" for k in key}))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.join(taken, docs["doc_id"].eqNullSafe(taken["m_id"]))
-    rows = rows.withColumn("m_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return rows.select(*columns)
+    rows = docs.select(F.struct(*columns).alias("row"), "doc_id", "source", F.xxhash64(text_or_empty()).alias("version"))
+    same = [rows[k].eqNullSafe(taken[f"m_{k}"]) for k in key]
+    found = rows.join(taken, same[0] & same[1] & same[2]).select("row", *key, "m_copies", "m_rows")
+    if not taken.where("m_rows > 1").isEmpty():
+        several = found.where("m_rows > 1").groupBy(*key, "m_copies").agg(F.first("row").alias("row"))
+        found = found.where("m_rows = 1").select("row", "m_copies").unionByName(several.select("row", "m_copies"))
+    copies = F.explode(F.sequence(F.lit(1), F.col("m_copies").cast("int"))).alias("copy")
+    return found.select("row", copies).select("row.*")

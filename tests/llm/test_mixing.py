@@ -82,3 +82,14 @@ def test_documents_and_empty(make_docs):
     assert seen == {k: v for k, v in copies.items() if v}
     assert mixing.mix(make_docs([])).collect() == []
     assert [r.taken for r in mixing.mix(make_docs([(1, None), (2, " ")])).collect()] == [0, 0]
+
+
+def test_documents_of_repeated_and_missing_ids(make_docs):
+    rows = [(i, "w " * 5, "a") for i in range(20)] + [(3, "other words", "a"), (3, "other words", "a"), (3, "other words", "b"), (None, "x y", None)] + [(100 + i, "w", "b") for i in range(9)]
+    docs = make_docs(rows)
+    want, got = defaultdict(int), defaultdict(int)
+    for r in mixing.mix(docs).collect():
+        want[r.doc_id, r.source, r.size] += r.copies
+    for r in mixing.mixed_documents(docs).collect():
+        got[r.doc_id, r.source, len(r.text.split())] += 1
+    assert got == {k: v for k, v in want.items() if v}
