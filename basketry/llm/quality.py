@@ -12,6 +12,7 @@ scored, row by row, without a shuffle.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialise
+from basketry.llm.common import materialise, ship_package
 from basketry.llm.shingles import word_hashes
 
 #: bounds of the samples: labelled rows per class, labelled rows for calibration, unlabelled rows
@@ -181,8 +182,8 @@ def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["y", "use", "source", "lang", "n_chars", "view"])
 
 
-def _sampled(docs: DataFrame, labels: DataFrame) -> dict[str, dict]:
-    """The bounded samples: train (per class), calibration, pool."""
+def _sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The bounded samples (``use``: train, per class; calibration; pool) with their views."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min((F.col("quality") > 0).cast("int")).alias("y"))
     ids = materialise(docs.select("doc_id").where("doc_id is not null").distinct().join(known, "doc_id", "left"))
     order = [F.xxhash64(F.lit(11), "doc_id"), F.col("doc_id")]
@@ -197,26 +198,35 @@ def _sampled(docs: DataFrame, labels: DataFrame) -> dict[str, dict]:
     rows = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("double")).join(F.broadcast(picked), "doc_id")
     schema = "y int, use string, source string, lang string, n_chars double, view binary"
     got = rows.select("y", "use", "source", "lang", "n_chars", "text").mapInArrow(_views, schema)
-    # repeated ids could give more rows than were picked
+    # one order, so that sums do not depend on partitions; repeated ids could give more rows than were picked
     bound = 2 * (2 * CLASS_ROWS + CALIBRATION_ROWS + POOL_ROWS)
-    got = got.orderBy("use", "y", F.xxhash64("view"), "source", "lang", "n_chars").limit(bound).collect()
-    out = {}
-    for use in ("train", "calibration", "pool"):
-        own = [r for r in got if r.use == use]
-        out[use] = {
-            "text": np.array([np.frombuffer(r.view, np.float32) for r in own]).reshape(len(own), TEXT_BUCKETS + REPETITIONS),
-            "meta": meta_view([(r.source, r.lang, r.n_chars) for r in own]),
-            "y": np.array([0.0 if r.y is None else float(r.y) for r in own]),
-        }
-    return out
+    return got.orderBy("use", "y", F.xxhash64("view"), "source", "lang", "n_chars").limit(bound)
+
+
+def _trained(rounds: int):
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The whole bounded sample -> the pickled classifiers, or nothing."""
+        rows = pa.Table.from_batches(list(batches)).to_pylist() if (batches := [b for b in batches if b.num_rows]) else []
+        samples = {}
+        for use in ("train", "calibration", "pool"):
+            own = [r for r in rows if r["use"] == use]
+            samples[use] = {
+                "text": np.array([np.frombuffer(r["view"], np.float32) for r in own]).reshape(len(own), TEXT_BUCKETS + REPETITIONS),
+                "meta": meta_view([(r["source"], r["lang"], r["n_chars"]) for r in own]),
+                "y": np.array([float(r["y"] or 0) for r in own]),
+            }
+        if len(set(samples["train"]["y"])) == 2:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(CoTrained(**samples, rounds=rounds))], pa.binary())], names=["model"])
+
+    return fit
 
 
 def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> CoTrained | None:
-    """The co-trained classifiers; None without labelled documents of both classes."""
-    sample = _sampled(docs, labels)
-    if len(set(sample["train"]["y"])) < 2:
-        return None
-    return CoTrained(**sample, rounds=rounds)
+    """The co-trained classifiers, fitted in one task over the bounded sample; None
+    without labelled documents of both classes."""
+    ship_package(docs.sparkSession)
+    found = _sampled(docs, labels).mapInArrow(_trained(rounds), "model binary").collect()
+    return pickle.loads(found[0].model) if found else None
 
 
 _INPUTS = ("text", "source", "lang", "n_chars")
