@@ -45,10 +45,8 @@ class Encoder:
     def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
-        self._slow = Tokenizer.from_file(path)
+        self._path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"] if t["special"]}
@@ -57,12 +55,20 @@ class Encoder:
         self._fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
         self.n_ids = 1 + max([*ranks.values(), *self.special.values()])
 
+    @functools.cached_property
+    def slow(self):
+        """The reference encoder, loaded only where it is needed."""
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
+        return Tokenizer.from_file(self._path)
+
     def ids(self, text: str, special: bool = True) -> np.ndarray:
         """Ids as uint32. ``special``: whether a special token's name in the
         text becomes that token (the vocabulary's default) or ordinary text."""
         if len(text) >= 2000 and _LONG_RUN.search(text):
-            self._slow.encode_special_tokens = not special
-            return np.array(self._slow.encode(text, add_special_tokens=False).ids, np.uint32)
+            self.slow.encode_special_tokens = not special
+            return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
         if special:
             return self._fast.encode_to_numpy(text, allowed_special="all").astype(np.uint32, copy=False)
         return self._fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype(np.uint32, copy=False)
