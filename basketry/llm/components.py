@@ -2,22 +2,60 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import materialise
 
 
+#: so many links (16 MB) are joined by one task
+ONE_TASK_LINKS = 1_000_000
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every end of a link ``a, b`` (longs); the component
     is the smallest node reachable.
 
+    Links are counted first: up to ``ONE_TASK_LINKS`` are joined by one task. Any
+    number beyond is joined in distributed rounds (:func:`distributed_components`).
+    """
+    ends = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    ends = materialise(ends)
+    if ends.count() <= ONE_TASK_LINKS:
+        return ends.coalesce(1).mapInArrow(_joined, "node long, component long")
+    return distributed_components(ends)
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All links, given in one task -> node, component."""
+    links = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]) for b in batches if b.num_rows]
+    if not links:
+        return
+    nodes, ends = np.unique(np.concatenate(links, axis=1), return_inverse=True)
+    a, b = ends.reshape(2, -1)
+    root = np.arange(len(nodes))
+    while True:
+        # the larger of two roots hooks to the smaller one, then all hooks are followed
+        ra, rb = root[a], root[b]
+        if (ra == rb).all():
+            break
+        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+        while (root[root] != root).any():
+            root = root[root]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], names=["node", "component"])
+
+
+def distributed_components(ends: DataFrame) -> DataFrame:
+    """The same from materialised links ``a > b``.
+
     Each round hooks every node to its smallest neighbour, follows the hooks to
     their roots, and keeps only the links between different roots, now between
     the roots themselves. Links shrink with every round; all state is distributed.
     """
-    ends = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    ends = materialise(ends)
     labels = None
     while not ends.isEmpty():
         hooks = ends.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -37,8 +75,8 @@ def components(links: DataFrame) -> DataFrame:
 
 def _follow(hooks: DataFrame) -> DataFrame:
     """Hooks (each to a smaller node) followed to nodes without a hook."""
+    hooks = materialise(hooks)
     while True:
-        hooks = materialise(hooks)
         nxt = hooks.select(F.col("node").alias("via"), F.col("root").alias("further"))
         jumped = hooks.join(nxt, hooks["root"] == nxt["via"], "left")
         jumped = materialise(jumped.select("node", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")))

@@ -7,7 +7,7 @@ shingle sets of documents without a partner ever meet:
 1. *Document frequencies.* Each text becomes its set of shingle hashes. They are
    dealt out by hash as sorted, delta-coded blocks; each task counts in how many
    documents each shingle stands and answers every block with the shingles that
-   stand in at least two. Texts are handled in groups of about 16 MB: a shingle
+   stand in at least two. Texts are handled in groups of about 4 MB: a shingle
    of several documents of a group is dealt once, with its count, so a shingle
    that stands in every document is one entry a group. Documents with the same
    set in one partition are dealt once.
@@ -17,11 +17,14 @@ shingle sets of documents without a partner ever meet:
 3. *Prefixes.* A node's first n - ceil(0.75 n) + 1 shingles are its prefix; of a
    linked pair the smaller node even shares one of its first n - ceil(6/7 n) + 1.
    Only the prefix's shared shingles are dealt out, to lists by shingle.
-4. *Star round.* In each list, every node is paired with the most typical node of
+4. *Star rounds.* In each list, every node is paired with the most typical node of
    like size (fewest shingles of its own), and each node is verified against the
    one it met most often. This joins a group of many near copies with one pair a
-   member instead of all its pairs. Lists are first cut down within each batch of
-   nodes: members vote there, and only the typical node goes on.
+   member instead of all its pairs. In the first round lists are cut down within
+   each batch of nodes: members vote there, and only the typical node goes on.
+   Later rounds do the same between components, with one node of each component
+   from a batch, as long as a round finds links for more than ``ROUND_SHARE`` of
+   the nodes.
 5. *Complete round.* All pairs of nodes in *different* components that share a
    list, pass the length and positional filters, are verified once per pair, with
    a suffix filter (counts per hash range) before the sets are intersected. Links
@@ -46,16 +49,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialise, small
+from basketry.llm.common import materialise, ship_package, small, text_or_empty
 from basketry.llm.components import components
 from basketry.llm.shingles import mix, shingle_hashes
 
 WIDTH = 5
 # texts are hashed in groups of about so many bytes
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 4 << 20
 # bytes of text per block of hashes; the number of blocks follows the input
 BLOCK_BYTES = 8 << 20
 MIN_BLOCKS = 64
+#: another star round follows one that found links for more than this share of the nodes
+ROUND_SHARE = 0.05
 #: lists of shingles that stand in more documents are split (log2)
 LIST_ROWS_LOG2 = 15
 _HASH_BITS = 48
@@ -118,12 +123,13 @@ def _deal(bits: int):
         seen: dict[tuple, int] = {}
         for b in batches:
             ids = b.column(0).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
+            versions = b.column(2).to_numpy(zero_copy_only=False)
             texts, size, at = [], 0, 0
             for i, text in enumerate(b.column(1)):
                 texts.append(text.as_buffer().to_pybytes() if text.is_valid else b"")
                 size += len(texts[-1])
                 if size >= GROUP_BYTES or i == len(ids) - 1:
-                    yield _group(texts, ids[at : i + 1], base, bits, seen)
+                    yield _group(texts, np.stack([ids[at : i + 1], versions[at : i + 1]]), base, bits, seen)
                     base += len(texts)
                     texts, size, at = [], 0, i + 1
 
@@ -160,7 +166,7 @@ def _group(texts: list[bytes], ids: np.ndarray, base: int, bits: int, seen: dict
         for a, e in zip(*_bounds(block))
     ]
     # the documents of shared shingles wait for the answers, with the group's facts
-    facts = np.stack([ids.astype(np.int64), n.astype(np.int64), *sums.view(np.int64), first])
+    facts = np.stack([*ids.astype(np.int64), n.astype(np.int64), *sums.view(np.int64), first])
     rows.append((-1 - (base >> 32) % 997, base, _pack_sorted(h[many]), _pack(o[many], 4), None, facts.tobytes()))
     types = {"block": pa.int32(), "base": pa.int64(), "hashes": pa.binary(), "refs": pa.binary(), "counts": pa.binary(), "docs": pa.binary()}
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types.values())], names=list(types))
@@ -192,7 +198,7 @@ def _shared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 # -- 2. rare first
 
-_DOCS = "uid long, doc_id long, n int, fp1 long, fp2 long, m int, tokens binary"
+_DOCS = "uid long, doc_id long, version long, n int, fp1 long, fp2 long, m int, tokens binary"
 # a token: six bytes of hash, one of the frequency's order (log2, rounded up)
 _TOKEN = 7
 
@@ -201,7 +207,7 @@ def _rare_first(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """A group's answers -> its documents; ``tokens`` (only of documents that can
     link) are the shared shingles, rarest first."""
     own = rows[rows["docs"].notna()].iloc[0]
-    ids, n, fp1, fp2, first = np.frombuffer(own["docs"], np.int64).reshape(5, -1)
+    ids, version, n, fp1, fp2, first = np.frombuffer(own["docs"], np.int64).reshape(6, -1)
     answers = rows[rows["docs"].isna()]
     m = np.zeros(len(ids), np.int64)
     tokens: list = [None] * len(ids)
@@ -229,17 +235,20 @@ def _rare_first(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             tokens[int(refs[a])] = raw[a:e].tobytes()
     uid = key[0] + np.arange(len(ids))
     return pd.DataFrame({
-        "uid": uid, "doc_id": pd.array([None if x == _NO_ID else x for x in ids.tolist()], "Int64"), "n": n.astype(np.int32), "fp1": fp1, "fp2": fp2,
+        "uid": uid, "doc_id": pd.array([None if x == _NO_ID else x for x in ids.tolist()], "Int64"), "version": version, "n": n.astype(np.int32), "fp1": fp1, "fp2": fp2,
         "m": m.astype(np.int32), "tokens": [t if f == u and c else None for t, f, u, c in zip(tokens, first, uid, n)],
     })
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """``uid, doc_id, n, fp1, fp2, m, tokens`` per document, written to the shared
-    folder: set size, set identity, how many shingles other documents share."""
+    """``uid, doc_id, version, n, fp1, fp2, m, tokens`` per document, written to
+    the shared folder: a hash of the text, set size, set identity, how many
+    shingles other documents share."""
+    ship_package(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(MIN_BLOCKS - 1, total // BLOCK_BYTES).bit_length()
-    dealt = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_deal(bits), _BLOCK)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(text_or_empty()))
+    dealt = rows.mapInArrow(_deal(bits), _BLOCK)
     shared = dealt.groupBy("block").applyInPandas(_shared, _SHARED)
     return materialise(shared.groupBy("base").applyInPandas(_rare_first, _DOCS))
 
@@ -297,6 +306,18 @@ def _lists_for_stars(bits: int, homes: int):
     return deal
 
 
+def _lists_for_components(bits: int):
+    """Nodes -> per list, class of sizes and component the most typical node's entry."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            e = _prefix_entries(b)
+            e, starts = _by_list(e, e["component"])
+            yield _as_batch(_dealt(e[starts], np.zeros(len(starts), np.int64), bits))
+
+    return deal
+
+
 def _lists_for_pairs(bits: int):
     """Nodes -> entries; those of long lists to every cell their part meets others in."""
 
@@ -326,19 +347,30 @@ def _entries(rows: pd.DataFrame) -> np.ndarray:
     return np.concatenate([np.frombuffer(x, _ENTRY) for x in rows["entries"]])
 
 
-# -- 4. star round
+# -- 4. star rounds
 
 
-def _stars(e: np.ndarray, homes: int) -> tuple[np.ndarray, list[tuple[int, bytes]]]:
-    """In each list and class of sizes, every node votes for the most typical one:
-    the typical nodes' entries, and (home, votes) with each vote's count."""
+def _by_list(e: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries by list and class of sizes (and ``more``), the most typical first,
+    and where each such group starts."""
     # sizes within a class differ by less than a third
     size = np.floor(np.log(e["n"]) / np.log(4 / 3)).astype(np.int64)
-    order = np.lexsort((e["uid"], e["own"] / e["n"], size, e["hash"]))
-    e, size = e[order], size[order]
-    starts = np.flatnonzero(np.r_[True, (e["hash"][1:] != e["hash"][:-1]) | (size[1:] != size[:-1])]) if len(e) else np.empty(0, np.int64)
-    lead = np.repeat(e["uid"][starts], np.diff(np.r_[starts, len(e)]))
-    pairs = np.stack([e["uid"], lead])[:, e["uid"] != lead]
+    keys = (*more, size, e["hash"])
+    order = np.lexsort((e["uid"], e["own"] / e["n"], *keys))
+    changed = np.zeros(max(len(e) - 1, 0), bool)
+    for k in keys:
+        changed |= k[order][1:] != k[order][:-1]
+    return e[order], np.flatnonzero(np.r_[True, changed]) if len(e) else np.empty(0, np.int64)
+
+
+def _stars(e: np.ndarray, homes: int) -> tuple[np.ndarray, list[tuple[int, bytes]]]:
+    """In each list and class of sizes, every node votes for the most typical one
+    if that is of another component: the typical nodes' entries, and (home, votes)
+    with each vote's count."""
+    e, starts = _by_list(e)
+    runs = np.diff(np.r_[starts, len(e)])
+    lead, side = np.repeat(e["uid"][starts], runs), np.repeat(e["component"][starts], runs)
+    pairs = np.stack([e["uid"], lead])[:, e["component"] != side]
     if not pairs.size:
         return e[starts], []
     pairs, n = np.unique(pairs, axis=1, return_counts=True)
@@ -435,15 +467,16 @@ def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``.
+    """One row per document: ``doc_id, n_shingles, component_id, version``.
 
     Words are runs of anything but ASCII white space in the text with A-Z
     lower-cased. A set with fewer than five words is the whole word sequence; a
     null, empty or blank text has none and links with nothing, not even its
     copies (``component_id`` is its own id). ``component_id`` is the smallest id
     reachable over links; null ids take part and never name a component unless
-    all its ids are null. Repeated rows are documents of their own that link with
-    each other. An empty table gives an empty result.
+    all its ids are null. ``version`` is a hash of the text. Repeated rows are
+    documents of their own that link with each other. An empty table gives an
+    empty result.
     """
     sets = shingle_sets(docs)
     key = ["fp1", "fp2", "n"]
@@ -459,18 +492,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bits = max(MIN_BLOCKS - 1, count // 4000).bit_length()
     homes = max(MIN_BLOCKS, count // 50_000)
 
-    alone = _prefixes(nodes.withColumn("component", F.col("uid"))).mapInArrow(_lists_for_stars(bits, homes), _LISTS)
-    met = alone.groupBy("block").applyInPandas(_votes(homes), "home int, votes binary").groupBy("home").applyInPandas(_most_met, "a long, b long")
-    stars = verified(met, nodes)
-
-    joined = materialise(components(stars))
-    labels = small(joined.select(F.col("node").alias("uid"), "component"))
-    named = nodes.join(labels, "uid", "left").withColumn("component", F.coalesce("component", "uid"))
+    def met(named: DataFrame, deal) -> DataFrame:
+        lists = _prefixes(named).mapInArrow(deal, _LISTS)
+        votes = lists.groupBy("block").applyInPandas(_votes(homes), "home int, votes binary")
+        return votes.groupBy("home").applyInPandas(_most_met, "a long, b long")
+
+    def named_by(joined: DataFrame) -> DataFrame:
+        labels = small(joined.select(F.col("node").alias("uid"), F.col("component").alias("found")))
+        return nodes.join(labels, "uid", "left").withColumn("component", F.coalesce("found", "uid")).drop("found")
+
+    links = verified(met(nodes.withColumn("component", F.col("uid")), _lists_for_stars(bits, homes)), nodes)
+    joined = materialise(components(links))
+    found = links.count()
+    while found > ROUND_SHARE * count:
+        more = verified(met(named_by(joined), _lists_for_components(bits)), nodes)
+        found = more.count()
+        if found:
+            links = links.unionByName(more)
+            joined = materialise(components(links))
+    named = named_by(joined)
     lists = _prefixes(named).mapInArrow(_lists_for_pairs(bits), _LISTS)
     across = lists.groupBy("block", "cell").applyInPandas(_across, "a long, b long").distinct()
-    links = verified(across, nodes)
-    if not links.isEmpty():
-        joined = materialise(components(stars.unionByName(links)))
+    more = verified(across, nodes)
+    if not more.isEmpty():
+        joined = materialise(components(links.unionByName(more)))
 
     rooted = classes.join(small(joined), classes["node"] == joined["node"], "left").select(
         *key, "id", F.coalesce("component", classes["node"]).alias("root")
@@ -479,15 +524,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ids = materialise(rooted.groupBy("root").agg(F.min("id").alias("component_id")))
     named = rooted.select(*key, "root").join(small(ids), "root").drop("root")
     return sets.join(small(materialise(named)), key, "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "version"
     )
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The input rows with the smallest id of their component, all columns kept.
 
-    Rows without an id, and rows that repeat the smallest id, stay as they are:
-    exact copies are another operator's work.
+    Rows are found again by id and text. Rows that repeat the smallest id stay as
+    they are (exact copies are another operator's work), as do rows of a
+    component that has no ids.
     """
-    found = near_duplicates(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(small(materialise(found)), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = near_duplicates(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = small(materialise(found.select(F.col("doc_id").alias("n_id"), F.col("version").alias("n_version")).distinct()))
+    same = docs["doc_id"].eqNullSafe(found["n_id"]) & (F.xxhash64(text_or_empty()) == found["n_version"])
+    return docs.join(found, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
