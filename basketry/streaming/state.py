@@ -95,20 +95,17 @@ class SegmentedState:
 
     # --- segments
     def _path(self, table: str, segment: str) -> str:
-        return os.path.join(self.root, "segments", table, segment)
+        return os.path.join(self.root, "segments", table, f"segment={segment}")
 
-    def _write(self, table: str, segment: str, rows: DataFrame) -> dict | None:
-        path = self._path(table, segment)
-        rows.repartition("ubucket").write.mode("overwrite").partitionBy("ubucket").parquet(path)
-        count = self._read(table, [segment]).count()
-        return {"name": segment, "rows": count} if count else None
+    def _write(self, table: str, segment: str, rows: DataFrame) -> None:
+        rows.repartition("ubucket").write.mode("overwrite").partitionBy("ubucket").parquet(self._path(table, segment))
 
     def _read(self, table: str, segments: list[str]) -> DataFrame:
         schema = self.tables[table][0]
-        out = self.spark.createDataFrame([], schema)
-        for s in segments:
-            out = out.unionByName(self.spark.read.schema(schema).parquet(self._path(table, s)))
-        return out
+        if not segments:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", os.path.join(self.root, "segments", table))
+        return reader.parquet(*[self._path(table, s) for s in segments]).select(*schema.names)
 
     def read(self, manifest: dict, table: str, buckets: list[int] | None = None) -> DataFrame:
         """The table's reduced rows, of some buckets only if given."""
@@ -129,22 +126,25 @@ class SegmentedState:
             if not full:
                 return segments
             rows = self.tables[table][1](self._read(table, [s["name"] for s in full]))
-            merged = self._write(table, f"{label}-fold{fold}", rows)
-            segments = [s for s in segments if s not in full] + [merged]
+            name = f"{label}-fold{fold}"
+            self._write(table, name, rows)
+            segments = [s for s in segments if s not in full] + [{"name": name, "rows": self._read(table, [name]).count()}]
             fold += 1
 
     # --- a batch
     def commit(self, epoch: int, batch_id: int, rows: dict[str, DataFrame], facts: dict) -> dict:
-        """Add the batch's reduced rows; returns the new manifest. A batch that has
-        been committed before is left as it is."""
+        """Add the batch's reduced rows (persisted by the caller); returns the new
+        manifest. A batch that has been committed before is left as it is."""
         if found := self.done(epoch, batch_id):
             return found
         parent = self.before(epoch, batch_id)
         label = f"{epoch:06d}-{batch_id:012d}"
         segments = {}
         for table, new in rows.items():
-            written = self._write(table, label, new)
-            segments[table] = self._folded(table, parent["segments"][table] + ([written] if written else []), label)
+            segments[table] = parent["segments"][table]
+            if count := new.count():
+                self._write(table, label, new)
+                segments[table] = self._folded(table, [*segments[table], {"name": label, "rows": count}], label)
         manifest = {"segments": segments, "facts": facts}
         write_file(self.spark, os.path.join(self.root, "manifests", self._name(epoch, batch_id)), json.dumps(manifest))
         self._clean(parent, manifest, self._name(epoch, batch_id))
@@ -157,6 +157,6 @@ class SegmentedState:
             delete_path(self.spark, os.path.join(self.root, "manifests", old))
         for table in self.tables:
             live = {s["name"] for m in (parent, manifest) for s in m["segments"][table]}
-            for segment in list_names(self.spark, os.path.join(self.root, "segments", table)):
-                if segment not in live:
-                    delete_path(self.spark, self._path(table, segment))
+            for name in list_names(self.spark, os.path.join(self.root, "segments", table)):
+                if name.removeprefix("segment=") not in live:
+                    delete_path(self.spark, os.path.join(self.root, "segments", table, name))

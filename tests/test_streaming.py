@@ -322,12 +322,12 @@ def test_bytes_written_follow_the_batch_not_the_state(spark):
 def test_segments_are_folded(spark):
     root = scratch()
     job = job_of(spark, root, buckets=2, compact_every=None)
-    job.state.fan_in = 3
-    for i in range(10):
+    job.state.fan_in = 2
+    for i in range(6):
         send(spark, job, [(f"{i},1", at(i))], i)
-    assert [v[0] for v in views_of(job)] == [str(i) for i in range(10)]
+    assert [v[0] for v in views_of(job)] == [str(i) for i in range(6)]
     segments = job.state.current()["segments"]["views"]
-    assert len(segments) < 6 and sum(s["rows"] for s in segments) == 10
+    assert len(segments) < 4 and sum(s["rows"] for s in segments) == 6
     # folders that no manifest names are removed
     assert len(os.listdir(os.path.join(job.state.root, "segments", "views"))) <= 2 * len(segments) + 2
     assert len(job.state._manifests()) == 2
