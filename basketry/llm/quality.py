@@ -175,15 +175,37 @@ class CoTrained:
         return _sigmoid(text + meta - self.prior)
 
 
+_INPUTS = ("text", "source", "lang", "n_chars")
+
+
 def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = set()
     for b in batches:
+        # equal rows of one document need one view
+        ids = b.column("doc_id").to_pylist()
+        fresh = [i for i, d in enumerate(ids) if not (d in seen or seen.add(d))]
+        b = b.take(pa.array(fresh, pa.int64()))
         raw = [text_view(t.as_py()).astype(np.float32).tobytes() for t in b.column("text")]
-        yield pa.RecordBatch.from_arrays([*(b.column(n) for n in ("y", "use", "source", "lang")), b.column("n_chars"), pa.array(raw, pa.binary())],
-                                         names=["y", "use", "source", "lang", "n_chars", "view"])
+        names = ["doc_id", "y", "use", "source", "lang", "n_chars"]
+        yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(raw, pa.binary())], names=[*names, "view"])
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """``doc_id``, what the views need, and ``version``, a hash of it."""
+    rows = docs.where("doc_id is not null").select("doc_id", "text", "source", "lang", F.col("n_chars").cast("double"))
+    return rows.withColumn("version", F.xxhash64(*[F.col(c).isNull() for c in _INPUTS], *_INPUTS))
+
+
+def _viewed(docs: DataFrame, picked: DataFrame) -> DataFrame:
+    """``doc_id, y, use, source, lang, n_chars, view`` of the ``picked`` documents (``doc_id, version, y, use``), one row each."""
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, use string, source string, lang string, n_chars double, view binary"
+    rows = _rows(docs).join(F.broadcast(picked), ["doc_id", "version"])
+    return rows.select("doc_id", "y", "use", "source", "lang", "n_chars", "text").mapInArrow(_views, schema).dropDuplicates(["doc_id"])
 
 
 def _sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The bounded samples (``use``: train, per class; calibration; pool) with their views."""
+    """The bounded samples (``use``: train, per class; calibration; pool) with their
+    views. A document on several rows counts once, by the row with the smallest hash."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min((F.col("quality") > 0).cast("int")).alias("y"))
     ids = materialise(docs.select("doc_id").where("doc_id is not null").distinct().join(known, "doc_id", "left"))
     order = [F.xxhash64(F.lit(11), "doc_id"), F.col("doc_id")]
@@ -195,12 +217,9 @@ def _sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     parts = [first(rest.where(f"y = {c}"), CLASS_ROWS).withColumn("use", F.lit("train")) for c in (0, 1)]
     pool = first(ids.where("y is null"), POOL_ROWS).withColumn("use", F.lit("pool"))
     picked = materialise(calibration.unionByName(parts[0]).unionByName(parts[1]).unionByName(pool))
-    rows = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("double")).join(F.broadcast(picked), "doc_id")
-    schema = "y int, use string, source string, lang string, n_chars double, view binary"
-    got = rows.select("y", "use", "source", "lang", "n_chars", "text").mapInArrow(_views, schema)
-    # one order, so that sums do not depend on partitions; repeated ids could give more rows than were picked
-    bound = 2 * (2 * CLASS_ROWS + CALIBRATION_ROWS + POOL_ROWS)
-    return got.orderBy("use", "y", F.xxhash64("view"), "source", "lang", "n_chars").limit(bound)
+    one = _rows(docs).join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y", "use").agg(F.min("version").alias("version"))
+    # one order, so that sums do not depend on partitions
+    return _viewed(docs, materialise(one)).repartition(1).sortWithinPartitions("use", "y", "doc_id")
 
 
 def _trained(rounds: int):
@@ -229,9 +248,6 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> CoTrained
     return pickle.loads(found[0].model) if found else None
 
 
-_INPUTS = ("text", "source", "lang", "n_chars")
-
-
 def _scores(model: CoTrained, batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     w_text, w_meta = model.weights["text"][:-1], model.weights["meta"][:-1]
     text = np.array([text_margin(x.as_py(), w_text) for x in batch.column("q_text")])

@@ -62,3 +62,13 @@ def test_nothing_to_learn_from(spark, make_docs):
         got = quality.quality(make_docs(ROWS), labels_of(spark, rows)).collect()
         assert all(r.keep and r.score == 1.0 for r in got) and len(got) == len(ROWS)
     assert quality.quality(make_docs([]), labels_of(spark, [(1, 1, 0, 0, "")])).collect() == []
+
+
+def test_repeated_rows_of_a_document_count_once(spark, make_docs):
+    """A hot id, with copies and with differing rows, takes no other document's place."""
+    hot = [(100, f"### $$$ %%% {i % 5000}") for i in range(9000)]
+    labels = labels_of(spark, [(i, 1, 0, 0, "") for i in range(60)] + [(100 + i, 0, 0, 0, "") for i in range(60)])
+    docs = make_docs([*ROWS, *hot])
+    got = quality.quality(docs, labels).collect()
+    assert len(got) == len(ROWS) + len(hot) and {r.keep for r in got if r.doc_id < 60} == {True} and {r.keep for r in got if r.doc_id >= 100} == {False}
+    assert sorted(r.doc_id for r in quality._sampled(docs, labels).collect()) == sorted(i for i, _ in ROWS)
