@@ -6,8 +6,10 @@ the labelled sample; over some rounds each labels the unlabelled documents it is
 most sure of for the *other* one. Both are then calibrated on labelled documents
 neither was trained on, and their log-odds are added.
 
-Training takes bounded samples, chosen by a hash of the id; every document is
-scored, row by row, without a shuffle.
+Labelled documents are bounded samples, chosen by a hash of the id. Each round
+scores every unlabelled document where it lies; only its id and margins are
+shuffled, and the surest of a class are a distributed top-n. The final scores
+are made row by row, without a shuffle.
 """
 
 from __future__ import annotations
@@ -18,16 +20,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import materialise, ship_package
 from basketry.llm.shingles import word_hashes
 
-#: bounds of the samples: labelled rows per class, labelled rows for calibration, unlabelled rows
-CLASS_ROWS = 1000
-CALIBRATION_ROWS = 1000
-POOL_ROWS = 1000
+#: bounds of the samples: labelled rows per class, labelled rows for calibration
+CLASS_ROWS = 1200
+CALIBRATION_ROWS = 1200
 ROUNDS = 4
 #: pseudo-labels: at least this sure, at most so many per class and round
 SURE = 0.95
@@ -35,7 +37,7 @@ EXCHANGE = 100
 #: documents with a smaller probability of good quality are rejected
 THRESHOLD = 0.5
 
-TEXT_BUCKETS = 2048
+TEXT_BUCKETS = 4096
 REPETITIONS = 3
 META_BUCKETS = 128
 _CHUNK = 1 << 20
@@ -80,11 +82,19 @@ def text_view(text: str | None) -> np.ndarray:
     return np.r_[100 * counts / max(counts.sum(), 1), repetition(raw)]
 
 
-def text_margin(text: str | None, weights: np.ndarray) -> float:
-    """``text_view(text) @ weights`` without the view."""
+_EVERY_PAIR = _pair_buckets(np.arange(1 << 16, dtype="<u2").view(np.uint8).reshape(-1, 2).reshape(-1))[::2]
+
+
+def text_margin(text: str | None, weights: np.ndarray, by_pair: np.ndarray | None = None) -> float:
+    """``text_view(text) @ weights`` without the view; ``by_pair`` is ``weights[_EVERY_PAIR]``,
+    the weight of each byte pair read as a little-endian number."""
     total, raw = 0.0, _bytes(text)
     for part in _chunks(raw):
-        total += weights[_pair_buckets(part)].sum()
+        if by_pair is None:
+            total += weights[_pair_buckets(part)].sum()
+        else:
+            for odd in (0, 1):
+                total += by_pair[part[odd : odd + (len(part) - odd) // 2 * 2].view("<u2")].sum()
     return 100 * total / max(len(raw) - 1, 1) + repetition(raw) @ weights[TEXT_BUCKETS:]
 
 
@@ -111,12 +121,13 @@ def _sigmoid(z):
 def logistic(x: np.ndarray, y: np.ndarray, decay: float, steps: int = 300) -> np.ndarray:
     """Weights (the last is the intercept) of a ridge logistic regression, classes
     weighted alike, by accelerated gradient steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     weight = np.where(y > 0.5, 0.5 / max((y > 0.5).sum(), 1), 0.5 / max((y <= 0.5).sum(), 1))
-    rate = 1 / (0.25 * float(weight @ np.einsum("ij,ij->i", x, x)) + decay)
+    rate = 1 / (0.25 * float(weight @ np.einsum("ij,ij->i", x, x, dtype=float)) + decay)
     w = ahead = np.zeros(x.shape[1])
     for t in range(steps):
-        step = ahead - rate * (x.T @ (weight * (_sigmoid(x @ ahead) - y)) + decay * np.r_[ahead[:-1], 0])
+        off = weight * (_sigmoid(x @ ahead.astype(x.dtype)) - y)
+        step = ahead - rate * (x.T @ off.astype(x.dtype) + decay * np.r_[ahead[:-1], 0])
         ahead = step + t / (t + 3) * (step - w)
         w = step
     return w
@@ -136,14 +147,21 @@ def _calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return (float(w[0]), float(w[1])) if w[0] > 0 else (0.0, float(np.log((good + 1) / (bad + 1))))
 
 
+VIEWS = ("text", "meta")
+
+
 class CoTrained:
-    """Both classifiers, their calibration and the share of good rows."""
+    """Both classifiers, their calibration and the share of good rows.
+
+    ``taught`` has each learner's pseudo-labelled rows of earlier rounds; ``pool``
+    holds unlabelled rows to exchange from in memory (none in a Spark job, see ``train``).
+    """
 
-    def __init__(self, train: dict, calibration: dict, pool: dict, rounds: int = ROUNDS):
-        views = ("text", "meta")
+    def __init__(self, train: dict, calibration: dict, pool: dict, rounds: int = ROUNDS, taught: dict | None = None):
+        views = VIEWS
         decay = {"text": 1e-3, "meta": 1e-3}
-        x = {v: train[v] for v in views}
-        y = {v: train["y"] for v in views}
+        x = {v: np.vstack([train[v], taught[v][v]]) if taught else train[v] for v in views}
+        y = {v: np.r_[train["y"], taught[v]["y"]] if taught else train["y"] for v in views}
         self.exchanged = 0
         for r in range(rounds + 1):
             self.weights = {v: logistic(x[v], y[v], decay[v]) for v in views}
@@ -166,6 +184,14 @@ class CoTrained:
         good = known["y"].mean()
         self.prior = float(np.log(good / (1 - good)))
 
+    def margins(self, batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        """Per view, of rows with the columns ``q_text, q_source, q_lang, q_n_chars``; without the intercept."""
+        w_text, w_meta = self.weights["text"][:-1], self.weights["meta"][:-1]
+        by_pair = w_text[_EVERY_PAIR]
+        text = [text_margin(x.as_py(), w_text, by_pair) for x in batch.column("q_text")]
+        meta = [w_meta[meta_buckets(*row)].sum() for row in zip(*(batch.column(f"q_{c}").to_pylist() for c in _INPUTS[1:]))]
+        return {"text": np.array(text), "meta": np.array(meta)}
+
     def log_odds(self, view: str, margin: np.ndarray) -> np.ndarray:
         slope, offset = self.scale[view]
         return slope * (margin + self.weights[view][-1]) + offset
@@ -203,56 +229,105 @@ def _viewed(docs: DataFrame, picked: DataFrame) -> DataFrame:
     return rows.select("doc_id", "y", "use", "source", "lang", "n_chars", "text").mapInArrow(_views, schema).dropDuplicates(["doc_id"])
 
 
-def _sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The bounded samples (``use``: train, per class; calibration; pool) with their
+def _known(labels: DataFrame) -> DataFrame:
+    """``doc_id, y``: conflicting labels of a document count as bad."""
+    return labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min((F.col("quality") > 0).cast("int")).alias("y"))
+
+
+def _sampled(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """The bounded labelled samples (``use``: train, per class; calibration) with their
     views. A document on several rows counts once, by the row with the smallest hash."""
-    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min((F.col("quality") > 0).cast("int")).alias("y"))
-    ids = materialise(docs.select("doc_id").where("doc_id is not null").distinct().join(known, "doc_id", "left"))
+    ids = materialise(docs.select("doc_id").distinct().join(known, "doc_id"))
     order = [F.xxhash64(F.lit(11), "doc_id"), F.col("doc_id")]
     first = lambda df, n: df.orderBy(*order).limit(n)
     # a third of the labelled ids is for calibration, with the classes' true shares
     third = F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(3)) == 0
-    calibration = first(ids.where("y is not null").where(third), CALIBRATION_ROWS).withColumn("use", F.lit("calibration"))
-    rest = ids.where(~third)
-    parts = [first(rest.where(f"y = {c}"), CLASS_ROWS).withColumn("use", F.lit("train")) for c in (0, 1)]
-    pool = first(ids.where("y is null"), POOL_ROWS).withColumn("use", F.lit("pool"))
-    picked = materialise(calibration.unionByName(parts[0]).unionByName(parts[1]).unionByName(pool))
+    calibration = first(ids.where(third), CALIBRATION_ROWS).withColumn("use", F.lit("calibration"))
+    parts = [first(ids.where(~third).where(f"y = {c}"), CLASS_ROWS).withColumn("use", F.lit("train")) for c in (0, 1)]
+    picked = materialise(calibration.unionByName(parts[0]).unionByName(parts[1]))
     one = _rows(docs).join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y", "use").agg(F.min("version").alias("version"))
-    # one order, so that sums do not depend on partitions
-    return _viewed(docs, materialise(one)).repartition(1).sortWithinPartitions("use", "y", "doc_id")
+    return materialise(_viewed(docs, materialise(one)))
 
 
-def _trained(rounds: int):
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The whole bounded sample -> the pickled classifiers, or nothing."""
-        rows = pa.Table.from_batches(list(batches)).to_pylist() if (batches := [b for b in batches if b.num_rows]) else []
-        samples = {}
-        for use in ("train", "calibration", "pool"):
-            own = [r for r in rows if r["use"] == use]
-            samples[use] = {
-                "text": np.array([np.frombuffer(r["view"], np.float32) for r in own]).reshape(len(own), TEXT_BUCKETS + REPETITIONS),
-                "meta": meta_view([(r["source"], r["lang"], r["n_chars"]) for r in own]),
-                "y": np.array([float(r["y"] or 0) for r in own]),
-            }
-        if len(set(samples["train"]["y"])) == 2:
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(CoTrained(**samples, rounds=rounds))], pa.binary())], names=["model"])
+def _surest(docs: DataFrame, known: DataFrame, taken: DataFrame | None, model: CoTrained) -> DataFrame:
+    """``doc_id, version, use, y``: of every unlabelled document that is not ``taken``
+    yet, the surest per class and view; ``use`` is the view that learns from it."""
 
-    return fit
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                found = model.margins(b)
+                found = [pa.array(found[v] + model.weights[v][-1], pa.float64()) for v in VIEWS]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("version"), *found], names=["doc_id", "version", *VIEWS])
+
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, version long, text double, meta double"
+    rows = _rows(docs).select("doc_id", "version", *_inputs()).mapInArrow(margins, schema)
+    # one row per document before the shuffle, as in the samples
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("version", *VIEWS)).alias("row")).select("doc_id", "row.*")
+    rows = rows.join(known, "doc_id", "left_anti")
+    if taken is not None:
+        rows = rows.join(F.broadcast(taken.select("doc_id")), "doc_id", "left_anti")
+    rows = materialise(rows)
+    sure, out = float(np.log(SURE / (1 - SURE))), []
+    for teacher, learner in (VIEWS, VIEWS[::-1]):
+        for label, margin in ((1, F.col(teacher)), (0, -F.col(teacher))):
+            top = rows.where(margin >= sure).orderBy(margin.desc(), F.xxhash64(F.lit(13), "doc_id"), "doc_id").limit(EXCHANGE)
+            out.append(top.select("doc_id", "version", F.lit(learner).alias("use"), F.lit(label).alias("y")))
+    return materialise(out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3]))
+
+
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The whole sample with the pseudo-labelled rows -> the pickled classifiers, or nothing."""
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        return
+    rows, samples = pa.Table.from_batches(batches), {}
+    for use in ("train", "calibration", *VIEWS):
+        own = rows.filter(pc.equal(rows["use"], use))
+        view = [np.frombuffer(v.as_buffer(), np.float32) for v in own["view"]]
+        samples[use] = {
+            "text": np.array(view, np.float32).reshape(len(view), TEXT_BUCKETS + REPETITIONS),
+            "meta": meta_view(list(zip(*(own[c].to_pylist() for c in ("source", "lang", "n_chars"))))),
+            "y": own["y"].to_numpy().astype(float),
+        }
+    if len(set(samples["train"]["y"])) == 2:
+        none = {"text": [], "meta": []}
+        model = CoTrained(samples["train"], samples["calibration"], none, 0, taught={v: samples[v] for v in VIEWS})
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
 
 def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> CoTrained | None:
-    """The co-trained classifiers, fitted in one task over the bounded sample; None
-    without labelled documents of both classes."""
+    """The co-trained classifiers, each time fitted in one task over the bounded
+    labelled sample and the pseudo-labels so far; None without labelled documents
+    of both classes."""
     ship_package(docs.sparkSession)
-    found = _sampled(docs, labels).mapInArrow(_trained(rounds), "model binary").collect()
-    return pickle.loads(found[0].model) if found else None
+    known = materialise(_known(labels))
+    sample, taken, exchanged = _sampled(docs, known), None, 0
+    for r in range(rounds + 1):
+        # one order, so that sums do not depend on partitions
+        found = sample.repartition(1).sortWithinPartitions("use", "y", "doc_id").mapInArrow(_trained, "model binary").collect()
+        if not found:
+            return None
+        model = pickle.loads(found[0].model)
+        model.exchanged = exchanged
+        if r == rounds:
+            break
+        picked = _surest(docs, known, taken, model)
+        new = picked.select("doc_id").distinct().count()
+        if not new:
+            break
+        exchanged += new
+        # a document that both views are sure of teaches both
+        views = _viewed(docs, picked.select("doc_id", "version", F.lit(0).alias("y"), F.lit("").alias("use")).distinct())
+        views = views.drop("y", "use").join(F.broadcast(picked.drop("version")), "doc_id").select(*sample.columns)
+        sample = materialise(sample.unionByName(views))
+        taken = picked if taken is None else taken.unionByName(picked)
+    return model
 
 
 def _scores(model: CoTrained, batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-    w_text, w_meta = model.weights["text"][:-1], model.weights["meta"][:-1]
-    text = np.array([text_margin(x.as_py(), w_text) for x in batch.column("q_text")])
-    meta = [w_meta[meta_buckets(*row)].sum() for row in zip(*(batch.column(f"q_{c}").to_pylist() for c in _INPUTS[1:]))]
-    t, m = model.log_odds("text", text), model.log_odds("meta", np.array(meta))
+    margin = model.margins(batch)
+    t, m = (model.log_odds(v, margin[v]) for v in VIEWS)
     return {"p_text": _sigmoid(t), "p_meta": _sigmoid(m), "score": model.score(t, m)}
 
 

@@ -71,4 +71,18 @@ def test_repeated_rows_of_a_document_count_once(spark, make_docs):
     docs = make_docs([*ROWS, *hot])
     got = quality.quality(docs, labels).collect()
     assert len(got) == len(ROWS) + len(hot) and {r.keep for r in got if r.doc_id < 60} == {True} and {r.keep for r in got if r.doc_id >= 100} == {False}
-    assert sorted(r.doc_id for r in quality._sampled(docs, labels).collect()) == sorted(i for i, _ in ROWS)
+    assert sorted(r.doc_id for r in quality._sampled(docs, quality._known(labels)).collect()) == sorted(i for i, _ in ROWS)
+
+
+def test_every_unlabelled_document_can_teach(spark, make_docs):
+    """Pseudo-labels come from all unlabelled documents (before: from 1000 of them)."""
+    kinds = [(lambda i: f"plain words number {i} and more of them", "s0"), (lambda i: f"### $$$ %%% {i} " * 3, "s1")]
+    docs = make_docs([(i, kinds[i % 2][0](i), kinds[i % 2][1]) for i in range(4000)])
+    labels = labels_of(spark, [(i, 1 - i % 2, 0, 0, "") for i in range(300)])
+    assert quality.train(docs, labels).exchanged > 1000
+
+
+def test_text_margin_by_pairs():
+    w = np.random.default_rng(2).standard_normal(quality.TEXT_BUCKETS + quality.REPETITIONS)
+    for text in ("", "a", "ab", "abc", "Zürich 😀", "xyz" * 800_000):
+        assert quality.text_margin(text, w, w[quality._EVERY_PAIR]) == pytest.approx(quality.text_margin(text, w))
