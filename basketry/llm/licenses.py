@@ -6,8 +6,10 @@ at text word ``pos`` and template word ``tpos`` votes for the diagonal
 ``pos - tpos``: all k-grams of one copy of a template lie on one diagonal, and a
 copy with words inserted or left out on a few neighbouring ones. Votes are
 summed per diagonal, neighbouring diagonals are merged to candidate spans, and a
-span counts if it covers enough of its template. A phrase that must stand word
-for word counts where one diagonal holds all its k-grams consecutively.
+span counts if it covers enough of its template. A span with fewer k-grams, down
+to one, counts if the words around one of its diagonals hold enough of the
+template's words in order. A phrase that must stand word for word counts where
+one diagonal holds all its k-grams consecutively.
 """
 
 from __future__ import annotations
@@ -15,12 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import ascii_lower, text_or_empty
+from basketry.llm.common import ascii_lower, materialise, small, text_or_empty
 
 K = 3
 #: diagonals this many words apart belong to one copy of a template
 MAX_SHIFT = 3
-#: share of a template's k-grams that a span must hold
+#: share of a template's k-grams that a span must hold, or of its words in order
 MIN_SCORE = 0.75
 _SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -77,7 +79,7 @@ def votes(docs: DataFrame, k: int = K) -> DataFrame:
 
 
 def spans(votes_: DataFrame, k: int = K, max_shift: int = MAX_SHIFT, min_score: float = MIN_SCORE) -> DataFrame:
-    """``doc_id, version, label, exact, first, last, score``: verified spans, in words."""
+    """``doc_id, version, label, exact, first, last, score, diagonals``: the spans, in words, with their share of k-grams."""
     key = ["doc_id", "version", "label", "exact"]
     # one row per diagonal run: votes whose words follow each other within a template's length
     diagonals = (
@@ -88,7 +90,7 @@ def spans(votes_: DataFrame, k: int = K, max_shift: int = MAX_SHIFT, min_score:
         .withColumn("count", F.size("hits"))
     )
     exact = diagonals.where(F.col("exact") & (F.col("count") == F.col("grams")))
-    exact = exact.select(*key, F.col("diagonal").alias("first"), (F.col("diagonal") + F.col("grams") + (k - 2)).alias("last"), F.lit(1.0).alias("score"))
+    exact = exact.select(*key, F.col("diagonal").alias("first"), (F.col("diagonal") + F.col("grams") + (k - 2)).alias("last"), F.lit(1.0).alias("score"), F.array("diagonal").alias("diagonals"))
 
     order = Window.partitionBy(*key).orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(order)
@@ -96,11 +98,46 @@ def spans(votes_: DataFrame, k: int = K, max_shift: int = MAX_SHIFT, min_score:
     fuzzy = fuzzy.withColumn("span", F.sum("new").over(order))
     fuzzy = fuzzy.groupBy(*key, "grams", "span").agg(
         F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
+        F.collect_set("diagonal").alias("diagonals"),
         F.min(F.col("diagonal") + F.array_min("hits")).alias("first"),
         F.max(F.col("diagonal") + F.array_max("hits") + (k - 1)).alias("last"),
     )
     fuzzy = fuzzy.withColumn("score", F.size("hits") / F.col("grams")).where(F.col("score") >= min_score)
-    return exact.unionByName(fuzzy.select(*key, "first", "last", "score"))
+    return exact.unionByName(fuzzy.select(*key, "first", "last", "score", "diagonals"))
+
+
+def words_in_order(words: Column, template: Column) -> Column:
+    """Length of the longest common subsequence of two arrays of words."""
+    cell = lambda row, j: F.coalesce(F.element_at(row, j), F.lit(0))
+
+    def next_row(row: Column, word: Column) -> Column:
+        def step(done: Column, j: Column) -> Column:
+            same = F.when(F.element_at(template, j) == word, 1).otherwise(0)
+            return F.concat(done, F.array(F.greatest(cell(done, F.lit(-1)), cell(row, j + 1), cell(row, j) + same)))
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(template)), F.array(F.lit(0)), step)
+
+    start = F.transform(F.sequence(F.lit(0), F.size(template)), lambda _: F.lit(0))
+    return cell(F.aggregate(words, start, next_row), F.lit(-1))
+
+
+def edited_copies(docs: DataFrame, weak: DataFrame, max_shift: int = MAX_SHIFT, min_score: float = MIN_SCORE) -> DataFrame:
+    """``doc_id, version, label, exact, first, score``: the ``weak`` spans (materialised) whose
+    text holds enough of the template's words in order, at most ``max_shift`` words off a diagonal.
+    Only texts with such a span are split into words again."""
+    spark = docs.sparkSession
+    templates = spark.createDataFrame([(label, text.split()) for label, text in TEMPLATES], "t_label string, template array<string>")
+    weak = weak.select(F.col("doc_id").alias("f_id"), F.col("version").alias("f_version"), "label", "exact", "diagonals")
+    rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("version"), "text")
+    rows = rows.join(small(weak), F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("version") == F.col("f_version")))
+    rows = rows.select("doc_id", "version", "label", "exact", "diagonals", words_of().alias("words"))
+    rows = rows.select("doc_id", "version", "label", "exact", "words", F.explode("diagonals").alias("first"))
+    rows = rows.join(F.broadcast(templates), F.col("label") == F.col("t_label"))
+    start = F.greatest(F.col("first") - max_shift, F.lit(0))
+    end = F.col("first") + F.size("template") + max_shift
+    near = rows.withColumn("near", F.slice("words", start + 1, F.greatest(end - start, F.lit(0))))
+    scored = near.withColumn("score", words_in_order(F.col("near"), F.col("template")) / F.size("template"))
+    return scored.where(F.col("score") >= min_score).select("doc_id", "version", "label", "exact", "first", "score")
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
@@ -110,10 +147,13 @@ def license_scan(docs: DataFrame) -> DataFrame:
     ``n_base`` counts the places of the exact phrases, ``first_word`` and
     ``last_word`` are their smallest and largest start. ``labels`` adds those of
     the similar templates; ``score`` is the best share of a template found (1 for
-    a phrase, 0 for none). A null or empty text has no words and no labels.
+    a phrase, 0 for none): of its k-grams or, where these are too few, of its words
+    in order. A null or empty text has no words and no labels.
     Repeated rows each get the same result; null ids are matched like others.
     """
-    found = spans(votes(docs)).groupBy("doc_id", "version").agg(
+    every = materialise(spans(votes(docs), min_score=0))
+    strong = every.where(F.col("score") >= MIN_SCORE).select("doc_id", "version", "label", "exact", "first", "score")
+    found = strong.unionByName(edited_copies(docs, every.where(F.col("score") < MIN_SCORE))).groupBy("doc_id", "version").agg(
         F.count_if("exact").alias("n_base"),
         F.min(F.when(F.col("exact"), F.col("first"))).cast("long").alias("first_word"),
         F.max(F.when(F.col("exact"), F.col("first"))).cast("long").alias("last_word"),

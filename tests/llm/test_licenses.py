@@ -59,3 +59,41 @@ def test_no_python_in_the_plan_and_empty(make_docs):
     assert df.collect() == []
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(max(new[-1], row[j + 1], row[j] + (x == y)))
+        row = new
+    return row[-1]
+
+
+def test_edited_copies(make_docs):
+    """One word replaced or removed anywhere, or a shortened lead: still a copy."""
+    rows, want = [], []
+    for label, text in licenses.TEMPLATES:
+        w = text.split()
+        edits = [w[:i] + ["changed"] + w[i + 1 :] for i in range(len(w))] + [w[:i] + w[i + 1 :] for i in range(len(w))]
+        edits += [w[n:] for n in range(1, len(w) // 4 + 1)]
+        rows += [(len(rows) + i, f"x y {' '.join(e)} z") for i, e in enumerate(edits)]
+        want += [label] * len(edits)
+    named = [
+        ("gpl", "Licensed under the GNU General Public License, version 3"), ("gpl", "This work is released under the GNU General Public License version 3"),
+        ("cc-by-sa", "licensed under a Creative Commons Attribution-ShareAlike 3.0 International License"),
+        ("cc-by-sa", "licensed under a Creative Commons Attribution share alike 4.0 International License"), ("", "this work is licensed to the public"),
+    ]
+    rows += [(len(rows) + i, t) for i, (_, t) in enumerate(named)]
+    rows += [(None, named[1][1]), rows[-1]]
+    want += [label for label, _ in named] + ["gpl", ""]
+    text = dict(rows)
+    got = licenses.license_scan(make_docs(rows)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        label = want[len(rows) - 2 if r.doc_id is None else r.doc_id]
+        assert label in r.labels.split(","), text[r.doc_id]
+        if label and 0 < r.score < 1:
+            template = dict(licenses.TEMPLATES)[label].split()
+            assert 0.75 <= r.score <= lcs(words(text[r.doc_id]), template) / len(template)
