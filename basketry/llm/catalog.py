@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import ann, exact_dedup, licenses, mixing, ngram_join, packing, quality, token_counts, url_filter, warc
+from basketry.llm import (
+    ann, exact_dedup, filter_audit, licenses, mixing, ngram_join, packing, quality, repetition, token_counts, url_filter, warc, whitening,
+)
 from basketry.llm.common import table
 
 
@@ -48,6 +50,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition_rules(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -61,6 +75,9 @@ QUERIES = {
         op8_quality,
         op9_warc,
         op10_exact_dedup,
+        op11_whitening,
+        op12_repetition,
+        op13_filter_audit,
     )
 }
 
@@ -198,12 +215,89 @@ SELECT d.page_id, d.n AS payload_bytes, d.digest AS payload_digest,
 FROM d LEFT JOIN f ON f.digest = d.digest AND d.n >= 100
 """
 
+
+def _repetition_sql() -> str:
+    """All windows of every length by their words; a word is covered if any repeated window holds it."""
+    lengths = sorted(repetition.LIMITS)
+    windows = "\nUNION ALL ".join(
+        f"SELECT id, {n} AS n, pos, array_to_string(w[pos:pos + {n - 1}], ' ') AS gram FROM (SELECT id, w, unnest(range(1, len(w) - {n - 2})) AS pos FROM words)"
+        for n in (repetition.BASE_N, *lengths)
+    )
+    chars = ", ".join(f"coalesce(sum(len(w[spot])) FILTER (n = {n}), 0) AS dup_chars_{n}" for n in lengths)
+    names = [f"dup_chars_{n}" for n in lengths]
+    keep = " AND ".join(f"100 * coalesce({c}, 0) <= {repetition.LIMITS[n]} * word_chars" for n, c in zip(lengths, names))
+    outputs = ", ".join(f"coalesce({c}, 0)::BIGINT AS {c}" for c in names)
+    return rf"""
+WITH words AS (
+    SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+{windows}
+), repeated AS (
+    SELECT id, n, pos FROM windows QUALIFY count(*) OVER (PARTITION BY id, n, gram) > 1
+), spots AS (
+    SELECT DISTINCT id, n, unnest(range(pos, pos + n)) AS spot FROM repeated
+), covered AS (
+    SELECT id, count(*) FILTER (n = {repetition.BASE_N}) AS n_repeat_words, {chars} FROM spots JOIN words USING (id) GROUP BY id
+), lines AS (
+    SELECT id, line, count(*) AS c FROM (SELECT id, unnest(string_split(t, chr(10))) AS line FROM words) GROUP BY ALL
+), dup_lines AS (
+    SELECT id, sum(c - 1) AS n_dup_lines, sum(c * length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) AS dup_line_chars
+    FROM lines WHERE c > 1 AND regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY id
+), counted AS (
+    SELECT id, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols FROM words
+), judged AS (
+    SELECT *, n_words < {repetition.MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {repetition.MAX_REPEAT} * n_words AS base_failed
+    FROM counted LEFT JOIN covered USING (id) LEFT JOIN dup_lines USING (id)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND 100 * coalesce(dup_line_chars, 0) <= {repetition.LINE_LIMIT} * word_chars AND {keep} AS kept,
+       coalesce(dup_line_chars, 0)::BIGINT AS dup_line_chars, {outputs}
+FROM judged
+"""
+
+
+OP13_SQL = r"""
+WITH d AS (
+    SELECT coalesce(lang, '') AS part, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), firsts AS (
+    SELECT t, min(doc_id) AS first_id FROM d GROUP BY t
+), marks AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), masks AS (
+    SELECT part, CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS fails,
+        count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM d JOIN firsts USING (t) LEFT JOIN marks USING (doc_id) GROUP BY ALL
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS o FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), gone AS (
+    SELECT part, o, fails, n, good, toxic, CASE WHEN fails = '' THEN 6 ELSE list_min([strpos(o, x) FOR x IN string_split(fails, '')]) END AS gone_at FROM masks, orders
+), steps AS (
+    SELECT part, o, step, substr(o, step, 1) AS f, sum(n) FILTER (gone_at > step) AS kept, sum(n) FILTER (gone_at = step) AS removed,
+           sum(n) FILTER (gone_at < step AND contains(fails, substr(o, step, 1))) AS redundant, sum(n) FILTER (fails = substr(o, step, 1)) AS unique_fails,
+           sum(good) FILTER (gone_at = step) AS good_lost, sum(toxic) FILTER (gone_at = step) AS toxic_lost
+    FROM gone, range(1, 6) AS s(step) GROUP BY ALL
+)
+SELECT part, o AS filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       sum(coalesce(removed, 0)) OVER (PARTITION BY part, f)::BIGINT AS shapley
+FROM steps
+"""
+
 ORACLE_SQL = {
     "op2_licenses": _license_sql(),
     "op4_ngram_join": OP4_SQL,
     "op5_url_filter": _url_sql(),
     "op9_warc": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
+    "op12_repetition": _repetition_sql(),
+    "op13_filter_audit": OP13_SQL,
 }
 
 

@@ -1,0 +1,105 @@
+"""The filter audit against applying the filters one after the other to the documents."""
+
+import random
+import re
+from itertools import permutations
+
+import pytest
+
+from basketry.llm import filter_audit as fa
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def literal(docs, labels):
+    """Run all 120 orders over the rows themselves."""
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, t in labels if t == 1 and d is not None}
+    rows = []
+    for doc_id, text, lang in docs:
+        t = text or ""
+        w = WORD.findall(t)
+        fails = set()
+        if len(w) < 100:
+            fails.add("A")
+        if 100 * len(set(w)) < 80 * len(w):
+            fails.add("B")
+        if 100 * len(re.findall("[A-Z]", t)) > 10 * len(t):
+            fails.add("C")
+        if re.search(r"[#$%&*|]", t):
+            fails.add("D")
+        if doc_id is not None and any(o is not None and o < doc_id and (x or "") == t for o, x, _ in docs):
+            fails.add("E")
+        rows.append((lang or "", doc_id, fails))
+    out = {}
+    for part in {r[0] for r in rows}:
+        shapley = dict.fromkeys("ABCDE", 0)
+        for order in permutations("ABCDE"):
+            left = [r for r in rows if r[0] == part]
+            for step, f in enumerate(order, 1):
+                lost = [r for r in left if f in r[2]]
+                left = [r for r in left if f not in r[2]]
+                failing = [r for r in rows if r[0] == part and f in r[2]]
+                shapley[f] += len(lost)
+                out[part, "".join(order), step] = [
+                    len(left), len(lost), len(failing) - len(lost), sum(r[2] == {f} for r in failing),
+                    sum(r[1] in good for r in lost), sum(r[1] in toxic for r in lost),
+                ]
+        for (p, order, step), v in out.items():
+            if p == part:
+                v.append(shapley[order[step - 1]])
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def result(spark, docs, labels):
+    d = spark.createDataFrame([(*r, "x", 1) for r in docs], "doc_id long, text string, lang string, part string, mask int").repartition(3)
+    m = spark.createDataFrame([(*r, 9) for r in labels], "doc_id long, quality int, toxic int, good int")
+    rows = fa.filter_audit(d, m).collect()
+    got = {(r.part, r.filter_order, r.step): tuple(r)[3:] for r in rows}
+    assert len(got) == len(rows)
+    return got
+
+
+def table(seed):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)] + ["UPPER", "MORE", "$", "a|b", "é"]
+    texts = [None, "", "A", "a #", " \t\n\x0b\x0c\r", "AA bb " * 60, " ".join(f"u{i}" for i in range(100)), " ".join(f"U{i}" for i in range(99))]
+    texts += [" ".join(rng.choices(words, k=rng.choice([5, 99, 100, 101, 160]))) for _ in range(12)]
+    docs = [(rng.choice([None, *range(60)]), rng.choice(texts), rng.choice([None, "", "en", "de"])) for _ in range(120)]
+    labels = [(rng.choice([None, *range(70)]), rng.choice([None, 0, 1]), rng.choice([None, 0, 1])) for _ in range(60)]
+    return docs, labels
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_applying_the_filters(spark, seed):
+    docs, labels = table(seed)
+    assert result(spark, docs, labels) == literal(docs, labels)
+
+
+def test_copies_are_found_across_parts(spark):
+    docs = [(1, "same", "en"), (2, "same", "de"), (2, "same", "de"), (None, "same", "en")]
+    got = result(spark, docs, [])
+    assert got == literal(docs, [])
+    assert got["de", "EABCD", 1][:2] == (0, 2) and got["en", "EABCD", 1][:2] == (2, 0)
+
+
+def test_hot_text_and_very_long_text(spark):
+    docs = [(i, "the same words", "en") for i in range(3000)] + [(5000, "word " * 300_000, "fr"), (5001, None, None)]
+    got = result(spark, docs, [(0, 1, 0), (7, 1, 1)])
+    assert got["en", "EABCD", 1] == (1, 2999, 0, 0, 1, 1, 2999 * 60)
+    assert got["fr", "BACDE", 1][:2] == (0, 1)
+
+
+def test_empty_tables(spark):
+    assert result(spark, [], [(1, 1, 1)]) == {}
+    assert result(spark, [(1, "a", "en")], []) == literal([(1, "a", "en")], [])
+
+
+def test_removal_step_is_the_first_failing_filter():
+    names, position = fa.positions("ABC")
+    assert len(names) == 6
+    import numpy as np
+
+    step = fa.removal_steps(np.array([[False, False, False], [True, False, True]]), position)
+    assert (step[0] == 4).all()
+    assert [int(s) for s in step[1]] == [min(n.index("A"), n.index("C")) + 1 for n in names]
