@@ -163,31 +163,28 @@ def _url_sql() -> str:
         "FROM seen WHERE host <> '' GROUP BY host)",
         "links AS (SELECT host AS src, " + host.format("link") + " AS dst FROM (SELECT DISTINCT id, host, unnest(regexp_extract_all(html, "
         + "'" + url_filter._LINK.replace("'", "''") + "', 1)) AS link FROM seen WHERE host <> ''))",
-        r"up AS (SELECT host AS src, regexp_extract(host, '^[^.]+\.(.+\..+)$', 1) AS dst, pages AS weight FROM hosts)",
+        f"names AS (SELECT string_split(host, '.') AS l, pages FROM hosts WHERE octet_length(encode(host)) <= {url_filter.MAX_NAME})",
+        "up AS (SELECT array_to_string(l[i:], '.') AS src, array_to_string(l[i + 1:], '.') AS dst, pages AS weight "
+        "FROM (SELECT l, pages, unnest(range(1, len(l) - 1)) AS i FROM names))",
         "edges AS (SELECT src, dst, sum(weight)::DOUBLE AS weight FROM (SELECT src, dst, 1 AS weight FROM links WHERE dst <> src UNION ALL "
         "SELECT src, dst, weight FROM up UNION ALL SELECT dst, src, weight FROM up) WHERE src <> '' AND dst <> '' GROUP BY src, dst)",
     ]
-    for name, a, b, seeds in (("trust", "src", "dst", "allow > 0 AND block = 0"), ("distrust", "dst", "src", "block > 0 AND allow = 0")):
-        kind = "allow" if name == "trust" else "block"
+    for name, kind, a, b in (("trust", "allow", "src", "dst"), ("distrust", "block", "dst", "src")):
+        # what a seed sends out arrives along all walks; beyond 150 steps nothing that shows is left
         parts += [
-            f"{name}_start AS (SELECT host, {kind} / (sum({kind}) OVER ()) AS restart FROM hosts WHERE {seeds})",
             f"{name}_moves AS (SELECT {a} AS src, {b} AS dst, weight / sum(weight) OVER (PARTITION BY {a}) * {url_filter.DAMPING} AS share FROM edges)",
-            f"{name}_0 AS MATERIALIZED (SELECT host, restart AS score FROM {name}_start)",
+            f"{name}_walks(step, host, mass) AS (SELECT 0, host, {1 - url_filter.DAMPING} * {kind} / sum({kind}) OVER () FROM hosts WHERE {kind} > 0 "
+            f"UNION ALL SELECT step + 1, dst, sum(share * mass) FROM {name}_walks JOIN {name}_moves ON src = host WHERE step < 150 GROUP BY step, dst)",
+            f"{name} AS (SELECT host, sum(mass) AS score FROM {name}_walks GROUP BY host)",
         ]
-        parts += [
-            f"{name}_{i + 1} AS MATERIALIZED (SELECT host, sum(score) AS score FROM (SELECT dst AS host, share * score AS score FROM {name}_moves JOIN {name}_{i} "
-            f"ON src = host UNION ALL SELECT host, restart * {1 - url_filter.DAMPING} FROM {name}_start) GROUP BY host)"
-            for i in range(url_filter.ROUNDS)
-        ]
-    last = url_filter.ROUNDS
     parts.append(
         "judged AS (SELECT hosts.host, coalesce(t.score, 0) AS trust, coalesce(d.score, 0) AS distrust FROM hosts "
-        f"LEFT JOIN trust_{last} t ON t.host = hosts.host LEFT JOIN distrust_{last} d ON d.host = hosts.host)"
+        "LEFT JOIN trust t ON t.host = hosts.host LEFT JOIN distrust d ON d.host = hosts.host)"
     )
-    excess = f"round(distrust - {url_filter.BLOCK_SHARE} * (distrust + trust), {url_filter.DIGITS})"
+    share = f"round(distrust / (distrust + trust), {url_filter.DIGITS})"
     return (
-        "WITH " + ",\n".join(parts) + "\nSELECT page_id, seen.host, path, rule, coalesce(by_rule, CASE WHEN distrust > 0 AND "
-        f"{excess} >= 0 THEN 'block' ELSE 'allow' END) AS verdict FROM seen LEFT JOIN judged ON judged.host = seen.host"
+        "WITH RECURSIVE " + ",\n".join(parts) + "\nSELECT page_id, seen.host, path, rule, coalesce(by_rule, CASE WHEN distrust > 0 AND "
+        f"{share} >= {url_filter.BLOCK_SHARE} THEN 'block' ELSE 'allow' END) AS verdict FROM seen LEFT JOIN judged ON judged.host = seen.host"
     )
 
 

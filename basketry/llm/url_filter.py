@@ -1,17 +1,18 @@
 """URL filter: rules first, then trust and distrust spread over the host graph.
 
 Rules (allow or block; a host with its subdomains and a path prefix) decide the
-urls they fit, the longest rule first. Their hosts seed two personalised
-PageRanks over host edges: trust starts at hosts that only allow rules fit and
-follows links; distrust starts at hosts that only block rules fit and goes
-against the links (who links to a bad host is suspect). A host's share of
-distrust decides its remaining urls.
-
-Edges are the links of a page's html to other hosts, plus one edge from a host
-to its parent domain and back, each with the number of pages as weight, so that
-a host without outgoing links still hears from its domain. They are summed per
-pair of hosts before any shuffle; a page never crosses the network, a host with
-a third of all pages is one row per map task.
+urls they fit, the longest rule first. They seed two personalised PageRanks over
+host edges: trust starts at every host by its number of allowed pages and follows
+links; distrust starts at every host by its number of blocked pages and goes
+against the links (who links to a bad host is suspect). The share of distrust in
+what reaches a host decides its remaining urls.
+
+Edges are the links of a page's html to other hosts, plus an edge from each domain
+name to the one above it and back, from the host up to two labels, weighted by
+the pages below: a host without outgoing links still hears from its domain, also
+where the domains in between have no pages. Edges are summed per pair of hosts
+before any shuffle; a page never crosses the network, a host with a third of all
+pages is one row per map task.
 """
 
 from __future__ import annotations
@@ -32,11 +33,14 @@ RULES = (
     ("block", "com", "/de/"),
 )
 DAMPING = 0.85
-ROUNDS = 12
-#: a host is blocked if distrust holds at least this share of distrust + trust
-BLOCK_SHARE = 0.5
-# scores are sums of products in any order: smaller differences are none
-DIGITS = 12
+#: a ranking is done when a round adds at most this share to any host's score
+TOLERANCE = 1e-5
+ROUNDS_PER_CHECK = 6
+#: a host is blocked if distrust holds at least this share of distrust + trust,
+#: to so many digits (the ranking leaves out less than these show)
+BLOCK_SHARE, DIGITS = 0.5, 3
+#: longer hosts are no domain names and have no names above them (fixed value of DNS)
+MAX_NAME = 253
 _LINK = r"""(?i)\shref\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""
 
 
@@ -60,7 +64,7 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     """The longest fitting rule and its verdict, null if none fits.
 
     One expression over the row: the rules are a parameter of some hundred
-    entries at most; ties of length go to the rule named first.
+    entries at most; of fitting rules equally long the one named last wins.
     """
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for kind, h, p in sorted(rules, key=lambda r: len(r[1]) + len(r[2])):
@@ -86,49 +90,58 @@ def host_graph(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     links = links.select("src", host_of(F.col("link")).alias("dst")).where("dst <> '' and dst <> src")
     links = links.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    # a host and its parent domain, both ways
-    parent = F.regexp_extract("host", r"^[^.]+\.(.+\..+)$", 1)
-    up = hosts.select(F.col("host").alias("src"), parent.alias("dst"), F.col("pages").cast("double").alias("weight")).where("dst <> ''")
+    # a name and the one above it, both ways, up to two labels
+    labels = F.when(F.octet_length("host") <= MAX_NAME, F.split("host", r"\.")).otherwise(F.array())
+    names = F.transform(F.col("labels"), lambda _, i: F.array_join(F.slice("labels", i + 1, F.size("labels")), "."))
+    steps = F.arrays_zip(F.slice("names", 1, F.size("names") - 2).alias("src"), F.slice("names", 2, F.size("names") - 2).alias("dst"))
+    up = hosts.select("pages", labels.alias("labels")).where(F.size("labels") > 2).select("pages", names.alias("names"))
+    up = up.select(F.inline(steps), F.col("pages").cast("double").alias("weight"))
     down = up.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    edges = links.unionByName(up).unionByName(down).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
-    return hosts, materialise(edges)
+    edges = links.unionByName(up).unionByName(down).where("src <> '' and dst <> ''")
+    return hosts, materialise(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
 
 
-def personalised_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """``host, score``: PageRank that restarts at ``seeds`` (``host, weight``), scores sum to at most 1.
+def personalised_ranks(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """``kind, host, score``: a PageRank per ``kind`` that restarts at its seeds.
 
-    ``rounds`` is fixed; the rank that has not arrived after them is below
-    ``damping ** rounds``. Each round is one join and one sum; the state is
-    written to the shared folder every few rounds. No seeds: no rows.
+    ``edges``: ``kind, src, dst, weight``; ``seeds``: ``kind, host, weight``. The
+    scores of a kind sum to at most 1. The restart mass is passed on along the
+    edges round by round, and a host's score is all mass that came by; what is
+    still on its way shrinks by the damping factor each round. Done when a round
+    adds at most ``tolerance`` of any host's score, so the bound is relative and
+    holds for graphs of any size. Each round is one join and one sum; the state
+    is written to the shared folder every few rounds. A kind without seeds has no rows.
     """
-    total = seeds.agg(F.sum("weight").alias("total"))
-    restart = materialise(seeds.join(F.broadcast(total)).select("host", (F.col("weight") / F.col("total")).alias("restart")))
-    out = edges.groupBy("src").agg(F.sum("weight").alias("out"))
-    moves = materialise(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out") * damping).alias("share")))
-    score = restart.select("host", F.col("restart").alias("score"))
-    again = restart.select("host", (F.col("restart") * (1 - damping)).alias("score"))
-    for i in range(rounds):
-        sent = moves.join(score, moves["src"] == score["host"]).select(F.col("dst").alias("host"), (F.col("share") * F.col("score")).alias("score"))
-        score = sent.unionByName(again).groupBy("host").agg(F.sum("score").alias("score"))
-        if i % 4 == 3 or i == rounds - 1:
-            score = materialise(score)
-    return score
+    total = seeds.groupBy("kind").agg(F.sum("weight").alias("total"))
+    first = (F.sum("weight") / F.first("total") * (1 - damping)).alias("mass")
+    state = materialise(seeds.join(F.broadcast(total), "kind").groupBy("kind", "host").agg(first).withColumn("score", F.col("mass")))
+    out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("out"))
+    moves = edges.join(out, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("out") * damping).alias("share"))
+    moves = materialise(moves)
+    while (state.agg(F.max(F.try_divide("mass", "score"))).first()[0] or 0) > tolerance:
+        for _ in range(ROUNDS_PER_CHECK):
+            came = (F.col("share") * F.col("mass")).alias("mass")
+            sent = moves.join(state, ["kind", "host"]).select("kind", F.col("dst").alias("host"), came).withColumn("score", F.col("mass"))
+            kept = state.select("kind", "host", F.lit(0.0).alias("mass"), "score")
+            state = sent.unionByName(kept).groupBy("kind", "host").agg(F.sum("mass").alias("mass"), F.sum("score").alias("score"))
+        state = materialise(state)
+    return state.drop("mass")
 
 
 def host_verdicts(pages: DataFrame, block_share: float = BLOCK_SHARE) -> DataFrame:
     """``host, trust, distrust, verdict`` for every host that has a page."""
     hosts, edges = host_graph(pages)
-    trusted = hosts.where("allow > 0 and block = 0").select("host", F.col("allow").cast("double").alias("weight"))
-    blocked = hosts.where("block > 0 and allow = 0").select("host", F.col("block").cast("double").alias("weight"))
-    against = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    trust = personalised_rank(edges, trusted).withColumnRenamed("score", "trust")
-    distrust = personalised_rank(against, blocked).withColumnRenamed("score", "distrust")
-    zero = lambda c: F.coalesce(c, F.lit(0.0))
-    both = hosts.select("host").join(trust, "host", "left").join(distrust, "host", "left")
-    both = both.select("host", zero("trust").alias("trust"), zero("distrust").alias("distrust"))
-    excess = F.col("distrust") - block_share * (F.col("distrust") + F.col("trust"))
-    bad = (F.col("distrust") > 0) & (F.round(excess, DIGITS) >= 0)
-    return both.withColumn("verdict", F.when(bad, "block").otherwise("allow"))
+    kind = lambda name: F.lit(name).alias("kind")
+    weight = lambda name: F.col(name).cast("double").alias("weight")
+    seeds = hosts.where("allow > 0").select(kind("trust"), "host", weight("allow"))
+    seeds = seeds.unionByName(hosts.where("block > 0").select(kind("distrust"), "host", weight("block")))
+    along = edges.select(kind("trust"), "src", "dst", "weight")
+    against = edges.select(kind("distrust"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
+    ranks = personalised_ranks(along.unionByName(against), seeds)
+    score = lambda name: F.coalesce(F.sum(F.when(F.col("kind") == name, F.col("score"))), F.lit(0.0)).alias(name)
+    both = hosts.select("host").join(ranks, "host", "left").groupBy("host").agg(score("trust"), score("distrust"))
+    share = F.round(F.try_divide(F.col("distrust"), F.col("distrust") + F.col("trust")), DIGITS)
+    return both.withColumn("verdict", F.when(share >= block_share, "block").otherwise("allow"))
 
 
 def url_filter(pages: DataFrame) -> DataFrame:
@@ -136,7 +149,9 @@ def url_filter(pages: DataFrame) -> DataFrame:
 
     A null url, or one without ``://``, has empty host and path, fits no rule and
     is allowed, as is a host that neither trust nor distrust reaches. A null html
-    has no links. Repeated rows are pages of their own.
+    has no links. Repeated rows are pages of their own; an empty table gives an
+    empty result; other columns are not read. A host of more than ``MAX_NAME``
+    bytes has no names above it; urls and htmls of any length are read whole.
     """
     hosts = materialise(host_verdicts(pages).select(F.col("host").alias("h"), F.col("verdict").alias("method")))
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))

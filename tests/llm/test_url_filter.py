@@ -45,20 +45,103 @@ def test_rules_host_and_path(make_pages):
         assert r.verdict == verdict if verdict else r.verdict in ("allow", "block")
 
 
-def test_rank_matches_power_iteration(spark):
-    rng = np.random.default_rng(1)
-    n = 12
-    w = rng.integers(0, 3, (n, n)) * (rng.random((n, n)) < 0.3)
-    edges = spark.createDataFrame([(f"h{i}", f"h{j}", float(w[i, j])) for i in range(n) for j in range(n) if w[i, j]], "src string, dst string, weight double")
-    seeds = spark.createDataFrame([("h0", 3.0), ("h4", 1.0)], "host string, weight double")
-    got = {r.host: r.score for r in url_filter.personalised_rank(edges, seeds).collect()}
-    start = np.zeros(n)
-    start[[0, 4]] = 0.75, 0.25
-    move = np.divide(w, w.sum(1, keepdims=True), out=np.zeros((n, n)), where=w.sum(1, keepdims=True) > 0)
+def power_iteration(w, start, rounds=400):
+    """PageRank by repeated multiplication with the dense matrix."""
+    total = w.sum(1, keepdims=True)
+    move = np.divide(w, total, out=np.zeros_like(w, float), where=total > 0)
     x = start
-    for _ in range(url_filter.ROUNDS):
+    for _ in range(rounds):
         x = url_filter.DAMPING * (x @ move) + (1 - url_filter.DAMPING) * start
-    assert np.allclose([got.get(f"h{i}", 0) for i in range(n)], x)
+    return x
+
+
+def test_ranks_match_power_iteration(spark):
+    rng = np.random.default_rng(1)
+    n, rows, seeds, want = 12, [], [("a", "h0", 3.0), ("a", "h4", 1.0), ("b", "h5", 2.0)], {}
+    for kind, start in (("a", {0: 0.75, 4: 0.25}), ("b", {5: 1.0})):
+        w = rng.integers(0, 3, (n, n)) * (rng.random((n, n)) < 0.3)
+        rows += [(kind, f"h{i}", f"h{j}", float(w[i, j])) for i in range(n) for j in range(n) if w[i, j]]
+        want[kind] = power_iteration(w, np.array([start.get(i, 0.0) for i in range(n)]))
+    edges = spark.createDataFrame(rows, "kind string, src string, dst string, weight double")
+    got = url_filter.personalised_ranks(edges, spark.createDataFrame(seeds, "kind string, host string, weight double")).collect()
+    scores = {(r.kind, r.host): r.score for r in got}
+    for kind, x in want.items():
+        assert np.allclose([scores.get((kind, f"h{i}"), 0) for i in range(n)], x, rtol=1e-4, atol=0)
+
+
+def literal_verdicts(rows):
+    """Verdicts of the pages without a rule, from a dense matrix over all names."""
+    pages, links = {}, set()
+    for i, (_, url, html) in enumerate(rows):
+        host, path = parts(url)
+        if host:
+            seen = pages.setdefault(host, {"allow": 0, "block": 0, None: 0})
+            seen[rule(host, path)[1]] += 1
+            links |= {(i, host, parts(x)[0]) for x in re.findall(url_filter._LINK, html or "")}
+    weight = {}
+    for _, a, b in {(i, a, x) for i, a, x in links if x and x != a}:
+        weight[a, b] = weight.get((a, b), 0) + 1
+    for host, seen in pages.items():
+        names = host.split(".")
+        for i in range(len(names) - 2):
+            low, high = ".".join(names[i:]), ".".join(names[i + 1 :])
+            for pair in ((low, high), (high, low)):
+                weight[pair] = weight.get(pair, 0) + sum(seen.values())
+    hosts = sorted({h for p in weight for h in p} | set(pages))
+    w = np.array([[weight.get((a, b), 0) for b in hosts] for a in hosts], float)
+    seeds = {v: np.array([pages.get(h, {v: 0})[v] for h in hosts], float) for v in ("allow", "block")}
+    trust, distrust = (power_iteration(m, s / max(s.sum(), 1)) for m, s in ((w, seeds["allow"]), (w.T, seeds["block"])))
+    bad = {h for h, t, d in zip(hosts, trust, distrust) if d > 0 and round(d / (d + t), url_filter.DIGITS) >= url_filter.BLOCK_SHARE}
+    out = []
+    for _, url, _ in rows:
+        host, path = parts(url)
+        out.append(rule(host, path)[1] or ("block" if host in bad else "allow"))
+    return out
+
+
+def test_verdicts_equal_a_dense_matrix(make_pages):
+    rng = np.random.default_rng(7)
+    names = [f"{a}{b}{c}" for a in ("", "x.", "x.y.") for b in ("blog.", "") for c in ("example.org", "shop.com", "q.net", "host.io")]
+    paths = ["/", "/es/1", "/en/1", "/fr/", "/de/", "/a"]
+    rows = []
+    for i in range(120):
+        url = f"http://{rng.choice(names)}{rng.choice(paths)}"
+        html = " ".join(f'<a href="http://{rng.choice(names)}/">' for _ in range(rng.integers(0, 3)))
+        rows.append((i, url, html))
+    got = {r.page_id: r.verdict for r in url_filter.url_filter(make_pages(rows)).collect()}
+    want = literal_verdicts(rows)
+    assert [got[i] for i in range(len(rows))] == want
+    free = [v for (_, u, _), v in zip(rows, want) if rule(*parts(u))[0] is None]
+    assert {"allow", "block"} == set(free)
+
+
+def test_a_chain_longer_than_the_rounds_between_checks(make_pages):
+    """Distrust reaches the start of a chain of 40 hosts; names without pages in between pass it on."""
+    rows = [(i, f"http://h{i}.net/", f'<a href="http://h{i + 1}.net/">') for i in range(40)]
+    rows += [(40, "http://h40.net/", '<a href="http://example.org/es/">'), (41, "http://example.org/es/", None)]
+    rows += [(50, "http://a.b.c.d.bad.com/de/", None), (51, "http://z.bad.com/", None)]
+    got = {r.page_id: r.verdict for r in url_filter.url_filter(make_pages(rows)).collect()}
+    assert all(got[i] == "block" for i in (*range(42), 50, 51))
+
+
+def test_no_seeds(make_pages):
+    rows = [(1, "http://a.net/", '<a href="http://b.net/">'), (2, "http://x.a.net/", None)]
+    assert {r.verdict for r in url_filter.url_filter(make_pages(rows)).collect()} == {"allow"}
+
+
+def test_a_host_that_is_no_domain_name(make_pages):
+    url = "http://" + "a." * 100_000 + "net/"
+    rows = url_filter.url_filter(make_pages([(1, url, None), (2, "http://b.net/", f'<a href="{url}">')])).collect()
+    assert len(rows) == 2 and {r.verdict for r in rows} == {"allow"}
+
+
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_seeds_decide_pages_without_a_rule(spark, size):
+    pages = spark.read.parquet(f"/root/testdata/{size}/pages.parquet")
+    hosts, _ = url_filter.host_graph(pages)
+    assert hosts.where("allow > 0").count() > 0 and hosts.where("block > 0").count() > 0
+    free = url_filter.url_filter(pages).where("rule is null").groupBy("verdict").count().collect()
+    assert {r.verdict for r in free if r["count"] > 10} == {"allow", "block"}
 
 
 def test_distrust_goes_against_links_and_trust_along(make_pages):
