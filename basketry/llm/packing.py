@@ -5,8 +5,9 @@ are cut off and stand alone; the rest is one item. ``levels[h]`` counts the open
 windows filled up to ``h``; the item goes to the fill level (or a new window) that
 makes the sum of the squared counts smallest, which keeps all fill levels in
 stock, so that later items find a window they close exactly. Windows still open
-at the end of a partition are emptied into one stream that is cut every 2048
-tokens; what is left of it is cut into powers of two, which need no padding.
+at the end of a partition are put together by best fit; what the fullest of them
+then lack is cut from the emptiest, and the last ids are cut into powers of two,
+which need no padding.
 
 Only open windows hold token ids, so a task's memory does not grow with its rows.
 """
@@ -14,6 +15,7 @@ Only open windows hold token ids, so a task's memory does not grow with its rows
 from __future__ import annotations
 
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +30,7 @@ from basketry.llm.tokens import VOCABULARY, encoder
 WINDOW = 2048
 END_ID = 1
 SCHEMA = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, recut boolean"
 )
 # sequence ids of a partition start at partition << SEQUENCE_BITS
 SEQUENCE_BITS = 40
@@ -37,7 +39,8 @@ SEQUENCE_BITS = 40
 class SumOfSquares:
     """Online packer of one partition; ``take`` and ``finish`` return closed windows.
 
-    A piece is (doc_id, start, ids, doc_tokens); a window is a list of pieces.
+    A piece is (doc_id, start, ids, doc_tokens, recut); a window is a list of
+    pieces; ``recut`` marks those cut from where the rule had put them.
     """
 
     def __init__(self, window: int = WINDOW):
@@ -74,27 +77,52 @@ class SumOfSquares:
         return []
 
     def finish(self) -> list[list]:
-        """The open windows, cut anew to full windows and powers of two."""
-        stream = [p for stack in reversed(self._open) for pieces in stack for p in pieces]
+        """The open windows: whole ones put together by best fit, fullest first,
+        then the fullest filled up from the emptiest, the rest in powers of two."""
+        left = [(fill, pieces) for fill in range(self.window, 0, -1) for pieces in self._open[fill]]
         self._open = [[] for _ in range(self.window + 1)]
         self.levels[:] = 0
-        left = sum(len(p[2]) for p in stream)
-        closed, pieces = [], []
-        size = room = self._next(left)
-        for doc_id, start, ids, total in stream:
-            while len(ids):
-                cut = ids[:room]
-                pieces.append((doc_id, start, cut, total))
-                ids, start, room = ids[len(cut) :], start + len(cut), room - len(cut)
-                if not room:
-                    closed.append(pieces)
-                    left -= size
-                    pieces, size = [], self._next(left)
-                    room = size
+        closed = []
+        for fill, pieces in left:
+            fits = np.flatnonzero(self.levels[: self.window - fill + 1])
+            found = int(fits[-1]) if len(fits) else 0
+            if found:
+                self.levels[found] -= 1
+                pieces = self._open[found].pop() + pieces
+            if found + fill == self.window:
+                closed.append(pieces)
+            else:
+                self._open[found + fill].append(pieces)
+                self.levels[found + fill] += 1
+        left = deque(pieces for stack in reversed(self._open) for pieces in stack)
+        self._open = [[] for _ in range(self.window + 1)]
+        self.levels[:] = 0
+        total = sum(len(p[2]) for pieces in left for p in pieces)
+        while total >= self.window:
+            pieces = left.popleft()
+            pieces += self._cut(left, self.window - sum(len(p[2]) for p in pieces))
+            closed.append(pieces)
+            total -= self.window
+        while total:  # powers of two, largest first
+            size = 1 << (total.bit_length() - 1)
+            closed.append(self._cut(left, size))
+            total -= size
         return closed
 
-    def _next(self, left: int) -> int:
-        return self.window if left >= self.window else 1 << (left.bit_length() - 1) if left else 0
+    @staticmethod
+    def _cut(windows: deque, size: int) -> list[tuple]:
+        """``size`` ids from the ends of the last windows."""
+        out = []
+        while size:
+            doc_id, start, ids, total, recut = windows[-1].pop()
+            keep = max(0, len(ids) - size)
+            out.append((doc_id, start + keep, ids[keep:], total, True))
+            if keep:
+                windows[-1].append((doc_id, start, ids[:keep], total, recut))
+            elif not windows[-1]:
+                windows.pop()
+            size -= len(ids) - keep
+        return out
 
 
 def _pack(vocabulary: str, window: int):
@@ -108,15 +136,16 @@ def _pack(vocabulary: str, window: int):
             out = []
             for pieces in windows:
                 offset = 0
-                for doc_id, start, ids, total in pieces:
-                    out.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total, sequence, offset))
+                for doc_id, start, ids, total, recut in pieces:
+                    out.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total, sequence, offset, recut))
                     offset += len(ids)
                 sequence += 1
             return out
 
         def batch(out: list[tuple]) -> pa.RecordBatch:
-            names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
+            names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "recut")
+            kinds = [pa.int64()] * 7 + [pa.bool_()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
         for b in batches:
             out = []
@@ -124,7 +153,7 @@ def _pack(vocabulary: str, window: int):
                 ids = np.append(encode.ids(text.as_py() or ""), np.uint32(END_ID))
                 for start in range(0, len(ids), window):
                     # a copy: a view would keep the whole document's ids
-                    out += rows(packer.take((doc_id, start, ids[start : start + window].copy(), len(ids))))
+                    out += rows(packer.take((doc_id, start, ids[start : start + window].copy(), len(ids), False)))
             if out:
                 yield batch(out)
         if out := rows(packer.finish()):
@@ -134,12 +163,14 @@ def _pack(vocabulary: str, window: int):
 
 
 def pack(docs: DataFrame, vocabulary: str = VOCABULARY, window: int = WINDOW) -> DataFrame:
-    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
+    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
+    offset, recut`` (cut at the end of a partition, see :class:`SumOfSquares`).
 
     A document is its text's ids and one end id; a null or empty text is the end
     id alone. Every id lies in exactly one piece, every sequence is gapless from
     offset 0 and holds ``window`` ids or a power of two. Repeated rows are
-    documents of their own; null ids stay null. No rows give no pieces. Nothing
+    documents of their own; null ids stay null. No rows give no pieces; other
+    columns are not read. A text's ids are held once while it is cut. Nothing
     is shuffled; a lost task packs its partition again to the same result.
     """
     ship_package(docs.sparkSession)

@@ -60,7 +60,7 @@ def test_level_choice_is_the_least_sum_of_squares():
                 scores[int(h)] = int((m**2).sum())
         chosen = p.level_for(size)
         assert scores[chosen] == min(scores.values())
-        p.take((0, 0, np.zeros(size, np.uint32), size))
+        p.take((0, 0, np.zeros(size, np.uint32), size, False))
         assert p.levels[16] == 0 and (p.levels >= 0).all()
 
 
@@ -76,3 +76,30 @@ def test_both_encoders_agree():
         for special in (True, False):
             e.slow.encode_special_tokens = not special
             assert e.ids(text, special).tolist() == e.slow.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 60, 600])
+def test_finish_keeps_every_id_and_cuts_little(n):
+    """Windows come out full or as powers of two; few ids leave the place the rule gave them."""
+    rng = np.random.default_rng(n)
+    p, want, closed = packing.SumOfSquares(256), [], []
+    for i in range(n):
+        ids = rng.integers(0, 1 << 30, rng.integers(1, 200)).astype(np.uint32)
+        want += [(i, j, int(x)) for j, x in enumerate(ids)]
+        closed += p.take((i, 0, ids, len(ids), False))
+    closed += p.finish()
+    pieces = [x for w in closed for x in w]
+    assert sorted((i, start + j, int(x)) for i, start, ids, _, _ in pieces for j, x in enumerate(ids)) == want
+    sizes = [sum(len(x[2]) for x in w) for w in closed]
+    assert all(s == 256 or s & (s - 1) == 0 for s in sizes) and sum(s < 256 for s in sizes) <= 8
+    assert all(len(x[2]) for x in pieces)
+    assert not p.levels.any() and p.finish() == []
+    if n >= 60:
+        assert sum(len(x[2]) for x in pieces if x[4]) < 0.1 * len(want)
+
+
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_share_of_tokens_cut_at_the_end(spark, size):
+    got = packing.pack(spark.read.parquet(f"/root/testdata/{size}/documents.parquet"))
+    row = got.selectExpr("sum(length) as n", "sum(case when recut then length else 0 end) as cut").first()
+    assert row.cut < 0.1 * row.n
