@@ -73,13 +73,13 @@ def mix(
     the seed only, not on partitions. An empty table gives an empty result.
     """
     size = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
-    # the hash spreads documents of one size; the id settles what remains
+    # the hash spreads documents of one size; the id and the text settle what remains
     tie = F.xxhash64(F.lit(seed), "doc_id")
     version = F.xxhash64(text_or_empty())
     rows = materialise(docs.select("doc_id", "source", size.alias("size"), tie.alias("tie"), version.alias("version")))
     targets = materialise(source_targets(rows, weights, max_repeat))
 
-    keys = ["source", "size", "tie", "doc_id"]
+    keys = ["source", "size", "tie", "doc_id", "version"]
     ranged = materialise(rows.repartitionByRange(*keys).withColumn("part", F.spark_partition_id()))
     # per partition and source: rows, then the rows in all earlier partitions
     counts = ranged.groupBy("part", "source").agg(F.count(F.lit(1)).alias("rows"))
@@ -93,7 +93,7 @@ def mix(
     joined = ranged.join(
         F.broadcast(offsets), (F.col("part") == F.col("o_part")) & F.col("source").eqNullSafe(F.col("o_source"))
     )
-    local = F.row_number().over(Window.partitionBy("part", "source").orderBy("size", "tie", "doc_id"))
+    local = F.row_number().over(Window.partitionBy("part", "source").orderBy(*keys[1:]))
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     start = F.pmod(F.xxhash64(F.lit(seed), F.coalesce("source", F.lit("")), F.col("source").isNull()), F.lit(1 << 30)) / float(1 << 30)
     rank = F.col("offset") + local

@@ -93,3 +93,15 @@ def test_documents_of_repeated_and_missing_ids(make_docs):
     for r in mixing.mixed_documents(docs).collect():
         got[r.doc_id, r.source, len(r.text.split())] += 1
     assert got == {k: v for k, v in want.items() if v}
+
+
+def test_equal_ids_and_sizes_with_different_texts(make_docs):
+    """Which of the texts is taken how often does not depend on partitions."""
+    rows = [(7, f"w{i} x", "a") for i in range(40)] + [(i, "w " * 9, "b") for i in range(30)]
+    seen = []
+    for partitions in (1, 3, 7):
+        got = defaultdict(int)
+        for r in mixing.mixed_documents(make_docs(rows, partitions)).collect():
+            got[r.doc_id, r.text] += 1
+        seen.append(got)
+    assert seen[0] == seen[1] == seen[2]
