@@ -100,9 +100,11 @@ def text_margin(text: str | None, weights: np.ndarray, by_pair: np.ndarray | Non
 
 def meta_buckets(source: str | None, lang: str | None, n_chars: float | None) -> list[int]:
     """Buckets of the metadata: one each for source, language and order of length;
-    null is a value of its own."""
-    missing = n_chars is None or n_chars != n_chars
-    size = -1 if missing else int(np.log2(max(float(n_chars), 0) + 1) * 2)
+    null is a value of its own, as is an infinite length."""
+    if n_chars is None or n_chars != n_chars:
+        size = -1
+    else:
+        size = -2 if np.isinf(n_chars) else int(np.log2(max(float(n_chars), 0) + 1) * 2)
     return [zlib.crc32(x.encode("utf-8", "replace")) % META_BUCKETS for x in (f"s{source}", f"l{lang}", f"n{size}")]
 
 
@@ -343,7 +345,8 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     metadata is a value of its own. Conflicting labels of a document count as
     bad; labels without a document, null labels and null ids are left out of
     training. Without labels of both classes every document is kept with score 1.
-    Repeated rows are scored alike. An empty table gives an empty result.
+    Repeated rows are scored alike. An empty table gives an empty result; other
+    columns are not read. A text is read whole, in pieces of bounded size.
     """
     model = train(docs, labels)
     if model is None:
@@ -363,7 +366,9 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that are kept, columns unchanged."""
+    """The documents that are kept, columns unchanged, whatever other columns there
+    are. Nulls, texts, repeated rows and labels as in :func:`quality`: without
+    labels of both classes all are kept, an empty table gives an empty result."""
     model = train(docs, labels)
     if model is None:
         return docs
@@ -372,7 +377,11 @@ def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                good = b.filter(pa.array(_scores(model, b)["score"] >= threshold))
-                yield good.select(columns)
-
-    return docs.select("*", *_inputs()).mapInArrow(keep, docs.schema)
+                inputs = pa.RecordBatch.from_struct_array(b.column(len(columns)))
+                good = b.filter(pa.array(_scores(model, inputs)["score"] >= threshold))
+                yield good.select(list(range(len(columns))))
+
+    name = "_inputs"
+    while name.lower() in (c.lower() for c in columns):
+        name = "_" + name
+    return docs.select("*", F.struct(*_inputs()).alias(name)).mapInArrow(keep, docs.schema)

@@ -86,3 +86,57 @@ def test_text_margin_by_pairs():
     w = np.random.default_rng(2).standard_normal(quality.TEXT_BUCKETS + quality.REPETITIONS)
     for text in ("", "a", "ab", "abc", "Zürich 😀", "xyz" * 800_000):
         assert quality.text_margin(text, w, w[quality._EVERY_PAIR]) == pytest.approx(quality.text_margin(text, w))
+
+
+def test_infinite_length_and_clashing_columns(spark):
+    rows = [(i, t, "en", "s0", float(len(t)), "q", 1.0, "i") for i, t in ROWS]
+    rows += [(800, "plain words", "en", "s0", float("inf"), "q", 2.0, "i"), (801, "plain words", None, "s0", float("nan"), "q", 2.0, "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars double, q_text string, q_n_chars double, _inputs string")
+    labels = labels_of(spark, [(i, 1, 0, 0, "") for i in range(0, 60, 2)] + [(100 + i, 0, 0, 0, "") for i in range(0, 60, 2)])
+    kept = quality.good_documents(docs, labels)
+    assert kept.columns == docs.columns and {r.q_text for r in kept.collect()} == {"q"}
+    assert kept.count() == quality.quality(docs, labels).where("keep").count()
+    assert len({str(quality.meta_buckets("s", "l", x)) for x in (None, 10.0, float("inf"))}) == 3
+
+
+def test_exchange_equals_a_plain_loop(spark, make_docs, monkeypatch):
+    """The same pseudo-labels per round as a loop over all documents in memory."""
+    monkeypatch.setattr(quality, "EXCHANGE", 12)
+    rng = np.random.default_rng(4)
+    words = [[f"good{i}" for i in range(30)] + ["the", "of"], [f"#{i}" for i in range(30)] + ["the", "of"]]
+    rows = [(i, " ".join(rng.choice(words[k], 25)), f"s{k + 2 * (rng.random() < 0.2)}") for i in range(500) for k in [int(rng.random() < 0.4)]]
+    known = {i: int(t.startswith("good") or "good" in t) for i, t, _ in rows[:120]}
+    recorded, real = [], quality._surest
+    def surest(*a):  # noqa: E306
+        out = real(*a)
+        recorded.append({use: {(r.doc_id, r.y) for r in out.where(f"use = '{use}'").collect()} for use in quality.VIEWS})
+        return out
+    monkeypatch.setattr(quality, "_surest", surest)
+    quality.train(make_docs(rows), labels_of(spark, [(i, y, 0, 0, "") for i, y in known.items()]), rounds=3)
+
+    h = spark.range(500).selectExpr("id", "xxhash64(13, id) AS tie", "pmod(xxhash64(12, id), 3) = 0 AS held").collect()
+    tie, held = {r.id: r.tie for r in h}, {r.id: r.held for r in h}
+    view = {i: {"text": quality.text_view(t), "meta": quality.meta_view([(s, "en", float(len(t)))])[0]} for i, t, s in rows}
+    stack = lambda ids, v: np.array([view[i][v] for i in ids]).reshape(len(ids), -1)
+    start = sorted((known[i], i) for i in known if not held[i])
+    taught, taken, want = {v: [] for v in quality.VIEWS}, set(), []
+    for _ in range(3):
+        margin = {}
+        for v in quality.VIEWS:
+            ids, y = [i for _, i in start] + [i for i, _ in taught[v]], [y for y, _ in start] + [y for _, y in taught[v]]
+            w = quality.logistic(stack(ids, v), np.array(y, float), 1e-3)
+            margin[v] = {i: float(view[i][v] @ w[:-1] + w[-1]) for i in view}
+        picks = {}
+        for teacher, learner in (("text", "meta"), ("meta", "text")):
+            picks[learner] = set()
+            for label, sign in ((1, 1), (0, -1)):
+                free = [i for i in view if i not in known and i not in taken and sign * margin[teacher][i] >= np.log(0.95 / 0.05)]
+                free.sort(key=lambda i: (-sign * round(margin[teacher][i], 5), tie[i], i))
+                picks[learner] |= {(i, label) for i in free[:12]}
+        if not any(picks.values()):
+            break
+        want.append(picks)
+        for learner, found in picks.items():
+            taught[learner] += sorted(found)
+            taken |= {i for i, _ in found}
+    assert len(want) >= 2 and recorded[: len(want)] == want
