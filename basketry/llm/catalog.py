@@ -207,8 +207,8 @@ WITH p AS (
     SELECT digest, min(page_id) AS first_id FROM d WHERE n >= 100 GROUP BY digest
 )
 SELECT d.page_id, d.n AS payload_bytes, d.digest AS payload_digest,
-       CASE WHEN f.first_id <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN f.first_id <> d.page_id THEN f.first_id END AS refers_to
+       CASE WHEN f.first_id IS NULL OR f.first_id IS NOT DISTINCT FROM d.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f.first_id IS DISTINCT FROM d.page_id THEN f.first_id END AS refers_to
 FROM d LEFT JOIN f ON f.digest = d.digest AND d.n >= 100
 """
 

@@ -19,6 +19,8 @@ WORD = rf"[^{SPACE}]+"
 
 # rows of a side that may be broadcast after it has been counted
 MAX_BROADCAST_ROWS = 500_000
+# tasks of one stage; beyond it a task takes several rows of work
+MAX_TASKS = 20_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +63,13 @@ def small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def dealt(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` (already materialised, few rows of much work each) dealt over tasks
+    by ``by``: about one task a row. The number is given, as adaptive execution
+    would merge the small rows into one task."""
+    return df.repartition(max(1, min(df.count(), MAX_TASKS)), *[F.col(c) for c in by])
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z to a-z, all other characters unchanged."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

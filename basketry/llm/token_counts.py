@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialise, shared_folder, ship_package
+from basketry.llm.common import dealt, materialise, shared_folder, ship_package
 from basketry.llm.tokens import VOCABULARY, encoder
 from basketry.session import delete_path
 
@@ -132,8 +132,7 @@ def separator_scan(files: DataFrame, folder: str, vocabulary: str = VOCABULARY,
     numbers = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_ids") - 1) / block_ids))
     blocks = files.where("n_ids > 0").select("part", "file", F.explode(numbers).alias("block"))
     # one block is the unit of work
-    blocks = blocks.repartition(F.col("part"), F.col("block"))
-    found = blocks.mapInArrow(_search(folder, vocabulary, block_ids), "part int, block long, docs long, last_end long, ends array<long>")
+    found = dealt(blocks, "part", "block").mapInArrow(_search(folder, vocabulary, block_ids), "part int, block long, docs long, last_end long, ends array<long>")
     found = materialise(found)
     scanned = prefix_scan(found.drop("ends")).select("part", "block", "docs_before", "end_before")
     ends = found.select("part", "block", "ends").join(scanned, ["part", "block"])
@@ -150,7 +149,9 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, block_ids: int =
 
     A null or empty text has 0 tokens. The end token's name inside a text is
     ordinary text. Repeated rows are documents of their own, null ids stay null,
-    an empty table gives an empty result. The token files are temporary.
+    an empty table gives an empty result; other columns are not read. A text's ids
+    are held once while it is written; the scan never holds more than a block,
+    however long a document. The token files are temporary.
     """
     spark = docs.sparkSession
     ship_package(spark)

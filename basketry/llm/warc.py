@@ -20,13 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialise, shared_folder, ship_package, small
+from basketry.llm.common import dealt, materialise, shared_folder, ship_package, small
 from basketry.llm.token_counts import filesystem
+from basketry.session import delete_path
 
 #: payloads from this size on are written once
 MIN_REVISIT_BYTES = 100
 DICTIONARY_BYTES = 64 << 10
-#: the dictionary is trained on at most so many records of at most so many characters each
+#: the dictionary is trained on at most so many records, on a slice of at most so many characters of each
 SAMPLE_RECORDS = 1000
 SAMPLE_CHARS = 16 << 10
 #: an archive is closed beyond this size
@@ -77,19 +78,6 @@ def parse(raw: bytes) -> dict:
     }
 
 
-def train_dictionary(pages: DataFrame) -> bytes:
-    """A dictionary from at most ``SAMPLE_RECORDS`` records, chosen by a hash of
-    page id; the raw sample itself where it is too small to train on."""
-    ids = pages.select("page_id").where("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_RECORDS)
-    ids = F.broadcast(materialise(ids.distinct()))
-    picked = pages.join(ids, "page_id", "left_semi").select("page_id", "url", F.substring("html", 1, SAMPLE_CHARS).alias("html"))
-    sample = [record(r.page_id, r.url, (r.html or "").encode(), "0" * 64, None, False) for r in picked.limit(SAMPLE_RECORDS).collect()]
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, sample).as_bytes()
-    except (zstandard.ZstdError, ValueError):
-        return b"".join(sample)[-DICTIONARY_BYTES:]
-
-
 def plan_records(pages: DataFrame) -> DataFrame:
     """``page_id, url, html, payload_digest, first_id``: ``first_id`` is the page
     that holds an equal payload of at least ``MIN_REVISIT_BYTES`` first, if any."""
@@ -101,6 +89,22 @@ def plan_records(pages: DataFrame) -> DataFrame:
     return rows.join(small(repeated), "payload_digest", "left")
 
 
+def train_dictionary(planned: DataFrame) -> bytes:
+    """A dictionary from at most ``SAMPLE_RECORDS`` of the payloads to archive (no
+    revisits), chosen by a hash of page id; of a long payload a slice at a hashed
+    offset. The raw sample itself where it is too small to train on."""
+    kept = planned.where("page_id is not null and (first_id is null or first_id = page_id)")
+    ids = kept.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_RECORDS)
+    ids = F.broadcast(materialise(ids.distinct()))
+    start = F.pmod(F.xxhash64("page_id", "payload_digest"), F.greatest(F.length("html") - SAMPLE_CHARS, F.lit(0)) + 1) + 1
+    picked = kept.join(ids, "page_id", "left_semi").select("page_id", "url", F.substring(F.col("html"), start.cast("int"), F.lit(SAMPLE_CHARS)).alias("html"))
+    sample = [record(r.page_id, r.url, r.html.encode(), "0" * 64, None, False) for r in picked.limit(SAMPLE_RECORDS).collect()]
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, sample).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b"".join(sample)[-DICTIONARY_BYTES:]
+
+
 def _write(folder: str, dictionary: bytes):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = filesystem(folder)
@@ -141,7 +145,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     An empty table writes no archive.
     """
     rows = plan_records(pages).select(F.col("page_id").cast("long"), "url", "html", "payload_digest", F.col("first_id").cast("long"))
-    return materialise(rows.mapInArrow(_write(folder, train_dictionary(pages)), "file string, records long"))
+    return materialise(rows.mapInArrow(_write(folder, train_dictionary(rows)), "file string, records long"))
 
 
 def frames(stream, chunk: int = 1 << 20) -> Iterator[bytes]:
@@ -191,7 +195,7 @@ def _read(folder: str):
 def read_archives(files: DataFrame, folder: str) -> DataFrame:
     """One row per record of the archives listed in ``files``: ``page_id,
     payload_bytes, payload_digest, record_type, refers_to, url``."""
-    return files.select("file").repartition(F.col("file")).mapInArrow(_read(folder), ROW_SCHEMA)
+    return dealt(files.select("file"), "file").mapInArrow(_read(folder), ROW_SCHEMA)
 
 
 def warc_round_trip(pages: DataFrame) -> DataFrame:
@@ -199,9 +203,13 @@ def warc_round_trip(pages: DataFrame) -> DataFrame:
 
     A null html is an empty payload, a null url leaves its header out, null page
     ids stay null. Of equal payloads the smallest id is the response; a row that
-    repeats this id is a response too. An empty table gives an empty result.
+    repeats this id is a response too. An empty table gives an empty result; other
+    columns are not read. A payload is compressed and read back in one piece, in
+    memory with some three times its size. The archives are removed at the end.
     """
     spark: SparkSession = pages.sparkSession
     ship_package(spark)
     folder = shared_folder(spark, "warc")
-    return read_archives(write_archives(pages, folder), folder).drop("url")
+    found = materialise(read_archives(write_archives(pages, folder), folder).drop("url"))
+    delete_path(spark, folder)
+    return found

@@ -1,8 +1,10 @@
 """Separator scan against direct tokenisation, with blocks far smaller than a document."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.llm import token_counts, tokens
+from basketry.llm.common import shared_folder, ship_package
 
 ROWS = [(i, "word and word " * (i % 40)) for i in range(60)] + [(100, None), (101, ""), (102, "x <|endoftext|> y"), (103, "é " * 20_000), (7, "again"), (None, "no id")]
 
@@ -24,3 +26,21 @@ def test_counts(make_docs, block_ids, monkeypatch):
 
 def test_empty(make_docs):
     assert token_counts.token_counts(make_docs([])).collect() == []
+
+
+def test_very_long_text_in_small_blocks(make_docs):
+    text = "é " * 20_000
+    got = token_counts.token_counts(make_docs([(1, text), (2, "x"), (3, text)], 1), block_ids=64).collect()
+    n = len(tokens.encoder().ids(text, special=False))
+    assert n > 64 * 100 and sorted((r.doc_id, r.n_tokens) for r in got) == [(1, n), (2, 1), (3, n)]
+
+
+def test_blocks_are_searched_in_many_tasks(spark, make_docs):
+    """Eight files of one block each, with the session's own settings."""
+    folder = shared_folder(spark, "tokens-test")
+    ship_package(spark)
+    files, _ = token_counts.write_token_files(make_docs([(i, f"text {i}") for i in range(400)], 8), folder)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true" and files.count() == 8
+    blocks = token_counts.dealt(files, "part", "file")
+    used = blocks.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert blocks.rdd.getNumPartitions() == 8 and used > 3
