@@ -42,7 +42,7 @@ def _apply_errors(df: DataFrame, ok: Column, typed: list[tuple[str, Column]], va
         # A filter is never pruned away, so the check runs even when a later
         # projection drops some of the parsed fields.
         guard = F.when(ok, F.lit(True)).otherwise(
-            F.raise_error(F.concat(F.lit(f"malformed {what} record: "), F.col(value_col)))
+            F.raise_error(F.concat(F.lit(f"malformed {what} record: "), F.coalesce(F.col(value_col), F.lit("(null)"))))
         )
         return df.where(guard).select(*carry, *[c.alias(n) for n, c in typed])
     if on_error == "drop":
@@ -102,32 +102,57 @@ def csv_fields(
     on_error: str = "drop",
     keep: list[str] | None = None,
     what: str = "",
+    observe: str | None = None,
 ) -> DataFrame:
     """CSV-format decoder: ``from_csv`` with the declared schema.
 
     A line is malformed when a field does not convert, a field is missing or
-    there are extra fields. Empty lines carry no record and are skipped. The
-    whole line is always decoded and judged, whatever fields are used later.
+    there are extra fields. Null and empty lines carry no record and are skipped.
+    The whole line is always decoded and judged, whatever fields are used later.
+    ``observe`` names a Spark observed metric with the counts ``lines``, ``empty``
+    (skipped) and ``malformed``.
     """
     _check_mode(on_error)
     keep = list(keep or [])
-    decoded = _decoded(lines, schema, value_col, keep)
+    if observe:
+        counts = [c.alias(n) for n, c in _line_counts(value_col).items()]
+        decoded = _decoded(lines, schema, value_col, keep).observe(observe, *counts)
+        decoded = decoded.where(~_empty(value_col))
+    else:  # a filter before the decoder
+        decoded = _decoded(lines.where(~_empty(value_col)), schema, value_col, keep)
     typed = [(f.name, F.col(f"_rec.{f.name}")) for f in schema.fields]
     return _apply_errors(decoded, F.col("_rec._corrupt_record").isNull(), typed, value_col, keep, on_error, what)
 
 
+def _empty(value_col: str) -> Column:
+    return F.coalesce(F.col(value_col) == "", F.lit(True))
+
+
+def _line_counts(value_col: str) -> dict[str, Column]:
+    empty = _empty(value_col)
+    bad = ~empty & F.col("_rec._corrupt_record").isNotNull()
+    return {"lines": F.count(F.lit(1)), "empty": F.count_if(empty), "malformed": F.count_if(bad)}
+
+
 def _decoded(lines: DataFrame, schema: T.StructType, value_col: str, keep: list[str]) -> DataFrame:
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     ddl += ", `_corrupt_record` string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     # decoded once, as the output of a one-row explode (see ``split_fields``)
     record = F.explode(F.array(F.from_csv(F.col(value_col), ddl, options))).alias("_rec")
-    return lines.where(F.col(value_col) != "").select(*keep, F.col(value_col), record)
+    return lines.select(*keep, F.col(value_col), record)
+
+
+def line_counts(lines: DataFrame, schema: T.StructType, value_col: str = "value") -> dict[str, int]:
+    """How many lines there are, how many ``csv_fields`` skips as empty and how
+    many it calls malformed."""
+    counts = [c.alias(n) for n, c in _line_counts(value_col).items()]
+    return _decoded(lines, schema, value_col, []).agg(*counts).first().asDict()
 
 
 def malformed_count(lines: DataFrame, schema: T.StructType, value_col: str = "value") -> int:
     """How many lines ``csv_fields`` would call malformed."""
-    return _decoded(lines, schema, value_col, []).where(F.col("_rec._corrupt_record").isNotNull()).count()
+    return line_counts(lines, schema, value_col)["malformed"]
 
 
 # Record-specific shorthands.
@@ -143,13 +168,13 @@ def parse_products(lines: DataFrame, value_col: str = "value", on_error: str = "
 
 
 def decode_clicks(lines: DataFrame, value_col: str = "value", on_error: str = "fail",
-                  keep: list[str] | None = None) -> DataFrame:
-    return csv_fields(lines, schemas.CLICK, value_col, on_error, keep, what="click")
+                  keep: list[str] | None = None, observe: str | None = None) -> DataFrame:
+    return csv_fields(lines, schemas.CLICK, value_col, on_error, keep, what="click", observe=observe)
 
 
 def decode_sales(lines: DataFrame, value_col: str = "value", on_error: str = "fail",
-                 keep: list[str] | None = None) -> DataFrame:
-    return csv_fields(lines, schemas.PURCHASE, value_col, on_error, keep, what="sale")
+                 keep: list[str] | None = None, observe: str | None = None) -> DataFrame:
+    return csv_fields(lines, schemas.PURCHASE, value_col, on_error, keep, what="sale", observe=observe)
 
 
 def decode_inventory(lines: DataFrame, value_col: str = "value", on_error: str = "drop",

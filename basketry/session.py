@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -100,6 +102,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), name)
 
 
+# applications whose workers have the package
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the session's Python workers, whatever
+    folder the driver was started in (once per application). A package that came
+    as a zip file is with the workers already."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parent
+    if context.applicationId in _SHIPPED or not root.is_dir():
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="basketry-"), "basketry_streaming.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath

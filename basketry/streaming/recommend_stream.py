@@ -1,36 +1,28 @@
 """Streaming recommendations: keyed, always-current lists per user.
 
-Structured Streaming cannot run ``row_number`` on a stream, and the job's
-"ever bought" lookup is an unbounded stream-stream join, so the ranking runs
-per micro-batch in ``foreachBatch`` over a *reduced state* kept in tables:
-
-* ``views``: per (user, category) the k earliest views;
-* ``bought``: per (user, category) the k best in-stock products the user
-  bought; with a refreshed inventory every distinct (user, product) bought, as
-  a product can come back into stock.
-
-That is all the per-user ranking reads (see ``operators.recommend``), and
-``top-k(old + new) = top-k(top-k(old) + new)``, so merging a batch into the
-state is exact. With a fixed inventory the state is bounded by pairs x 2k rows,
-however long the stream runs; the raw clicks and purchases are not kept.
-
-Per micro-batch (one query over the union of both topics):
-
-1. decode the batch, leave out late clicks, take the inventory snapshot, look
-   up categories, reduce the batch to views and bought rows (kept for the
-   batch);
-2. add them to the state as small segments and commit with a manifest
-   (``streaming.state``): the batch writes in proportion to its own rows;
-3. recompute the lists of the touched users from the segments' buckets they lie
-   in and write them to an ``UpsertLog`` keyed by ``user_id``.
-
-A replayed batch whose manifest was written takes the state as it is;
-otherwise it starts from the last manifest. Either way it rewrites its own part
-of the log, so replays leave the output unchanged. Stream result = batch result
-on the same rows (checked in the tests).
-
-The settings that the state depends on are recorded beside it; a start with
-other ones is refused.
+One query over both topics:
+
+1. decode the messages, look up categories (stream-static join), cut each task's
+   rows to what the ranking can use (the k earliest views and the k best bought
+   products per user and category), so that a hot user sends few rows;
+2. per user, Spark's state store (RocksDB) keeps, for each of the user's
+   categories, the k earliest views and the k best in-stock products bought. That
+   is all the per-user ranking reads (see ``operators.recommend``), and
+   ``top-k(old + new) = top-k(top-k(old) + new)``, so merging is exact; the state
+   is bounded by 2k rows per user and category, however long the stream runs.
+   A user whose state changes sends all of it on;
+3. ``foreachBatch`` ranks the changed users with the batch operators and adds
+   their complete current lists to the keyed output (``sinks.upserts``).
+
+The state belongs to the query's checkpoint: a restart goes on from it, a batch
+that is run again starts from the same version. Stream result = batch result on
+the same rows (checked in the tests).
+
+Both topics carry a watermark when ``lateness`` is given; the slower of them holds
+it (Spark's ``min`` policy). Clicks behind it are not ranked: they go to a table
+of late rows and none is lost. A purchase is never late, as "bought" is not tied
+to a time. With a refreshed inventory the categories are looked up after the
+state, which then holds views and purchases by product.
 """
 
 from __future__ import annotations
@@ -38,33 +30,119 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from basketry import schemas
 from basketry.functions import encode, parse
 from basketry.operators import recommend as rec
-from basketry.operators.common import (
-    DEFAULT_MAX_BROADCAST_ROWS,
-    broadcast_if_bounded,
-    first_distinct,
-    fits_broadcast,
-)
-from basketry.session import delete_path, list_names, read_file, scratch_path
-from basketry.streaming import sinks
-from basketry.streaming.state import SegmentedState
-
-DEFAULT_BUCKETS = 64
+from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
+from basketry.session import path_exists, read_file, scratch_path, ship_package, write_file
+from basketry.streaming import committed, sinks
+
 _DIMENSION = ["product_id", "category", "stock", "rating"]
+_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+# a row of the reduced state: a view (``at``) or a purchase of the group, which is
+# the category (the product, if the inventory is refreshed). Values as text, and
+# the rating also as the number it is compared by.
+_ROW = "user_id string, kind string, grp string, at long, product_id string, stock string, rating string, rated double"
+_ITEM = ["product_id", "stock", "rating", "rated"]
+_NAMES = ["kind", "grp", "at", *_ITEM]
+
+
+class SettingsMismatch(ValueError):
+    """The checkpoint's state was built with other settings."""
+
+
+class Reducer:
+    """Keeps per group the k earliest view times and the k best products bought.
+
+    Products are ordered as in ``operators.recommend``: rating from high to low
+    (by its number, or its text with ``by_text``), none last, then product and
+    stock. ``whole`` names the columns that compare as integers. ``k_bought`` None
+    keeps every product.
+    """
+
+    def __init__(self, k: int, k_bought: int | None, by_text: bool, whole: set[str]):
+        self.k, self.k_bought, self.by_text, self.whole = k, k_bought, by_text, whole
+
+    def views(self, times: set[int]) -> list[int]:
+        return sorted(times)[: self.k]
+
+    def bought(self, items: set[tuple]) -> list[tuple]:
+        def place(item: tuple) -> tuple:
+            typed = (int(x) if x is not None and n in self.whole else x for n, x in zip(_ITEM[:2], item))
+            return tuple((x is not None, x if x is not None else 0) for x in typed)
+
+        rated: dict = {}
+        for item in items:
+            rated.setdefault(item[2 if self.by_text else 3], []).append(item)
+        best = sorted((r for r in rated if r is not None), reverse=True) + [r for r in rated if r is None]
+        return [item for r in best for item in sorted(rated[r], key=place)][: self.k_bought]
+
+    def merge(self, state: dict, rows: pd.DataFrame) -> dict:
+        """``state``: group -> (times, items), with the rows merged in."""
+        for kind, grp, at, *item in zip(*(rows[n] for n in _NAMES)):
+            grp, *item = (None if x is None or x != x else x for x in (grp, *item))
+            times, items = state.setdefault(grp, (set(), set()))
+            if kind == "view":
+                times.add(int(at))
+            else:
+                items.add(tuple(item))
+        return {g: (set(self.views(t)), set(self.bought(i))) for g, (t, i) in state.items()}
+
+    def rows(self, user: str, state: dict) -> pd.DataFrame:
+        out = []
+        for g, (times, items) in state.items():
+            out += [(user, "view", g, t, None, None, None, None) for t in sorted(times)]
+            out += [(user, "bought", g, None, *i) for i in sorted(items, key=str)]
+        return pd.DataFrame(out, columns=["user_id", *_NAMES]).astype({"at": "Int64", "rated": "float64"})
+
+    def dump(self, state: dict) -> str:
+        return json.dumps([[g, sorted(t), sorted(map(list, i), key=str)] for g, (t, i) in state.items()])
+
+    def load(self, text: str) -> dict:
+        return {g: (set(t), {tuple(x) for x in i}) for g, t, i in json.loads(text)}
+
+    # --- the functions that Spark calls ---------------------------------------
+    def cut(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Each batch of rows cut per user and group: what its k earliest views and
+        k best products leave out can never enter the state."""
+        for rows in batches:
+            done = [self.rows(user, self.merge({}, own)) for user, own in rows.groupby("user_id", dropna=False, sort=False)]
+            if done:
+                out = pd.concat(done)
+                yield out.assign(user_id=out["user_id"].where(out["user_id"].notna(), None))
+
+    def update(self, key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """Merge a user's rows into the state; if it changes, give all of it. Clicks
+        behind the watermark are given as ``late`` and change nothing."""
+        before = state.get[0] if state.exists else None
+        held = self.load(before) if before else {}
+        for rows in batches:
+            if "event_time" in rows:
+                watermark = state.getCurrentWatermarkMs() * 1000
+                late = (rows["kind"] == "view") & (rows["at"] < watermark)
+                if late.any():
+                    yield rows[late].assign(user_id=key[0], kind="late")[["user_id", *_NAMES]]
+                rows = rows[~late]
+            held = self.merge(held, rows)
+        after = self.dump(held)
+        if held and after != before:
+            state.update((after,))
+            yield self.rows(key[0], held)
 
 
 class RecommendationStream:
-    """Reduced state, output log and the micro-batch handler."""
+    """The query, its settings and its keyed output."""
 
     def __init__(
         self,
@@ -74,239 +152,163 @@ class RecommendationStream:
         k: int = rec.DEFAULT_K,
         window: str = "5 seconds",
         rating_order: str = "numeric",
-        buckets: int = DEFAULT_BUCKETS,
         max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
         outputs: tuple[sinks.BatchSink, ...] = (),
         repeat: bool = True,
-        compact_every: int | None = 100,
         on_error: str = "fail",
         lateness: float | None = None,
     ) -> None:
         """``inventory``: a frame, read once at the start, or a function that is
         called for every batch (the batch then uses one snapshot throughout;
         users it does not touch keep their lists until they are touched).
-        ``compact_every``: compact the output log (one row per user) after every
-        that many batches (``None``: never), so a long-running stream's log stays
-        proportional to its users, not its history. ``repeat=False``: each
-        product once per user, at the first view of its category (the reduced
-        state keeps the earliest views, so this is exact here too). ``outputs``:
-        further sinks for each refresh's keyed records (``key`` = user id,
-        ``value`` = ``user_id,"p1,...",event_time``), e.g. ``sinks.kafka`` for a
-        compacted topic; the upsert log is always written. ``on_error``: a
-        malformed click or sale line stops the stream (``fail``) or is left out
-        (``drop``). ``lateness``: leave out clicks that are more than so many
-        seconds older than the newest click of earlier batches. What was left
-        out is counted per batch in ``left_out``."""
+        ``repeat=False``: each product once per user, at the first view of its
+        category (the state keeps the earliest views, so this is exact here too).
+        ``outputs``: further sinks for each refresh's keyed records (``key`` =
+        user id, ``value`` = ``user_id,"p1,...",event_time``), e.g.
+        ``sinks.kafka`` for a compacted topic. ``on_error``: a malformed click or
+        sale line stops the stream (``fail``) or is left out (``drop``); either
+        way the observed metrics ``click_lines`` and ``sale_lines`` count lines,
+        empty and malformed ones. ``lateness``: clicks more than so many seconds
+        behind the newest rows of both topics go to the late table."""
+        if rating_order not in rec.RATING_ORDERS:
+            raise ValueError(f"rating_order must be one of {rec.RATING_ORDERS}, not {rating_order!r}")
         self.spark = spark
         self.outputs = tuple(outputs)
-        # state lives in the shared checkpoint folder unless a root is given
         self.root = root or scratch_path(spark, "recommendations")
-        self.log = sinks.UpsertLog(os.path.join(self.root, "recommendations"), ["user_id"], ["event_time"])
+        self.log = os.path.join(self.root, "recommendations")
+        self.late_log = os.path.join(self.root, "late-clicks")
         self.k = k
         self.window = window
         self.rating_order = rating_order
         self.repeat = repeat
-        self.compact_every = compact_every
-        self.buckets = buckets
         self.max_broadcast_rows = max_broadcast_rows
         self.on_error = on_error
         self.lateness = lateness
-        self.left_out: dict[int, dict[str, int]] = {}
-        self._checkpoint: str | None = None
-
         self.refreshed = callable(inventory)
         self._read_inventory = inventory if self.refreshed else lambda: inventory
-        first = self._read_inventory()
-        self._types = {f.name: f.dataType for f in first.schema.fields}
-        self.state = SegmentedState(spark, os.path.join(self.root, "state"), self._tables())
-        self.state.check_settings({
-            "k": k, "rating_order": rating_order, "buckets": buckets,
-            "inventory": "read for every batch" if self.refreshed else self._digest(first),
-        })
+        first = self._read_inventory().select(*_DIMENSION)
+        self.types = {f.name: f.dataType for f in first.schema.fields}
+        self._digest = "read for every batch" if self.refreshed else _digest(first)
         self._fixed = None if self.refreshed else self._snapshot()
-        if self._fixed:
-            self._clean_snapshots({self._fixed["name"]})
-
-    # --- state tables ------------------------------------------------------
-    def _tables(self) -> dict:
-        # user ids are text; product ids have the inventory's type
-        user, product, category = T.StringType(), self._types["product_id"], self._types["category"]
-
-        def columns(*fields: tuple[str, T.DataType]) -> T.StructType:
-            return T.StructType([T.StructField(n, t) for n, t in (*fields, ("ubucket", T.IntegerType()))])
-
-        views = columns(("user_id", user), ("event_time", T.TimestampType()), ("category", category))
-        if self.refreshed:
-            bought, reduce_bought = columns(("user_id", user), ("product_id", product)), lambda df: df.distinct()
-        else:
-            bought = columns(
-                ("user_id", user), ("product_id", product), ("category", category),
-                ("stock", self._types["stock"]), ("rating", self._types["rating"]),
-            )
-            reduce_bought = self._reduce_bought
-        return {"views": (views, self._reduce_views), "bought": (bought, reduce_bought)}
-
-    def _reduce_views(self, views: DataFrame) -> DataFrame:
-        return first_distinct(views, ["user_id", "category"], "event_time", self.k)
-
-    def _reduce_bought(self, bought: DataFrame) -> DataFrame:
-        return rec.bought_top(bought.distinct(), self.k, self.rating_order).drop("brank")
-
-    def _bucket(self) -> F.Column:
-        return F.pmod(F.xxhash64("user_id"), F.lit(self.buckets)).cast("int")
 
     # --- inventory ---------------------------------------------------------
-    @staticmethod
-    def _digest(inventory: DataFrame) -> str:
-        """The same for the same rows in any order."""
-        row = inventory.select(F.xxhash64(*_DIMENSION).cast("decimal(38,0)").alias("h"))
-        found = row.agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("h")).first()
-        return f"{found.n} rows, {found.h}"
-
-    def _snapshot(self, name: str | None = None) -> dict:
-        """The inventory as it is now (or the named snapshot), with its category
-        lists, written under the root: its size cannot change after it has been
-        checked, and all steps of a batch see the same rows."""
-        folder = os.path.join(self.root, "inventory")
-        if name is None:
-            name = uuid.uuid4().hex
-            self._read_inventory().select(*_DIMENSION).write.parquet(os.path.join(folder, name, "rows"))
-        rows = self.spark.read.parquet(os.path.join(folder, name, "rows"))
+    def _snapshot(self) -> dict:
+        """The inventory as it is now, with its category lists, written under the
+        root: its size cannot change after it has been checked, and all steps of
+        a batch see the same rows."""
+        folder = os.path.join(self.root, "inventory", uuid.uuid4().hex)
+        self._read_inventory().select(*_DIMENSION).write.parquet(os.path.join(folder, "rows"))
+        rows = self.spark.read.parquet(os.path.join(folder, "rows"))
         small = self.max_broadcast_rows is not None and fits_broadcast(rows, self.max_broadcast_rows)
-        lists = os.path.join(folder, name, "category_top")
-        if "category_top" not in list_names(self.spark, os.path.join(folder, name)):
-            rec.category_lists(rec.category_top(rows, self.k, self.rating_order)).write.parquet(lists)
+        lists = os.path.join(folder, "category_top")
+        rec.category_lists(rec.category_top(rows, self.k, self.rating_order)).write.parquet(lists)
         top = self.spark.read.parquet(lists)
-        return {"name": name, "rows": F.broadcast(rows) if small else rows, "small": small, "top": F.broadcast(top) if small else top}
-
-    def _clean_snapshots(self, keep: set[str]) -> None:
-        for name in list_names(self.spark, os.path.join(self.root, "inventory")):
-            if name not in keep:
-                delete_path(self.spark, os.path.join(self.root, "inventory", name))
-
-    # --- the micro-batch ---------------------------------------------------
-    def apply(self, clicks: DataFrame, sales: DataFrame, batch_id: int, source: str = "main") -> None:
-        """Merge decoded clicks (``user_id, product_id, event_time``) and sales
-        (``user_id, product_id``) into the state; refresh the touched users."""
-        epoch = self.state.epoch(source)
-        done, parent = self.state.done(epoch, batch_id), self.state.before(epoch, batch_id)
-        # a product id that is none in the inventory's type cannot be in it
-        ids = {"user_id": F.col("user_id").cast("string"), "product_id": F.col("product_id").try_cast(self._types["product_id"])}
-        typed = lambda df: df.withColumns(ids)
-        clicks, sales = typed(clicks), typed(sales)
-        facts = dict(parent["facts"])
-        newest = facts.get("newest_click")
-        found = clicks.agg(F.max(F.unix_micros(F.col("event_time").cast("timestamp"))).alias("newest")).first()
-        if self.lateness is not None and newest is not None:
-            late = F.unix_micros(F.col("event_time").cast("timestamp")) < newest - int(self.lateness * 1e6)
-            self._count(batch_id, "late_clicks", clicks.where(late).count())
-            clicks = clicks.where(~F.coalesce(late, F.lit(False)))
-        facts["newest_click"] = max((x for x in (newest, found.newest) if x is not None), default=None)
-        snapshot = self._fixed or self._snapshot(done["facts"]["inventory"] if done else None)
-        facts["inventory"] = snapshot["name"]
-
-        views = (
-            clicks.select("user_id", "event_time", "product_id")
-            .join(snapshot["rows"].select("product_id", "category"), "product_id")
-            .select("user_id", F.col("event_time").cast("timestamp").alias("event_time"), "category")
-            .withColumn("ubucket", self._bucket())
-        )
+        return {"rows": F.broadcast(rows) if small else rows, "small": small, "top": F.broadcast(top) if small else top}
+
+    # --- the stream up to the state ------------------------------------------
+    def _reducer(self) -> Reducer:
+        whole = {n for n in ("product_id", "stock") if isinstance(self.types[n], T.IntegralType)}
+        return Reducer(self.k, None if self.refreshed else self.k, self.rating_order == "string", whole)
+
+    def _rows(self, kind: str, grp: Column, at: Column | None, product: bool) -> list[Column]:
+        item = [F.col(n).cast("string") if product else F.lit(None).cast("string") for n in _ITEM[:3]]
+        rated = F.col("rating").try_cast("double") if product else F.lit(None).cast("double")
+        item.append(F.when(F.isnan(rated), F.lit(float("inf"))).otherwise(rated))  # as in Spark's order
+        at = F.unix_micros(at) if at is not None else F.lit(None).cast("long")
+        columns = [F.lit(kind), grp.cast("string"), at, *item]
+        return [F.col("user_id").cast("string").alias("user_id"), *(c.alias(n) for n, c in zip(_NAMES, columns))]
+
+    def reduced(self, click_messages: DataFrame, sale_messages: DataFrame) -> DataFrame:
+        """Both topics as rows for the state, cut in the tasks that read them."""
+        product = F.col("product_id").try_cast(self.types["product_id"])
+        clicks = parse.decode_clicks(click_messages, on_error=self.on_error, keep=["timestamp"], observe="click_lines")
+        sales = parse.decode_sales(sale_messages, on_error=self.on_error, keep=["timestamp"], observe="sale_lines")
+        clicks, sales = (df.withColumn("product_id", product).where("product_id is not null") for df in (clicks, sales))
         if self.refreshed:
-            bought = sales.select("user_id", "product_id").distinct().withColumn("ubucket", self._bucket())
+            views = clicks.select(*self._rows("view", F.col("product_id"), F.col("timestamp"), False), "timestamp")
+            bought = sales.select(*self._rows("bought", F.col("product_id"), None, False), "timestamp")
         else:
-            bought = rec.bought_products(sales, snapshot["rows"], None, prefilter=snapshot["small"])
-            # reduce the batch itself first: a batch row outside its own top k
-            # can never enter the state's top k
-            bought = self._reduce_bought(bought.withColumn("ubucket", self._bucket()))
-        new = {"views": self._reduce_views(views), "bought": bought}
-        new = {t: df.select(*self.state.tables[t][0].names).persist(StorageLevel.MEMORY_AND_DISK) for t, df in new.items()}
+            known = self._fixed["rows"].select("product_id", "category").distinct()
+            views = clicks.join(known, "product_id").select(*self._rows("view", F.col("category"), F.col("timestamp"), False), "timestamp")
+            stocked = rec.stocked(self._fixed["rows"])
+            bought = sales.join(stocked, "product_id").select(*self._rows("bought", F.col("category"), None, True), "timestamp")
+        reducer = self._reducer()
+        if self.lateness is None:
+            both = views.drop("timestamp").unionByName(bought.drop("timestamp"))
+            return both.mapInPandas(reducer.cut, _ROW)
+        # what is late is known only where the state is, so no view may be cut before
+        delay = f"{self.lateness} seconds"
+        late = lambda df: df.withColumnRenamed("timestamp", "event_time").withWatermark("event_time", delay)
+        return late(views).unionByName(late(bought))
+
+    def changed(self, click_messages: DataFrame, sale_messages: DataFrame) -> DataFrame:
+        """The reduced state of every user whose state changes, and late clicks."""
+        rows = self.reduced(click_messages, sale_messages)
+        return rows.groupBy("user_id").applyInPandasWithState(
+            self._reducer().update, _ROW, "body string", "update", GroupStateTimeout.NoTimeout
+        )
+
+    # --- the micro-batch ---------------------------------------------------
+    def on_batch(self, changed: DataFrame, batch_id: int) -> None:
+        """Rank the changed users and add their lists to the outputs."""
+        changed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            manifest = self.state.commit(epoch, batch_id, new, facts)
-            self._refresh(new, manifest, snapshot, epoch, batch_id)
+            if self.lateness is not None:
+                late = changed.where("kind = 'late'").select("user_id", F.col("grp").alias("category"), F.timestamp_micros("at").alias("event_time"))
+                committed.write_batch(late, self.late_log, batch_id)
+            if not changed.where("kind <> 'late'").isEmpty():
+                self._refresh(changed, batch_id)
         finally:
-            for df in new.values():
-                df.unpersist()
-        if self.refreshed:
-            self._clean_snapshots({snapshot["name"], parent["facts"].get("inventory")})
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            self.log.compact(self.spark)
-
-    def _refresh(self, new: dict[str, DataFrame], manifest: dict, snapshot: dict, epoch: int, batch_id: int) -> None:
-        touched = new["views"].select("user_id", "ubucket").unionByName(new["bought"].select("user_id", "ubucket")).distinct()
-        # the touched bucket ids: at most ``self.buckets`` small ints
-        buckets = [r.ubucket for r in touched.select("ubucket").distinct().collect()]
-        users = broadcast_if_bounded(touched.select("user_id"), self.max_broadcast_rows)
-        of_users = lambda t: self.state.read(manifest, t, buckets).join(users, "user_id", "left_semi").drop("ubucket")
-        bought = of_users("bought")
+            changed.unpersist()
+
+    def _typed(self, name: str, source: str | None = None) -> Column:
+        return F.col(source or name).cast(self.types[name]).alias(name)
+
+    def _refresh(self, changed: DataFrame, batch_id: int) -> None:
+        snapshot = self._fixed or self._snapshot()
+        views, bought = (changed.where(F.col("kind") == kind) for kind in ("view", "bought"))
+        at = F.timestamp_micros("at").alias("event_time")
         if self.refreshed:
+            known = snapshot["rows"].select("product_id", "category").distinct()
+            views = views.select("user_id", self._typed("product_id", "grp"), at).join(known, "product_id")
+            views = views.select("user_id", "event_time", "category").distinct()
+            bought = bought.select("user_id", self._typed("product_id", "grp"))
             bought = rec.bought_products(bought, snapshot["rows"], None, prefilter=snapshot["small"])
+        else:
+            views = views.select("user_id", at, self._typed("category", "grp"))
+            bought = bought.select("user_id", self._typed("product_id"), self._typed("category", "grp"), self._typed("stock"), self._typed("rating"))
         recommender = rec.Recommender.from_reduced(
-            of_users("views"), rec.bought_top(bought, self.k, self.rating_order), snapshot["rows"], self.k, self.rating_order,
-            None, snapshot["top"],
+            views, rec.bought_top(bought, self.k, self.rating_order), snapshot["rows"], self.k, self.rating_order, None, snapshot["top"]
         )
-        recs = recommender.recommend("user", self.window, self.repeat)
-        if not self.outputs:
-            self.log.write(recs, batch_id, epoch)
-            return
-        recs.persist()
+        lists = recommender.recommend("user", self.window, self.repeat)
+        lists = lists.persist(StorageLevel.MEMORY_AND_DISK) if self.outputs else lists
         try:
-            self.log.write(recs, batch_id, epoch)
-            records = recs.select(
-                encode.recommendation_key().alias("key"), encode.recommendation_value().alias("value")
-            )
+            committed.write_batch(lists, self.log, batch_id)
             for sink in self.outputs:
-                sink(records, batch_id)
+                sink(lists.select(encode.recommendation_key().alias("key"), encode.recommendation_value().alias("value")), batch_id)
         finally:
-            recs.unpersist()
-
-    def _count(self, batch_id: int, what: str, n: int) -> None:
-        if n:
-            self.left_out.setdefault(batch_id, {})[what] = n
-            print(f"batch {batch_id}: {what} left out: {n}")
-
-    def _clicks(self, messages: DataFrame, batch_id: int) -> DataFrame:
-        if self.on_error == "drop":
-            self._count(batch_id, "malformed_clicks", parse.malformed_count(messages, schemas.CLICK))
-        clicks = parse.decode_clicks(messages, on_error=self.on_error, keep=["timestamp"])
-        return clicks.withColumnRenamed("timestamp", "event_time")
-
-    def _sales(self, messages: DataFrame, batch_id: int) -> DataFrame:
-        if self.on_error == "drop":
-            self._count(batch_id, "malformed_sales", parse.malformed_count(messages, schemas.PURCHASE))
-        return parse.decode_sales(messages, on_error=self.on_error)
-
-    def on_clicks(self, messages: DataFrame, batch_id: int) -> None:
-        self.apply(self._clicks(messages, batch_id), self._no_sales(), batch_id, "clicks")
-
-    def on_sales(self, messages: DataFrame, batch_id: int) -> None:
-        self.apply(self._no_clicks(), self._sales(messages, batch_id), batch_id, "sales")
-
-    def on_batch(self, messages: DataFrame, batch_id: int) -> None:
-        """One micro-batch of both topics (column ``topic``)."""
-        messages.persist()
-        try:
-            clicks = self._clicks(messages.where(F.col("topic") == "clicks"), batch_id)
-            sales = self._sales(messages.where(F.col("topic") == "sales"), batch_id)
-            self.apply(clicks, sales, batch_id, self._query_id())
-        finally:
-            messages.unpersist()
-
-    def _query_id(self) -> str:
-        """The id that Spark keeps with the checkpoint: the same after a restart,
-        another one for a new checkpoint."""
-        return json.loads(read_file(self.spark, os.path.join(self._checkpoint, "metadata")))["id"] if self._checkpoint else "main"
-
-    def _no_clicks(self) -> DataFrame:
-        return self.spark.createDataFrame([], "user_id string, product_id string, event_time timestamp")
-
-    def _no_sales(self) -> DataFrame:
-        return self.spark.createDataFrame([], "user_id string, product_id string")
+            if self.outputs:
+                lists.unpersist()
 
     def latest(self) -> DataFrame:
-        """The compacted output: one current row per user."""
-        return self.log.latest(self.spark)
+        """One current row per user."""
+        return sinks.upserts(self.spark, self.log, schemas.RECOMMENDATION, ["user_id"], ["event_time"])
+
+    def late_clicks(self) -> DataFrame:
+        """Clicks left out as late: ``user_id, category, event_time``."""
+        columns = f"user_id string, category {'string' if self.refreshed else self.types['category'].simpleString()}, event_time timestamp"
+        return committed.read(self.spark, self.late_log, columns).drop(committed.RUN, committed.BATCH)
 
     # --- running -------------------------------------------------------------
+    def _check_settings(self, checkpoint: str) -> None:
+        """The settings the state depends on lie beside it; other ones are refused."""
+        own = {"k": self.k, "rating_order": self.rating_order, "inventory": self._digest}
+        path = os.path.join(checkpoint, "recommendation-settings.json")
+        if not path_exists(self.spark, path):
+            write_file(self.spark, path, json.dumps(own))
+        elif (there := json.loads(read_file(self.spark, path))) != own:
+            raise SettingsMismatch(f"the state in {checkpoint} was built with {there}, not {own}")
+
     def start(
         self,
         click_messages: DataFrame,
@@ -315,22 +317,23 @@ class RecommendationStream:
         trigger: dict | None = None,
         query_name: str = "recommendations",
     ) -> StreamingQuery:
-        """Start one query over both topics (``value, timestamp`` rows each).
-
-        A single query (a union of the two sources) rather than one per topic:
-        two concurrent queries would merge into the same state tables.
-        """
-        both = click_messages.select("value", "timestamp", F.lit("clicks").alias("topic")).unionByName(
-            sale_messages.select("value", "timestamp", F.lit("sales").alias("topic"))
-        )
-        self._checkpoint = checkpoint_path or os.path.join(self.root, "checkpoints", query_name)
+        """Start the query over both topics (``value, timestamp`` rows each)."""
+        checkpoint = checkpoint_path or os.path.join(self.root, "checkpoints", query_name)
+        self._check_settings(checkpoint)
+        ship_package(self.spark)
+        self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
         writer = (
-            both.writeStream.queryName(query_name)
-            .option("checkpointLocation", self._checkpoint)
-            .foreachBatch(self.on_batch)
-        )
-        writer = writer.trigger(**trigger) if trigger else writer
-        return writer.start()
+            self.changed(click_messages, sale_messages).writeStream.queryName(query_name)
+            .outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(self.on_batch)
+        )
+        return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def _digest(inventory: DataFrame) -> str:
+    """The same for the same rows in any order."""
+    row = inventory.select(F.xxhash64(*_DIMENSION).cast("decimal(38,0)").alias("h"))
+    found = row.agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("h")).first()
+    return f"{found.n} rows, {found.h}"
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -339,8 +342,8 @@ def main(argv: list[str] | None = None) -> None:
     Sources: ``--kafka SERVERS`` with ``--clicks-topic``/``--sales-topic``, or
     ``--clicks DIR --sales DIR`` (files of ``value, timestamp`` rows).
     Inventory: a CSV file (bad rows skipped), read once, or for every batch
-    with ``--refresh-inventory``. State, output log and checkpoints go under
-    ``--root`` (default: the shared checkpoint folder).
+    with ``--refresh-inventory``. Output and checkpoints go under ``--root``
+    (default: the shared checkpoint folder).
     """
     import argparse
 
@@ -358,17 +361,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--k", type=int, default=rec.DEFAULT_K)
     ap.add_argument("--window", default="5 seconds")
     ap.add_argument("--rating-order", default="numeric", choices=rec.RATING_ORDERS)
-    ap.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS)
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--kafka-out-topic", default=None, help="also send keyed CSV records to this (compacted) topic")
     ap.add_argument("--no-repeat", action="store_true",
                     help="suggest each product once per user, at the first view of its category")
-    ap.add_argument("--compact-every", type=int, default=100,
-                    help="compact the output log every N batches (0: never)")
     ap.add_argument("--on-error", default="fail", choices=("fail", "drop"),
                     help="malformed click and sale lines: stop, or leave out and count")
     ap.add_argument("--lateness", type=float, default=None,
-                    help="leave out clicks more than so many seconds older than the newest one of earlier batches")
+                    help="clicks more than so many seconds behind both topics go to the late table")
     ap.add_argument("--refresh-inventory", action="store_true", help="read the inventory anew for every batch")
     args = ap.parse_args(argv)
     if not args.kafka and not (args.clicks and args.sales):
@@ -383,9 +383,8 @@ def main(argv: list[str] | None = None) -> None:
     read_inventory = lambda: files.csv_table(spark, args.inventory, schemas.INVENTORY, on_error="drop")
     inventory = read_inventory if args.refresh_inventory else read_inventory()
     outputs = (sinks.kafka(args.kafka, args.kafka_out_topic),) if args.kafka_out_topic else ()
-    job = RecommendationStream(spark, args.root, inventory, args.k, args.window, args.rating_order, args.buckets,
-                               outputs=outputs, repeat=not args.no_repeat, compact_every=args.compact_every or None,
-                               on_error=args.on_error, lateness=args.lateness)
+    job = RecommendationStream(spark, args.root, inventory, args.k, args.window, args.rating_order, outputs=outputs,
+                               repeat=not args.no_repeat, on_error=args.on_error, lateness=args.lateness)
     trigger = {"availableNow": True} if args.available_now else None
     job.start(clicks, sales, trigger=trigger).awaitTermination()
 

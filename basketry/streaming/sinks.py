@@ -1,64 +1,44 @@
-"""Micro-batch sinks: idempotent on ``batch_id``, fan-out, keyed upsert log.
+"""Micro-batch sinks: committed message files, keyed upserts, fan-out.
 
-Structured Streaming replays a micro-batch after a failure with the same
-``batch_id``. Every writer here puts a batch's rows under a partition named
-by that id and overwrites only that partition (dynamic partition overwrite),
-so a replay replaces its own earlier attempt: the output is exactly-once
-even though the batch may be computed twice.
+Structured Streaming runs a micro-batch again after a failure, with the same
+batch id. The file sinks here commit a batch of a query once (``committed``), so
+a batch that runs twice is read once, and a query with a new checkpoint adds to
+what earlier ones wrote.
 """
 
 from __future__ import annotations
 
-import json
-import os
-import uuid
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from basketry import schemas
 from basketry.operators.common import latest_per_key
-from basketry.session import delete_path, list_names, read_file, write_file
+from basketry.streaming import committed
 
 BatchSink = Callable[[DataFrame, int], None]
 
 
-def write_batch_partition(
-    df: DataFrame,
-    path: str,
-    batch_id: int,
-    fmt: str = "parquet",
-    partition_by: Sequence[str] = (),
-    batch_col: str = "batch_id",
-) -> None:
-    """Write ``df`` as the partition ``batch_col=batch_id`` of a table,
-    replacing whatever an earlier attempt of the same batch wrote."""
-    (
-        df.withColumn(batch_col, F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by, batch_col)
-        .format(fmt)
-        .save(path)
-    )
-
-
-def json_messages(path: str, value_col: str = "value") -> BatchSink:
-    """Message-sink stand-in: the batch's ``value`` texts as JSON-lines text."""
+def table(path: str) -> BatchSink:
+    """Each batch's rows, committed once."""
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        write_batch_partition(df.select(value_col), path, batch_id, fmt="text")
+        committed.write_batch(df, path, batch_id)
 
     return sink
 
 
-def table(path: str, partition_by: Sequence[str] = ()) -> BatchSink:
-    def sink(df: DataFrame, batch_id: int) -> None:
-        write_batch_partition(df, path, batch_id, partition_by=partition_by)
+def json_messages(path: str) -> BatchSink:
+    """Message-sink stand-in: the batch's ``timestamp, value`` rows, committed once."""
+    write = table(path)
+    return lambda df, batch_id: write(df.select(*schemas.MESSAGE.fieldNames()), batch_id)
 
-    return sink
+
+def messages(spark: SparkSession, path: str) -> DataFrame:
+    """The messages that ``json_messages`` has committed (``value, timestamp``)."""
+    return committed.read(spark, path, schemas.MESSAGE).select(*schemas.MESSAGE.fieldNames())
 
 
 def console(rows: int = 20) -> BatchSink:
@@ -106,103 +86,15 @@ def fan_out(*sinks: BatchSink) -> BatchSink:
     return run
 
 
-# --------------------------------------------------------------------------
-# Keyed upsert log (upsert topic + log compaction, as tables)
-# --------------------------------------------------------------------------
-
+def upserts(spark: SparkSession, path: str, schema: T.StructType | str, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The current rows of a keyed table written by ``table``: per key the row of
+    the newest batch of the newest run, and of its rows the one with the greatest
+    ``order``. Writers give the *complete* current rows of every key they touch,
+    so a late update of an older window never replaces a newer one. Batches are
+    ordered by run and batch id, never by a clock.
 
-class UpsertLog:
-    """Append-only log of keyed rows; readers see the latest row per key.
-
-    ``write`` puts a batch under ``batches/epoch=<e>/batch_id=<id>`` (idempotent).
-    Writes are ordered by epoch and batch id, never by a clock; the epoch numbers
-    the queries that have written the log. Writers emit the *complete* current
-    rows of every key they touch, so ``latest`` compacts on read as: the newest
-    write of a key wins, and within that write the row with the greatest
-    ``order`` columns (for recommendations: the newest window). A late update of
-    an older window is written together with the newer windows of the same key,
-    so it cannot replace them.
-
-    ``compact`` writes the latest rows as a new generation under a fresh name and
-    then switches to it with a marker that says through which write it reaches.
-    What the generation replaces is removed only by the next compaction, so a
-    crash loses nothing and a reader that has listed files can finish.
+    As from a topic that keeps the last record per key, nothing older is seen; to
+    start a small table from it, write this frame to a new path as batch 0.
     """
-
-    def __init__(self, path: str, key: Sequence[str], order: Sequence[str]) -> None:
-        self.path = path
-        self.key = list(key)
-        self.order = list(order)
-        self.batches = os.path.join(path, "batches")
-        self.generations = os.path.join(path, "generations")
-        self.markers = os.path.join(path, "markers")
-
-    def _batch_path(self, epoch: int, batch_id: int) -> str:
-        return os.path.join(self.batches, f"epoch={epoch}", f"batch_id={batch_id}")
-
-    def write(self, df: DataFrame, batch_id: int, epoch: int = 0) -> None:
-        df.write.mode("overwrite").parquet(self._batch_path(epoch, batch_id))
-
-    def sink(self, epoch: int = 0) -> BatchSink:
-        def run(df: DataFrame, batch_id: int) -> None:
-            self.write(df, batch_id, epoch)
-
-        return run
-
-    def writes(self, spark: SparkSession) -> list[tuple[int, int]]:
-        """(epoch, batch id) of every write still there, in order."""
-        found = []
-        for e in list_names(spark, self.batches):
-            if e.startswith("epoch="):
-                for b in list_names(spark, os.path.join(self.batches, e)):
-                    if b.startswith("batch_id="):
-                        found.append((int(e.removeprefix("epoch=")), int(b.removeprefix("batch_id="))))
-        return sorted(found)
-
-    def _marked(self, spark: SparkSession) -> list[dict]:
-        """The compaction markers, oldest first."""
-        names = sorted(n for n in list_names(spark, self.markers) if n.endswith(".json"))
-        return [json.loads(read_file(spark, os.path.join(self.markers, n))) for n in names]
-
-    def read_all(self, spark: SparkSession) -> DataFrame:
-        """The current generation and the writes after it, with ``epoch`` and
-        ``batch_id`` of each row."""
-        marked = self._marked(spark)
-        through = tuple(marked[-1]["through"]) if marked else (-1, -1)
-        parts = [spark.read.parquet(os.path.join(self.generations, marked[-1]["generation"]))] if marked else []
-        for e, b in self.writes(spark):
-            if (e, b) > through:
-                rows = spark.read.parquet(self._batch_path(e, b))
-                parts.append(rows.withColumns({"epoch": F.lit(e).cast("long"), "batch_id": F.lit(b).cast("long")}))
-        if not parts:
-            raise FileNotFoundError(f"nothing has been written to {self.path}")
-        return reduce(DataFrame.unionByName, parts)
-
-    def _latest(self, spark: SparkSession) -> DataFrame:
-        return latest_per_key(self.read_all(spark), self.key, ["epoch", "batch_id", *self.order])
-
-    def latest(self, spark: SparkSession) -> DataFrame:
-        return self._latest(spark).drop("epoch", "batch_id")
-
-    def compact(self, spark: SparkSession) -> None:
-        """Log compaction: one row per key, the one ``latest`` returns. Does
-        nothing when nothing was written since the last one."""
-        marked, writes = self._marked(spark), self.writes(spark)
-        through = tuple(marked[-1]["through"]) if marked else (-1, -1)
-        if not any(w > through for w in writes):
-            return
-        number = marked[-1]["number"] + 1 if marked else 0
-        generation = f"{number:06d}-{uuid.uuid4().hex}"
-        # an earlier generation's folder is never written to again
-        self._latest(spark).write.parquet(os.path.join(self.generations, generation))
-        marker = {"number": number, "generation": generation, "through": writes[-1]}
-        write_file(spark, os.path.join(self.markers, f"{number:06d}.json"), json.dumps(marker))
-        for e, b in writes:
-            if (e, b) <= through:
-                delete_path(spark, self._batch_path(e, b))
-        kept = {generation, *(m["generation"] for m in marked[-1:])}
-        for name in list_names(spark, self.generations):
-            if name not in kept:
-                delete_path(spark, os.path.join(self.generations, name))
-        for m in marked[:-1]:
-            delete_path(spark, os.path.join(self.markers, f"{m['number']:06d}.json"))
+    rows = committed.read(spark, path, schema)
+    return latest_per_key(rows, key, [committed.RUN, committed.BATCH, *order]).drop(committed.RUN, committed.BATCH)

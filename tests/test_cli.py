@@ -5,7 +5,8 @@ import os
 import tempfile
 
 from basketry.streaming import recommend_stream, sales_stream
-from basketry.streaming.sinks import UpsertLog
+from basketry import schemas
+from basketry.streaming import sinks
 
 T0 = dt.datetime(2024, 1, 1)
 MSG = "value string, timestamp timestamp"
@@ -24,7 +25,7 @@ def test_sales_stream_cli(spark):
     sales_stream.main(["--messages", os.path.join(root, "in"), "--products", products, "--out",
                        os.path.join(root, "out"), "--checkpoint", os.path.join(root, "ckpt"),
                        "--print-rows", "0", "--available-now"])
-    got = [r.value for r in spark.read.text(os.path.join(root, "out")).collect()]
+    got = [r.value for r in sinks.messages(spark, os.path.join(root, "out")).collect()]
     assert got == ['{"category":"toys","sales":5}']
 
 
@@ -37,6 +38,6 @@ def test_recommend_stream_cli(spark):
     spark.createDataFrame([("1,7,1,1,1", T0)], MSG).write.parquet(os.path.join(root, "sales"))
     state = os.path.join(root, "state")
     recommend_stream.main(["--clicks", os.path.join(root, "clicks"), "--sales", os.path.join(root, "sales"),
-                           "--inventory", inventory, "--root", state, "--buckets", "4", "--available-now"])
-    latest = UpsertLog(os.path.join(state, "recommendations"), ["user_id"], ["event_time"]).latest(spark).collect()
-    assert [(r.user_id, r.top_product_ids) for r in latest] == [("7", "1,2")]
+                           "--inventory", inventory, "--root", state, "--available-now"])
+    latest = sinks.upserts(spark, os.path.join(state, "recommendations"), schemas.RECOMMENDATION, ["user_id"], ["event_time"])
+    assert [(r.user_id, r.top_product_ids) for r in latest.collect()] == [("7", "1,2")]

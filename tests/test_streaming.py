@@ -17,8 +17,8 @@ from basketry.operators import sales as sal
 from basketry.operators.common import latest_per_key
 from basketry.schemas import CLICK_FIELDS, SALES_FIELDS
 from basketry.sources import files, testdata
-from basketry.streaming import recommend_stream, sales_stream, sinks, state
-from basketry.streaming.state import SettingsMismatch
+from basketry.streaming import committed, recommend_stream, sales_stream, sinks
+from basketry.streaming.recommend_stream import SettingsMismatch
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,6 +48,11 @@ def sentinel(spark, when):
     return spark.createDataFrame([("-1,-1,-1,1,1", when)], "value string, timestamp timestamp")
 
 
+def sent(spark, path):
+    """The JSON messages of a sink, parsed."""
+    return sinks.messages(spark, path).select(F.from_json("value", "category string, sales long").alias("m")).select("m.*")
+
+
 def run_available_now(query):
     query.awaitTermination(600)
     assert query.exception() is None
@@ -68,7 +73,7 @@ def test_sales_stream_equals_batch(spark, chunks):
     q = sales_stream.start(stream, inv, os.path.join(root, "out"), os.path.join(root, "ckpt"),
                            window="10 seconds", trigger={"availableNow": True})
     run_available_now(q)
-    got = spark.read.json(os.path.join(root, "out"))
+    got = sent(spark, os.path.join(root, "out"))
     got = sorted((r.category, r.sales) for r in got.select("category", "sales").collect())
 
     batch_sales = parse.parse_sales(msgs, keep=["timestamp"]).withColumnRenamed("timestamp", "purchase_time")
@@ -96,7 +101,7 @@ def test_late_sale_dropped(spark):
     q = sales_stream.start(stream, inv, os.path.join(root, "out"), os.path.join(root, "ckpt"),
                            trigger={"availableNow": True})
     run_available_now(q)
-    got = [(r.category, r.sales) for r in spark.read.json(os.path.join(root, "out")).collect()]
+    got = [(r.category, r.sales) for r in sent(spark, os.path.join(root, "out")).collect()]
     assert got == [("toys", 6)]
 
 
@@ -109,41 +114,13 @@ def rows(df):
     return sorted((r.user_id, r.top_product_ids, r.event_time) for r in df.collect())
 
 
-@pytest.mark.parametrize("clicks_first", [False, True])
-def test_recommend_stream_equals_batch(spark, clicks_first):
-    root = scratch()
-    clicks_src, sales_src = os.path.join(root, "clicks"), os.path.join(root, "sales")
-    write_chunks(click_messages(spark), clicks_src, 2)
-    write_chunks(sale_messages(spark), sales_src, 2)
-    inv = testdata.inventory(spark, SF)
-    job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, buckets=8)
-    ckpt = os.path.join(root, "ckpt")
-
-    def go(which):
-        src = clicks_src if which == "clicks" else sales_src
-        handler = job.on_clicks if which == "clicks" else job.on_sales
-        q = (files.message_file_stream(spark, src, max_files_per_trigger=1).writeStream
-             .option("checkpointLocation", os.path.join(ckpt, which)).foreachBatch(handler)
-             .trigger(availableNow=True).start())
-        run_available_now(q)
-
-    for which in (["clicks", "sales"] if clicks_first else ["sales", "clicks"]):
-        go(which)
-
-    clicks = parse.decode_clicks(spark.read.parquet(clicks_src), keep=["timestamp"]).withColumnRenamed(
-        "timestamp", "event_time")
-    sales_df = parse.decode_sales(spark.read.parquet(sales_src), keep=["timestamp"]).withColumnRenamed(
-        "timestamp", "purchase_time")
-    assert rows(job.latest()) == rows(batch_latest(spark, clicks, sales_df, inv))
-
-
 def test_recommend_single_query_over_both_topics(spark):
     root = scratch()
     clicks_src, sales_src = os.path.join(root, "clicks"), os.path.join(root, "sales")
     write_chunks(click_messages(spark), clicks_src, 3)
     write_chunks(sale_messages(spark), sales_src, 3)
     inv = testdata.inventory(spark, SF)
-    job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, buckets=8)
+    job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv)
     q = job.start(
         files.message_file_stream(spark, clicks_src, max_files_per_trigger=1),
         files.message_file_stream(spark, sales_src, max_files_per_trigger=1),
@@ -163,7 +140,7 @@ def test_recommend_stream_without_repeats_equals_batch(spark):
     write_chunks(click_messages(spark), clicks_src, 3)
     write_chunks(sale_messages(spark), sales_src, 2)
     inv = testdata.inventory(spark, SF)
-    job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, buckets=8, repeat=False)
+    job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, repeat=False)
     q = job.start(
         files.message_file_stream(spark, clicks_src, max_files_per_trigger=1),
         files.message_file_stream(spark, sales_src, max_files_per_trigger=1),
@@ -197,192 +174,196 @@ def job_of(spark, root, rows_=TWO, **settings):
     return recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, **settings)
 
 
-def send(spark, job, clicks, batch_id, source="clicks"):
-    messages = spark.createDataFrame(clicks, MSG)
-    job.apply(job._clicks(messages, batch_id), job._no_sales(), batch_id, source)
+def feed(spark, root, clicks=(), sales=()):
+    """Add one file of messages to each topic that has some."""
+    for topic, rows_ in (("clicks", clicks), ("sales", sales)):
+        path = os.path.join(root, topic)
+        os.makedirs(path, exist_ok=True)
+        if rows_:
+            spark.createDataFrame(list(rows_), MSG).coalesce(1).write.mode("append").parquet(path)
 
 
-def buy(spark, job, sales, batch_id, source="clicks"):
-    job.apply(job._no_clicks(), job._sales(spark.createDataFrame(sales, MSG), batch_id), batch_id, source)
+def run(spark, job, root, checkpoint="ckpt", files_per_batch=1, expect=None):
+    """One start of the query over what the topics hold; a restart if the checkpoint is there."""
+    topics = [files.message_file_stream(spark, os.path.join(root, t), max_files_per_trigger=files_per_batch) for t in ("clicks", "sales")]
+    q = job.start(*topics, os.path.join(root, checkpoint), {"availableNow": True})
+    try:
+        q.awaitTermination(300)
+    except Exception as e:
+        if not expect:
+            raise
+        assert expect in str(e), e
+    return q
 
 
-def views_of(job):
-    return sorted(map(tuple, job.state.read(job.state.current(), "views").collect()))
+def step(spark, job, root, clicks=(), sales=(), **kw):
+    feed(spark, root, clicks, sales)
+    return run(spark, job, root, **kw)
 
 
 def lists(job):
     return sorted((r.user_id, r.top_product_ids) for r in job.latest().collect())
 
 
-def test_replayed_batch_leaves_sink_unchanged(spark):
-    root = scratch()
-    inv = testdata.inventory(spark, SF)
-    job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, buckets=4)
-    batch = click_messages(spark).limit(50)
-    job.on_clicks(batch, 0)
-    first = sorted(map(tuple, job.log.read_all(spark).collect()))
-    state = views_of(job)
-    job.on_clicks(batch, 0)
-    assert sorted(map(tuple, job.log.read_all(spark).collect())) == first
-    assert views_of(job) == state and len(state) > 0
+def all_lists(spark, job):
+    return sorted(map(tuple, committed.read(spark, job.log, recommend_stream.schemas.RECOMMENDATION).collect()))
 
 
-@pytest.mark.parametrize("changed", [{"buckets": 64}, {"k": 4}, {"rating_order": "string"}])
+@pytest.mark.parametrize("changed", [{"k": 4}, {"rating_order": "string"}, {"rows_": [*TWO, ("3", "a", "1", "1")]}])
 def test_other_settings_on_old_state_are_refused(spark, changed):
     root = scratch()
-    send(spark, job_of(spark, root, buckets=4, k=2), [("7,1", at(0))], 0)
+    step(spark, job_of(spark, root, k=2), root, [("7,1", at(0))])
     with pytest.raises(SettingsMismatch):
-        job_of(spark, root, **({"buckets": 4, "k": 2} | changed))
-    with pytest.raises(SettingsMismatch):
-        job_of(spark, root, [*TWO, ("3", "a", "1", "1")], buckets=4, k=2)
+        run(spark, job_of(spark, root, **({"k": 2} | changed)), root)
     # the same settings, and the same inventory in another order, go on
-    job = job_of(spark, root, TWO[::-1], buckets=4, k=2)
-    send(spark, job, [("7,2", at(1))], 1)
-    assert [v[2] for v in views_of(job)] == ["a", "b"]
+    job = job_of(spark, root, TWO[::-1], k=2)
+    step(spark, job, root, [("7,2", at(1))])
+    assert lists(job) == [("7", "2,1")]
 
 
-def test_new_checkpoint_on_old_state_goes_on_from_it(spark):
+def test_restart_goes_on_from_the_state(spark):
+    """A new job on the old checkpoint: the state and the output are those before it."""
     root = scratch()
+    step(spark, job_of(spark, root), root, [("7,1", at(0))], [("1,8,1,1,1", at(0))])
     job = job_of(spark, root)
-    send(spark, job, [("7,1", at(0))], 0, "query-a")
-    send(spark, job, [("8,1", at(0))], 1, "query-a")
-    # a new query counts its batches from 0 again: nothing of it is taken for done
-    send(spark, job, [("9,2", at(1))], 0, "query-b")
-    assert lists(job) == [("7", "1"), ("8", "1"), ("9", "2")]
-    assert [v[0] for v in views_of(job)] == ["7", "8", "9"]
-    # the old query would write over what the new one has
-    with pytest.raises(SettingsMismatch):
-        send(spark, job, [("7,2", at(2))], 2, "query-a")
+    step(spark, job, root, [("7,2", at(1)), ("8,1", at(1))])
+    # the view of the first start is still ranked; each user in a batch of the second
+    assert lists(job) == [("7", "2,1"), ("8", "1")]
+    assert {r[3] for r in all_lists(spark, job)} == {0}
 
 
-def test_new_checkpoint_through_start(spark):
+def test_new_checkpoint_adds_a_run(spark):
+    """It starts from an empty state and wins over the older run's lists, by user."""
     root = scratch()
-    for i, user in enumerate(("7", "8")):
-        clicks, sales = os.path.join(root, f"clicks{i}"), os.path.join(root, f"sales{i}")
-        spark.createDataFrame([(f"{user},1", at(i))], MSG).write.parquet(clicks)
-        spark.createDataFrame([(f"1,{user},1,1,1", at(i))], MSG).write.parquet(sales)
-        job = job_of(spark, root)
-        q = job.start(files.message_file_stream(spark, clicks), files.message_file_stream(spark, sales),
-                      os.path.join(root, f"ckpt{i}"), {"availableNow": True})
-        run_available_now(q)
-    assert lists(job) == [("7", "1"), ("8", "1")]
+    job = job_of(spark, root)
+    step(spark, job, root, [("7,1", at(50)), ("8,1", at(50))])
+    other = scratch()
+    step(spark, job, other, [("8,2", at(0))])
+    assert lists(job) == [("7", "1"), ("8", "2")]
+    assert {r[3] for r in all_lists(spark, job)} == {0, 1}
 
 
-@pytest.mark.parametrize("stop_at", ["segment", "manifest", "log"])
+@pytest.mark.parametrize("stop_at", ["before the output", "after the output"])
 def test_crash_and_replay(spark, stop_at, monkeypatch):
-    """A crash after a segment, before the manifest, or before the output."""
+    """A batch that crashed around its output runs again with the same state."""
     root = scratch()
-    job = job_of(spark, root)
-    send(spark, job, [("7,1", at(0))], 0)
-    real = {"segment": state.SegmentedState._folded, "manifest": state.write_file, "log": sinks.UpsertLog.write}[stop_at]
-    place = {"segment": (state.SegmentedState, "_folded"), "manifest": (state, "write_file"), "log": (sinks.UpsertLog, "write")}[stop_at]
+    step(spark, job_of(spark, root), root, [("7,1", at(0))])
+    real = recommend_stream.committed.write_batch
 
     def crash(*a, **b):
+        if stop_at == "after the output":
+            real(*a, **b)
         raise RuntimeError("crash")
 
-    monkeypatch.setattr(*place, crash)
-    with pytest.raises(RuntimeError):
-        send(spark, job, [("7,2", at(1))], 1)
-    monkeypatch.setattr(*place, real)
-    again = job_of(spark, root)
-    send(spark, again, [("7,2", at(1))], 1)
-    send(spark, again, [("8,2", at(2))], 2)
-    assert [v[2] for v in views_of(again)] == ["a", "b", "b"]
-    assert lists(again) == [("7", "2,1"), ("8", "2")] or lists(again) == [("7", "1,2"), ("8", "2")]
-
-
-def test_unreadable_state_is_an_error_not_an_empty_state(spark):
-    from basketry.session import delete_path
-
-    root = scratch()
+    monkeypatch.setattr(recommend_stream.committed, "write_batch", crash)
+    step(spark, job_of(spark, root), root, [("7,2", at(1))], expect="crash")
+    monkeypatch.setattr(recommend_stream.committed, "write_batch", real)
     job = job_of(spark, root)
-    send(spark, job, [("7,1", at(0))], 0)
-    delete_path(spark, os.path.join(job.state.root, "segments"))
-    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
-        send(spark, job, [("7,2", at(1))], 1)
-
+    step(spark, job, root, [("8,2", at(2))])
+    assert lists(job) == [("7", "2,1"), ("8", "2")]
+    rows_ = all_lists(spark, job)
+    assert len(rows_) == len(set(rows_)) == 3 and [r[4] for r in sorted(rows_, key=lambda r: r[4])] == [0, 1, 2]
 
-def test_bytes_written_follow_the_batch_not_the_state(spark):
-    def size(path):
-        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
 
-    written = []
-    for users in (200, 2000):
-        root = scratch()
-        job = job_of(spark, root, buckets=4)
-        send(spark, job, [(f"{u},{1 + u % 2}", at(u)) for u in range(users)], 0)
-        before = set(os.listdir(os.path.join(job.state.root, "segments", "views")))
-        send(spark, job, [("5,1", at(9999))], 1)
-        new = set(os.listdir(os.path.join(job.state.root, "segments", "views"))) - before
-        written.append(sum(size(os.path.join(job.state.root, "segments", "views", n)) for n in new))
-        assert len(views_of(job)) == users + 1
-    assert 0 < written[1] <= 1.2 * written[0]
+def test_unchanged_users_send_nothing(spark):
+    root = scratch()
+    job = job_of(spark, root, k=2)
+    step(spark, job, root, [("7,1", at(0)), ("7,1", at(1)), ("8,1", at(0))])
+    # a later view of a category seen twice before changes nothing
+    step(spark, job, root, [("7,1", at(9)), ("8,1", at(5))])
+    assert {r[0] for r in all_lists(spark, job) if r[4] == 1} == {"8"}
 
 
-def test_segments_are_folded(spark):
+def test_hot_user_is_cut_before_the_state(spark):
+    """Half of all messages are one user's: the tasks that read them send few rows on, the result is the batch's."""
     root = scratch()
-    job = job_of(spark, root, buckets=2, compact_every=None)
-    job.state.fan_in = 2
-    for i in range(6):
-        send(spark, job, [(f"{i},1", at(i))], i)
-    assert [v[0] for v in views_of(job)] == [str(i) for i in range(6)]
-    segments = job.state.current()["segments"]["views"]
-    assert len(segments) < 4 and sum(s["rows"] for s in segments) == 6
-    # folders that no manifest names are removed
-    assert len(os.listdir(os.path.join(job.state.root, "segments", "views"))) <= 2 * len(segments) + 2
-    assert len(job.state._manifests()) == 2
-
-
-def test_late_clicks_are_left_out_and_counted(spark):
+    inv = [(str(p), "ab"[p % 2], "5", str(p % 11)) for p in range(60)]
+    clicks = [(f"hot,{i % 60}", at(i % 700)) for i in range(6000)] + [(f"u{i},{i % 60}", at(i)) for i in range(300)]
+    sales = [(f"{i},hot,{i % 50},1,1", at(i)) for i in range(3000)]
+    feed(spark, root, clicks, sales)
+    job = job_of(spark, root, inv)
+    topics = [spark.read.parquet(os.path.join(root, t)) for t in ("clicks", "sales")]
+    rows_ = job.reduced(*topics)
+    hot = rows_.where("user_id = 'hot'").count()
+    assert 0 < hot <= rows_.rdd.getNumPartitions() * 2 * 2 * job.k
+    run(spark, job, root)
+    messages = [spark.read.parquet(os.path.join(root, t)) for t in ("clicks", "sales")]
+    clicked = parse.decode_clicks(messages[0], keep=["timestamp"]).withColumnRenamed("timestamp", "event_time")
+    assert rows(job.latest()) == rows(batch_latest(spark, clicked, parse.decode_sales(messages[1]), inventory_of(spark, inv)))
+
+
+def test_late_clicks_go_to_a_table(spark):
+    """Both topics hold the watermark: a slow one holds it back. No click is lost."""
     root = scratch()
     job = job_of(spark, root, lateness=10)
-    send(spark, job, [("7,1", at(100)), ("8,1", at(5))], 0)  # old, but not older than an earlier batch
-    send(spark, job, [("9,1", at(89)), ("10,1", at(90))], 1)
-    assert [v[0] for v in views_of(job)] == ["10", "7", "8"]
-    assert job.left_out == {1: {"late_clicks": 1}}
-    # a replay leaves out the same rows
-    send(spark, job, [("9,1", at(89)), ("10,1", at(90))], 1)
-    assert lists(job) == [("10", "1"), ("7", "1"), ("8", "1")]
+    # one file of each topic is a batch
+    feed(spark, root, [("7,1", at(100))], [("1,9,1,1,1", at(50))])
+    # the sales topic stands at 50: a click of 45 is in time, one of 39 is not
+    feed(spark, root, [("8,1", at(45)), ("10,1", at(39))], [("2,9,2,1,1", at(300))])
+    # now the clicks hold it, at 100; a purchase is never late
+    feed(spark, root, [("11,1", at(91)), ("12,2", at(89))], [("3,12,1,1,1", at(0))])
+    feed(spark, root, [("12,1", at(400))], [("4,9,1,1,1", at(400))])
+    run(spark, job, root)
+    assert lists(job) == [("11", "1"), ("12", "1"), ("7", "1"), ("8", "1")]
+    late = sorted((r.user_id, r.category, r.event_time) for r in job.late_clicks().collect())
+    assert late == [("10", "a", at(39)), ("12", "b", at(89))]
+    bought = committed.read(spark, job.log, recommend_stream.schemas.RECOMMENDATION).where("user_id = '12'").count()
+    assert bought == 1
 
 
 def test_inventory_is_refreshed_per_batch(spark):
     root = scratch()
     stock = {"rows": [("1", "a", "5", "3"), ("2", "a", "0", "9")]}
     job = job_of(spark, root, lambda: inventory_of(spark, stock["rows"]))
-    buy(spark, job, [("1,7,2,1,1", at(0))], 0)  # bought while out of stock
-    send(spark, job, [("7,1", at(1)), ("8,1", at(1))], 1)
+    step(spark, job, root, sales=[("1,7,2,1,1", at(0))])  # bought while out of stock
+    step(spark, job, root, [("7,1", at(1)), ("8,1", at(1))])
     assert lists(job) == [("7", "1"), ("8", "1")]
     # product 2 is back: bought by 7, so first; 8 keeps its list until touched
     stock["rows"] = [("1", "a", "5", "3"), ("2", "a", "4", "1"), ("3", "a", "1", "2")]
-    send(spark, job, [("7,1", at(2))], 2)
-    assert lists(job) == [("7", "2,2,1,1,3,3"), ("8", "1")] or lists(job)[1] == ("8", "1")
-    assert lists(job)[0][1].startswith("2")
-    send(spark, job, [("8,3", at(3))], 3)
+    step(spark, job, root, [("7,1", at(2))])
+    assert dict(lists(job))["7"].startswith("2,2") and dict(lists(job))["8"] == "1"
+    step(spark, job, root, [("8,3", at(3))])
     assert dict(lists(job))["8"].split(",")[0] == "1"
-    assert len(os.listdir(os.path.join(job.root, "inventory"))) == 2
 
 
 def test_malformed_lines_stop_the_stream_or_are_counted(spark):
+    clicks = [("u7,1", at(0)), ("broken", at(0)), ("", at(0)), (None, at(0))]
     root = scratch()
-    clicks = [("u7,1", at(0)), ("broken", at(0))]
-    with pytest.raises(Exception, match="malformed click"):
-        send(spark, job_of(spark, root), clicks, 0)
-    job = job_of(spark, scratch(), on_error="drop")
-    send(spark, job, clicks, 0)
-    assert job.left_out == {0: {"malformed_clicks": 1}} and lists(job) == [("u7", "1")]
+    step(spark, job_of(spark, root), root, clicks, expect="malformed click")
+    root = scratch()
+    job = job_of(spark, root, on_error="drop")
+    q = step(spark, job, root, clicks)
+    assert lists(job) == [("u7", "1")]
+    counts = [p.observedMetrics["click_lines"] for p in q.recentProgress if "click_lines" in p.observedMetrics]
+    assert [sum(c[n] for c in counts) for n in ("lines", "empty", "malformed")] == [4, 2, 1]
 
 
 def test_upsert_newest_window_stays(spark):
-    inv = spark.createDataFrame([(1, "a", 5, 3), (2, "a", 5, 9)], "product_id long, category string, stock int, rating int")
     root = scratch()
-    job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, buckets=4)
-    t0 = dt.datetime(2024, 1, 1)
-    msg = "value string, timestamp timestamp"
-    job.on_clicks(spark.createDataFrame([("7,1", t0 + dt.timedelta(seconds=2)), ("7,1", t0 + dt.timedelta(seconds=7))], msg), 0)
+    job = job_of(spark, root)
+    step(spark, job, root, [("7,1", at(2)), ("7,1", at(7))])
     # a late click for the first window
-    job.on_clicks(spark.createDataFrame([("7,2", t0 + dt.timedelta(seconds=3))], msg), 1)
+    step(spark, job, root, [("7,2", at(3))])
     out = job.latest().collect()
-    assert [r.user_id for r in out] == ["7"] and out[0].event_time == t0 + dt.timedelta(seconds=10)
+    assert [r.user_id for r in out] == ["7"] and out[0].event_time == at(10)
+
+
+@pytest.mark.parametrize("order", rec.RATING_ORDERS)
+def test_reduced_state_orders_products_as_the_batch(spark, order):
+    """Ratings that are no numbers, tie or differ in text and number; numeric and text ids."""
+    ratings = ["9", "10", "2", "x", None, "1e1", "9.0", "NaN", "-1", "10"]
+    for id_type in ("string", "long"):
+        inv = spark.createDataFrame(
+            [(str(p), "a", str(1 + p % 3), ratings[p % 10]) for p in range(40)], "product_id string, category string, stock string, rating string"
+        ).withColumn("product_id", F.col("product_id").cast(id_type))
+        root = scratch()
+        feed(spark, root, [("7,1", at(0))], [(f"{p},7,{p},1,1", at(p)) for p in range(0, 40, 3)])
+        job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, k=9, rating_order=order)
+        run(spark, job, root)
+        clicks = parse.decode_clicks(spark.read.parquet(os.path.join(root, "clicks")), keep=["timestamp"]).withColumnRenamed("timestamp", "event_time")
+        bought = parse.decode_sales(spark.read.parquet(os.path.join(root, "sales")))
+        want = rec.Recommender(clicks, bought, inv, 9, order).recommend("user")
+        assert lists(job) == sorted((r.user_id, r.top_product_ids) for r in want.collect())
 
 
 def test_processing_time_sends_one_final_sum_per_window(spark, capsys):
@@ -404,7 +385,7 @@ def test_processing_time_sends_one_final_sum_per_window(spark, capsys):
         sentinel(spark, T0).coalesce(1).write.mode("append").parquet(src)
         q.processAllAvailable()
     q.stop()
-    sums = [r.sales for r in spark.read.json(os.path.join(root, "out")).collect()]
+    sums = [r.sales for r in sent(spark, os.path.join(root, "out")).collect()]
     assert sum(sums) == 6 and all(s in (2, 4, 6) for s in sums)
     assert "-- batch 0, preview of at most 5 rows" in capsys.readouterr().out
 
@@ -426,113 +407,97 @@ def test_sales_stream_leaves_out_and_reports_malformed_lines(spark):
 
     q = run("drop")
     assert q.exception() is None
-    assert [r.sales for r in spark.read.json(os.path.join(root, "drop")).collect()] == [2]
+    assert [r.sales for r in sent(spark, os.path.join(root, "drop")).collect()] == [2]
     assert sum(p.observedMetrics["sale_lines"]["malformed"] for p in q.recentProgress if p.observedMetrics) == 2
     with pytest.raises(Exception):
         run("fail")
 
 
 def test_recommend_extra_output_gets_keyed_records(spark):
-    inv = spark.createDataFrame([(1, "a", 5, 3), (2, "a", 5, 9)], "product_id long, category string, stock int, rating int")
     root = scratch()
     out = os.path.join(root, "records")
-    job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, buckets=4,
-                                                outputs=(sinks.table(out),))
-    t0 = dt.datetime(2024, 1, 1)
-    job.on_clicks(spark.createDataFrame([("7,1", t0 + dt.timedelta(seconds=2))], "value string, timestamp timestamp"), 0)
-    got = [(r.key, r.value) for r in spark.read.parquet(out).collect()]
-    assert got == [("7", '7,"2,1",2024-01-01 00:00:05.000')]
-
-
-LOG_SCHEMA = "user_id long, top_product_ids string, event_time timestamp"
-
-
-def new_log():
-    return sinks.UpsertLog(os.path.join(scratch(), "log"), ["user_id"], ["event_time"])
-
-
-def current(spark, log):
-    return sorted((r.user_id, r.top_product_ids) for r in log.latest(spark).collect())
-
-
-def test_upsert_log_order_is_by_write_not_by_clock(spark):
-    """A later epoch (a query started anew) wins over higher batch ids."""
-    log = new_log()
-    log.write(spark.createDataFrame([(1, "old", at(50))], LOG_SCHEMA), 7, epoch=0)
-    log.write(spark.createDataFrame([(1, "new", at(0))], LOG_SCHEMA), 0, epoch=1)
-    assert current(spark, log) == [(1, "new")]
-
-
-def test_upsert_log_compaction_keeps_latest(spark):
-    log = new_log()
-    writes = [
-        [(1, "1,2", at(0)), (2, "3", at(0))],
-        [(1, "1,2", at(0)), (1, "4", at(5))],
-        [(3, "5", at(0))],
-        [(2, "6,7", at(10))],
-    ]
-    for b, rows_ in enumerate(writes[:3]):
-        log.write(spark.createDataFrame(rows_, LOG_SCHEMA), b)
-    before = current(spark, log)
-    log.compact(spark)
-    assert current(spark, log) == before and log.read_all(spark).count() == 3
-    # nothing new: nothing happens; a replay of a covered batch changes nothing
-    log.compact(spark)
-    log.write(spark.createDataFrame(writes[2], LOG_SCHEMA), 2)
-    assert current(spark, log) == before and len(os.listdir(log.markers)) >= 1
-    # a later write still wins over the compacted rows; covered writes go with the next compaction
-    log.write(spark.createDataFrame(writes[3], LOG_SCHEMA), 3)
-    log.compact(spark)
-    assert current(spark, log) == [(1, "4"), (2, "6,7"), (3, "5")]
-    assert log.writes(spark) == [(0, 3)]
-
-
-@pytest.mark.parametrize("stop_at", ["before the marker", "while removing"])
-def test_crash_in_compaction_loses_nothing(spark, stop_at, monkeypatch):
-    log = new_log()
-    for b in range(3):
-        log.write(spark.createDataFrame([(b, str(b), at(b))], LOG_SCHEMA), b)
-        if b == 1:
-            log.compact(spark)
-    reader = log.latest(spark)  # has listed its files
-    before = current(spark, log)
-    calls = []
-
-    def crash(*a):
-        calls.append(a)
-        raise RuntimeError("crash")
+    job = job_of(spark, root, outputs=(sinks.table(out),))
+    step(spark, job, root, [("7,1", at(2))])
+    got = [(r.key, r.value) for r in committed.read(spark, out, "key string, value string").collect()]
+    assert got == [("7", '7,"1",2024-01-01 00:00:05.000')] or got == [("7", "7,1,2024-01-01 00:00:05.000")]
+
+
+def message_stream(spark, src, out, checkpoint, **kw):
+    df = files.message_file_stream(spark, src, max_files_per_trigger=1)
+    committed.register(spark)
+    q = df.writeStream.format(committed.NAME).option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination(300)
 
-    real = sinks.write_file if stop_at == "before the marker" else sinks.delete_path
-    name = "write_file" if stop_at == "before the marker" else "delete_path"
-    monkeypatch.setattr(sinks, name, crash)
-    with pytest.raises(RuntimeError):
-        log.compact(spark)
-    monkeypatch.setattr(sinks, name, real)
-    assert current(spark, log) == before and len(reader.collect()) == 3
-    log.write(spark.createDataFrame([(9, "9", at(9))], LOG_SCHEMA), 3)
-    log.compact(spark)
-    assert current(spark, log) == sorted([*before, (9, "9")])
 
+def values(spark, out):
+    return sorted(r.value for r in sinks.messages(spark, out).collect())
+
+
+@pytest.mark.parametrize("kind", ["format", "foreachBatch"])
+def test_messages_survive_a_new_checkpoint_and_a_replay(spark, kind):
+    """Every message once: a second run of a batch, and a query that counts its batches from 0 again."""
+    import shutil
 
-def test_recommend_stream_with_compaction_equals_batch(spark):
     root = scratch()
-    clicks_src, sales_src = os.path.join(root, "clicks"), os.path.join(root, "sales")
-    write_chunks(click_messages(spark), clicks_src, 3)
-    write_chunks(sale_messages(spark), sales_src, 2)
-    inv = testdata.inventory(spark, SF)
-    job = recommend_stream.RecommendationStream(spark, os.path.join(root, "state"), inv, buckets=8, compact_every=2)
-    q = job.start(
-        files.message_file_stream(spark, clicks_src, max_files_per_trigger=1),
-        files.message_file_stream(spark, sales_src, max_files_per_trigger=1),
-        trigger={"availableNow": True},
-    )
-    run_available_now(q)
-    clicks = parse.decode_clicks(spark.read.parquet(clicks_src), keep=["timestamp"]).withColumnRenamed(
-        "timestamp", "event_time")
-    sales_df = parse.decode_sales(spark.read.parquet(sales_src), keep=["timestamp"]).withColumnRenamed(
-        "timestamp", "purchase_time")
-    assert rows(job.latest()) == rows(batch_latest(spark, clicks, sales_df, inv))
-    assert os.listdir(job.log.markers)
+    out, src = os.path.join(root, "out"), [os.path.join(root, f"in{i}") for i in range(2)]
+    for i in range(2):
+        spark.createDataFrame([(f"m{i}", at(i)), (f"n{i}", at(i))], MSG).coalesce(2).write.parquet(src[i])
+
+    def go(i, checkpoint):
+        if kind == "format":
+            message_stream(spark, src[i], out, checkpoint)
+        else:
+            df = files.message_file_stream(spark, src[i], max_files_per_trigger=1)
+            run_available_now(df.writeStream.foreachBatch(sinks.json_messages(out)).option("checkpointLocation", checkpoint)
+                              .trigger(availableNow=True).start())
+
+    ckpt = os.path.join(root, "a")
+    go(0, ckpt)
+    # the batch was written and committed by the sink, but the query did not note it: it runs again
+    shutil.rmtree(os.path.join(ckpt, "commits"))
+    go(0, ckpt)
+    assert values(spark, out) == ["m0", "n0"]
+    go(1, os.path.join(root, "b"))
+    assert values(spark, out) == ["m0", "m1", "n0", "n1"]
+
+
+def test_files_without_a_commit_are_not_read(spark, monkeypatch):
+    """A crash between the tasks' writes and the commit, and an aborted batch."""
+    out = os.path.join(scratch(), "out")
+    sinks.json_messages(out)(spark.createDataFrame([("a", at(0))], MSG), 0)
+    (there,) = os.listdir(os.path.join(out, "files"))
+    import shutil
+
+    shutil.copy(os.path.join(out, "files", there), os.path.join(out, "files", "left-over.parquet"))
+    broken = spark.createDataFrame([("b", at(0)), ("c", at(0))], MSG).repartition(2)
+    broken = broken.withColumn("value", F.when(F.col("value") == "c", F.raise_error(F.lit("stop"))).otherwise(F.col("value")))
+    with pytest.raises(Exception, match="stop"):
+        sinks.json_messages(out)(broken, 1)
+    assert values(spark, out) == ["a"]
+    sinks.json_messages(out)(spark.createDataFrame([("b", at(0)), ("c", at(0))], MSG), 1)
+    assert values(spark, out) == ["a", "b", "c"]
+
+
+def test_a_committed_batch_stays_as_it_is(spark):
+    out = os.path.join(scratch(), "out")
+    for text in ("first", "second"):
+        sinks.json_messages(out)(spark.createDataFrame([(text, at(0))], MSG), 7)
+    assert values(spark, out) == ["first"] and len(os.listdir(os.path.join(out, "files"))) == 1
+    # nothing at all: no commit, no rows
+    empty = os.path.join(scratch(), "empty")
+    sinks.json_messages(empty)(spark.createDataFrame([], MSG), 0)
+    assert values(spark, empty) == []
+
+
+def test_upserts_are_ordered_by_run_and_batch_not_by_clock(spark):
+    out, schema = os.path.join(scratch(), "log"), "user_id long, top_product_ids string, event_time timestamp"
+    write = lambda rows_, batch, query: committed.write_batch(spark.createDataFrame(rows_, schema), out, batch, query)
+    write([(1, "old", at(50)), (2, "kept", at(0))], 7, "query-a")
+    write([(1, "new", at(0)), (1, "newer window", at(5))], 0, "query-b")
+    current = lambda: sorted((r.user_id, r.top_product_ids) for r in sinks.upserts(spark, out, schema, ["user_id"], ["event_time"]).collect())
+    assert current() == [(1, "newer window"), (2, "kept")]
+    write([(2, "later", at(9))], 1, "query-b")
+    assert current() == [(1, "newer window"), (2, "later")]
 
 
 def test_kafka_factories_fail_fast_without_the_connector(spark):
