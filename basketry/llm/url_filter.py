@@ -33,9 +33,8 @@ RULES = (
     ("block", "com", "/de/"),
 )
 DAMPING = 0.85
-#: a ranking is done when a round adds at most this share to any host's score
-TOLERANCE = 1e-5
-ROUNDS_PER_CHECK = 6
+#: a ranking is done when so many rounds add at most this share to any host's score
+ROUNDS_PER_CHECK, TOLERANCE = 8, 1e-4
 #: a host is blocked if distrust holds at least this share of distrust + trust,
 #: to so many digits (the ranking leaves out less than these show)
 BLOCK_SHARE, DIGITS = 0.5, 3
@@ -105,27 +104,28 @@ def personalised_ranks(edges: DataFrame, seeds: DataFrame, damping: float = DAMP
     """``kind, host, score``: a PageRank per ``kind`` that restarts at its seeds.
 
     ``edges``: ``kind, src, dst, weight``; ``seeds``: ``kind, host, weight``. The
-    scores of a kind sum to at most 1. The restart mass is passed on along the
-    edges round by round, and a host's score is all mass that came by; what is
-    still on its way shrinks by the damping factor each round. Done when a round
-    adds at most ``tolerance`` of any host's score, so the bound is relative and
-    holds for graphs of any size. Each round is one join and one sum; the state
-    is written to the shared folder every few rounds. A kind without seeds has no rows.
+    scores of a kind sum to at most 1. A round is one join and one sum; scores
+    only grow, and what a round adds shrinks by the damping factor. Done when
+    ``ROUNDS_PER_CHECK`` rounds, after which the scores are written to the shared
+    folder, add at most ``tolerance`` of any host's score: the bound is relative,
+    so it holds for graphs of any size. A kind without seeds has no rows.
     """
     total = seeds.groupBy("kind").agg(F.sum("weight").alias("total"))
-    first = (F.sum("weight") / F.first("total") * (1 - damping)).alias("mass")
-    state = materialise(seeds.join(F.broadcast(total), "kind").groupBy("kind", "host").agg(first).withColumn("score", F.col("mass")))
+    start = (F.sum("weight") / F.first("total") * (1 - damping)).alias("score")
+    # one row per kind
+    start = materialise(seeds.join(F.broadcast(total), "kind").groupBy("kind", "host").agg(start))
     out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("out"))
     moves = edges.join(out, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("out") * damping).alias("share"))
-    moves = materialise(moves)
-    while (state.agg(F.max(F.try_divide("mass", "score"))).first()[0] or 0) > tolerance:
+    moves, score, added = materialise(moves), start, 1.0
+    while added > tolerance:
+        before = score.withColumnRenamed("score", "before")
         for _ in range(ROUNDS_PER_CHECK):
-            came = (F.col("share") * F.col("mass")).alias("mass")
-            sent = moves.join(state, ["kind", "host"]).select("kind", F.col("dst").alias("host"), came).withColumn("score", F.col("mass"))
-            kept = state.select("kind", "host", F.lit(0.0).alias("mass"), "score")
-            state = sent.unionByName(kept).groupBy("kind", "host").agg(F.sum("mass").alias("mass"), F.sum("score").alias("score"))
-        state = materialise(state)
-    return state.drop("mass")
+            sent = moves.join(score, ["kind", "host"]).select("kind", F.col("dst").alias("host"), (F.col("share") * F.col("score")).alias("score"))
+            score = sent.unionByName(start).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        score = materialise(score)
+        change = F.try_divide(F.col("score") - F.coalesce("before", F.lit(0.0)), "score")
+        added = score.join(before, ["kind", "host"], "left").agg(F.max(change)).first()[0] or 0.0
+    return score
 
 
 def host_verdicts(pages: DataFrame, block_share: float = BLOCK_SHARE) -> DataFrame:
