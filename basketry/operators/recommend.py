@@ -226,7 +226,7 @@ def pair_candidates(lists: DataFrame) -> DataFrame:
     )
 
 
-def _better(rating_order: str):
+def candidate_comparator(rating_order: str):
     """Comparator of two candidates of one view: bought first, rating
     descending (nulls last), product id, stock."""
 
@@ -436,7 +436,7 @@ class Recommender:
                 .groupBy("user_id", "event_time")
                 .agg(F.flatten(F.collect_list("each")).alias("candidates"))
             )
-            best = F.slice(F.array_sort("candidates", _better(self.rating_order)), 1, self.k)
+            best = F.slice(F.array_sort("candidates", candidate_comparator(self.rating_order)), 1, self.k)
             return merged.select("user_id", "event_time", best.alias("candidates")).where(F.size("candidates") > 0)
 
         return self._memo("view_lists", build)

@@ -7,10 +7,13 @@ as ``sales`` and summed per category per tumbling window.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded, latest_per_key
+from basketry.operators.ordered import as_of_join, trailing_sums
 
 SALE_COLUMNS = ["invoice_id", "user_id", "product_id", "quantity", "unit_cost"]
 
@@ -48,6 +51,46 @@ def enrich_sales(
     )
 
 
+def enrich_sales_as_of(
+    sales: DataFrame,
+    versions: DataFrame,
+    time_col: str = "purchase_time",
+    valid_from: str = "valid_from",
+    version_order: Sequence[str] = (),
+) -> DataFrame:
+    """Sales with the category their product had then: of the product's versions
+    the last one at or before the sale (``operators.ordered.as_of_join``). A sale
+    before its product's first version is dropped, as one of an unknown product."""
+    keep = [c for c in ("invoice_id", "user_id", "product_id", time_col) if c in sales.columns]
+    used = versions.select("product_id", "category", valid_from, *version_order)
+    found = as_of_join(sales.select(*keep, "quantity"), used, "product_id", time_col, valid_from, version_order)
+    return found.where("version is not null").select(*keep, F.col("version.category").alias("category"), F.col("quantity").alias("sales"))
+
+
+def version_lists(versions: DataFrame, valid_from: str = "valid_from", version_order: Sequence[str] = ()) -> DataFrame:
+    """Per product its versions as one array, oldest first: the lookup form of a
+    dimension that changes seldom, for streams and for small dimensions."""
+    item = F.struct(F.col(valid_from).alias("since"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(version_order)], F.col("category").alias("category"))
+    rows = versions.where(F.col("product_id").isNotNull() & F.col(valid_from).isNotNull())
+    return rows.groupBy("product_id").agg(F.array_sort(F.collect_list(item)).alias("versions"))
+
+
+def enrich_sales_from_lists(sales: DataFrame, lists: DataFrame, time_col: str = "purchase_time") -> DataFrame:
+    """``enrich_sales_as_of`` from ``version_lists``: a stateless join, also of a
+    stream, where the lists are computed anew for every micro-batch."""
+    keep = [c for c in ("invoice_id", "user_id", "product_id", time_col) if c in sales.columns]
+    then = F.filter("versions", lambda v: v["since"] <= F.col(time_col))
+    rows = sales.join(lists, "product_id").select(*keep, F.try_element_at(then, F.lit(-1)).alias("version"), "quantity")
+    return rows.where("version is not null").select(*keep, F.col("version.category").alias("category"), F.col("quantity").alias("sales"))
+
+
+def trailing_sales(enriched: DataFrame, time_col: str = "purchase_time", interval: str = "1 hour") -> DataFrame:
+    """``category, time_col, sales``: at every instant with a sale of the category,
+    the quantity sold in the ``interval`` up to it. A category of any size is
+    spread over tasks by time."""
+    return trailing_sums(enriched, "category", time_col, "sales", interval, "sales")
+
+
 def unmatched_sales(
     sales: DataFrame,
     products: DataFrame,

@@ -11,38 +11,20 @@ Column names are aliased identically on both sides.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry import schemas
 from basketry.functions import encode, parse
+from basketry.operators import history
 from basketry.operators import recommend as rec
 from basketry.operators import sales as sal
 from basketry.operators.common import latest_per_key
+from basketry.plans.registry import REGISTRY, oracle_sql, queries, register  # noqa: F401
 from basketry.schemas import SALES_FIELDS
 from basketry.sources import files
 from basketry.sources import testdata as td
 
 
-@dataclass(frozen=True)
-class Query:
-    build: Callable[[SparkSession, str], DataFrame]
-    sql: str | None
-
-
-REGISTRY: dict[str, Query] = {}
-
-
-def register(name: str, sql: str | None):
-    def wrap(fn):
-        REGISTRY[name] = Query(fn, sql)
-        return fn
-
-    return wrap
-
-
 W = td.oracle_with
 
 # --------------------------------------------------------------------------
@@ -172,6 +154,40 @@ def sales_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sal.enrich_sales(td.sales(spark, sf_dir), rec.in_stock(td.inventory(spark, sf_dir)))
 
 
+@register(
+    "sales_as_of",
+    W("sales_bulk") + ", versions AS (SELECT l_partkey AS product_id, l_returnflag AS category, l_shipdate AS since, "
+    "(l_shipdate, l_orderkey, l_linenumber) AS load FROM lineitem)\n, numbered AS (SELECT row_number() OVER () AS id, * FROM sales_bulk)\n"
+    "SELECT any_value(invoice_id) AS invoice_id, any_value(user_id) AS user_id, any_value(s.product_id) AS product_id, "
+    "any_value(purchase_time) AS purchase_time, arg_max(category, load) AS category, any_value(quantity) AS sales "
+    "FROM numbered s JOIN versions v ON v.product_id = s.product_id AND v.since <= s.purchase_time GROUP BY id",
+)
+def sales_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with the category their product had when ordered; the
+    dimension's versions are its shipped lines, in load order."""
+    return sal.enrich_sales_as_of(td.sales_bulk(spark, sf_dir), td.product_updates(spark, sf_dir), "purchase_time", "shipped", td.LOAD_ORDER)
+
+
+@register(
+    "sales_trailing_hour",
+    _enriched_sql() + "SELECT DISTINCT category, purchase_time, CAST(sum(sales) OVER (PARTITION BY category ORDER BY purchase_time "
+    "RANGE BETWEEN INTERVAL '1 hour' PRECEDING AND CURRENT ROW) AS BIGINT) AS sales FROM enriched",
+)
+def sales_trailing_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last hour's sales of a category, exact at every sale."""
+    return sal.trailing_sales(sal.enrich_sales(td.sales(spark, sf_dir), td.inventory(spark, sf_dir)))
+
+
+@register(
+    "sales_trailing_month",
+    _enriched_sql("sales_bulk") + "SELECT DISTINCT category, purchase_time, CAST(sum(sales) OVER (PARTITION BY category ORDER BY purchase_time "
+    "RANGE BETWEEN INTERVAL '30 days' PRECEDING AND CURRENT ROW) AS BIGINT) AS sales FROM enriched",
+)
+def sales_trailing_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over order lines, whose days hold many sales each."""
+    return sal.trailing_sales(sal.enrich_sales(td.sales_bulk(spark, sf_dir), td.inventory(spark, sf_dir)), interval="30 days")
+
+
 def _by_category_sql(width: str, src: str = "sales") -> str:
     return _enriched_sql(src) + _sums_sql(width)
 
@@ -461,10 +477,46 @@ def recommend_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _recommender(spark, sf_dir).recommend("user", "5 seconds", repeat=False)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: q.build for name, q in REGISTRY.items()}
+# --------------------------------------------------------------------------
+# Per view, with what came before it
+# --------------------------------------------------------------------------
 
+_BEFORE_SQL = _CANDIDATES_SQL.replace(
+    "FROM owned WHERE owned.user_id = viewed.user_id AND owned.product_id = stocked.product_id",
+    "FROM sales WHERE sales.user_id = viewed.user_id AND sales.product_id = stocked.product_id AND sales.purchase_time <= viewed.event_time",
+)
+
+
+@register(
+    "topk_per_view_bought_before",
+    _BEFORE_SQL + f", ranked AS (SELECT {_CAND_COLS}, {_rank_sql('user_id, event_time', 'rating', False)} AS rn FROM candidates)\n"
+    f"SELECT {_CAND_OUT}, rn FROM ranked WHERE rn <= 6",
+)
+def topk_per_view_bought_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A product counts as bought from its first purchase on."""
+    return _purchased_as_text(history.ranked_bought_before(_recommender(spark, sf_dir)))
+
+
+# view by view: of the view's candidates in order, the first six not shown before
+_UNSEEN_VIEW_SQL = _CANDIDATES_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + f""", ordered AS (
+  SELECT user_id, event_time, list({{'p': product_id, 'c': category, 's': stock, 'r': rating, 'b': purchased}}
+         ORDER BY {_rank_sql('user_id, event_time', 'rating', False).split('ORDER BY ')[1].split(') AS INTEGER')[0]}) AS cands
+  FROM candidates GROUP BY user_id, event_time
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_time) AS n FROM ordered
+), fold(user_id, n, event_time, picks, shown) AS (
+  SELECT user_id, n, event_time, cands[1:6], cands[1:6] FROM numbered WHERE n = 1
+  UNION ALL
+  SELECT v.user_id, v.n, v.event_time, list_filter(v.cands, lambda x: NOT list_contains(f.shown, x))[1:6],
+         list_concat(f.shown, list_filter(v.cands, lambda x: NOT list_contains(f.shown, x))[1:6])
+  FROM fold f JOIN numbered v ON v.user_id = f.user_id AND v.n = f.n + 1
+)
+SELECT user_id, event_time, x.p AS product_id, x.c AS category, x.s AS stock, x.r AS rating, CAST(x.b AS VARCHAR) AS purchased, CAST(rn AS INTEGER) AS rn
+FROM (SELECT user_id, event_time, unnest(picks) AS x, generate_subscripts(picks, 1) AS rn FROM fold)
+"""
 
-def oracle_sql() -> dict[str, str]:
-    return {name: q.sql for name, q in REGISTRY.items() if q.sql}
 
+@register("topk_per_view_unseen", _UNSEEN_VIEW_SQL)
+def topk_per_view_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No product twice for a user: each view takes the best six not yet shown."""
+    return _purchased_as_text(history.ranked_unseen(_recommender(spark, sf_dir)))

@@ -19,6 +19,12 @@ Both emit one final message per window, when the watermark passes its end
 (append mode), so the messages of a category can be added up. Spark moves the
 watermark with the rows it sees: the last window is sent once later rows come.
 
+The product dimension is fixed, or (a frame with ``valid_from``) a table of
+versions: each sale then gets the category that its product had at the time. The
+versions are read anew for every micro-batch where their source lists its files
+per run, as ``committed.read`` does, so a version added while the stream runs
+takes effect with the next batch.
+
 Malformed lines stop the stream (``on_error="fail"``) or are left out and
 counted: every progress report holds the observed metric ``sale_lines``.
 """
@@ -32,7 +38,7 @@ from pyspark.sql.streaming import StreamingQuery
 from basketry.functions import encode, parse
 from basketry.operators import sales as sal
 from basketry.session import checkpoint_root, scratch_path
-from basketry.streaming import sinks
+from basketry.streaming import committed, sinks
 
 TIME_MODES = ("event", "processing")
 
@@ -53,10 +59,18 @@ def sales_by_category_stream(
     if time_mode == "processing":
         sales = sal.with_processing_time(sales.drop("purchase_time"), "purchase_time")
     sales = sales.withWatermark("purchase_time", watermark)
-    enriched = sal.enrich_sales(sales, products)
+    if "valid_from" in products.columns:
+        enriched = sal.enrich_sales_from_lists(sales, sal.version_lists(products, version_order=_version_order(products)))
+    else:
+        enriched = sal.enrich_sales(sales, products)
     return sal.sales_by_category(enriched, "purchase_time", window)
 
 
+def _version_order(versions: DataFrame) -> list[str]:
+    """Versions of one instant are ordered by the load that brought them."""
+    return [c for c in (committed.RUN, committed.BATCH) if c in versions.columns]
+
+
 def as_messages(sums: DataFrame) -> DataFrame:
     """The topic record: JSON value ``{"category", "sales"}``; the window end
     rides along as the record timestamp (it is not part of the message)."""
@@ -77,8 +91,8 @@ def start(
     on_error: str = "fail",
     extra_sinks: tuple[sinks.BatchSink, ...] = (),
 ) -> StreamingQuery:
-    """Run the job: JSON messages to ``output_path`` (exactly-once per
-    ``batch_id``) and, when ``print_rows`` > 0, a console print of each batch.
+    """Run the job: JSON messages to ``output_path`` (each batch of a query once,
+    see ``committed``) and, when ``print_rows`` > 0, a console print of each batch.
     The checkpoint defaults to the session's shared ``spark.checkpoint.dir``.
     ``on_error``: see the module text."""
     if checkpoint_path is None:

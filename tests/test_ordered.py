@@ -1,0 +1,84 @@
+"""Operations along an order, against plain loops; a hot key is spread over tasks."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from basketry.operators import ordered
+from basketry.operators import sales as sal
+
+T0 = dt.datetime(2024, 1, 1)
+
+
+def at(s):
+    return T0 + dt.timedelta(seconds=s)
+
+
+def test_prefix_sums(spark):
+    rng = random.Random(1)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.randrange(50), i, rng.choice([None, 1, 2, 5])) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, t long, id long, v long").repartition(5)
+    got = {r.id: r.prefix for r in ordered.prefix_sums(df, ["k"], ["t", "id"], "v").collect()}
+    assert len(got) == 400
+    for k, t, i, _ in rows:
+        assert got[i] == sum(v or 0 for k2, t2, i2, v in rows if k2 == k and (t2, i2) <= (t, i))
+
+
+def literal_as_of(sales, versions):
+    out = []
+    for i, p, t in sales:
+        known = [v for v in versions if v[0] == p and p is not None and t is not None and v[1] is not None and v[1] <= t]
+        out.append((i, max(known, key=lambda v: v[1:3])[3] if known else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_as_of_join(spark, seed):
+    rng = random.Random(seed)
+    when = lambda: rng.choice([None, *map(at, range(30))])
+    sales = [(i, rng.choice([None, 1, 1, 1, 2, 3]), when()) for i in range(300)]
+    versions = [(rng.choice([None, 1, 1, 2, 9]), when(), j, rng.choice(["a", "b", None])) for j in range(60)]
+    s = spark.createDataFrame(sales, "id long, product long, t timestamp").repartition(4)
+    v = spark.createDataFrame(versions, "product long, since timestamp, load long, category string").repartition(3)
+    got = ordered.as_of_join(s, v, "product", "t", "since", ["load"])
+    assert sorted(((r.id, r.version.category if r.version else None) for r in got.collect()), key=str) == literal_as_of(sales, versions)
+    assert ordered.as_of_join(s, v.limit(0), "product", "t", "since", ["load"]).where("version is not null").count() == 0
+    assert ordered.as_of_join(s.limit(0), v, "product", "t", "since").count() == 0
+
+
+def test_versions_from_lists_equal_the_join(spark):
+    rng = random.Random(9)
+    sales = spark.createDataFrame([(i, 1, rng.randrange(6), 2, at(rng.randrange(40))) for i in range(200)],
+                                  "invoice_id long, user_id long, product_id long, quantity long, purchase_time timestamp")
+    versions = spark.createDataFrame([(rng.randrange(5), at(rng.randrange(40)), j, rng.choice("abc")) for j in range(40)],
+                                     "product_id long, valid_from timestamp, load long, category string")
+    one = sal.enrich_sales_as_of(sales, versions, version_order=["load"])
+    two = sal.enrich_sales_from_lists(sales, sal.version_lists(versions, version_order=["load"]))
+    rows = lambda df: sorted(map(tuple, df.select("invoice_id", "product_id", "purchase_time", "category", "sales").collect()))
+    assert rows(one) == rows(two) and 0 < len(rows(one)) < 200
+
+
+def test_trailing_sums(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "a", "b", None]), at(rng.choice([0, 59, 60, 61, *range(0, 400, 7)])), rng.randrange(1, 5)) for _ in range(300)]
+    df = spark.createDataFrame([*rows, ("a", None, 3)], "category string, purchase_time timestamp, sales long").repartition(4)
+    got = {(r.category, r.purchase_time): r.sales for r in sal.trailing_sales(df, interval="60 seconds").collect()}
+    want = {(c, t): sum(q for c2, t2, q in rows if c2 == c and t - dt.timedelta(seconds=60) <= t2 <= t) for c, t, _ in rows}
+    assert got == want
+    assert sal.trailing_sales(df.limit(0)).collect() == []
+
+
+def test_a_hot_key_spans_many_ranges(spark):
+    """One category with most of the rows, one instant with many of them."""
+    hot = [("hot", at(i), i) for i in range(4000)] + [("hot", at(77), 10_000 + i) for i in range(3000)]
+    df = spark.createDataFrame(hot + [(f"c{i % 50}", at(i), 20_000 + i) for i in range(1000)], "k string, t timestamp, id long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = ordered.ranges(df, ["k"], ["t", "id"]).where("k = 'hot'").groupBy("_range").count().collect()
+        found = ordered.prefix_sums(df.withColumn("v", F.lit(1).cast("long")), ["k"], ["t", "id"], "v").where("k = 'hot'")
+        assert found.agg(F.max("prefix"), F.count_distinct("prefix")).first() == (7000, 7000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) >= 3 and max(r["count"] for r in sizes) < 0.7 * 7000
