@@ -38,6 +38,8 @@ ROUNDS_PER_CHECK, TOLERANCE = 8, 1e-4
 #: a host is blocked if distrust holds at least this share of distrust + trust,
 #: to so many digits (the ranking leaves out less than these show)
 BLOCK_SHARE, DIGITS = 0.5, 3
+#: edges of the host graph that a task takes in a round
+EDGES_PER_TASK = 500_000
 #: longer hosts are no domain names and have no names above them (fixed value of DNS)
 MAX_NAME = 253
 _LINK = r"""(?i)\shref\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""
@@ -108,20 +110,23 @@ def personalised_ranks(edges: DataFrame, seeds: DataFrame, damping: float = DAMP
     only grow, and what a round adds shrinks by the damping factor. Done when
     ``ROUNDS_PER_CHECK`` rounds, after which the scores are written to the shared
     folder, add at most ``tolerance`` of any host's score: the bound is relative,
-    so it holds for graphs of any size. A kind without seeds has no rows.
+    so it holds for graphs of any size. A kind without seeds has no rows. A round
+    runs in tasks of ``EDGES_PER_TASK`` edges, so that the many rounds of a small
+    graph do not write many empty shuffle files.
     """
+    tasks = 1 + edges.count() // EDGES_PER_TASK
     total = seeds.groupBy("kind").agg(F.sum("weight").alias("total"))
     start = (F.sum("weight") / F.first("total") * (1 - damping)).alias("score")
     # one row per kind
-    start = materialise(seeds.join(F.broadcast(total), "kind").groupBy("kind", "host").agg(start))
+    start = materialise(seeds.join(F.broadcast(total), "kind").groupBy("kind", "host").agg(start).coalesce(tasks))
     out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("out"))
     moves = edges.join(out, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("out") * damping).alias("share"))
-    moves, score, added = materialise(moves), start, 1.0
+    moves, score, added = materialise(moves.coalesce(tasks)), start, 1.0
     while added > tolerance:
         before = score.withColumnRenamed("score", "before")
         for _ in range(ROUNDS_PER_CHECK):
             sent = moves.join(score, ["kind", "host"]).select("kind", F.col("dst").alias("host"), (F.col("share") * F.col("score")).alias("score"))
-            score = sent.unionByName(start).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+            score = sent.unionByName(start).groupBy("kind", "host").agg(F.sum("score").alias("score")).coalesce(tasks)
         score = materialise(score)
         change = F.try_divide(F.col("score") - F.coalesce("before", F.lit(0.0)), "score")
         added = score.join(before, ["kind", "host"], "left").agg(F.max(change)).first()[0] or 0.0
