@@ -108,8 +108,11 @@ def clicked_products(
     inventory: DataFrame,
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Distinct (user_id, event_time, product_id, category) of known products."""
-    dim = broadcast_if_bounded(inventory.select("product_id", "category"), max_broadcast_rows)
+    """Distinct (user_id, event_time, product_id, category) of known products. A
+    product and category listed many times is looked up once (with
+    ``max_broadcast_rows`` None the caller has seen to that)."""
+    dim = inventory.select("product_id", "category")
+    dim = dim if max_broadcast_rows is None else broadcast_if_bounded(dim.distinct(), max_broadcast_rows)
     return (
         clicks.select("user_id", "event_time", "product_id")
         .join(dim, "product_id")
@@ -325,8 +328,19 @@ class Recommender:
         dim = self.inventory.select("product_id", "category", "stock", "rating")
         return self._memo("dimension", lambda: F.broadcast(dim) if self._dimension_is_small() else dim)
 
+    def lookup(self) -> DataFrame:
+        """Distinct (product_id, category), broadcast once its size is proven small:
+        an inventory that lists a product many times adds no click rows."""
+
+        def build() -> DataFrame:
+            pairs = self.inventory.select("product_id", "category").distinct()
+            small = self._dimension_is_small() or (self.max_broadcast_rows is not None and fits_broadcast(pairs, self.max_broadcast_rows))
+            return F.broadcast(pairs) if small else pairs
+
+        return self._memo("lookup", build)
+
     def clicked(self) -> DataFrame:
-        return self._memo("clicked", lambda: clicked_products(self.clicks, self.dimension(), None))
+        return self._memo("clicked", lambda: clicked_products(self.clicks, self.lookup(), None))
 
     def views(self) -> DataFrame:
         return self._memo("views", lambda: views(self.clicked()))
@@ -337,7 +351,7 @@ class Recommender:
         return self._memo(
             "click_rows",
             lambda: self.clicks.select("user_id", "event_time", "product_id")
-            .join(self.dimension().select("product_id", "category"), "product_id")
+            .join(self.lookup(), "product_id")
             .select("user_id", "event_time", "category"),
         )
 
