@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,7 +44,7 @@ from basketry.session import ship_package
 NAME = "committed_files"
 #: columns a reader may ask for: the run and the batch that wrote a row
 RUN, BATCH = "_run", "_batch"
-_READ_TASKS = 1000
+_READ_TASKS, _LIVE_TASKS = 1000, 16
 # the local property in which Spark names the streaming query of a task
 _QUERY = "sql.streaming.queryId"
 
@@ -143,30 +144,42 @@ class _BatchWriter(DataSourceArrowWriter):
         _remove(self.path, messages)
 
 
+def _listed(path: str, task: int = 0, tasks: int = 1) -> list[tuple[str, int, int]]:
+    """(file, run, batch) of all commits, or of every commit dealt to ``task``."""
+    fs, root = _store(path)
+    found = fs.get_file_info(pyarrow.fs.FileSelector(f"{root}/commits", allow_not_found=True, recursive=True))
+    files = []
+    for f in sorted((f for f in found if f.base_name.endswith(".json")), key=lambda f: f.path):
+        if zlib.crc32(f.path.encode()) % tasks == task:
+            with fs.open_input_stream(f.path) as stream:
+                commit = json.loads(stream.read())
+            files += [(name, commit["run"], commit["batch"]) for name, _ in commit["files"]]
+    return files
+
+
 class _Files(InputPartition):
-    def __init__(self, files: list[tuple[str, int, int]]):
-        self.files = files
+    """The files of a task, or (``live``) its share of the commits there are when it runs."""
+
+    def __init__(self, files: list[tuple[str, int, int]] | None, task: int = 0, tasks: int = 1):
+        self.files, self.task, self.tasks = files, task, tasks
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, schema: T.StructType):
-        self.path, self.schema = path, schema
+    def __init__(self, path: str, schema: T.StructType, live: bool):
+        self.path, self.schema, self.live = path, schema, live
 
     def partitions(self) -> list[InputPartition]:
-        fs, root = _store(self.path)
-        found = fs.get_file_info(pyarrow.fs.FileSelector(f"{root}/commits", allow_not_found=True, recursive=True))
-        files = []
-        for f in sorted((f for f in found if f.base_name.endswith(".json")), key=lambda f: f.path):
-            with fs.open_input_stream(f.path) as stream:
-                commit = json.loads(stream.read())
-            files += [(name, commit["run"], commit["batch"]) for name, _ in commit["files"]]
+        if self.live:
+            return [_Files(None, i, _LIVE_TASKS) for i in range(_LIVE_TASKS)]
+        files = _listed(self.path)
         n = min(len(files), _READ_TASKS)
         return [_Files(files[i::n]) for i in range(n)] or [_Files([])]
 
     def read(self, partition: _Files) -> Iterator[pa.RecordBatch]:
         fs, root = _store(self.path)
         schema = to_arrow_schema(self.schema)
-        for name, run, batch in partition.files:
+        files = _listed(self.path, partition.task, partition.tasks) if partition.files is None else partition.files
+        for name, run, batch in files:
             with fs.open_input_file(f"{root}/files/{name}") as source:
                 for b in pq.ParquetFile(source).iter_batches():
                     own = {RUN: pa.array([run] * b.num_rows, pa.int64()), BATCH: pa.array([batch] * b.num_rows, pa.int64())}
@@ -180,7 +193,7 @@ class CommittedFiles(DataSource):
         return NAME
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _Reader(self.options["path"], schema)
+        return _Reader(self.options["path"], schema, self.options.get("live") == "true")
 
     def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceArrowWriter:
         return _BatchWriter(self.options["path"], self.options["query"], int(self.options["batch"]))
@@ -204,11 +217,13 @@ def write_batch(df: DataFrame, path: str, batch_id: int, query: str | None = Non
     df.write.format(NAME).mode("append").option("path", path).option("query", query).option("batch", str(batch_id)).save()
 
 
-def read(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """All committed rows with their run and batch. The commits are listed each
-    time the frame is run, also as the static side of each micro-batch."""
+def read(spark: SparkSession, path: str, schema: T.StructType | str, live: bool = False) -> DataFrame:
+    """All committed rows with their run and batch. The commits are listed once,
+    when the frame is first planned; with ``live`` each time it is run, so that a
+    frame joined to a stream is new for every micro-batch. (A commit that comes in
+    meanwhile is seen whole or not at all.)"""
     register(spark)
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     schema = T.StructType([*schema.fields, T.StructField(RUN, T.LongType()), T.StructField(BATCH, T.LongType())])
-    return spark.read.format(NAME).schema(schema).option("path", path).load()
+    return spark.read.format(NAME).schema(schema).option("path", path).option("live", str(live).lower()).load()

@@ -21,9 +21,9 @@ watermark with the rows it sees: the last window is sent once later rows come.
 
 The product dimension is fixed, or (a frame with ``valid_from``) a table of
 versions: each sale then gets the category that its product had at the time. The
-versions are read anew for every micro-batch where their source lists its files
-per run, as ``committed.read`` does, so a version added while the stream runs
-takes effect with the next batch.
+versions are read anew for every micro-batch if they come from
+``committed.read(..., live=True)``: a version added while the stream runs takes
+effect with the next batch.
 
 Malformed lines stop the stream (``on_error="fail"``) or are left out and
 counted: every progress report holds the observed metric ``sale_lines``.

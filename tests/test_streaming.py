@@ -509,3 +509,33 @@ def test_kafka_factories_fail_fast_without_the_connector(spark):
     for factory in (files.kafka_stream, files.kafka_batch):
         with pytest.raises(AnalysisException, match="kafka"):
             factory(spark, "localhost:9", "sales.records")
+
+
+def test_sales_stream_takes_new_product_versions_while_it_runs(spark):
+    """A product moves to another category midway: each sale counts for the one it had then."""
+    root = scratch()
+    dim, src = os.path.join(root, "dim"), os.path.join(root, "in")
+    schema = "product_id long, category string, valid_from timestamp"
+    load = lambda rows_, n: committed.write_batch(spark.createDataFrame(rows_, schema), dim, n, "load")
+    load([(1, "toys", at(0)), (2, "food", at(0))], 0)
+    send_ = lambda rows_: spark.createDataFrame(rows_, MSG).coalesce(1).write.mode("append").parquet(src)
+    send_([("1,9,1,2,5", at(10)), ("2,9,2,1,5", at(10)), ("9,9,1,7,5", at(-1))])  # the last before its first version
+    products = committed.read(spark, dim, schema, live=True)
+    q = sales_stream.start(files.message_file_stream(spark, src, max_files_per_trigger=1), products, os.path.join(root, "out"),
+                           os.path.join(root, "ckpt"), watermark="100 seconds")
+    try:
+        q.processAllAvailable()
+        load([(1, "games", at(20)), (3, "new", at(0))], 1)
+        send_([("3,9,1,3,5", at(19)), ("4,9,1,4,5", at(20)), ("5,9,3,5,5", at(12))])
+        q.processAllAvailable()
+        # a version of the same instant from a later load wins
+        load([(2, "fruit", at(0))], 2)
+        send_([("6,9,2,6,5", at(30))])
+        q.processAllAvailable()
+        for far in (1e5, 2e5):
+            sentinel(spark, at(far)).coalesce(1).write.mode("append").parquet(src)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted((r.category, r.sales) for r in sent(spark, os.path.join(root, "out")).collect())
+    assert got == [("food", 1), ("fruit", 6), ("games", 4), ("new", 5), ("toys", 5)]
