@@ -85,7 +85,8 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 
 def _license_sql() -> str:
-    """The scan over the whole table: k-grams joined by their words."""
+    """The scan over the whole table: k-grams joined by their words; spans with few
+    of them by the longest common subsequence of the words around a diagonal."""
     k = licenses.K
     grams = []
     for exact, entries in ((True, licenses.PHRASES), (False, licenses.TEMPLATES)):
@@ -93,6 +94,14 @@ def _license_sql() -> str:
             w = text.split()
             n = len(w) - k + 1
             grams += [f"('{label}', {exact}, {n}, {i}, '{' '.join(w[i : i + k])}')" for i in range(n)]
+    wordings = ", ".join(f"('{label}', string_split('{text}', ' '))" for label, text in licenses.TEMPLATES)
+    shift = licenses.MAX_SHIFT
+    # one row of the table of common subsequences from the one before: per word of
+    # the text the list of template words that equal it
+    longest = """list_reduce(list_transform(near, lambda x: list_transform(t, lambda y: (x = y)::INTEGER)),
+        lambda upper, same: list_reduce(list_transform(range(1, len(t) + 1), lambda j: [j::INTEGER]),
+            lambda done, j: list_append(done, greatest(done[len(done)], upper[j[1] + 1], upper[j[1]] + same[j[1]])), [0]),
+        list_transform(range(len(t) + 1), lambda j: 0))"""
     return rf"""
 WITH words AS (
     SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -108,10 +117,19 @@ WITH words AS (
 ), merged AS (
     SELECT *, sum(fresh) OVER (PARTITION BY doc_id, label ORDER BY d) AS span FROM steps
 ), similar_spans AS (
-    SELECT doc_id, label, len(list_distinct(flatten(list(hits)))) / n AS score FROM merged GROUP BY doc_id, label, n, span
+    SELECT doc_id, label, len(list_distinct(flatten(list(hits)))) / n AS score, list(d) AS ds FROM merged GROUP BY doc_id, label, n, span
+), wordings(label, t) AS (
+    VALUES {wordings}
+), around AS (
+    SELECT doc_id, label, t, w[greatest(d - {shift}, 0) + 1:d + len(t) + {shift}] AS near
+    FROM (SELECT doc_id, label, unnest(ds) AS d FROM similar_spans WHERE score < {licenses.MIN_SCORE}) JOIN wordings USING (label) JOIN words USING (doc_id)
+    WHERE d + len(t) + {shift} > 0
+), edited AS (
+    SELECT doc_id, label, list_max({longest}) / len(t) AS score FROM around
 ), found AS (
     SELECT doc_id, label, 1.0 AS score, d AS first FROM diagonals WHERE whole AND len(hits) = n
     UNION ALL SELECT doc_id, label, score, NULL FROM similar_spans WHERE score >= {licenses.MIN_SCORE}
+    UNION ALL SELECT doc_id, label, score, NULL FROM edited WHERE score >= {licenses.MIN_SCORE}
 ), summed AS (
     SELECT doc_id, count(first) AS n_base, min(first) AS first_word, max(first) AS last_word, max(score) AS score,
            string_agg(DISTINCT label, ',' ORDER BY label) FILTER (first IS NOT NULL) AS base_labels,

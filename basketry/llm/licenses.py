@@ -125,17 +125,27 @@ def edited_copies(docs: DataFrame, weak: DataFrame, max_shift: int = MAX_SHIFT,
     """``doc_id, version, label, exact, first, score``: the ``weak`` spans (materialised) whose
     text holds enough of the template's words in order, at most ``max_shift`` words off a diagonal.
     Only texts with such a span are split into words again."""
-    spark = docs.sparkSession
-    templates = spark.createDataFrame([(label, text.split()) for label, text in TEMPLATES], "t_label string, template array<string>")
-    weak = weak.select(F.col("doc_id").alias("f_id"), F.col("version").alias("f_version"), "label", "exact", "diagonals")
+    templates = F.create_map(*[x for label, text in TEMPLATES for x in (F.lit(label), F.array(*map(F.lit, text.split())))])
+    # one row per text, so that it is split into words once, however many spans it has
+    weak = weak.groupBy(F.col("doc_id").alias("f_id"), F.col("version").alias("f_version")).agg(
+        F.flatten(F.collect_list(F.transform("diagonals", lambda d: F.struct("label", "exact", d.alias("first"))))).alias("weak")
+    )
     rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("version"), "text")
-    rows = rows.join(small(weak), F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("version") == F.col("f_version")))
-    rows = rows.select("doc_id", "version", "label", "exact", "diagonals", words_of().alias("words"))
-    rows = rows.select("doc_id", "version", "label", "exact", "words", F.explode("diagonals").alias("first"))
-    rows = rows.join(F.broadcast(templates), F.col("label") == F.col("t_label"))
-    start = F.greatest(F.col("first") - max_shift, F.lit(0))
-    end = F.col("first") + F.size("template") + max_shift
-    near = rows.withColumn("near", F.slice("words", start + 1, F.greatest(end - start, F.lit(0))))
+    rows = rows.join(small(materialise(weak)), F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("version") == F.col("f_version")))
+    rows = rows.select("doc_id", "version", "weak", words_of().alias("words"))
+
+    def window(x: Column) -> Column:
+        template = F.element_at(templates, x["label"])
+        start = F.greatest(x["first"] - max_shift, F.lit(0))
+        end = x["first"] + F.size(template) + max_shift
+        near = F.slice("words", start + 1, F.greatest(end - start, F.lit(0))).alias("near")
+        return F.struct(x["label"].alias("label"), x["exact"].alias("exact"), x["first"].alias("first"), template.alias("template"), near)
+
+    # a diagonal takes along its few words, not the text
+    rows = rows.select("doc_id", "version", F.inline(F.transform("weak", window)))
+    # no more words stand in order than are there at all
+    there = F.size(F.filter("template", lambda w: F.array_contains("near", w)))
+    near = rows.where(there >= min_score * F.size("template"))
     scored = near.withColumn("score", words_in_order(F.col("near"), F.col("template")) / F.size("template"))
     return scored.where(F.col("score") >= min_score).select("doc_id", "version", "label", "exact", "first", "score")
 
@@ -149,7 +159,9 @@ def license_scan(docs: DataFrame) -> DataFrame:
     the similar templates; ``score`` is the best share of a template found (1 for
     a phrase, 0 for none): of its k-grams or, where these are too few, of its words
     in order. A null or empty text has no words and no labels.
-    Repeated rows each get the same result; null ids are matched like others.
+    Repeated rows each get the same result; null ids are matched like others. An
+    empty table gives an empty result; other columns are not read. The work on a
+    text grows as its length: a diagonal is checked on the words around it alone.
     """
     every = materialise(spans(votes(docs), min_score=0))
     strong = every.where(F.col("score") >= MIN_SCORE).select("doc_id", "version", "label", "exact", "first", "score")

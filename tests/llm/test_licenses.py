@@ -1,8 +1,11 @@
 """License scan against a plain search over the words."""
 
 import re
+import time
 
-from basketry.llm import licenses
+import duckdb
+
+from basketry.llm import catalog, licenses
 
 RUN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -71,8 +74,8 @@ def lcs(a, b):
     return row[-1]
 
 
-def test_edited_copies(make_docs):
-    """One word replaced or removed anywhere, or a shortened lead: still a copy."""
+def edited_rows():
+    """Copies with one word replaced or removed anywhere or a shortened lead, and the label each must get."""
     rows, want = [], []
     for label, text in licenses.TEMPLATES:
         w = text.split()
@@ -88,6 +91,12 @@ def test_edited_copies(make_docs):
     rows += [(len(rows) + i, t) for i, (_, t) in enumerate(named)]
     rows += [(None, named[1][1]), rows[-1]]
     want += [label for label, _ in named] + ["gpl", ""]
+    return rows, want
+
+
+def test_edited_copies(make_docs):
+    """One word replaced or removed anywhere, or a shortened lead: still a copy."""
+    rows, want = edited_rows()
     text = dict(rows)
     got = licenses.license_scan(make_docs(rows)).collect()
     assert len(got) == len(rows)
@@ -97,3 +106,31 @@ def test_edited_copies(make_docs):
         if label and 0 < r.score < 1:
             template = dict(licenses.TEMPLATES)[label].split()
             assert 0.75 <= r.score <= lcs(words(text[r.doc_id]), template) / len(template)
+
+
+def test_edited_copies_against_the_sql(make_docs):
+    rows = [(i, t) for i, t in edited_rows()[0] if i is not None]
+    rows = list(dict(rows).items()) + [(900 + i, t) for i, t in ROWS if i is not None and i != 9]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    columns = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "round(score, 9)"]
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({catalog._license_sql()}) ORDER BY doc_id").fetchall()
+    got = licenses.license_scan(make_docs(rows)).selectExpr(*columns).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == want
+    assert sum(0.75 <= r[-1] < 1 for r in want) > 100
+
+
+def test_many_weak_diagonals_take_time_as_the_text(make_docs):
+    """Phrases of a template that stand alone, thousands of them in one text."""
+
+    def seconds(n):
+        docs = make_docs([(1, " ".join(f"in compliance with the license word{i}" for i in range(n)))], 1)
+        started = time.perf_counter()
+        (row,) = licenses.license_scan(docs).collect()
+        assert row.labels == "" and row.n_words == 6 * n
+        return time.perf_counter() - started
+
+    seconds(10)
+    short, long_ = seconds(1500), seconds(9000)
+    assert long_ < 6 * short + 5 and long_ < 40
