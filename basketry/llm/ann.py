@@ -5,10 +5,12 @@
    median, then swaps of nodes across each cut while they lower it), and a small
    classifier (one hidden layer) learns in which parts a vector's neighbours lie.
    The number of parts a query visits is the smallest that reaches
-   ``TARGET_RECALL`` on the sample.
+   ``TARGET_RECALL`` on the sample. A part with more than ``SPLIT_ROWS`` vectors is
+   fitted again on a sample of its own, in a task of its own, and so on: the parts
+   grow in number with the rows, not in size, up to ``LEVELS`` levels.
 2. *Index*: every vector goes to its most probable part. Parts are stored as
-   blocks of about ``BLOCK_ROWS`` vectors, so a part with a third of all rows is
-   many blocks, spread by a hash of the id.
+   blocks of about ``BLOCK_ROWS`` vectors, so a part with a third of all rows (of
+   equal vectors, say, which no router can split) is many blocks, spread by a hash.
 3. *Search*: queries go to their most probable parts; each (block, block of
    queries) is one matrix product. The best of each block are scored again in
    double precision, summed in component order, so equal vectors tie exactly.
@@ -16,6 +18,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +35,8 @@ PARTS = 16
 SAMPLE = 4096
 GRAPH_K = 10
 TARGET_RECALL = 0.97
+#: parts of more rows are split again, at most so many levels deep (each costs some recall)
+SPLIT_ROWS, LEVELS = 65_536, 3
 BLOCK_ROWS = 8192
 QUERY_ROWS = 2048
 _HIDDEN = 128
@@ -160,11 +165,11 @@ def fit(x: np.ndarray, parts: int = PARTS, k: int = K, target_recall: float = TA
 
 
 def vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """``vec_id, v`` (array of double): rows that take part.
+    """``uid, vec_id, v`` (array of double): rows that take part; ``uid`` numbers them.
 
     Left out are null ids, null or empty vectors, zero vectors, those with null or
     non-finite components, and those of another length than most rows. Rows that
-    repeat an id count once (the smallest vector).
+    repeat an id are rows of their own.
     """
     v = F.col(vec_col).cast("array<double>")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -172,7 +177,7 @@ def vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where(finite & F.exists("v", lambda x: x != 0))
     common = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
     rows = rows.where(F.size("v") == (common["size"] if common else 0))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.select(F.monotonically_increasing_id().alias("uid"), "vec_id", "v")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -180,37 +185,90 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _route(router: Router, visit: int, query_every: int):
-    """Vectors -> one row for the index, and one for each part a query visits."""
+#: node of the tree of routers -> its router and the number of parts a query visits
+Tree = dict[int, tuple[Router, int]]
+
+
+def descend(tree: Tree, x: np.ndarray, query: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(row, leaf): for each vector its most probable leaf, or all that a query visits."""
+    rows, nodes, found = np.arange(len(x)), np.zeros(len(x), np.int64), []
+    while len(rows):
+        inner = np.isin(nodes, list(tree))
+        found.append((rows[~inner], nodes[~inner]))
+        rows, nodes = rows[inner], nodes[inner]
+        below = []
+        for node in np.unique(nodes):
+            router, visit = tree[int(node)]
+            own = rows[nodes == node]
+            order = np.argsort(-router.probabilities(x[own]), axis=1, kind="stable")[:, : visit if query else 1]
+            below.append((np.repeat(own, order.shape[1]), (node * (PARTS + 1) + 1 + order).ravel()))
+        rows, nodes = (np.concatenate(z) for z in zip(*below)) if below else (rows, nodes)
+    return tuple(np.concatenate(z) for z in zip(*found)) if found else (rows, nodes)
+
+
+def _route(tree: Tree, query_every: int | None):
+    """Vectors -> one row for the index and, unless ``query_every`` is None, one for each leaf a query visits."""
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            ids, x = b.column(0).to_numpy(), _matrix(b.column(1))
-            order = np.argsort(-router.probabilities(x), axis=1, kind="stable")
+            uids, ids, x = b.column(0).to_numpy(), b.column(1).to_numpy(), _matrix(b.column(2))
             raw = [row.tobytes() for row in x]
-            asks = np.flatnonzero(ids % query_every == 0)
-            rows = np.concatenate([np.arange(len(ids)), np.repeat(asks, visit)])
-            parts = np.concatenate([order[:, 0], order[asks, :visit].ravel()])
-            query = np.arange(len(rows)) >= len(ids)
+            rows, parts = descend(tree, x, False)
+            query = np.zeros(len(rows), bool)
+            if query_every is not None:
+                asks = np.flatnonzero(ids % query_every == 0)
+                visits, leaves = descend(tree, x[asks], True)
+                rows, parts = np.concatenate([rows, asks[visits]]), np.concatenate([parts, leaves])
+                query = np.r_[query, np.ones(len(visits), bool)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[rows]), pa.array(parts.astype(np.int32)), pa.array(query), pa.array([raw[i] for i in rows], pa.binary())],
-                names=["vec_id", "part", "query", "v"],
+                [pa.array(uids[rows]), pa.array(ids[rows]), pa.array(parts), pa.array(query), pa.array([raw[i] for i in rows], pa.binary())],
+                names=["uid", "vec_id", "part", "query", "v"],
             )
 
     return route
 
 
+_ROUTED = "uid long, vec_id long, part long, query boolean, v binary"
+
+
+def _fit_part(k: int):
+    def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        x = np.frombuffer(b"".join(rows.sort_values("uid")["v"]), np.float64).reshape(len(rows), -1)
+        return pd.DataFrame({"part": [key[0]], "router": [pickle.dumps(fit(x, PARTS, k))]})
+
+    return one
+
+
+def grow(rows: DataFrame, tree: Tree, k: int) -> Tree:
+    """Split the leaves of more than ``SPLIT_ROWS`` rows, level by level. A sample of
+    about ``SAMPLE`` rows per leaf is taken by a hash; the counts and the routers
+    that come to the driver are one for so many rows each."""
+    for _ in range(LEVELS - 1):
+        placed = rows.mapInArrow(_route(tree, None), _ROUTED)
+        large = materialise(placed.groupBy("part").count().where(f"count > {SPLIT_ROWS}"))
+        if large.isEmpty():
+            break
+        share = F.pmod(F.xxhash64(F.lit(_SEED), "uid"), F.col("count"))
+        sample = placed.join(F.broadcast(large), "part").where(share < SAMPLE).select("part", "uid", "v")
+        fitted = sample.groupBy("part").applyInPandas(_fit_part(k), "part long, router binary").collect()
+        # a sample that cannot be split (a single part) stays a leaf
+        found = {f.part: pickle.loads(f.router) for f in fitted}
+        tree = tree | {part: (router, visit) for part, (router, visit) in found.items() if router.weights[3].size > 1}
+    return tree
+
+
 def _block(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"part": [key[0]], "ids": [rows["vec_id"].to_numpy(np.int64).tobytes()], "vs": [b"".join(rows["v"])]})
+    ids = rows[["uid", "vec_id"]].to_numpy(np.int64)
+    return pd.DataFrame({"part": [key[0]], "ids": [np.ascontiguousarray(ids).tobytes()], "vs": [b"".join(rows["v"])]})
 
 
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
     """``part, ids, vs``: the rows of each part in blocks of about ``size``."""
     counts = F.broadcast(materialise(rows.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / size).alias("salts"))))
-    salted = rows.join(counts, "part").withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")))
-    return salted.groupBy("part", "salt").applyInPandas(_block, "part int, ids binary, vs binary")
+    salted = rows.join(counts, "part").withColumn("salt", F.pmod(F.xxhash64("uid"), F.col("salts")))
+    return salted.groupBy("part", "salt").applyInPandas(_block, "part long, ids binary, vs binary")
 
 
 def exact_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -221,15 +279,15 @@ def exact_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return total
 
 
-def best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, vec id, score) of the ``k`` nearest of each query, its own id left out."""
+def best(q_uids: np.ndarray, q: np.ndarray, uids: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, vec id, score) of the ``k`` nearest rows of each query, its own row left out."""
     out = []
     lengths = np.linalg.norm(x, axis=1).max(initial=0)
     step = max(1, (1 << 21) // max(len(x), 1))
     for a in range(0, len(q), step):
         part = q[a : a + step]
         scores = part @ x.T
-        scores[q_ids[a : a + step, None] == ids[None, :]] = -np.inf
+        scores[q_uids[a : a + step, None] == uids[None, :]] = -np.inf
         # all that may belong to the first k; rounding differs between matrix product and sum
         kth = np.partition(scores, max(0, len(x) - k), axis=1)[:, max(0, len(x) - k)]
         slack = 1e-12 * lengths * np.linalg.norm(part, axis=1)
@@ -239,7 +297,7 @@ def best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: in
         r, c, exact = r[order], c[order], exact[order]
         starts = np.searchsorted(r, r, side="left")
         keep = np.arange(len(r)) - starts < k
-        out.append((q_ids[a + r[keep]], ids[c[keep]], exact[keep]))
+        out.append((a + r[keep], ids[c[keep]], exact[keep]))
     return tuple(np.concatenate(z) for z in zip(*out)) if out else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
 
 
@@ -247,14 +305,17 @@ def _search(k: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for q_ids, q, ids, x in zip(*(b.column(n) for n in ("q_ids", "q_vs", "ids", "vs"))):
-                q_ids, ids = (np.frombuffer(z.as_buffer(), np.int64) for z in (q_ids, ids))
+                q_ids, ids = (np.frombuffer(z.as_buffer(), np.int64).reshape(-1, 2) for z in (q_ids, ids))
                 q, x = (np.frombuffer(z.as_buffer(), np.float64).reshape(len(i), -1) for z, i in ((q, q_ids), (x, ids)))
-                query, vec, score = best(q_ids, q, ids, x, k)
+                query, vec, score = best(q_ids[:, 0], q, ids[:, 0], ids[:, 1], x, k)
                 # one row a query: its best of this block
                 starts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else np.empty(0, np.int64)
                 offsets = pa.array(np.r_[starts, len(query)].astype(np.int32))
                 found = pa.StructArray.from_arrays([pa.array(-score), pa.array(vec)], names=["far", "vec_id"])
-                yield pa.RecordBatch.from_arrays([pa.array(query[starts]), pa.ListArray.from_arrays(offsets, found)], names=["query_id", "found"])
+                own = q_ids[query[starts]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own[:, 0]), pa.array(own[:, 1]), pa.ListArray.from_arrays(offsets, found)], names=["query_uid", "query_id", "found"]
+                )
 
     return search
 
@@ -266,33 +327,27 @@ def nearest(
     nearest first, ties to the smaller id. Queries are the rows whose id is
     divisible by ``query_every``; all rows but the query's own are candidates.
 
-    Rows that :func:`vectors` leaves out take no part on either side. No vectors,
-    no queries or no candidates give no rows.
+    Rows that :func:`vectors` leaves out take no part on either side. Rows that
+    repeat an id are candidates of their own, for each other too, and queries of
+    their own under the same ``query_id``. No vectors, no queries or no candidates
+    give no rows; an empty table gives an empty result.
     """
     spark = df.sparkSession
     ship_package(spark)
     rows = materialise(vectors(df, id_col, vec_col))
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toArrow()["v"].combine_chunks()
+    # by the values: the sample does not depend on how rows are numbered
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SAMPLE).select("v").toArrow()["v"].combine_chunks()
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    router, visit = fit(_matrix(sample), parts, k)
+    tree = grow(rows, {0: fit(_matrix(sample), parts, k)}, k)
 
-    routed = materialise(rows.mapInArrow(_route(router, visit, query_every), "vec_id long, part int, query boolean, v binary"))
+    routed = materialise(rows.mapInArrow(_route(tree, query_every), _ROUTED))
     index = _blocks(routed.where("not query"), BLOCK_ROWS)
     asked = _blocks(routed.where("query"), QUERY_ROWS).withColumnsRenamed({"ids": "q_ids", "vs": "q_vs"})
     # both sides are blocks: a row here is a matrix product
     tiles = asked.join(index, "part").select("q_ids", "q_vs", "ids", "vs")
     tiles = tiles.repartition(F.xxhash64("q_ids", "ids"))
-    found = tiles.mapInArrow(_search(k), "query_id long, found array<struct<far double, vec_id long>>")
+    found = tiles.mapInArrow(_search(k), "query_uid long, query_id long, found array<struct<far double, vec_id long>>")
     first = F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, k)
-    ranked = found.groupBy("query_id").agg(first.alias("found")).select("query_id", F.posexplode("found").alias("i", "hit"))
+    ranked = found.groupBy("query_uid", "query_id").agg(first.alias("found")).select("query_id", F.posexplode("found").alias("i", "hit"))
     return ranked.select("query_id", (F.col("i") + 1).alias("rank"), "hit.vec_id", (-F.col("hit.far")).alias("score"))
-
-
-def brute_force(df: DataFrame, k: int = K, query_every: int = QUERY_EVERY, id_col: str = "vec_id", vec_col: str = "embedding") -> pd.DataFrame:
-    """The exact answer, on the driver: for measuring recall on small tables."""
-    rows = vectors(df, id_col, vec_col).orderBy("vec_id").toArrow()
-    ids, x = rows["vec_id"].to_numpy(), _matrix(rows["v"].combine_chunks()) if len(rows) else np.empty((0, 1))
-    asks = ids % query_every == 0
-    query, vec, score = best(ids[asks], x[asks], ids, x, k)
-    return pd.DataFrame({"query_id": query, "vec_id": vec, "score": score})

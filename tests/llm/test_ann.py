@@ -19,6 +19,22 @@ def make(spark):
     return _make
 
 
+def brute_force(df, k=20, query_every=20):
+    """The exact answer for distinct ids, by plain sums over the table's rows."""
+    rows = [(r.vec_id, [float(c) for c in r.embedding]) for r in df.collect()]
+    x = np.array([v for _, v in rows])
+    ids = np.array([i for i, _ in rows])
+    out = []
+    for i, v in rows:
+        if i % query_every == 0:
+            score = np.zeros(len(x))
+            for d in range(x.shape[1]):
+                score += v[d] * x[:, d]
+            order = [j for j in np.lexsort((ids, -score)) if ids[j] != i][:k]
+            out += [(i, int(ids[j]), float(score[j])) for j in order]
+    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+
+
 def recall(got, want):
     pairs = got.merge(want, on=["query_id", "vec_id"])
     return len(pairs) / len(want)
@@ -26,7 +42,7 @@ def recall(got, want):
 
 def checked(df, **kw):
     got = ann.nearest(df, **kw).toPandas().sort_values(["query_id", "rank"])
-    want = ann.brute_force(df, **kw)
+    want = brute_force(df, **kw)
     both = got.merge(want, on=["query_id", "vec_id"], suffixes=("", "_true"))
     assert (both["score"] == both["score_true"]).all()
     for _, g in got.groupby("query_id"):
@@ -68,7 +84,36 @@ def test_rows_that_take_no_part(make):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1, 0]), (1, [0.5, 1]), (2, None), (3, []), (4, [0, 0]), (5, [nan, 1]), (6, [inf, 1]), (7, [None, 1]), (20, [2, 1]), (None, [9, 9]), (8, [1, 2, 3]), (1, [0.5, 1])]
     got = ann.nearest(make(rows)).collect()
-    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == [(0, 1, 20, 2.0), (0, 2, 1, 0.5), (20, 1, 0, 2.0), (20, 2, 1, 2.0)]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == [
+        (0, 1, 20, 2.0), (0, 2, 1, 0.5), (0, 3, 1, 0.5), (20, 1, 0, 2.0), (20, 2, 1, 2.0), (20, 3, 1, 2.0)
+    ]
+
+
+def test_rows_that_repeat_an_id(make):
+    """Each is a candidate; a query's own row alone is left out."""
+    got = ann.nearest(make([(0, [1, 0]), (1, [5, 0]), (1, [1, 1]), (2, [2, 0])])).collect()
+    assert sorted((r.rank, r.vec_id, r.score) for r in got) == [(1, 1, 5.0), (2, 2, 2.0), (3, 1, 1.0)]
+    got = ann.nearest(make([(0, [1, 0]), (0, [3, 0])])).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == [(0, 1, 0, 3.0), (0, 1, 0, 3.0)]
+
+
+def test_parts_grow_with_the_rows(spark, make, monkeypatch):
+    """Clustered vectors, split over two levels: recall holds, a query meets a small share of the rows."""
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((64, 24)) * 3
+    x = np.concatenate([c + 0.3 * rng.standard_normal((100, 24)) for c in centres])
+    monkeypatch.setattr(ann, "SPLIT_ROWS", 300)
+    rows = make(enumerate(x))
+    got, want = checked(rows)
+    assert recall(got, want) >= 0.9
+    held = ann.vectors(rows, "vec_id", "embedding").checkpoint()
+    tree = ann.grow(held, {0: ann.fit(x[:: len(x) // 4000 or 1], 16)}, 20)
+    assert len(tree) > 1
+    leaf = ann.descend(tree, x, False)[1]
+    sizes = np.bincount(np.unique(leaf, return_inverse=True)[1])
+    assert len(sizes) > 16 and sizes.max() < len(x) / 12
+    visits = np.bincount(ann.descend(tree, x[::20], True)[0])
+    assert visits.mean() * sizes.mean() < 0.5 * len(x)
 
 
 def test_empty(make):
