@@ -12,26 +12,19 @@ from pyspark.sql import functions as F
 from basketry.llm.common import materialise
 
 
-#: so many links (16 MB) are joined by one task
-ONE_TASK_LINKS = 1_000_000
-
-
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every end of a link ``a, b`` (longs); the component
     is the smallest node reachable.
 
-    Links are counted first: up to ``ONE_TASK_LINKS`` are joined by one task. Any
-    number beyond is joined in distributed rounds (:func:`distributed_components`).
+    Each task first replaces its links by a forest with the same components (at
+    most one link a node), then the forests are joined in distributed rounds.
     """
     ends = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    ends = materialise(ends)
-    if ends.count() <= ONE_TASK_LINKS:
-        return ends.coalesce(1).mapInArrow(_joined, "node long, component long")
-    return distributed_components(ends)
+    return distributed_components(materialise(ends.mapInArrow(_forest, "a long, b long").distinct()))
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All links, given in one task -> node, component."""
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of one task -> one link from each node to the smallest of its component there."""
     links = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]) for b in batches if b.num_rows]
     if not links:
         return
@@ -46,7 +39,8 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
         while (root[root] != root).any():
             root = root[root]
-    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], names=["node", "component"])
+    other = root != np.arange(len(nodes))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(nodes[root[other]])], names=["a", "b"])
 
 
 def distributed_components(ends: DataFrame) -> DataFrame:

@@ -39,6 +39,7 @@ thousand shingles is below 1e-8.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -167,7 +168,8 @@ def _group(texts: list[bytes], ids: np.ndarray, base: int, bits: int, seen: dict
     ]
     # the documents of shared shingles wait for the answers, with the group's facts
     facts = np.stack([*ids.astype(np.int64), n.astype(np.int64), *sums.view(np.int64), first])
-    rows.append((-1 - (base >> 32) % 997, base, _pack_sorted(h[many]), _pack(o[many], 4), None, facts.tobytes()))
+    # a group's facts go through the grouping under a key of their own
+    rows.append((-1 - zlib.crc32(base.to_bytes(8, "little")) % (1 << 31), base, _pack_sorted(h[many]), _pack(o[many], 4), None, facts.tobytes()))
     types = {"block": pa.int32(), "base": pa.int64(), "hashes": pa.binary(), "refs": pa.binary(), "counts": pa.binary(), "docs": pa.binary()}
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types.values())], names=list(types))
 

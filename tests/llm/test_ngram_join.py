@@ -168,9 +168,8 @@ def test_hashes_follow_the_words():
             assert seen.setdefault(shingle_set(t), frozenset(hashes[owner == i].tolist())) == frozenset(hashes[owner == i].tolist())
 
 
-@pytest.mark.parametrize("one_task", [10**6, 0])
-def test_components(spark, monkeypatch, one_task):
-    monkeypatch.setattr("basketry.llm.components.ONE_TASK_LINKS", one_task)
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_components(spark, partitions):
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)] + [(7, 7)]
     root = {}
@@ -185,6 +184,6 @@ def test_components(spark, monkeypatch, one_task):
         if a != b:
             a, b = find(a), find(b)
             root[max(a, b)] = min(a, b)
-    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long").repartition(partitions)).collect()}
     assert got == {x: find(x) for x in root}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
