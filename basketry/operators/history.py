@@ -14,6 +14,8 @@ that order: one number per (user, category), carried from view to view. Views of
 one set of categories beyond the one that exhausts them show nothing and are cut
 first, so a user's history is bounded by the products in stock, not by the clicks;
 long ones go in chunks, the numbers carried between them.
+
+``ranked_excluding_viewed``: the products clicked at the view itself are left out.
 """
 
 from __future__ import annotations
@@ -101,6 +103,27 @@ def ranked_bought_before(recommender: rec.Recommender, time_col: str = "purchase
     return _rows(merged.select("user_id", "event_time", F.slice(F.array_sort("each", better), 1, k).alias("candidates")))
 
 
+# --- without the products of the view itself ---------------------------------------
+
+
+def ranked_excluding_viewed(recommender: rec.Recommender) -> DataFrame:
+    """The first k candidate rows per view among the products that the view did not
+    click itself. A view of n products of a category needs its k + n best; lists are
+    as deep as the largest n asks (at most what Spark cuts per task, see ``top_k``)."""
+    k, better = recommender.k, rec.candidate_comparator(recommender.rating_order)
+    views = recommender.clicked().groupBy("user_id", "event_time", "category").agg(F.collect_set("product_id").alias("seen"))
+    views = _written(views)
+    most = views.agg(F.max(F.size("seen"))).first()[0] or 0
+    deeper = rec.Recommender(
+        recommender.clicks, recommender.sales, recommender.inventory, k + most, recommender.rating_order, recommender.max_broadcast_rows
+    )
+    rows = views.join(deeper.pair_lists("view"), ["user_id", "category"])
+    others = F.filter("candidates", lambda x: ~F.array_contains("seen", x["product_id"]))
+    each = F.transform(F.slice(others, 1, k), lambda x: x.withField("category", F.col("category")))
+    merged = rows.select("user_id", "event_time", each.alias("each")).groupBy("user_id", "event_time").agg(F.flatten(F.collect_list("each")).alias("each"))
+    return _rows(merged.select("user_id", "event_time", F.slice(F.array_sort("each", better), 1, k).alias("candidates")))
+
+
 # --- each product once ------------------------------------------------------------
 
 

@@ -520,3 +520,15 @@ FROM (SELECT user_id, event_time, unnest(picks) AS x, generate_subscripts(picks,
 def topk_per_view_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No product twice for a user: each view takes the best six not yet shown."""
     return _purchased_as_text(history.ranked_unseen(_recommender(spark, sf_dir)))
+
+
+@register(
+    "topk_per_view_other_products",
+    _CANDIDATES_SQL + ", others AS (SELECT * FROM candidates c WHERE NOT EXISTS (FROM clicks v WHERE v.user_id = c.user_id "
+    "AND v.event_time = c.event_time AND v.product_id = c.product_id))\n"
+    f", ranked AS (SELECT {_CAND_COLS}, {_rank_sql('user_id, event_time', 'rating', False)} AS rn FROM others)\n"
+    f"SELECT {_CAND_OUT}, rn FROM ranked WHERE rn <= 6",
+)
+def topk_per_view_other_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six products per view besides the viewed ones."""
+    return _purchased_as_text(history.ranked_excluding_viewed(_recommender(spark, sf_dir)))

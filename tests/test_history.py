@@ -111,9 +111,22 @@ def test_a_long_history_is_cut_to_what_can_show(spark):
     assert found(history.ranked_unseen(recommender)) == loop_unseen(inv, seen, [], 3)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_viewed_products_are_left_out(spark, seed):
+    inv, seen, bought, frames = tables(spark, seed, clicks=300)
+    got = found(history.ranked_excluding_viewed(rec.Recommender(*frames, k=3)))
+    want = {}
+    for (u, t), categories in views_of(inv, seen).items():
+        owned = {p for u2, p, _ in bought if u2 == u}
+        clicked = {p for u2, p, t2 in seen if (u2, t2) == (u, t)}
+        want[u, t] = [x for x in ranked(inv, categories, owned) if x[0] not in clicked][:3]
+    assert got == {v: rows for v, rows in want.items() if rows}
+
+
 def test_nothing_to_rank(spark):
     *_, frames = tables(spark, 0)
     empty = [df.limit(0) for df in frames]
     for clicks, sales, inv in ((empty[0], *frames[1:]), (*frames[:2], empty[2])):
         assert history.ranked_unseen(rec.Recommender(clicks, sales, inv)).count() == 0
         assert history.ranked_bought_before(rec.Recommender(clicks, sales, inv)).count() == 0
+        assert history.ranked_excluding_viewed(rec.Recommender(clicks, sales, inv)).count() == 0

@@ -114,3 +114,15 @@ def test_round_trip_line(spark):
     back = parse.parse_sales(df.select(parse.to_line(["invoice_id", "user_id", "product_id", "quantity", "unit_cost"])))
     assert tuple(back.collect()[0]) == (1, 2, 3, 4, 5)
     assert F is not None
+
+
+def test_empty_lines_are_counted_apart(spark):
+    rows = [("1,2",), ("",), (None,), ("1",), ("1,2,3",)]
+    lines = spark.createDataFrame(rows, "value string")
+    assert parse.line_counts(lines, schemas.CLICK) == {"lines": 5, "empty": 2, "malformed": 2}
+    assert parse.malformed_count(lines, schemas.CLICK) == 2
+    got = parse.decode_clicks(lines, on_error="drop", observe="seen")
+    assert [tuple(r) for r in got.collect()] == [("1", "2")]
+    # the strict parser names a null line in its error
+    with pytest.raises(Exception, match=r"malformed sales record: \(null\)"):
+        parse.parse_sales(lines.where("value is null")).collect()
