@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's ``docs``.
+
+In every stage a null text is empty, null ids and other nulls are values like any
+other, an empty table gives an empty one, and further columns of any name are
+carried along unchanged (the last stage returns its own). Texts are read whole.
+Repeated rows: scored alike by the classifier; one of equal texts, and one of near
+copies, stays; those the mix takes stand in for each other; each is packed.
 """
 
 from __future__ import annotations
