@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.session import checkpoint_root
+from basketry.session import checkpoint_root, ship_package  # noqa: F401
 
 # ASCII white space, as one character class of Java's and Python's regex
 SPACE = r"\x20\x09-\x0D"
@@ -27,24 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the session's Python workers, whatever
-    folder the driver was started in (once per application)."""
-    context, root = spark.sparkContext, Path(__file__).resolve().parents[1]
-    # a package that came as a zip file is with the workers already
-    if context.applicationId in _SHIPPED or not root.is_dir():
-        return
-    archive = os.path.join(tempfile.mkdtemp(prefix="basketry-"), "basketry_package.zip")
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    context.addPyFile(archive)
-    _SHIPPED.add(context.applicationId)
-
-
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it from there:
     it is computed once, and a lost executor takes nothing of it along."""

@@ -70,7 +70,8 @@ def mix(
     hash of the text (with id and source it names a row). Null is a source
     of its own, placed last. A source without words has target 0 and no copies.
     Repeated rows are documents of their own. The result depends on the rows and
-    the seed only, not on partitions. An empty table gives an empty result.
+    the seed only, not on partitions. An empty table gives an empty result; other
+    columns are not read. A text of any length is counted whole.
     """
     size = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
     # the hash spreads documents of one size; the id and the text settle what remains
@@ -91,7 +92,7 @@ def mix(
 
     # ranges are contiguous, so there are at most partitions + sources offsets
     joined = ranged.join(
-        F.broadcast(offsets), (F.col("part") == F.col("o_part")) & F.col("source").eqNullSafe(F.col("o_source"))
+        small(offsets), (F.col("part") == F.col("o_part")) & F.col("source").eqNullSafe(F.col("o_source"))
     )
     local = F.row_number().over(Window.partitionBy("part", "source").orderBy(*keys[1:]))
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

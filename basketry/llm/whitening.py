@@ -257,8 +257,8 @@ def covariance(rows: DataFrame, outer, width: int, n: int) -> np.ndarray:
     """Covariance (divisor ``n``) of ``outer(x)``, which is centred already up to rounding."""
     cells = rows.mapInArrow(_products(outer, width), "i int, row array<double>").select("i", F.posexplode("row").alias("j", "cell"))
     total = np.zeros((width, width + 1))
-    for r in cells.groupBy("i", "j").agg(F.sum("cell").alias("cell")).collect():
-        total[r["i"], r["j"]] = r["cell"]
+    found = cells.groupBy("i", "j").agg(F.sum("cell").alias("cell")).toArrow()
+    total[found["i"].to_numpy(), found["j"].to_numpy()] = found["cell"].to_numpy()
     mean = total[:, width] / n
     out = total[:, :width] / n - np.outer(mean, mean)
     return (out + out.T) / 2
@@ -291,7 +291,8 @@ def whiten(df: DataFrame, components: int = COMPONENTS, id_col: str = "vec_id",
     ``ZERO_SHARE`` of the trace give no component: equal vectors, a single one, or
     an empty table give no rows. Entries beyond 2^55 stand at the end of that range.
     ``deviation`` is null where it does not fit a long; ``deviation_exact`` has it
-    up to 38 digits. Other columns are not read.
+    up to 38 digits. Other columns are not read. The driver holds the covariance,
+    the square of the dimension, whatever the number of rows.
     """
     spark = df.sparkSession
     ship_package(spark)
