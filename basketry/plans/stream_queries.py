@@ -9,6 +9,8 @@ the tables is sent. The SQL is the batch meaning of the job.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,19 @@ def _root(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+@contextmanager
+def _one_state_per_core(spark: SparkSession) -> Iterator[None]:
+    """A stream keeps the number of its state partitions from its first start, and
+    loads and commits each of them in every batch: one per core is enough here."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _topic(rows: DataFrame, path: str, value: Column, time: str, last: str) -> DataFrame:
     """The rows as messages in files, with a last one (a whole line of no known
     product); returns the stream over them."""
@@ -57,7 +72,8 @@ def _sales(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
 def stream_sales_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales job: message topic -> enriched -> windowed sums -> message topic."""
     root = _root(spark, "stream-sales")
-    q = sales_stream.start(_sales(spark, sf_dir, root), td.inventory(spark, sf_dir), f"{root}/out", f"{root}/checkpoint", trigger=_DONE)
+    with _one_state_per_core(spark):
+        q = sales_stream.start(_sales(spark, sf_dir, root), td.inventory(spark, sf_dir), f"{root}/out", f"{root}/checkpoint", trigger=_DONE)
     q.awaitTermination()
     return sinks.messages(spark, f"{root}/out").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
@@ -71,7 +87,9 @@ def stream_recommend_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The recommendation job: both topics -> state per user -> keyed lists."""
     root = _root(spark, "stream-recommend")
     job = recommend_stream.RecommendationStream(spark, root, td.inventory(spark, sf_dir))
-    job.start(_clicks(spark, sf_dir, root), _sales(spark, sf_dir, root), trigger=_DONE).awaitTermination()
+    with _one_state_per_core(spark):
+        q = job.start(_clicks(spark, sf_dir, root), _sales(spark, sf_dir, root), trigger=_DONE)
+    q.awaitTermination()
     return job.latest().withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
@@ -99,7 +117,9 @@ def stream_recommend_per_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     clicks, sales = (df.withColumn("product_id", product) for df in (clicks, sales.select("user_id", "product_id", "purchase_time")))
     lists = view_stream.recommendations(view_stream.view_lists(clicks, sales, inventory, _LOOKBACK))
     committed.register(spark)
-    q = lists.writeStream.format(committed.NAME).option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(**_DONE).start()
+    writer = lists.writeStream.format(committed.NAME).option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+    with _one_state_per_core(spark):
+        q = writer.trigger(**_DONE).start()
     q.awaitTermination()
     found = committed.read(spark, f"{root}/out", schemas.RECOMMENDATION).drop(committed.RUN, committed.BATCH)
     return found.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
@@ -128,5 +148,7 @@ def stream_late_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     sale = [parse.to_line(schemas.SALES_FIELDS), F.col("purchase_time").cast("timestamp").alias("timestamp")]
     whole.select(*sale).coalesce(1).write.parquet(f"{root}/sales")
     streams = [files.message_file_stream(spark, f"{root}/{t}", max_files_per_trigger=1) for t in ("clicks", "sales")]
-    job.start(*streams, trigger=_DONE).awaitTermination()
+    with _one_state_per_core(spark):
+        q = job.start(*streams, trigger=_DONE)
+    q.awaitTermination()
     return job.late_clicks().withColumn("event_time", F.col("event_time").cast("timestamp_ntz")).distinct()

@@ -48,6 +48,7 @@ from basketry.session import path_exists, read_file, scratch_path, ship_package,
 from basketry.streaming import committed, sinks
 
 _DIMENSION = ["product_id", "category", "stock", "rating"]
+_STORE_SETTING = "spark.sql.streaming.stateStore.providerClass"
 _STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # a row of the reduced state: a view (``at``) or a purchase of the group, which is
@@ -321,12 +322,18 @@ class RecommendationStream:
         checkpoint = checkpoint_path or os.path.join(self.root, "checkpoints", query_name)
         self._check_settings(checkpoint)
         ship_package(self.spark)
-        self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
         writer = (
             self.changed(click_messages, sale_messages).writeStream.queryName(query_name)
             .outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(self.on_batch)
         )
-        return (writer.trigger(**trigger) if trigger else writer).start()
+        writer = writer.trigger(**trigger) if trigger else writer
+        # a query keeps the settings its session has when it starts
+        before = self.spark.conf.get(_STORE_SETTING, None)
+        self.spark.conf.set(_STORE_SETTING, _STATE_STORE)
+        try:
+            return writer.start()
+        finally:
+            self.spark.conf.unset(_STORE_SETTING) if before is None else self.spark.conf.set(_STORE_SETTING, before)
 
 
 def _digest(inventory: DataFrame) -> str:
