@@ -75,9 +75,8 @@ def as_of_join(
     ``version_order``), null if there is none. Rows with a null key or time have
     none. One sorted union of both sides, no pairs.
     """
-    tie = [f.name for f in versions.schema.fields if f.name in version_order]
     whole = F.struct(*[F.col(c) for c in versions.columns])
-    place = F.struct(*[F.col(c) for c in version_order]) if tie else F.lit(None).cast("int")
+    place = F.struct(*[F.col(c) for c in version_order]) if version_order else F.lit(None).cast("int")
     known = versions.where(F.col(key).isNotNull() & F.col(valid_from).isNotNull()).select(
         F.col(key).alias("_key"), F.col(valid_from).alias("_time"), F.lit(0).alias("_kind"), place.alias("_tie"),
         F.lit(0).cast("long").alias("_hash"), whole.alias("_version"),
