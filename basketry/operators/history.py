@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.operators import recommend as rec
+from basketry.operators.common import broadcast_if_bounded
 from basketry.session import checkpoint_root
 
 #: parts of a hot (user, category) or (user, set of categories)
@@ -142,22 +143,41 @@ def _productive_views(recommender: rec.Recommender, sizes: DataFrame) -> DataFra
     return salted.select("user_id", "event_time", "categories", F.row_number().over(Window.partitionBy("user_id").orderBy("event_time")).alias("place"))
 
 
+def _category_prefixes(recommender: rec.Recommender, needs: DataFrame) -> DataFrame:
+    """Per ``category, scale`` of ``needs`` the category's first 2 ** scale products
+    in order (``all``). Ranked in parts first, so no task holds a whole category."""
+    most = 1 << (needs.agg(F.max("scale")).first()[0] or 0)
+    ranked = rec.stocked(recommender.dimension()).where("product_id is not null")
+    ranked = ranked.withColumn("salt", F.pmod(F.xxhash64("product_id"), F.lit(SALTS)))
+    for keys in (["category", "salt"], ["category"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*rec._product_order(recommender.rating_order)))
+        ranked = ranked.withColumn("place", place).where(F.col("place") <= most)
+    rows = ranked.join(broadcast_if_bounded(needs, recommender.max_broadcast_rows), "category").where("place <= shiftleft(1L, scale)")
+    first = rows.groupBy("category", "scale").agg(F.collect_list(F.struct("place", "product_id", "stock", "rating")).alias("all"))
+    first = _written(first.select("category", "scale", F.transform(F.array_sort("all"), _item(1)).alias("all")))
+    # the lists of small needs are a few rows; long ones may be more than the dimension
+    held = first.agg(F.sum(F.size("all"))).first()[0] or 0
+    return F.broadcast(first) if held <= (recommender.max_broadcast_rows or 0) else first
+
+
 def _pair_orders(recommender: rec.Recommender, views: DataFrame) -> DataFrame:
     """Per (user, category) of the views its candidates in order (``order``), as many
-    as its views can show."""
+    as its views can show. Of a category's first ``depth`` + n products a user who
+    bought n leaves ``depth`` or more, so a pair reads the shortest prefix of 1, 2,
+    4, ... products that holds so many, never the whole category."""
     k, better = recommender.k, rec.candidate_comparator(recommender.rating_order)
     pairs = views.select("user_id", F.explode("categories").alias("category")).groupBy("user_id", "category")
     pairs = pairs.agg((F.count(F.lit(1)) * k).cast("int").alias("depth"))
     one = F.struct("product_id", "stock", "rating")
     bought = recommender.bought().groupBy("user_id", "category").agg(F.collect_list(one).alias("own"))
-    every = rec.stocked(recommender.dimension()).groupBy("category").agg(F.collect_list(one).alias("all"))
-    # one row per category, its arrays hold the dimension once: bounded with it
-    every = F.broadcast(every) if recommender._dimension_is_small() else every
-    every = every.select("category", F.array_sort(F.transform("all", _item(1)), better).alias("all"))
-    rows = pairs.join(bought, ["user_id", "category"], "left").join(every, "category")
+    rows = pairs.join(bought, ["user_id", "category"], "left")
+    need = F.col("depth") + F.size(F.coalesce("own", F.array()))
+    rows = _written(rows.withColumn("scale", F.ceil(F.log2(need)).cast("int")))
+    prefixes = _category_prefixes(recommender, rows.select("category", "scale").distinct())
+    rows = rows.join(prefixes, ["category", "scale"], "left")
     own = F.array_sort(F.transform(F.coalesce("own", F.array()), _item(0)), better)
     ids = F.transform(F.coalesce("own", F.array()), lambda x: x["product_id"])
-    rest = F.filter("all", lambda x: ~F.array_contains(ids, x["product_id"]))
+    rest = F.filter(F.coalesce("all", F.array()), lambda x: ~F.array_contains(ids, x["product_id"]))
     return rows.select("user_id", "category", F.slice(F.concat(own, rest), 1, F.col("depth")).alias("order"))
 
 

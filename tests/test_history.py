@@ -111,6 +111,26 @@ def test_a_long_history_is_cut_to_what_can_show(spark):
     assert found(history.ranked_unseen(recommender)) == loop_unseen(inv, seen, [], 3)
 
 
+def test_a_pair_reads_no_more_of_a_category_than_it_can_show(spark, monkeypatch):
+    """A category of 3000 products, 7 of its best bought: the views' lists are right
+    and no prefix that a user and category reads is longer than twice its need."""
+    inv = [(p, "ab"[p % 2], 1, p) for p in range(6000)] + [(None, "a", 1, 9999), (5999, "b", 2, 1)]
+    seen = [(1, 0, at(0)), (1, 1, at(1)), (2, 1, at(2)), (3, 0, at(3))] + [(3, 1, at(i)) for i in range(4, 20)]
+    bought = [(u, p, at(0)) for u in (1, 2) for p in range(5987, 6000, 2)]
+    frames = (spark.createDataFrame(seen, "user_id long, product_id long, event_time timestamp"),
+              spark.createDataFrame(bought, "user_id long, product_id long, purchase_time timestamp"),
+              spark.createDataFrame(inv, "product_id long, category string, stock int, rating int"))
+    read = []
+    prefixes = history._category_prefixes
+    monkeypatch.setattr(history, "_category_prefixes", lambda r, needs: read.append(prefixes(r, needs)) or read[0])
+    got = found(history.ranked_unseen(rec.Recommender(*frames, k=3)))
+    want = loop_unseen([x for x in inv if x[0] is not None], seen, bought, 3)
+    assert got == want
+    sizes = {(r["category"], r["scale"]): len(r["all"]) for r in read[0].collect()}
+    # 3 for a view, 3 + 8 with the listed purchases, 48 for 16 views
+    assert sizes == {("a", 2): 4, ("b", 4): 16, ("b", 6): 64}
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_viewed_products_are_left_out(spark, seed):
     inv, seen, bought, frames = tables(spark, seed, clicks=300)
