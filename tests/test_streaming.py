@@ -8,6 +8,7 @@ import os
 import tempfile
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -539,3 +540,22 @@ def test_sales_stream_takes_new_product_versions_while_it_runs(spark):
         q.stop()
     got = sorted((r.category, r.sales) for r in sent(spark, os.path.join(root, "out")).collect())
     assert got == [("food", 1), ("fruit", 6), ("games", 4), ("new", 5), ("toys", 5)]
+
+
+def test_a_batch_of_many_users_is_cut_as_one(monkeypatch):
+    """Few rows of each of many users: one frame a batch, not one a user."""
+    reducer = recommend_stream.Reducer(2, 2, False, {"product_id"})
+    users = [None, *(str(u) for u in range(2000))]
+    rows = [(u, "view", g, t, None, None, None, None) for u in users for g in ("a", None) for t in (3, 1, 2, 1)]
+    rows += [(u, "bought", "a", None, p, "1", r, x) for u in users for p, r, x in (("10", "2", 2.0), ("9", "2", 2.0), ("7", "1", 1.0), ("8", None, None))]
+    frame = pd.DataFrame(rows, columns=["user_id", *recommend_stream._NAMES]).sample(frac=1, random_state=1)
+    built = []
+    build = recommend_stream.Reducer.rows
+    monkeypatch.setattr(recommend_stream.Reducer, "rows", lambda self, *a: built.append(1) or build(self, *a))
+    out = list(reducer.cut(iter([frame, frame[:0]])))
+    assert len(out) == len(built) == 1
+    plain = lambda x: None if x is None or x is pd.NA or x != x else x
+    got = sorted((tuple(map(plain, r)) for r in out[0].itertuples(index=False)), key=str)
+    want = [(u, "view", g, t, None, None, None, None) for u in users for g in ("a", None) for t in (1, 2)]
+    want += [(u, "bought", "a", None, p, "1", "2", 2.0) for u in users for p in ("9", "10")]
+    assert got == sorted(want, key=str)
