@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import materialise
 
+#: links a task takes in the rounds, and the fewest tasks of a round
+TASK_LINKS = 20_000
+MIN_TASKS = 8
+
 
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every end of a link ``a, b`` (longs); the component
@@ -19,8 +23,16 @@ def components(links: DataFrame) -> DataFrame:
     Each task first replaces its links by a forest with the same components (at
     most one link a node), then the forests are joined in distributed rounds.
     """
+    n = link_tasks(links.count())
     ends = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    return distributed_components(materialise(ends.mapInArrow(_forest, "a long, b long").distinct()))
+    ends = ends.coalesce(n).mapInArrow(_forest, "a long, b long").distinct()
+    return distributed_components(materialise(ends.coalesce(n)))
+
+
+def link_tasks(links: int) -> int:
+    """Tasks of a round over so many links: the rounds are many short stages, and with
+    one task a shuffle partition the driver would keep the books of many empty tasks."""
+    return max(MIN_TASKS, -(-links // TASK_LINKS))
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,47 +60,53 @@ def distributed_components(ends: DataFrame) -> DataFrame:
 
     Each round hooks every node to its smallest neighbour, follows the hooks to
     their roots, and keeps only the links between different roots, now between
-    the roots themselves. Links shrink with every round; all state is distributed.
+    the roots themselves. Links shrink with every round; all state is distributed,
+    over as many tasks as the links ask for.
     """
-    labels = None
-    while not ends.isEmpty():
-        hooks = ends.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.col("b").alias("root"))
-        roots = materialise(_follow(hooks))
+    labels, tasks = None, None
+    while count := ends.count():
+        n = link_tasks(count)
+        tasks = tasks or n
+        hooks = ends.coalesce(n).groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.col("b").alias("root"))
+        roots = _follow(hooks, n)
         if labels is None:
             labels = roots
         else:
             moved = labels.select(F.col("root").alias("old"), F.col("node").alias("n"))
             moved = moved.join(roots, moved["old"] == roots["node"], "left").select(F.col("n").alias("node"), F.coalesce("root", "old").alias("root"))
-            labels = materialise(moved.unionByName(roots))
-        ends = materialise(_between(ends, roots))
+            labels = materialise(moved.unionByName(roots).coalesce(tasks))
+        ends = materialise(_between(ends.coalesce(n), roots, n))
     if labels is None:
         none = ends.select(F.col("a").alias("node"), F.col("b").alias("component"))
         return none
-    return _with_roots(labels)
+    return _with_roots(labels, tasks)
 
 
-def _follow(hooks: DataFrame) -> DataFrame:
-    """Hooks (each to a smaller node) followed to nodes without a hook."""
-    hooks = materialise(hooks)
+def _follow(hooks: DataFrame, tasks: int) -> DataFrame:
+    """Hooks (each to a smaller node) followed to nodes without a hook, written to
+    the shared folder."""
+    hooks = materialise(hooks.coalesce(tasks))
     while True:
         nxt = hooks.select(F.col("node").alias("via"), F.col("root").alias("further"))
         jumped = hooks.join(nxt, hooks["root"] == nxt["via"], "left")
-        jumped = materialise(jumped.select("node", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")))
+        jumped = jumped.select("node", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved"))
+        jumped = materialise(jumped.coalesce(tasks))
         hooks = jumped.select("node", "root")
         if jumped.where("moved").isEmpty():
             return hooks
 
 
-def _between(ends: DataFrame, roots: DataFrame) -> DataFrame:
+def _between(ends: DataFrame, roots: DataFrame, tasks: int) -> DataFrame:
     """The links between different roots, as links of the roots."""
     for side in ("a", "b"):
         r = roots.select(F.col("node").alias("n"), F.col("root").alias("r"))
         other = "b" if side == "a" else "a"
-        ends = ends.join(r, ends[side] == r["n"], "left").select(F.coalesce("r", side).alias(side), other)
-    return ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+        ends = ends.join(r, ends[side] == r["n"], "left").select(F.coalesce("r", side).alias(side), other).coalesce(tasks)
+    ends = ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
+    return ends.distinct().coalesce(tasks)
 
 
-def _with_roots(labels: DataFrame) -> DataFrame:
-    found = labels.groupBy("node").agg(F.min("root").alias("component"))
+def _with_roots(labels: DataFrame, tasks: int) -> DataFrame:
+    found = labels.groupBy("node").agg(F.min("root").alias("component")).coalesce(tasks)
     own = labels.select(F.col("root").alias("node"), F.col("root").alias("component"))
-    return found.unionByName(own).groupBy("node").agg(F.min("component").alias("component"))
+    return found.unionByName(own).groupBy("node").agg(F.min("component").alias("component")).coalesce(tasks)

@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import materialise, ship_package, small, text_or_empty
-from basketry.llm.components import components
+from basketry.llm.components import components, link_tasks
 from basketry.llm.shingles import mix, shingle_hashes
 
 WIDTH = 5
@@ -505,13 +505,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return nodes.join(labels, "uid", "left").withColumn("component", F.coalesce("found", "uid")).drop("found")
 
     links = verified(met(nodes.withColumn("component", F.col("uid")), _lists_for_stars(bits, homes)), nodes)
-    joined = materialise(components(links))
     found = links.count()
+    links = links.coalesce(link_tasks(found))
+    joined = materialise(components(links))
     while found > ROUND_SHARE * count:
         more = verified(met(named_by(joined), _lists_for_components(bits)), nodes)
         found = more.count()
         if found:
-            links = links.unionByName(more)
+            links = links.unionByName(more.coalesce(link_tasks(found)))
             joined = materialise(components(links))
     named = named_by(joined)
     lists = _prefixes(named).mapInArrow(_lists_for_pairs(bits), _LISTS)

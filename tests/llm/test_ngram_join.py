@@ -187,3 +187,19 @@ def test_components(spark, partitions):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long").repartition(partitions)).collect()}
     assert got == {x: find(x) for x in root}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_component_rounds_have_tasks_by_their_links(spark):
+    """Few links over many shuffle partitions: a round has no task per partition."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    coalesced = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "61")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long").repartition(5)
+        found = components(links)
+        assert found.rdd.getNumPartitions() <= 8
+        assert {r.node: r.component for r in found.collect()} == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
