@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialise
+from basketry.llm.common import MAX_BROADCAST_ROWS, materialise
 
 #: links a task takes in the rounds, and the fewest tasks of a round
 TASK_LINKS = 20_000
@@ -68,27 +68,33 @@ def distributed_components(ends: DataFrame) -> DataFrame:
         n = link_tasks(count)
         tasks = tasks or n
         hooks = ends.coalesce(n).groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.col("b").alias("root"))
-        roots = _follow(hooks, n)
+        roots = _follow(hooks, n, count)
         if labels is None:
             labels = roots
         else:
             moved = labels.select(F.col("root").alias("old"), F.col("node").alias("n"))
-            moved = moved.join(roots, moved["old"] == roots["node"], "left").select(F.col("n").alias("node"), F.coalesce("root", "old").alias("root"))
+            moved = moved.join(_few(roots, count), moved["old"] == roots["node"], "left").select(F.col("n").alias("node"), F.coalesce("root", "old").alias("root"))
             labels = materialise(moved.unionByName(roots).coalesce(tasks))
-        ends = materialise(_between(ends.coalesce(n), roots, n))
+        ends = materialise(_between(ends.coalesce(n), roots, n, count))
     if labels is None:
         none = ends.select(F.col("a").alias("node"), F.col("b").alias("component"))
         return none
     return _with_roots(labels, tasks)
 
 
-def _follow(hooks: DataFrame, tasks: int) -> DataFrame:
-    """Hooks (each to a smaller node) followed to nodes without a hook, written to
-    the shared folder."""
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of at most ``rows`` rows with a broadcast hint if these are few: else adaptive
+    execution shuffles it first and reads it for a broadcast with a task a shuffle partition."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
+
+
+def _follow(hooks: DataFrame, tasks: int, rows: int) -> DataFrame:
+    """Hooks (each to a smaller node, at most ``rows``) followed to nodes without a hook,
+    written to the shared folder."""
     hooks = materialise(hooks.coalesce(tasks))
     while True:
         nxt = hooks.select(F.col("node").alias("via"), F.col("root").alias("further"))
-        jumped = hooks.join(nxt, hooks["root"] == nxt["via"], "left")
+        jumped = hooks.join(_few(nxt, rows), hooks["root"] == nxt["via"], "left")
         jumped = jumped.select("node", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved"))
         jumped = materialise(jumped.coalesce(tasks))
         hooks = jumped.select("node", "root")
@@ -96,12 +102,12 @@ def _follow(hooks: DataFrame, tasks: int) -> DataFrame:
             return hooks
 
 
-def _between(ends: DataFrame, roots: DataFrame, tasks: int) -> DataFrame:
+def _between(ends: DataFrame, roots: DataFrame, tasks: int, rows: int) -> DataFrame:
     """The links between different roots, as links of the roots."""
     for side in ("a", "b"):
         r = roots.select(F.col("node").alias("n"), F.col("root").alias("r"))
         other = "b" if side == "a" else "a"
-        ends = ends.join(r, ends[side] == r["n"], "left").select(F.coalesce("r", side).alias(side), other).coalesce(tasks)
+        ends = ends.join(_few(r, rows), ends[side] == r["n"], "left").select(F.coalesce("r", side).alias(side), other).coalesce(tasks)
     ends = ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
     return ends.distinct().coalesce(tasks)
 

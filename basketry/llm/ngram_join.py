@@ -60,6 +60,10 @@ GROUP_BYTES = 4 << 20
 # bytes of text per block of hashes; the number of blocks follows the input
 BLOCK_BYTES = 8 << 20
 MIN_BLOCKS = 64
+#: bytes of text a task takes, at least (and the fewest tasks): beyond the first pass the rows are
+#: small, and with one task a shuffle partition the driver would keep the books of many tiny tasks
+TASK_BYTES = 4 << 20
+MIN_TASKS = 8
 #: another star round follows one that found links for more than this share of the nodes
 ROUND_SHARE = 0.05
 #: lists of shingles that stand in more documents are split (log2)
@@ -242,17 +246,27 @@ def _rare_first(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
+def text_bytes(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def text_tasks(total: int) -> int:
+    """Most tasks of a stage over the sets of so many bytes of text."""
+    return max(MIN_TASKS, -(-total // TASK_BYTES))
+
+
+def shingle_sets(docs: DataFrame, total: int | None = None) -> DataFrame:
     """``uid, doc_id, version, n, fp1, fp2, m, tokens`` per document, written to
     the shared folder: a hash of the text, set size, set identity, how many
-    shingles other documents share."""
+    shingles other documents share. ``total``: bytes of all texts, if known."""
     ship_package(docs.sparkSession)
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = text_bytes(docs) if total is None else total
+    tasks = text_tasks(total)
     bits = max(MIN_BLOCKS - 1, total // BLOCK_BYTES).bit_length()
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(text_or_empty()))
     dealt = rows.mapInArrow(_deal(bits), _BLOCK)
-    shared = dealt.groupBy("block").applyInPandas(_shared, _SHARED)
-    return materialise(shared.groupBy("base").applyInPandas(_rare_first, _DOCS))
+    shared = dealt.groupBy("block").applyInPandas(_shared, _SHARED).coalesce(tasks)
+    return materialise(shared.groupBy("base").applyInPandas(_rare_first, _DOCS).coalesce(tasks))
 
 
 # -- 3. prefixes
@@ -461,14 +475,15 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
 
-def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are links, written to the shared folder."""
+def verified(pairs: DataFrame, nodes: DataFrame, tasks: int | None = None) -> DataFrame:
+    """The pairs ``a, b`` that are links, written to the shared folder (by at most ``tasks`` tasks)."""
     side = lambda s: nodes.select(F.col("uid").alias(s), F.col("n").alias(f"n_{s}"), F.col("tokens").alias(f"tokens_{s}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    by = lambda df: df.coalesce(tasks) if tasks else df
+    both = by(by(pairs.join(side("a"), "a")).join(side("b"), "b"))
     return materialise(both.select("a", "b", "n_a", "n_b", "tokens_a", "tokens_b").mapInArrow(_linked, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, total: int | None = None) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, version``.
 
     Words are runs of anything but ASCII white space in the text with A-Z
@@ -479,16 +494,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     all its ids are null. ``version`` is a hash of the text. Repeated rows are
     documents of their own that link with each other. An empty table gives an
     empty result; other columns are not read. A text of any length is shingled
-    whole, in one task, with some 30 times its bytes in memory.
+    whole, in one task, with some 30 times its bytes in memory. ``total``: bytes
+    of all texts, if known.
     """
-    sets = shingle_sets(docs)
+    total = text_bytes(docs) if total is None else total
+    tasks = text_tasks(total)
+    sets = shingle_sets(docs, total)
     key = ["fp1", "fp2", "n"]
     classes = materialise(
-        sets.where("n > 0").groupBy(*key).agg(F.min("uid").alias("node"), F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"))
+        sets.where("n > 0").groupBy(*key).agg(F.min("uid").alias("node"), F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")).coalesce(tasks)
     )
     able = sets.where("tokens is not null")
     again = able.select("uid", *key).join(classes.where("copies > 1").select(*key, "node"), key).where("uid <> node").select("uid")
-    again = materialise(again)
+    again = materialise(again.coalesce(tasks))
     nodes = able.join(small(again), "uid", "left_anti").select("uid", "n", "m", "tokens")
     # lists are short: blocks by the number of nodes
     count = nodes.count()
@@ -497,19 +515,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     def met(named: DataFrame, deal) -> DataFrame:
         lists = _prefixes(named).mapInArrow(deal, _LISTS)
-        votes = lists.groupBy("block").applyInPandas(_votes(homes), "home int, votes binary")
-        return votes.groupBy("home").applyInPandas(_most_met, "a long, b long")
+        votes = lists.groupBy("block").applyInPandas(_votes(homes), "home int, votes binary").coalesce(tasks)
+        return votes.groupBy("home").applyInPandas(_most_met, "a long, b long").coalesce(tasks)
 
     def named_by(joined: DataFrame) -> DataFrame:
         labels = small(joined.select(F.col("node").alias("uid"), F.col("component").alias("found")))
-        return nodes.join(labels, "uid", "left").withColumn("component", F.coalesce("found", "uid")).drop("found")
+        return nodes.join(labels, "uid", "left").withColumn("component", F.coalesce("found", "uid")).drop("found").coalesce(tasks)
 
-    links = verified(met(nodes.withColumn("component", F.col("uid")), _lists_for_stars(bits, homes)), nodes)
+    links = verified(met(nodes.withColumn("component", F.col("uid")), _lists_for_stars(bits, homes)), nodes, tasks)
     found = links.count()
     links = links.coalesce(link_tasks(found))
     joined = materialise(components(links))
     while found > ROUND_SHARE * count:
-        more = verified(met(named_by(joined), _lists_for_components(bits)), nodes)
+        more = verified(met(named_by(joined), _lists_for_components(bits)), nodes, tasks)
         found = more.count()
         if found:
             links = links.unionByName(more.coalesce(link_tasks(found)))
@@ -517,16 +535,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = named_by(joined)
     lists = _prefixes(named).mapInArrow(_lists_for_pairs(bits), _LISTS)
     across = lists.groupBy("block", "cell").applyInPandas(_across, "a long, b long").distinct()
+    # pairs may be many more than the nodes: as many tasks as there are
     more = verified(across, nodes)
-    if not more.isEmpty():
-        joined = materialise(components(links.unionByName(more)))
+    if found := more.count():
+        joined = materialise(components(links.unionByName(more.coalesce(link_tasks(found)))))
 
     rooted = classes.join(small(joined), classes["node"] == joined["node"], "left").select(
         *key, "id", F.coalesce("component", classes["node"]).alias("root")
     )
-    rooted = materialise(rooted)
-    ids = materialise(rooted.groupBy("root").agg(F.min("id").alias("component_id")))
-    named = rooted.select(*key, "root").join(small(ids), "root").drop("root")
+    rooted = materialise(rooted.coalesce(tasks))
+    ids = materialise(rooted.groupBy("root").agg(F.min("id").alias("component_id")).coalesce(tasks))
+    named = rooted.select(*key, "root").join(small(ids), "root").drop("root").coalesce(tasks)
     return sets.join(small(materialise(named)), key, "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "version"
     )
@@ -539,7 +558,9 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     they are (exact copies are another operator's work), as do rows of a
     component that has no ids.
     """
-    found = near_duplicates(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    found = small(materialise(found.select(F.col("doc_id").alias("n_id"), F.col("version").alias("n_version")).distinct()))
+    total = text_bytes(docs)
+    found = near_duplicates(docs, total).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = found.select(F.col("doc_id").alias("n_id"), F.col("version").alias("n_version")).distinct()
+    found = small(materialise(found.coalesce(text_tasks(total))))
     same = docs["doc_id"].eqNullSafe(found["n_id"]) & (F.xxhash64(text_or_empty()) == found["n_version"])
     return docs.join(found, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -203,3 +203,35 @@ def test_component_rounds_have_tasks_by_their_links(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
+
+
+def test_stages_have_tasks_by_their_size(spark, make_docs):
+    """Few documents over many shuffle partitions: the sets and the component rounds
+    have no stage with a task per partition, and few stages of the whole join have."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    coalesced = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "61")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+    def tasks(group, run):
+        spark.sparkContext.setJobGroup(group, group)
+        found = run()
+        tracker = spark.sparkContext.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+        return found, [i.numTasks for s in stages if (i := tracker.getStageInfo(s)) and i.numCompletedTasks]
+
+    try:
+        links = spark.createDataFrame([(i + i % 7, i + 1) for i in range(400)], "a long, b long").repartition(5)
+        _, rounds = tasks("rounds", lambda: components(links).count())
+        # a union of two frames has the tasks of both
+        assert rounds and max(rounds) <= 16
+        words = [f"w{i}" for i in range(60)]
+        rows = [(g * 100 + i, " ".join([f"g{g}{w}" for w in words[: 55 + i]])) for g in range(6) for i in range(5)]
+        assert op.shingle_sets(make_docs(rows)).rdd.getNumPartitions() <= op.MIN_TASKS
+        found, all_ = tasks("whole", lambda: op.near_duplicates(make_docs(rows)).collect())
+        assert {r.doc_id: r.component_id for r in found} == {i: c for i, _, c in brute(rows)}
+        assert sum(n > 16 for n in all_) < 0.15 * len(all_)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
