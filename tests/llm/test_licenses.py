@@ -134,3 +134,20 @@ def test_many_weak_diagonals_take_time_as_the_text(make_docs):
     seconds(10)
     short, long_ = seconds(1500), seconds(9000)
     assert long_ < 6 * short + 5 and long_ < 40
+
+
+def test_texts_are_matched_once(spark):
+    """A row is read for its k-grams, for its weak spans and for its number of words: once each."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def read(row):
+        reads.add(1)
+        return row
+
+    rows = [(i, text) for i, (_, text) in enumerate(ROWS)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(read), "doc_id long, text string")
+    got = licenses.license_scan(docs).collect()
+    assert sorted((r.doc_id, r.n_base) for r in got) == [(i, base(t)[1]) for i, t in rows]
+    assert reads.value <= 3 * len(rows)
+    # and split into words once for its k-grams
+    assert licenses.votes(docs)._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
