@@ -82,6 +82,19 @@ def text_view(text: str | None) -> np.ndarray:
     return np.r_[100 * counts / max(counts.sum(), 1), repetition(raw)]
 
 
+def _packed(view: np.ndarray) -> bytes:
+    """A text view in single precision: the places that are not zero, then their values."""
+    at = np.flatnonzero(view)
+    return at.astype("<u2").tobytes() + view[at].astype("<f4").tobytes()
+
+
+def _unpacked(packed: list[pa.BinaryScalar], out: np.ndarray) -> None:
+    """Packed views into the rows of ``out`` (zeros)."""
+    for row, raw in zip(out, packed):
+        n = len(raw := raw.as_buffer()) // 6
+        row[np.frombuffer(raw, "<u2", n)] = np.frombuffer(raw, "<f4", n, 2 * n)
+
+
 _EVERY_PAIR = _pair_buckets(np.arange(1 << 16, dtype="<u2").view(np.uint8).reshape(-1, 2).reshape(-1))[::2]
 
 
@@ -123,7 +136,11 @@ def _sigmoid(z):
 def logistic(x: np.ndarray, y: np.ndarray, decay: float, steps: int = 300) -> np.ndarray:
     """Weights (the last is the intercept) of a ridge logistic regression, classes
     weighted alike, by accelerated gradient steps."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    return _fitted(np.hstack([x, np.ones((len(x), 1), x.dtype)]), y, decay, steps)
+
+
+def _fitted(x: np.ndarray, y: np.ndarray, decay: float, steps: int = 300) -> np.ndarray:
+    """``logistic`` of rows whose last column is the intercept's ones."""
     weight = np.where(y > 0.5, 0.5 / max((y > 0.5).sum(), 1), 0.5 / max((y <= 0.5).sum(), 1))
     rate = 1 / (0.25 * float(weight @ np.einsum("ij,ij->i", x, x, dtype=float)) + decay)
     w = ahead = np.zeros(x.shape[1])
@@ -155,19 +172,23 @@ VIEWS = ("text", "meta")
 class CoTrained:
     """Both classifiers, their calibration and the share of good rows.
 
-    ``taught`` has each learner's pseudo-labelled rows of earlier rounds; ``pool``
-    holds unlabelled rows to exchange from in memory (none in a Spark job, see ``train``).
+    ``taught`` has each learner's rows (``x``, with a last column of ones, and ``y``):
+    those of ``train``, then the pseudo-labelled ones of earlier rounds. ``pool`` holds
+    unlabelled rows to exchange from in memory (none in a Spark job, see ``train``).
     """
 
     def __init__(self, train: dict, calibration: dict, pool: dict, rounds: int = ROUNDS, taught: dict | None = None):
         views = VIEWS
         decay = {"text": 1e-3, "meta": 1e-3}
-        x = {v: np.vstack([train[v], taught[v][v]]) if taught else train[v] for v in views}
-        y = {v: np.r_[train["y"], taught[v]["y"]] if taught else train["y"] for v in views}
+        x = {v: train[v] for v in views}
+        y = {v: train["y"] for v in views}
         self.exchanged = 0
         for r in range(rounds + 1):
-            self.weights = {v: logistic(x[v], y[v], decay[v]) for v in views}
-            if r == rounds or not len(pool["text"]):
+            if taught:
+                self.weights = {v: _fitted(taught[v]["x"], taught[v]["y"], decay[v]) for v in views}
+            else:
+                self.weights = {v: logistic(x[v], y[v], decay[v]) for v in views}
+            if taught or r == rounds or not len(pool["text"]):
                 break
             margins = {v: pool[v] @ self.weights[v][:-1] + self.weights[v][-1] for v in views}
             taken = np.zeros(len(pool["text"]), bool)
@@ -213,7 +234,7 @@ def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = b.column("doc_id").to_pylist()
         fresh = [i for i, d in enumerate(ids) if not (d in seen or seen.add(d))]
         b = b.take(pa.array(fresh, pa.int64()))
-        raw = [text_view(t.as_py()).astype(np.float32).tobytes() for t in b.column("text")]
+        raw = [_packed(text_view(t.as_py())) for t in b.column("text")]
         names = ["doc_id", "y", "use", "source", "lang", "n_chars"]
         yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(raw, pa.binary())], names=[*names, "view"])
 
@@ -283,18 +304,27 @@ def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     batches = [b for b in batches if b.num_rows]
     if not batches:
         return
-    rows, samples = pa.Table.from_batches(batches), {}
-    for use in ("train", "calibration", *VIEWS):
-        own = rows.filter(pc.equal(rows["use"], use))
-        view = [np.frombuffer(v.as_buffer(), np.float32) for v in own["view"]]
-        samples[use] = {
-            "text": np.array(view, np.float32).reshape(len(view), TEXT_BUCKETS + REPETITIONS),
-            "meta": meta_view(list(zip(*(own[c].to_pylist() for c in ("source", "lang", "n_chars"))))),
-            "y": own["y"].to_numpy().astype(float),
-        }
-    if len(set(samples["train"]["y"])) == 2:
-        none = {"text": [], "meta": []}
-        model = CoTrained(samples["train"], samples["calibration"], none, 0, taught={v: samples[v] for v in VIEWS})
+    rows = pa.Table.from_batches(batches)
+
+    def learned(view: str, *uses: str) -> dict[str, np.ndarray]:
+        """One view of the rows of these uses, with a last column of ones, filled in place."""
+        own = pa.concat_tables([rows.filter(pc.equal(rows["use"], use)) for use in uses])
+        if view == "text":
+            x = np.zeros((len(own), TEXT_BUCKETS + REPETITIONS + 1), np.float32)
+            _unpacked(own["view"], x)
+            x[:, -1] = 1
+        else:
+            x = meta_view(list(zip(*(own[c].to_pylist() for c in ("source", "lang", "n_chars")))))
+            x = np.hstack([x, np.ones((len(x), 1))])
+        return {"x": x, "y": own["y"].to_numpy().astype(float)}
+
+    taught = {v: learned(v, "train", v) for v in VIEWS}
+    y = rows.filter(pc.equal(rows["use"], "train"))["y"].to_numpy().astype(float)
+    if len(set(y)) == 2:
+        train = {v: taught[v]["x"][: len(y), :-1] for v in VIEWS} | {"y": y}
+        held = {v: learned(v, "calibration") for v in VIEWS}
+        calibration = {v: held[v]["x"][:, :-1] for v in VIEWS} | {"y": held["text"]["y"]}
+        model = CoTrained(train, calibration, {"text": [], "meta": []}, 0, taught=taught)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
 
@@ -372,16 +402,11 @@ def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     model = train(docs, labels)
     if model is None:
         return docs
-    columns = docs.columns
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                inputs = pa.RecordBatch.from_struct_array(b.column(len(columns)))
-                good = b.filter(pa.array(_scores(model, inputs)["score"] >= threshold))
-                yield good.select(list(range(len(columns))))
-
-    name = "_inputs"
-    while name.lower() in (c.lower() for c in columns):
-        name = "_" + name
-    return docs.select("*", F.struct(*_inputs()).alias(name)).mapInArrow(keep, docs.schema)
+    @F.arrow_udf("boolean")
+    def good(*inputs: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays(list(inputs), names=[f"q_{c}" for c in _INPUTS])
+        return pa.array(_scores(model, batch)["score"] >= threshold, pa.bool_())
+
+    # only the inputs go to Python, once, and only the verdicts come back
+    return docs.where(good(*_inputs()))

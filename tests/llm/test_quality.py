@@ -1,6 +1,10 @@
 """Quality classifier: held-out accuracy, the exchange of pseudo-labels, edge cases."""
 
+import pickle
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from basketry.llm import quality
@@ -140,3 +144,33 @@ def test_exchange_equals_a_plain_loop(spark, make_docs, monkeypatch):
             taught[learner] += sorted(found)
             taken |= {i for i, _ in found}
     assert len(want) >= 2 and recorded[: len(want)] == want
+
+
+def test_views_are_packed_and_the_fit_fills_one_matrix():
+    """A view has six bytes a place that is not zero (before: four a bucket), and the fit
+    holds the learner's rows once (before: four times)."""
+    texts = [f"plain words {i} and {'# ' * (i % 7)}" for i in range(1500)]
+    rows = {"doc_id": list(range(1500)), "y": [i % 2 for i in range(1500)], "use": ["train", "train", "calibration", "text", "meta"] * 300}
+    rows |= {"source": ["s"] * 1500, "lang": ["en"] * 1500, "n_chars": [float(len(t)) for t in texts], "text": texts}
+    (batch,) = quality._views(iter([pa.RecordBatch.from_pydict(rows)]))
+    assert max(len(x.as_buffer()) for x in batch["view"]) < 1000
+    back = np.zeros((1500, quality.TEXT_BUCKETS + quality.REPETITIONS), np.float32)
+    quality._unpacked(batch["view"], back)
+    assert (back == np.array([quality.text_view(t) for t in texts], np.float32)).all()
+    tracemalloc.start()
+    model = pickle.loads(list(quality._trained(iter([batch])))[0]["model"][0].as_py())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    learned = [i for use in ("train", "text") for i in range(1500) if rows["use"][i] == use]
+    assert peak < 3 * back[learned].nbytes
+    assert (model.weights["text"] == quality.logistic(back[learned], np.array(rows["y"], float)[learned], 1e-3)).all()
+
+
+def test_only_inputs_go_to_python(spark, make_docs):
+    """The filter sends a text to Python once and gets a verdict back (before: all columns,
+    the text twice, and all columns back)."""
+    labels = labels_of(spark, [(i, 1, 0, 0, "") for i in range(60)] + [(100 + i, 0, 0, 0, "") for i in range(60)])
+    kept = quality.good_documents(make_docs(ROWS), labels)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+    assert {r.doc_id for r in kept.collect()} == set(range(60))
